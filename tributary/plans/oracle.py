@@ -295,4 +295,45 @@ SELECT (SELECT count(*) FROM r) AS bronze_rows,
   (SELECT count(*) FROM d WHERE report_date IS NOT NULL) AS gold_rows,
   (SELECT count(*) FROM d WHERE report_date IS NULL) AS null_date_groups,
   (SELECT CAST(sum(total_revenue) AS DECIMAL(38,2)) FROM d WHERE report_date IS NULL) AS null_date_revenue"""
+    q.update(batch_job_sql())
+    return q
+
+
+# Landing CSV round trip: empty strings read back as NULL.
+LANDING_A = VIEW_A + """,
+l AS (SELECT bronze_id, kind, NULLIF(order_id, '') AS order_id, NULLIF(customer_id, '') AS customer_id,
+        NULLIF(product_id, '') AS product_id, amount, order_date FROM a)"""
+BATCH_JOB = LANDING_A + routed(src="l") + """,
+clean AS (SELECT order_id, customer_id, product_id, amount, order_date FROM r WHERE error_reason IS NULL),
+d AS (""" + DAILY.format(src="clean") + """),
+rec_rows AS (SELECT * FROM r WHERE error_reason = 'Invalid Amount' AND order_id IS NOT NULL
+               AND order_id <> '' AND product_id IS NOT NULL AND trim(product_id) <> '')"""
+
+
+def batch_job_sql() -> dict[str, str]:
+    q = {}
+    q["landing_to_bronze"] = f"WITH {LANDING_A} SELECT order_id, customer_id, product_id, amount, order_date FROM l"
+    report = """SELECT (SELECT count(*) FROM r) AS bronze_rows,
+  {silver} AS silver_new_rows, {dlq} AS dlq_new_rows,
+  (SELECT count(*) FROM d WHERE report_date IS NOT NULL) AS gold_rows,
+  (SELECT count(*) FROM d WHERE report_date IS NULL) AS null_date_groups"""
+    q["batch_job_report"] = f"WITH {BATCH_JOB} " + report.format(
+        silver="(SELECT count(DISTINCT order_id) FROM clean)",
+        dlq="(SELECT count(*) FROM r WHERE error_reason IS NOT NULL)")
+    q["batch_job_rerun_report"] = f"WITH {BATCH_JOB} " + report.format(
+        silver="CAST(0 AS BIGINT)", dlq="CAST(0 AS BIGINT)")
+    q["batch_job_daily"] = f"WITH {BATCH_JOB} SELECT * FROM d WHERE report_date IS NOT NULL"
+    q["recovery_job_silver"] = f"""WITH {BATCH_JOB}
+SELECT * FROM clean
+UNION ALL SELECT order_id, customer_id, product_id, amount, order_date FROM rec_rows"""
+    q["recovery_job_dlq"] = f"""WITH {BATCH_JOB}
+SELECT order_id, customer_id, product_id, amount, order_date, error_reason, source_type,
+  CASE WHEN error_reason = 'Invalid Amount' AND order_id IS NOT NULL AND order_id <> ''
+            AND product_id IS NOT NULL AND trim(product_id) <> '' THEN 'processed' ELSE 'unprocessed' END AS status
+FROM r WHERE error_reason IS NOT NULL"""
+    q["recovery_job_report"] = f"""WITH {BATCH_JOB}
+SELECT (SELECT count(DISTINCT order_id) FROM rec_rows) AS silver_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT date_trunc('minute', order_date), product_id FROM rec_rows
+                         WHERE order_date IS NOT NULL)) AS minute_rows,
+  (SELECT count(*) FROM rec_rows) AS dlq_marked"""
     return q

@@ -109,3 +109,21 @@ def catalog_from_part(part: DataFrame) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
     )
+
+
+LANDING_COLUMNS = ["order_id", "product_id", "customer_id", "amount", "timestamp"]
+
+
+def write_landing_csv(view_a: DataFrame, path: str) -> None:
+    """Write view A as landing CSV files (header, landing column order).
+
+    Whitespace is written as is, so padded and blank product ids survive the
+    round trip; empty strings and NULLs both read back as NULL.
+    """
+    (view_a.select("order_id", "product_id", "customer_id", "amount",
+                   F.col("order_date").alias("timestamp"))
+     .write.mode("overwrite")
+     .option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))

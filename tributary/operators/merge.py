@@ -46,26 +46,59 @@ def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str], order: Seq
            broadcast_changes: bool = False) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE of every value column.
 
-    Changes are reduced to their latest version per key; target rows whose
-    key is not changed pass through untouched.  ``audit_col`` (e.g.
-    ``processed_at``) keeps the value of the first insert: a conflict keeps
-    the target's stamp, a new key gets ``stamp``.
-
-    Shape: anti-join (target minus changed keys) UNION the changed rows, with
-    the old stamps fetched by a semi-join.  When the change set is small the
-    caller passes ``broadcast_changes`` (after checking its size) and the
-    whole target is processed map-side without a shuffle.
+    Changes are reduced to their latest version per key (largest ``order``);
+    target rows whose key is not changed pass through untouched.
+    ``audit_col`` (e.g. ``processed_at``) keeps the value of the first insert:
+    a conflict keeps the target's stamp, a new key gets ``stamp``.
+
+    Default shape: one keyed aggregation over ``target UNION changes`` -- each
+    input is scanned once and shuffled once, and partial aggregation folds a
+    hot key map-side.  With ``broadcast_changes`` (the caller has checked the
+    change set is small, see :func:`bounded`) the target is never shuffled:
+    an anti-join against the broadcast keys keeps unchanged rows and a
+    semi-join fetches the old stamps.
     """
+    if broadcast_changes:
+        return _upsert_broadcast(target, changes, key, order, audit_col, stamp)
+    value_cols = [c for c in target.columns if c not in key and c != audit_col]
+    stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
+    audit_type = dict(target.dtypes)[audit_col] if audit_col else None
+
+    def side(df: DataFrame, src: int) -> DataFrame:
+        cols = [F.col(c) for c in key]
+        cols += [F.lit(src).alias("_src")]
+        # Order-only columns exist on the change side; the target side never
+        # wins over a change (``_src`` sorts first), so NULL is enough there.
+        cols += [(F.col(o) if src or o in value_cols else F.lit(None).cast(dict(changes.dtypes)[o]))
+                 .alias(o) for o in order if o not in key]
+        cols += [F.col(c) for c in value_cols if c not in order]
+        if audit_col:
+            cols.append((F.col(audit_col) if src == 0 else F.lit(None).cast(audit_type)).alias(audit_col))
+        return df.select(*cols)
+
+    both = side(target, 0).unionByName(side(changes, 1))
+    ordered = ["_src", *[o for o in order if o not in key],
+               *[c for c in value_cols if c not in order]]
+    aggs = [F.max(F.struct(*[F.col(c) for c in ordered])).alias("_best")]
+    if audit_col:
+        aggs.append(F.min(audit_col).alias(audit_col))
+    out = both.groupBy(*key).agg(*aggs)
+    cols = [F.col(c) for c in key] + [F.col(f"_best.{c}").alias(c) for c in value_cols]
+    if audit_col:
+        cols.append(F.coalesce(F.col(audit_col), stamp).alias(audit_col))
+    return out.select(*cols).select(*target.columns)
+
+
+def _upsert_broadcast(target, changes, key, order, audit_col, stamp):
     value_cols = [c for c in target.columns if c not in key and c != audit_col]
     carried = list(dict.fromkeys([*value_cols, *[o for o in order if o not in key]]))
     latest = latest_per_key(changes.select(*key, *carried), key, order).select(*key, *value_cols)
-    kept = target.join(_keys(latest, key, broadcast_changes), list(key), "left_anti")
+    kept = target.join(_keys(latest, key, True), list(key), "left_anti")
     if audit_col is None:
         return kept.unionByName(latest)
-    prev = target.select(*key, audit_col).join(_keys(latest, key, broadcast_changes),
-                                                list(key), "left_semi")
+    prev = target.select(*key, audit_col).join(_keys(latest, key, True), list(key), "left_semi")
     stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
-    updated = (latest.join(prev, list(key), "left")
+    updated = (latest.join(F.broadcast(prev), list(key), "left")
                .withColumn(audit_col, F.coalesce(F.col(audit_col), stamp)))
     return kept.unionByName(updated.select(*target.columns))
 

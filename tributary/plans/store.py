@@ -54,6 +54,8 @@ class Store:
                                    not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"])
         self.catalog = SnapshotTable(s, f"{r}/catalog", key=["product_id"])
         self.alerts = KeyedTable(s, f"{r}/alerts", ["batch"], ALERT_COLUMNS)
+        # Progress of the batch job: last Bronze commit it fully processed.
+        self.batch_state = SnapshotTable(s, f"{r}/batch_state")
 
     def silver_state(self):
         return self.silver.read_or_empty(SILVER_SCHEMA)

@@ -153,6 +153,32 @@ class KeyedTable:
             return None
         return self.spark.read.parquet(*paths)
 
+    def max_seq(self) -> int:
+        return max((r["seq"] for r in self.log.records()), default=0)
+
+    def versions_since(self, seq: int) -> tuple[DataFrame | None, int]:
+        """Row versions committed after ``seq`` and the newest seq seen.
+
+        If a compaction folded newer rows into the base, the base is returned
+        too (a full pass; consumers must be idempotent, ours are)."""
+        recs = self.log.records()
+        top = max((r["seq"] for r in recs), default=0)
+        base = [r for r in recs if r["kind"] == "base"]
+        if base and base[-1]["seq"] > seq:
+            paths = self._paths()
+        else:
+            paths = list(dict.fromkeys(r["path"] for r in recs
+                                       if r["kind"] == "increment" and r["seq"] > seq))
+        if not paths:
+            return None, top
+        return self.spark.read.parquet(*paths), top
+
+    def keys(self) -> DataFrame | None:
+        """Every committed key, possibly repeated (no merge): enough for
+        membership tests such as anti-joins, without the merge shuffle."""
+        raw = self.versions()
+        return None if raw is None else raw.select(*self.key)
+
     def read(self) -> DataFrame:
         """Current state: one row per key.
 

@@ -71,3 +71,41 @@ def test_violations_counts(spark):
            violations(df, "t", key=["k"], not_null=["k", "s"], varchar={"s": 255}).collect()}
     assert got == {("not_null", "k"): 1, ("not_null", "s"): 1, ("max_length_255", "s"): 1,
                    ("unique_key", "k"): 1}
+
+
+def test_money_migration_is_all_or_nothing(spark):
+    from tributary.plans.migration import migrate_tables
+    a = SnapshotTable(spark, scratch_path(spark, "ma"))
+    b = SnapshotTable(spark, scratch_path(spark, "mb"))
+    a.publish(spark.createDataFrame([(1.005,), (2.5,)], "amount double"))
+    b.publish(spark.createDataFrame([(1e13,), (3.0,)], "total_revenue double"))
+    rep = {r["table_name"]: (r["n_rows"], r["n_rounded"], r["n_nulled"]) for r in
+           migrate_tables(spark, {"a": (a, ["amount"]), "b": (b, ["total_revenue"])}).collect()}
+    assert rep == {"a": (2, 1, 0), "b": (2, 0, 1)}
+    assert dict(a.read().dtypes)["amount"] == "decimal(12,2)"
+    assert sorted(r["total_revenue"] for r in b.read().collect() if r["total_revenue"] is not None) == [Decimal("3.00")]
+
+
+def test_catalog_csv_key_is_trimmed(spark):
+    from tributary.sources.readers import read_catalog_csv
+    path = scratch_path(spark, "catalog")
+    spark.createDataFrame([("product_id,product_name,category",), (" 7 ,Lamp,Home",)], "value string") \
+        .coalesce(1).write.text(path)
+    assert read_catalog_csv(spark, path).first()["product_id"] == "7"
+
+
+def test_speed_layer_runs_both_queries(spark):
+    import json
+    from tributary.streaming.runner import start_speed_layer
+    root = scratch_path(spark, "speed")
+    rows = [("t", i, json.dumps({"order_id": f"O{i}", "customer_id": "C", "product_id": "p",
+                                  "amount": 1, "order_date": f"2024-01-01 10:0{i}:00"}))
+            for i in range(3)]
+    spark.createDataFrame(rows, "source string, bronze_id long, payload string").write.json(f"{root}/in")
+    store = Store(spark, f"{root}/tables")
+    stream = spark.readStream.schema("source string, bronze_id long, payload string").json(f"{root}/in")
+    for q in start_speed_layer(spark, stream, store, f"{root}/ck", gold_mode="update",
+                               available_now=True):
+        q.awaitTermination()
+    assert store.silver_state().count() == 3
+    assert store.minute_state().count() == 3

@@ -116,3 +116,27 @@ def test_split_is_a_partition(spark, rows):
     e_ids = {r["rid"] for r in error.select("rid").collect()}
     assert not (c_ids & e_ids)
     assert len(c_ids) + len(e_ids) == len(data)
+
+
+def test_optional_date_rules(make_events):
+    import datetime as dt
+    from tributary.functions.quality import INVALID_DATE
+    from tributary.operators.quality import route_quality
+    df = make_events([("O1", "C1", "1", 5.0, "not a date"),
+                      ("O2", "C1", "1", 5.0, "2099-01-01 00:00:00"),
+                      ("O3", None, "1", 5.0, "2099-01-01 00:00:00"),
+                      ("O4", "C1", "1", 5.0, "2024-01-01 00:00:00")])
+    now = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
+    off = {r["order_id"]: r["error_reason"] for r in route_quality(df, "Batch").collect()}
+    assert off == {"O1": None, "O2": None, "O3": MISSING_CUSTOMER, "O4": None}
+    on = {r["order_id"]: r["error_reason"] for r in
+          route_quality(df, "Batch", reject_null_date=True, max_future="1 day", now=now).collect()}
+    assert on == {"O1": INVALID_DATE, "O2": INVALID_DATE, "O3": MISSING_CUSTOMER, "O4": None}
+
+
+def test_null_payload_goes_to_dlq_not_lost(spark):
+    # A tombstone (NULL payload) is kept in Bronze and routed to the DLQ.
+    parsed = parse_columns(spark.createDataFrame([(1, None)], "bronze_id long, payload string"),
+                           ["bronze_id"])
+    clean, error = split_quality(parsed, "Streaming")
+    assert clean.count() == 0 and reasons(error) == [MISSING_CUSTOMER]

@@ -19,6 +19,9 @@ INVALID_AMOUNT = "Invalid Amount"
 MISSING_ORDER = "Missing Order ID"
 MISSING_PRODUCT = "Missing Product ID"
 SCHEMA_MISMATCH = "Schema Mismatch Exception"
+# Optional rule (off by default): an event time that is missing, unparseable
+# or too far in the future.
+INVALID_DATE = "Invalid Order Date"
 SOURCE_STREAMING = "Streaming"
 SOURCE_BATCH = "Batch"
 STATUS_UNPROCESSED = "unprocessed"

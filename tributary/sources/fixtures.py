@@ -31,7 +31,6 @@ DIRTY_KINDS = {
     11: "customer empty",
 }
 DIRTY_MODULUS = 50
-TEXT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _kind(event_id: Column) -> Column:
@@ -55,8 +54,10 @@ def sales_view_a(events: DataFrame) -> DataFrame:
               .when(m == 9, F.lit(0).cast(MONEY_SQL))
               .when(m == 10, F.lit(-5).cast(MONEY_SQL))
               .otherwise(F.col("value").try_cast(MONEY_SQL)))
+    # Zone-free text: a timestamp_ntz cast to string is its wall clock
+    # ('yyyy-MM-dd HH:mm:ss[.ffffff]'); keep whole seconds.
     order_date = (F.when(m == 7, F.lit("not a date"))
-                  .otherwise(F.date_format(F.col("ts"), TEXT_TIME_FORMAT)))
+                  .otherwise(F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 19)))
     return events.select(
         F.col("event_id").alias("bronze_id"),
         order_id.alias("order_id"),

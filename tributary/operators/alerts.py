@@ -25,13 +25,16 @@ def unique_catalog(catalog: DataFrame) -> DataFrame:
                          ["product_id"], ["product_name", "category"])
 
 
-def enrich(events: DataFrame, catalog: DataFrame, *, broadcast_catalog: bool = False) -> DataFrame:
+def enrich(events: DataFrame, catalog: DataFrame, *, broadcast_catalog: bool = False,
+           catalog_is_unique: bool = False) -> DataFrame:
     """Left equi-join on the trimmed product id; unmatched rows keep NULL names.
 
     ``broadcast_catalog`` is for callers that checked the catalog's size
     (``merge.bounded``); otherwise Catalyst/AQE choose from statistics.
+    ``catalog_is_unique`` skips the dedup for a catalog already passed
+    through :func:`unique_catalog`.
     """
-    cat = unique_catalog(catalog)
+    cat = catalog if catalog_is_unique else unique_catalog(catalog)
     if broadcast_catalog:
         cat = F.broadcast(cat)
     return events.join(cat, "product_id", "left")

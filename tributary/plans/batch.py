@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tributary.functions.payload import pack, parse_columns
 from tributary.functions.quality import SOURCE_BATCH
 from tributary.operators.dlq import dlq_rows
-from tributary.operators.gold import daily_revenue, publishable_daily
+from tributary.plans.daily import refresh_daily
 from tributary.operators.merge import first_per_key, insert_if_absent
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
@@ -93,14 +93,19 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
             fresh = fresh.join(dlq_keys, ["source", "id"], "left_anti")
         dlq_rows_written = store.dlq.append(fresh, tag=f"batch-{run_id}")
 
-        daily = daily_revenue(store.silver.read())
-        ok = publishable_daily(daily)
-        dropped = daily.filter(F.col("report_date").isNull()).agg(
-            F.count(F.lit(1)).alias("n")).first()
-        version = store.daily.publish(ok, tag=f"batch-{run_id}")
+        # NULL-date rows never reach the daily table; report how many
+        # (NULL date, product) groups Silver holds.  Only keys that ever had a
+        # NULL date are merged for this.
+        null_rows = store.silver.read_touching(F.col("order_date").isNull())
+        dropped = null_rows.filter(F.col("order_date").isNull()).select("product_id").distinct() \
+            .agg(F.count(F.lit(1)).alias("n")).first()
+        state = _batch_state(store)
+        silver_seq = state["last_silver_seq"] if incremental and state else None
+        version = refresh_daily(spark, store, f"batch-{run_id}", since_seq=silver_seq)
         gold_rows = store.daily.read(version).count() if version else 0
         store.batch_state.publish(
-            spark.createDataFrame([(top, run_id)], "last_bronze_seq long, run_id string"),
+            spark.createDataFrame([(top, store.silver.max_seq(), run_id)],
+                                  "last_bronze_seq long, last_silver_seq long, run_id string"),
             tag=f"batch-{run_id}")
         return _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows,
                        dropped["n"] or 0)
@@ -108,10 +113,15 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
         routed.unpersist()
 
 
-def _last_bronze_seq(store: Store) -> int:
+def _batch_state(store: Store):
     if store.batch_state.version() is None:
-        return 0
-    return store.batch_state.read().first()["last_bronze_seq"]
+        return None
+    return store.batch_state.read().first()
+
+
+def _last_bronze_seq(store: Store) -> int:
+    state = _batch_state(store)
+    return state["last_bronze_seq"] if state else 0
 
 
 def _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows, null_date_groups):

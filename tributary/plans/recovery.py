@@ -40,7 +40,16 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
     if mode == "replace":
         minutes = recovered_minute(recovered)
     else:
-        minutes = recompute_minutes(store.silver.read(), affected_minutes(recovered))
+        keys = affected_minutes(recovered)
+
+        def in_affected(raw):
+            tagged = raw.withColumn(
+                "window_start", F.date_trunc("minute", "order_date").cast("timestamp_ntz"))
+            return tagged.join(keys, ["window_start", "product_id"], "left_semi")
+
+        # Only orders that ever had a version in a touched (minute, product)
+        # are merged; the rest of Silver is not shuffled.
+        minutes = recompute_minutes(store.silver.read_touching(in_affected), keys)
     minute_rows = store.minute.append(minutes.withColumn("created_at", stamp),
                                       tag=f"recovery-{run_id}")
     marked = store.dlq.append(rows.withColumn("status", F.lit(STATUS_PROCESSED)),

@@ -116,9 +116,8 @@ def q_parse_malformed(spark, d):
     label = F.coalesce(F.element_at(F.create_map(*[x for k, v in DIRTY_KINDS.items()
                                                    for x in (F.lit(k), F.lit(v))]),
                                     F.col("kind").cast("int")), F.lit("none"))
-    kinds = bronze_view_a(read_table(spark, d, "events")).select(
-        "bronze_id", F.pmod("bronze_id", F.lit(50)).alias("kind"))
-    r = routed_a(spark, d).join(kinds, "bronze_id")
+    bronze = bronze_view_a(read_table(spark, d, "events"), keep_kind=True)
+    r = route_quality(parse_columns(bronze, ["bronze_id", "kind"]), SOURCE_BATCH)
     return r.groupBy(label.alias("dirty_kind"),
                      F.coalesce("error_reason", F.lit("clean")).alias("route")).agg(
         F.count(F.lit(1)).alias("n_rows"))

@@ -191,6 +191,22 @@ class KeyedTable:
             raise FileNotFoundError(f"table {self.root} has no committed data")
         return self.merge(raw)
 
+    def read_touching(self, row_filter) -> DataFrame | None:
+        """Current rows of every key that has *some* committed version
+        matching ``row_filter`` -- a Column, or a function from the raw
+        versions to the matching versions (callers then filter the current rows).
+
+        The filter runs map-side on the raw versions (and prunes files by
+        min/max when it is a range), so only the touched keys are shuffled
+        for the merge instead of the whole table.
+        """
+        raw = self.versions()
+        if raw is None:
+            return None
+        hit = row_filter(raw) if callable(row_filter) else raw.filter(row_filter)
+        keys = hit.select(*self.key).distinct()
+        return self.merge(raw.join(keys, self.key, "left_semi"))
+
     def read_or_empty(self, schema: str) -> DataFrame:
         raw = self.versions()
         if raw is None:

@@ -69,13 +69,13 @@ def sales_view_a(events: DataFrame) -> DataFrame:
     )
 
 
-def bronze_view_a(events: DataFrame) -> DataFrame:
+def bronze_view_a(events: DataFrame, *, keep_kind: bool = False) -> DataFrame:
     """View A as Bronze rows: bronze_id, payload (JSON text; kind 8 truncated)."""
     view = sales_view_a(events)
     full = pack()
     # A 20-character prefix of a record is never a complete JSON object.
     payload = F.when(F.col("kind") == 8, F.substring(full, 1, 20)).otherwise(full)
-    return view.select("bronze_id", payload.alias("payload"))
+    return view.select("bronze_id", payload.alias("payload"), *(["kind"] if keep_kind else []))
 
 
 def sales_view_b(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

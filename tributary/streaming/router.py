@@ -51,7 +51,8 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
             if catalog is not None:
                 high = alerts.high_value(clean, threshold)
                 digest = alerts.alert_digest(
-                    alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog))
+                    alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog,
+                                  catalog_is_unique=True))
                 store.alerts.append(digest.withColumn("batch", F.lit(tag)), tag=tag)
         finally:
             routed.unpersist()
@@ -63,7 +64,14 @@ def start_router(payloads: DataFrame, store: Store, checkpoint: str, run_tag: st
                  catalog: DataFrame | None = None, available_now: bool = False,
                  processing_time: str = "10 seconds", query_name: str | None = None):
     """Start the router query over a stream of ``(source, bronze_id, payload)``."""
-    broadcast_catalog = catalog is not None and bounded(catalog, CATALOG_BROADCAST_ROWS)
+    broadcast_catalog = False
+    if catalog is not None:
+        # Static side: dedupe once; keep it cached only when provably small
+        # (then it is also broadcast to every micro-batch).
+        catalog = alerts.unique_catalog(catalog)
+        broadcast_catalog = bounded(catalog, CATALOG_BROADCAST_ROWS)
+        if broadcast_catalog:
+            catalog = catalog.persist()
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
         route_batch(batch_df, store, f"{run_tag}-{batch_id}", catalog=catalog,

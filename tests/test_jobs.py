@@ -121,3 +121,12 @@ def test_incremental_daily_equals_full_recompute(spark):
     # Nothing new: the published version stays.
     v = store.daily.version()
     assert refresh_daily(spark, store, "v3", since_seq=store.silver.max_seq()) == v
+
+
+def test_landing_reingest_same_load_is_idempotent(spark):
+    path = _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+                ["O1,5,C1,10.00,2024-01-01 10:00:00", "O2,5,C1,1.00,2024-01-01 10:00:00"])
+    store = Store(spark, scratch_path(spark, "reingest"))
+    assert ingest_landing(spark, store, path, "l1") == 2
+    assert ingest_landing(spark, store, path, "l1") == 2     # retry of the same load
+    assert store.bronze_state().count() == 2

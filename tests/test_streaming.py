@@ -78,3 +78,30 @@ def test_update_mode_converges_by_key(spark):
         start_minute_query(minute_stream(clean_stream(stream)), store, f"{root}/ck", "upd",
                            output_mode="update", available_now=True).awaitTermination()
     assert _minutes(store) == {("10:00", "p1"): Decimal("3.00")}
+
+
+def test_late_filter_uses_previous_batch_watermark(spark):
+    """One run, one file per micro-batch: late rows are judged against the
+    watermark of the batch before, so a row two files after its window's
+    watermark moved is still counted; three files after, it is dropped."""
+    import glob
+    import os
+    root = scratch_path(spark, "late1")
+    inbox, store = f"{root}/in", Store(spark, f"{root}/tables")
+    files = [[("2024-01-01 10:00:10", "p1", 100)],
+             [("2024-01-01 10:20:00", "p1", 1)],
+             [("2024-01-01 10:21:00", "p1", 5), ("2024-01-01 10:00:50", "p1", 9)],
+             [("2024-01-01 10:00:55", "p1", 1000), ("2024-01-01 10:40:00", "p3", 3)]]
+    for i, rows in enumerate(files):
+        _write(spark, f"{inbox}/f{i}", rows, 10 * i)
+    # Explicit, increasing modification times fix the file order.
+    for i in range(len(files)):
+        for f in glob.glob(f"{inbox}/f{i}/*.json"):
+            os.utime(f, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
+    stream = (spark.readStream.schema(PAYLOAD_SCHEMA).option("maxFilesPerTrigger", "1")
+              .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(inbox))
+    q = start_minute_query(minute_stream(clean_stream(stream)), store, f"{root}/ck", "late1",
+                           available_now=True)
+    q.awaitTermination()
+    assert _minutes(store) == {("10:00", "p1"): Decimal("109.00"), ("10:20", "p1"): Decimal("1.00"),
+                               ("10:21", "p1"): Decimal("5.00")}

@@ -109,3 +109,12 @@ def test_speed_layer_runs_both_queries(spark):
         q.awaitTermination()
     assert store.silver_state().count() == 3
     assert store.minute_state().count() == 3
+
+
+def test_concurrent_commits_are_all_kept(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from tributary.plans.tables import CommitLog
+    log = CommitLog(spark, scratch_path(spark, "log"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: log.commit([("t", i, "increment", f"tag{i}", f"p{i}", 1)]), range(8)))
+    assert [r["seq"] for r in log.records("t")] == list(range(8))

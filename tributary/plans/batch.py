@@ -83,15 +83,17 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
             new = first_per_key(candidates, ["order_id"], ["source", "bronze_id"])
         else:
             new = insert_if_absent(silver_keys, candidates, ["order_id"], ["source", "bronze_id"])
-        new_rows = store.silver.append(
-            new.select(*SILVER_COLUMNS).withColumn("processed_at", stamp), tag=f"batch-{run_id}")
-
         fresh = dlq_rows(errors, created_at=stamp)
         dlq_keys = store.dlq.keys()
         if dlq_keys is not None:
             # Insert-if-absent on (source, id): a re-run never resets a status.
             fresh = fresh.join(dlq_keys, ["source", "id"], "left_anti")
-        dlq_rows_written = store.dlq.append(fresh, tag=f"batch-{run_id}")
+        # Silver and DLQ rows of this run become visible together.
+        with store.transaction() as tx:
+            new_rows = store.silver.append(
+                new.select(*SILVER_COLUMNS).withColumn("processed_at", stamp),
+                tag=f"batch-{run_id}", tx=tx)
+            dlq_rows_written = store.dlq.append(fresh, tag=f"batch-{run_id}", tx=tx)
 
         # NULL-date rows never reach the daily table; report how many
         # (NULL date, product) groups Silver holds.  Only keys that ever had a
@@ -101,12 +103,15 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
             .agg(F.count(F.lit(1)).alias("n")).first()
         state = _batch_state(store)
         silver_seq = state["last_silver_seq"] if incremental and state else None
-        version = refresh_daily(spark, store, f"batch-{run_id}", since_seq=silver_seq)
+        silver_top = store.silver.max_seq()
+        # The daily publish and the job's progress marker commit together.
+        with store.transaction() as tx:
+            version = refresh_daily(spark, store, f"batch-{run_id}", since_seq=silver_seq, tx=tx)
+            store.batch_state.publish(
+                spark.createDataFrame([(top, silver_top, run_id)],
+                                      "last_bronze_seq long, last_silver_seq long, run_id string"),
+                tag=f"batch-{run_id}", tx=tx)
         gold_rows = store.daily.read(version).count() if version else 0
-        store.batch_state.publish(
-            spark.createDataFrame([(top, store.silver.max_seq(), run_id)],
-                                  "last_bronze_seq long, last_silver_seq long, run_id string"),
-            tag=f"batch-{run_id}")
         return _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows,
                        dropped["n"] or 0)
     finally:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tributary.operators.gold import daily_revenue, publishable_daily
 from tributary.operators.merge import bounded
 from tributary.plans.store import Store
+from tributary.plans.tables import Transaction
 
 MAX_TOUCHED_DAYS = 100_000
 
@@ -31,8 +32,8 @@ def touched_days(store: Store, since_seq: int) -> list[dt.date] | None:
     return sorted(r["d"] for r in days.collect())
 
 
-def refresh_daily(spark: SparkSession, store: Store, tag: str, *, since_seq: int | None = None
-                  ) -> int | None:
+def refresh_daily(spark: SparkSession, store: Store, tag: str, *, since_seq: int | None = None,
+                  tx: Transaction | None = None) -> int | None:
     """Publish a new daily gold version; returns it (None when nothing to publish).
 
     ``since_seq`` None, or no published daily yet: recompute from all of
@@ -43,7 +44,8 @@ def refresh_daily(spark: SparkSession, store: Store, tag: str, *, since_seq: int
     previous = store.daily.version()
     days = None if since_seq is None or previous is None else touched_days(store, since_seq)
     if days is None:
-        return store.daily.publish(publishable_daily(daily_revenue(store.silver.read())), tag=tag)
+        return store.daily.publish(publishable_daily(daily_revenue(store.silver.read())), tag=tag,
+                                   tx=tx)
     if not days:
         return previous
     lo, hi = days[0], days[-1] + dt.timedelta(days=1)
@@ -54,4 +56,4 @@ def refresh_daily(spark: SparkSession, store: Store, tag: str, *, since_seq: int
     current = store.silver.read_touching(in_range & on_days)
     fresh = publishable_daily(daily_revenue(current.filter(on_days)))
     kept = store.daily.read(previous).filter(~F.col("report_date").isin(days))
-    return store.daily.publish(kept.unionByName(fresh), tag=tag, allow_empty=True)
+    return store.daily.publish(kept.unionByName(fresh), tag=tag, allow_empty=True, tx=tx)

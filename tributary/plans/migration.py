@@ -22,14 +22,15 @@ def migrate_tables(spark: SparkSession, tables: Mapping[str, tuple[SnapshotTable
     for name, (table, columns) in tables.items():
         before = table.read()
         reports.append(migration_report(before, name, list(columns)))
-        seq = (table.version() or 0) + 1
-        path = f"{table.root}/data/v={seq}"
-        migrate_money(before, list(columns)).write.mode("overwrite").parquet(path)
-        staged.append((table, seq, path, spark.read.parquet(path).count()))
+        staged.append((table, table.stage(migrate_money(before, list(columns)), "migrate-money")))
     report = reports[0]
     for r in reports[1:]:
         report = report.unionByName(r)
     report = spark.createDataFrame(report.collect(), report.schema)
-    for table, seq, path, n_rows in staged:
-        table.log.append(seq, "snapshot", "migrate-money", path, n_rows)
+    # Every new version is written; now commit them (one record write per log).
+    by_log: dict[int, tuple] = {}
+    for table, record in staged:
+        by_log.setdefault(id(table.log), (table.log, []))[1].append(record)
+    for log, records in by_log.values():
+        log.commit(records)
     return report

@@ -50,10 +50,12 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
         # Only orders that ever had a version in a touched (minute, product)
         # are merged; the rest of Silver is not shuffled.
         minutes = recompute_minutes(store.silver.read_touching(in_affected), keys)
-    minute_rows = store.minute.append(minutes.withColumn("created_at", stamp),
-                                      tag=f"recovery-{run_id}")
-    marked = store.dlq.append(rows.withColumn("status", F.lit(STATUS_PROCESSED)),
-                              tag=f"recovery-{run_id}")
+    # The gold refresh and the status change commit together.
+    with store.transaction() as tx:
+        minute_rows = store.minute.append(minutes.withColumn("created_at", stamp),
+                                          tag=f"recovery-{run_id}", tx=tx)
+        marked = store.dlq.append(rows.withColumn("status", F.lit(STATUS_PROCESSED)),
+                                  tag=f"recovery-{run_id}", tx=tx)
     return _report(spark, silver_rows, minute_rows, marked)
 
 

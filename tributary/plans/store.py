@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tributary.plans.tables import KeyedTable, SnapshotTable
+from tributary.plans.tables import CommitLog, KeyedTable, SnapshotTable, Transaction
 from tributary.schemas import (
     DAILY_KEY, DLQ_COLUMNS, MINUTE_COLUMNS, MINUTE_KEY, NOT_NULL, SILVER_COLUMNS, SILVER_KEY,
     VARCHAR_LIMITS,
@@ -36,26 +36,37 @@ class Store:
     def __post_init__(self):
         r = self.root.rstrip("/")
         s = self.spark
+        # One commit log for every table: a transaction makes the increments of
+        # several tables visible together.
+        self.log = CommitLog(s, f"{r}/commits")
+        log = self.log
         # Bronze: a replay of the same source position keeps the first copy.
         self.bronze = KeyedTable(s, f"{r}/bronze", ["source", "bronze_id"], BRONZE_COLUMNS,
-                                 policies={"payload": "first", "ingested_at": "min"})
+                                 policies={"payload": "first", "ingested_at": "min"},
+                                 name="bronze", log=log)
         # Silver: last write wins on values, the first insert keeps its stamp.
         self.silver = KeyedTable(s, f"{r}/silver", SILVER_KEY, SILVER_TABLE_COLUMNS,
-                                 policies={"processed_at": "min"})
+                                 policies={"processed_at": "min"}, name="silver", log=log)
         self.minute = KeyedTable(s, f"{r}/gold_minute", MINUTE_KEY, MINUTE_TABLE_COLUMNS,
-                                 policies={"created_at": "min"})
+                                 policies={"created_at": "min"}, name="gold_minute", log=log)
         # DLQ: a record never changes once written, except its status, which
         # only moves forward ('processed' < 'unprocessed', so min wins).
         self.dlq = KeyedTable(
             s, f"{r}/dlq", ["source", "id"], DLQ_TABLE_COLUMNS,
             policies={**{c: "first" for c in DLQ_TABLE_COLUMNS if c not in ("source", "id")},
-                      "status": "min", "created_at": "min"})
+                      "status": "min", "created_at": "min"},
+            name="dlq", log=log)
         self.daily = SnapshotTable(s, f"{r}/gold_daily", key=DAILY_KEY,
-                                   not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"])
-        self.catalog = SnapshotTable(s, f"{r}/catalog", key=["product_id"])
-        self.alerts = KeyedTable(s, f"{r}/alerts", ["batch"], ALERT_COLUMNS)
-        # Progress of the batch job: last Bronze commit it fully processed.
-        self.batch_state = SnapshotTable(s, f"{r}/batch_state")
+                                   not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"],
+                                   name="gold_daily", log=log)
+        self.catalog = SnapshotTable(s, f"{r}/catalog", key=["product_id"], name="catalog", log=log)
+        self.alerts = KeyedTable(s, f"{r}/alerts", ["batch"], ALERT_COLUMNS, name="alerts", log=log)
+        # Progress of the batch job: last Bronze / Silver commits it processed.
+        self.batch_state = SnapshotTable(s, f"{r}/batch_state", name="batch_state", log=log)
+
+    def transaction(self) -> Transaction:
+        """``with store.transaction() as tx: table.append(df, tag, tx=tx)``"""
+        return Transaction(self.log)
 
     def silver_state(self):
         return self.silver.read_or_empty(SILVER_SCHEMA)

@@ -4,66 +4,129 @@ No table-format jar (Delta/Iceberg/Hudi) is assumed.  Two shapes:
 
 * :class:`SnapshotTable` -- full-replace table (daily gold, catalog).  Each
   publish writes an immutable ``data/v=<n>`` folder; it becomes visible only
-  when a commit record is appended afterwards, so readers never see a
+  when its commit record is written afterwards, so readers never see a
   half-written table and a failed publish leaves the old version in place
   (the atomic swap).
 * :class:`KeyedTable` -- keyed table fed by increments (Silver, minute gold,
-  DLQ, Bronze).  Writers append an increment under a stable tag (overwriting
-  that tag on retry, so a re-run batch cannot add copies) and then a commit
-  record.  Readers merge the committed increments per key with per-column
-  policies: ``latest`` (last commit wins), ``first``, ``min``, ``max``.
-  ``compact`` folds everything into one base version.
-
-Commit records are a tiny parquet log; its size is bounded by compaction.
+  DLQ, Bronze).  Writers write an increment under a stable tag (overwriting
+  that tag on retry, so a re-run batch cannot add copies) and then commit it.
+  Readers merge the committed increments per key with per-column policies:
+  ``latest`` (last commit wins), ``first``, ``min``, ``max``.  ``compact``
+  folds everything into one base version.
+
+Commit records live in a small parquet :class:`CommitLog`, which a whole
+:class:`~tributary.plans.store.Store` can share: a :class:`Transaction`
+commits the increments of several tables with one record write, so they
+become visible together.  Readers only ever see committed data.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import assert_valid
 
-COMMIT_SCHEMA = "seq long, kind string, tag string, path string, n_rows long, committed_ms long"
+COMMIT_SCHEMA = ("table_name string, seq long, kind string, tag string, path string, "
+                 "n_rows long, committed_ms long")
 
 
-class _Log:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.log_path = f"{self.root}/commits"
+def _write_counted(df: DataFrame, path: str) -> int:
+    """Overwrite ``path`` with ``df`` and return the row count, measured by an
+    observation during the write (no second pass over the data)."""
+    obs = Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(path)
+    return int(obs.get["n_rows"])
 
-    def records(self) -> list:
+
+class CommitLog:
+    """Append-only log of commit records (one folder per commit)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def records(self, table: str) -> list:
         try:
-            df = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log_path)
+            df = (self.spark.read.schema(COMMIT_SCHEMA)
+                  .option("recursiveFileLookup", "true").parquet(self.path))
         except AnalysisException:
             return []
-        return sorted(df.collect(), key=lambda r: r["seq"])
+        rows = df.filter(F.col("table_name") == table).collect()
+        return sorted(rows, key=lambda r: r["seq"])
+
+    def commit(self, records: list[tuple]) -> None:
+        if not records:
+            return
+        ms = int(time.time() * 1000)
+        rec = self.spark.createDataFrame([(*r, ms) for r in records], COMMIT_SCHEMA)
+        # Each commit gets its own folder: concurrent writers (e.g. the router
+        # and the gold query) never share an output path or its temp files.
+        rec.coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.path}/{ms:013d}-{uuid.uuid4().hex}")
+
+
+class Transaction:
+    """Collects commit records and writes them at once on success."""
+
+    def __init__(self, log: CommitLog):
+        self.log, self.pending = log, []
+
+    def add(self, record: tuple) -> None:
+        self.pending.append(record)
+
+    def pending_seq(self, table: str) -> int:
+        return max((r[1] for r in self.pending if r[0] == table), default=0)
+
+    def __enter__(self) -> "Transaction":
+        return self
 
-    def append(self, seq: int, kind: str, tag: str, path: str, n_rows: int) -> None:
-        rec = self.spark.createDataFrame(
-            [(seq, kind, tag, path, n_rows, int(time.time() * 1000))], COMMIT_SCHEMA)
-        rec.coalesce(1).write.mode("append").parquet(self.log_path)
+    def __exit__(self, exc_type, exc, tb) -> None:
+        if exc_type is None:
+            self.log.commit(self.pending)
+        self.pending = []
 
 
-class SnapshotTable:
+class _Table:
+    def __init__(self, spark: SparkSession, root: str, name: str | None, log: CommitLog | None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.name = name or "table"
+        self.log = log or CommitLog(spark, f"{self.root}/commits")
+
+    def records(self) -> list:
+        return self.log.records(self.name)
+
+    def _next_seq(self, recs: list, tx: Transaction | None) -> int:
+        top = max((r["seq"] for r in recs), default=0)
+        return max(top, tx.pending_seq(self.name) if tx else 0) + 1
+
+    def _commit(self, record: tuple, tx: Transaction | None) -> None:
+        if tx is not None:
+            tx.add(record)
+        else:
+            self.log.commit([record])
+
+
+class SnapshotTable(_Table):
     """Full-replace table with atomic publish."""
 
     def __init__(self, spark: SparkSession, root: str, *, key: Sequence[str] = (),
-                 not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.log = _Log(spark, root)
+                 not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None,
+                 name: str | None = None, log: CommitLog | None = None):
+        super().__init__(spark, root, name, log)
         self.key, self.not_null, self.varchar = list(key), list(not_null), dict(varchar or {})
+        self.last_n_rows: int | None = None
 
     def version(self) -> int | None:
-        recs = self.log.records()
+        recs = self.records()
         return recs[-1]["seq"] if recs else None
 
     def read(self, version: int | None = None) -> DataFrame:
-        recs = self.log.records()
+        recs = self.records()
         if version is None:
             if not recs:
                 raise FileNotFoundError(f"table {self.root} has no committed version")
@@ -72,27 +135,33 @@ class SnapshotTable:
             rec = next(r for r in recs if r["seq"] == version)
         return self.spark.read.parquet(rec["path"])
 
-    def publish(self, df: DataFrame, *, allow_empty: bool = False, tag: str = "publish") -> int | None:
+    def publish(self, df: DataFrame, *, allow_empty: bool = False, tag: str = "publish",
+                tx: Transaction | None = None) -> int | None:
         """Write a new version, check it, then commit it.
 
-        Returns the committed version, or None when the new data is empty and
+        Returns the new version, or None when the new data is empty and
         ``allow_empty`` is False (the old version stays published).  A failed
         constraint check raises before the commit: nothing changes.
         """
-        current = self.version()
-        seq = (current or 0) + 1
+        seq = self._next_seq(self.records(), tx)
         path = f"{self.root}/data/v={seq}"
-        df.write.mode("overwrite").parquet(path)
-        written = self.spark.read.parquet(path)
-        n_rows = written.count()
+        n_rows = _write_counted(df, path)
         if n_rows == 0 and not allow_empty:
             return None
         if self.key or self.not_null or self.varchar:
-            assert_valid(written, self.root.rsplit("/", 1)[-1], key=self.key,
+            assert_valid(self.spark.read.parquet(path), self.name, key=self.key,
                          not_null=self.not_null, varchar=self.varchar)
-        self.log.append(seq, "snapshot", tag, path, n_rows)
+        self._commit((self.name, seq, "snapshot", tag, path, n_rows), tx)
+        self.last_n_rows = n_rows
         return seq
 
+    def stage(self, df: DataFrame, tag: str) -> tuple:
+        """Write a new version without committing; returns its commit record."""
+        seq = self._next_seq(self.records(), None)
+        path = f"{self.root}/data/v={seq}"
+        n_rows = _write_counted(df, path)
+        return (self.name, seq, "snapshot", tag, path, n_rows)
+
     def create_once(self, df: DataFrame) -> bool:
         """Write only if no version exists (keeps an existing table as is)."""
         if self.version() is not None:
@@ -101,50 +170,47 @@ class SnapshotTable:
         return True
 
 
-class KeyedTable:
+class KeyedTable(_Table):
     """Keyed table: committed increments merged per key on read."""
 
     def __init__(self, spark: SparkSession, root: str, key: Sequence[str],
-                 columns: Sequence[str], *, policies: Mapping[str, str] | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.log = _Log(spark, root)
+                 columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
+                 name: str | None = None, log: CommitLog | None = None):
+        super().__init__(spark, root, name, log)
         self.key = list(key)
         self.columns = list(columns)
         self.policies = {c: "latest" for c in self.columns if c not in self.key}
         self.policies.update(policies or {})
 
     # -- writing --------------------------------------------------------------------------
-    def append(self, df: DataFrame, tag: str) -> int:
-        """Append an increment under ``tag`` (idempotent per tag).
+    def append(self, df: DataFrame, tag: str, tx: Transaction | None = None) -> int:
+        """Write an increment under ``tag`` (idempotent per tag) and commit it
+        (now, or with ``tx``).
 
         A retry of the same tag overwrites the same folder and reuses its
         commit sequence, so replays converge instead of duplicating.
         Returns the number of rows written.
         """
-        recs = self.log.records()
+        recs = self.records()
         prior = [r for r in recs if r["tag"] == tag]
-        base_seq = max((r["seq"] for r in recs), default=0)
-        seq = prior[0]["seq"] if prior else base_seq + 1
+        seq = prior[0]["seq"] if prior else self._next_seq(recs, tx)
         path = f"{self.root}/increments/tag={tag}"
-        df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")) \
-            .write.mode("overwrite").parquet(path)
-        n_rows = self.spark.read.parquet(path).count()
+        n_rows = _write_counted(
+            df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path)
         if not prior:
-            self.log.append(seq, "increment", tag, path, n_rows)
+            self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
 
     # -- reading --------------------------------------------------------------------------
-    def _paths(self) -> list[str]:
-        recs = self.log.records()
+    def _paths(self, recs: list | None = None) -> list[str]:
+        recs = self.records() if recs is None else recs
         base = [r for r in recs if r["kind"] == "base"]
         start = base[-1]["seq"] if base else 0
         paths = [base[-1]["path"]] if base else []
-        seen = set(paths)
         for r in recs:
-            if r["kind"] == "increment" and r["seq"] > start and r["path"] not in seen:
+            if r["kind"] == "increment" and r["seq"] > start:
                 paths.append(r["path"])
-                seen.add(r["path"])
-        return paths
+        return list(dict.fromkeys(paths))
 
     def versions(self) -> DataFrame | None:
         """All committed row versions (with ``_seq``), unmerged."""
@@ -154,18 +220,18 @@ class KeyedTable:
         return self.spark.read.parquet(*paths)
 
     def max_seq(self) -> int:
-        return max((r["seq"] for r in self.log.records()), default=0)
+        return max((r["seq"] for r in self.records()), default=0)
 
     def versions_since(self, seq: int) -> tuple[DataFrame | None, int]:
         """Row versions committed after ``seq`` and the newest seq seen.
 
         If a compaction folded newer rows into the base, the base is returned
         too (a full pass; consumers must be idempotent, ours are)."""
-        recs = self.log.records()
+        recs = self.records()
         top = max((r["seq"] for r in recs), default=0)
         base = [r for r in recs if r["kind"] == "base"]
         if base and base[-1]["seq"] > seq:
-            paths = self._paths()
+            paths = self._paths(recs)
         else:
             paths = list(dict.fromkeys(r["path"] for r in recs
                                        if r["kind"] == "increment" and r["seq"] > seq))
@@ -182,9 +248,9 @@ class KeyedTable:
     def read(self) -> DataFrame:
         """Current state: one row per key.
 
-        One hash/sort aggregation by key over the committed versions; the set
-        of files is fixed when this is called, so the result is a stable
-        snapshot even while writers keep appending.
+        One aggregation by key over the committed versions; the set of files
+        is fixed when this is called, so the result is a stable snapshot even
+        while writers keep committing.
         """
         raw = self.versions()
         if raw is None:
@@ -234,11 +300,10 @@ class KeyedTable:
 
     def compact(self) -> int:
         """Fold all committed increments into one base version."""
-        state = self.read()
-        recs = self.log.records()
+        recs = self.records()
+        state = self.merge(self.spark.read.parquet(*self._paths(recs)))
         seq = max((r["seq"] for r in recs), default=0)
         path = f"{self.root}/base/v={seq}"
-        state.withColumn("_seq", F.lit(seq).cast("long")).write.mode("overwrite").parquet(path)
-        n_rows = self.spark.read.parquet(path).count()
-        self.log.append(seq, "base", f"base-{seq}", path, n_rows)
+        n_rows = _write_counted(state.withColumn("_seq", F.lit(seq).cast("long")), path)
+        self._commit((self.name, seq, "base", f"base-{seq}", path, n_rows), None)
         return n_rows

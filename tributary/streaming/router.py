@@ -37,23 +37,28 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
         return
     b = batch.persist()
     try:
-        store.bronze.append(b.select("source", "bronze_id", "payload", _now().alias("ingested_at")),
-                            tag=tag)
         routed = route_quality(parse_columns(b, ["source", "bronze_id"]), SOURCE_STREAMING).persist()
         try:
-            clean = routed.filter(F.col("error_reason").isNull())
-            # Within one batch the later source position wins (arrival order).
-            latest = latest_per_key(clean.select(*SILVER_COLUMNS, "source", "bronze_id"),
-                                    ["order_id"], ["source", "bronze_id"])
-            store.silver.append(latest.select(*SILVER_COLUMNS).withColumn("processed_at", _now()),
-                                tag=tag)
-            store.dlq.append(dlq_rows(routed.filter(F.col("error_reason").isNotNull())), tag=tag)
-            if catalog is not None:
-                high = alerts.high_value(clean, threshold)
-                digest = alerts.alert_digest(
-                    alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog,
-                                  catalog_is_unique=True))
-                store.alerts.append(digest.withColumn("batch", F.lit(tag)), tag=tag)
+            # All sinks of one micro-batch become visible together.
+            with store.transaction() as tx:
+                store.bronze.append(
+                    b.select("source", "bronze_id", "payload", _now().alias("ingested_at")),
+                    tag=tag, tx=tx)
+                clean = routed.filter(F.col("error_reason").isNull())
+                # Within one batch the later source position wins (arrival order).
+                latest = latest_per_key(clean.select(*SILVER_COLUMNS, "source", "bronze_id"),
+                                        ["order_id"], ["source", "bronze_id"])
+                store.silver.append(
+                    latest.select(*SILVER_COLUMNS).withColumn("processed_at", _now()),
+                    tag=tag, tx=tx)
+                store.dlq.append(dlq_rows(routed.filter(F.col("error_reason").isNotNull())),
+                                 tag=tag, tx=tx)
+                if catalog is not None:
+                    high = alerts.high_value(clean, threshold)
+                    digest = alerts.alert_digest(
+                        alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog,
+                                      catalog_is_unique=True))
+                    store.alerts.append(digest.withColumn("batch", F.lit(tag)), tag=tag, tx=tx)
         finally:
             routed.unpersist()
     finally:

@@ -67,6 +67,7 @@ def test_router_replay_converges(spark, tmp_path):
     digests = store.alerts.read().collect()
     assert {d["n_orders"] for d in digests} == {1}
     assert "Product: Lamp | Amount: $1,500.00" in digests[0]["lines"]
+    assert all(d["local_time"] for d in digests)
 
 
 def test_update_mode_converges_by_key(spark):
@@ -105,3 +106,5 @@ def test_late_filter_uses_previous_batch_watermark(spark):
     q.awaitTermination()
     assert _minutes(store) == {("10:00", "p1"): Decimal("109.00"), ("10:20", "p1"): Decimal("1.00"),
                                ("10:21", "p1"): Decimal("5.00")}
+    from tributary.streaming.gold import dropped_by_watermark
+    assert dropped_by_watermark(q) == 1

@@ -195,9 +195,9 @@ def q_gold_swap_empty_guard(spark, d):
     clean = clean_a(spark, d)
     table = _daily_table(spark, "gold_swap_guard")
     table.publish(gold.publishable_daily(gold.daily_revenue(clean)), tag="previous")
-    # A run whose Silver holds nothing new: the aggregate is empty, so the
-    # published version must stay.
-    empty = clean.join(clean.select("order_id"), "order_id", "left_anti")
+    # A re-run over the same rows: insert-if-absent finds nothing new, the
+    # aggregate of the new rows is empty, and the published version must stay.
+    empty = merge.insert_if_absent(clean.select("order_id"), clean, ["order_id"], ["bronze_id"])
     assert table.publish(gold.publishable_daily(gold.daily_revenue(empty)), tag="empty") is None
     return table.read()
 

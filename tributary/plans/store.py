@@ -16,7 +16,7 @@ BRONZE_COLUMNS = ["source", "bronze_id", "payload", "ingested_at"]
 SILVER_TABLE_COLUMNS = [*SILVER_COLUMNS, "processed_at"]
 MINUTE_TABLE_COLUMNS = [*MINUTE_COLUMNS, "created_at"]
 DLQ_TABLE_COLUMNS = ["source", *DLQ_COLUMNS]
-ALERT_COLUMNS = ["batch", "n_orders", "n_listed", "n_more", "lines", "message"]
+ALERT_COLUMNS = ["batch", "n_orders", "n_listed", "n_more", "lines", "message", "local_time"]
 
 SILVER_SCHEMA = ("order_id string, customer_id string, product_id string, amount decimal(12,2), "
                  "order_date timestamp_ntz, processed_at timestamp_ntz")

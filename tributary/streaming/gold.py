@@ -61,3 +61,16 @@ def start_minute_query(minutes: DataFrame, store: Store, checkpoint: str, run_ta
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows the stateful operator dropped as late, over the query's recent
+    progress reports (``numRowsDroppedByWatermark``)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else \
+                progress.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else \
+                op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.payload import parse_columns
 from tributary.functions.quality import SOURCE_STREAMING
+from tributary.functions.text import local_time_text
 from tributary.operators import alerts
 from tributary.operators.dlq import dlq_rows
 from tributary.operators.merge import bounded, latest_per_key
@@ -23,6 +24,7 @@ from tributary.plans.store import Store
 from tributary.schemas import SILVER_COLUMNS
 
 CATALOG_BROADCAST_ROWS = 1_000_000
+ALERT_ZONE = "Asia/Ho_Chi_Minh"  # wall-clock zone of the alert text
 
 
 def _now():
@@ -30,8 +32,8 @@ def _now():
 
 
 def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame | None = None,
-                broadcast_catalog: bool = False, threshold: float = alerts.HIGH_VALUE_THRESHOLD
-                ) -> None:
+                broadcast_catalog: bool = False, threshold: float = alerts.HIGH_VALUE_THRESHOLD,
+                alert_zone: str = ALERT_ZONE) -> None:
     """Write one micro-batch of ``(source, bronze_id, payload)`` rows."""
     if batch.isEmpty():
         return
@@ -58,7 +60,10 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
                     digest = alerts.alert_digest(
                         alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog,
                                       catalog_is_unique=True))
-                    store.alerts.append(digest.withColumn("batch", F.lit(tag)), tag=tag, tx=tx)
+                    store.alerts.append(
+                        digest.withColumn("batch", F.lit(tag))
+                        .withColumn("local_time", local_time_text(F.current_timestamp(), alert_zone)),
+                        tag=tag, tx=tx)
         finally:
             routed.unpersist()
     finally:

@@ -296,6 +296,7 @@ SELECT (SELECT count(*) FROM r) AS bronze_rows,
   (SELECT count(*) FROM d WHERE report_date IS NULL) AS null_date_groups,
   (SELECT CAST(sum(total_revenue) AS DECIMAL(38,2)) FROM d WHERE report_date IS NULL) AS null_date_revenue"""
     q.update(batch_job_sql())
+    q["silver_merge_on_read"] = q["recovery_silver"]
     return q
 
 

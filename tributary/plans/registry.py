@@ -427,3 +427,18 @@ QUERIES.update({
     "recovery_job_dlq": q_recovery_job_dlq,
     "recovery_job_report": q_recovery_job_report,
 })
+
+
+def q_silver_merge_on_read(spark, d):
+    """Silver as a keyed file table: clean rows committed as one increment,
+    compacted into a base, then the recovered refunds committed on top; the
+    merged read must equal the pure-DataFrame upsert (``recovery_silver``)."""
+    from tributary.plans.store import Store
+    store = Store(spark, scratch_path(spark, "silver_table"))
+    store.silver.append(silver_a(spark, d), tag="load")
+    store.silver.compact()
+    store.silver.append(recovered_a(spark, d).withColumn("processed_at", RUN_STAMP()), tag="recovery")
+    return store.silver.read()
+
+
+QUERIES["silver_merge_on_read"] = q_silver_merge_on_read

@@ -59,3 +59,12 @@ def test_mark_processed_touches_exactly_the_ids(spark):
     empty = spark.createDataFrame([], "id long")
     assert {r["id"]: r["status"] for r in mark_processed(dlq, empty).collect()} == \
         {1: "unprocessed", 2: "unprocessed", 3: "processed"}
+
+
+def test_insert_if_absent_broadcast_keys_same_result(spark):
+    existing = spark.range(1000).select(F.col("id").cast("string").alias("order_id"))
+    batch = spark.createDataFrame([("5", 2), ("5", 1), ("2000", 7)], "order_id string, v int")
+    plain = insert_if_absent(existing, batch, ["order_id"], ["v"]).collect()
+    fast = insert_if_absent(existing, batch, ["order_id"], ["v"], broadcast_batch_keys=True)
+    assert "BroadcastHashJoin" in fast._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in fast.collect()] == [tuple(r) for r in plain] == [("2000", 7)]

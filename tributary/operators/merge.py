@@ -104,13 +104,19 @@ def _upsert_broadcast(target, changes, key, order, audit_col, stamp):
 
 
 def insert_if_absent(existing: DataFrame, batch: DataFrame, key: Sequence[str],
-                     order: Sequence[str]) -> DataFrame:
+                     order: Sequence[str], *, broadcast_batch_keys: bool = False) -> DataFrame:
     """Rows of ``batch`` to append: first version per key, key not in ``existing``.
 
     Deterministic replacement for an arbitrary ``dropDuplicates`` survivor.
+    With ``broadcast_batch_keys`` (the caller checked the batch is small) the
+    existing keys are first filtered map-side against the broadcast batch
+    keys, so the large table is never shuffled.
     """
     first = first_per_key(batch, key, order)
-    return first.join(existing.select(*key), list(key), "left_anti")
+    existing_keys = existing.select(*key)
+    if broadcast_batch_keys:
+        existing_keys = existing_keys.join(F.broadcast(first.select(*key)), list(key), "left_semi")
+    return first.join(existing_keys, list(key), "left_anti")
 
 
 def mark_processed(dlq: DataFrame, ids: DataFrame, *, id_col: str = "id",

@@ -13,13 +13,17 @@ from tributary.functions.payload import pack, parse_columns
 from tributary.functions.quality import SOURCE_BATCH
 from tributary.operators.dlq import dlq_rows
 from tributary.plans.daily import refresh_daily
-from tributary.operators.merge import first_per_key, insert_if_absent
+from tributary.operators.merge import bounded, first_per_key, insert_if_absent
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
 from tributary.schemas import EVENT_COLUMNS, SILVER_COLUMNS
 from tributary.sources.readers import read_landing_csv
 
 
+# Largest run (rows) whose keys are broadcast for the membership tests.
+BROADCAST_RUN_ROWS = 2_000_000
+
+
 def _now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
@@ -77,16 +81,23 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
         clean = routed.filter(F.col("error_reason").isNull())
         errors = routed.filter(F.col("error_reason").isNotNull())
 
+        # A run's rows are usually few next to the tables: then their keys are
+        # broadcast and the tables' keys filtered map-side (no table shuffle).
+        small = bounded(routed, BROADCAST_RUN_ROWS)
         silver_keys = store.silver.keys()
         candidates = clean.select(*SILVER_COLUMNS, "source", "bronze_id")
         if silver_keys is None:
             new = first_per_key(candidates, ["order_id"], ["source", "bronze_id"])
         else:
-            new = insert_if_absent(silver_keys, candidates, ["order_id"], ["source", "bronze_id"])
+            new = insert_if_absent(silver_keys, candidates, ["order_id"], ["source", "bronze_id"],
+                                   broadcast_batch_keys=small)
         fresh = dlq_rows(errors, created_at=stamp)
         dlq_keys = store.dlq.keys()
         if dlq_keys is not None:
             # Insert-if-absent on (source, id): a re-run never resets a status.
+            if small:
+                dlq_keys = dlq_keys.join(F.broadcast(fresh.select("source", "id")),
+                                         ["source", "id"], "left_semi")
             fresh = fresh.join(dlq_keys, ["source", "id"], "left_anti")
         # Silver and DLQ rows of this run become visible together.
         with store.transaction() as tx:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.functions.quality import INVALID_AMOUNT, STATUS_PROCESSED
+from tributary.functions.quality import INVALID_AMOUNT, STATUS_PROCESSED, recoverable
 from tributary.operators.dlq import (
     affected_minutes, recompute_minutes, recoverable_rows, recovered_events, recovered_minute,
 )
@@ -31,7 +31,12 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
     if mode not in ("replace", "recompute"):
         raise ValueError(f"unknown refresh mode {mode!r}")
     stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
-    rows = recoverable_rows(store.dlq_state(), reasons)
+    # Only DLQ keys with a version that looks recoverable are merged (their
+    # merged status then decides); the rest of the DLQ is not shuffled.
+    touched = store.dlq.read_touching(recoverable(reasons))
+    if touched is None:
+        return _report(spark, 0, 0, 0)
+    rows = recoverable_rows(touched, reasons)
     if rows.isEmpty():
         return _report(spark, 0, 0, 0)
     recovered = recovered_events(rows)

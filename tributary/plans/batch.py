@@ -152,7 +152,3 @@ def run_chain(spark: SparkSession, store: Store, csv_path: str, run_id: str) ->
     """Landing -> Bronze -> batch medallion, strictly in that order."""
     ingest_landing(spark, store, csv_path, load_id=run_id)
     return run_batch(spark, store, run_id)
-
-
-def dedup_first(df: DataFrame) -> DataFrame:
-    return first_per_key(df, ["order_id"], ["source", "bronze_id"])

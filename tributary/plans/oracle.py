@@ -9,8 +9,8 @@ from __future__ import annotations
 
 OLD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
 RUN_STAMP = "TIMESTAMP '2030-01-01 00:00:00'"
-CUTOFF_TARGET = "TIMESTAMP '1995-01-01 00:00:00'"
-CUTOFF_CHANGES = "TIMESTAMP '1994-01-01 00:00:00'"
+CUTOFF_TARGET = "TIMESTAMP '1998-07-01 00:00:00'"
+CUTOFF_CHANGES = "TIMESTAMP '1998-01-01 00:00:00'"
 
 # View A, typed: one dirty kind per residue of event_id % 50.
 VIEW_A = """
@@ -297,6 +297,13 @@ SELECT (SELECT count(*) FROM r) AS bronze_rows,
   (SELECT CAST(sum(total_revenue) AS DECIMAL(38,2)) FROM d WHERE report_date IS NULL) AS null_date_revenue"""
     q.update(batch_job_sql())
     q["silver_merge_on_read"] = q["recovery_silver"]
+    q["silver_upsert_keeps_audit"] = f"""WITH {B_TARGET},
+chg AS (
+  SELECT order_id, amount FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {B_ORDER_DESC}) AS rn FROM chg_all)
+  WHERE rn = 1)
+SELECT t.order_id, t.amount AS amount_before, c.amount AS amount_after, {OLD_STAMP} AS processed_at
+FROM tgt t JOIN chg c ON c.order_id = t.order_id"""
     return q
 
 

@@ -442,3 +442,19 @@ def q_silver_merge_on_read(spark, d):
 
 
 QUERIES["silver_merge_on_read"] = q_silver_merge_on_read
+
+
+def q_silver_upsert_keeps_audit(spark, d):
+    """Conflicting keys only: the new values win, the first insert's stamp stays."""
+    target = b_target(spark, d).withColumn("processed_at", OLD_STAMP())
+    changes = b_changes(spark, d)
+    merged = merge.upsert(target, changes, ["order_id"], VIEW_B_ORDER,
+                          audit_col="processed_at", stamp=RUN_STAMP())
+    before = target.select("order_id", F.col("amount").alias("amount_before"))
+    return (merged.join(before, "order_id")
+            .join(changes.select("order_id"), "order_id", "left_semi")
+            .select("order_id", "amount_before", F.col("amount").alias("amount_after"),
+                    "processed_at"))
+
+
+QUERIES["silver_upsert_keeps_audit"] = q_silver_upsert_keeps_audit

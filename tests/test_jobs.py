@@ -130,3 +130,16 @@ def test_landing_reingest_same_load_is_idempotent(spark):
     assert ingest_landing(spark, store, path, "l1") == 2
     assert ingest_landing(spark, store, path, "l1") == 2     # retry of the same load
     assert store.bronze_state().count() == 2
+
+
+def test_append_all_dlq_copies_are_recovered_once(spark):
+    path = _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+                ["O1,5,C1,-7.00,2024-01-01 10:00:00", "O2,5,C1,3.00,2024-01-01 10:00:30"])
+    store = Store(spark, scratch_path(spark, "appendall"))
+    ingest_landing(spark, store, path, "l1")
+    run_batch(spark, store, "r1", dlq_mode="append_all", incremental=False)
+    run_batch(spark, store, "r2", dlq_mode="append_all", incremental=False)
+    assert store.dlq_state().count() == 2                       # the same error twice (D3)
+    rep = recover_dlq(spark, store, "rec", mode="recompute").first()
+    assert (rep["silver_rows"], rep["dlq_marked"]) == (1, 2)     # one refund, both copies closed
+    assert store.minute_state().first()["total_revenue"] == Decimal("-4.00")   # 3 - 7, not 3 - 14

@@ -108,3 +108,14 @@ def test_late_filter_uses_previous_batch_watermark(spark):
                                ("10:21", "p1"): Decimal("5.00")}
     from tributary.streaming.gold import dropped_by_watermark
     assert dropped_by_watermark(q) == 1
+
+
+def test_new_checkpoint_same_run_tag_does_not_overwrite(spark):
+    root = scratch_path(spark, "tags")
+    store = Store(spark, f"{root}/tables")
+    for i in range(2):
+        inbox = f"{root}/in{i}"
+        _write(spark, inbox, [("2024-01-01 10:00:10", "p1", 1 + i)], 100 * i)
+        stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(inbox)
+        start_router(stream, store, f"{root}/ck{i}", "same", available_now=True).awaitTermination()
+    assert sorted(r["order_id"] for r in store.silver_state().collect()) == ["O0", "O100"]

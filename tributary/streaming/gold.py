@@ -15,6 +15,7 @@ from tributary.functions.payload import parse_columns
 from tributary.functions.quality import SOURCE_STREAMING, money
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
+from tributary.streaming.router import stream_tag
 
 WATERMARK = "5 minutes"
 MINUTE = "1 minute"
@@ -49,12 +50,14 @@ def minute_stream(clean: DataFrame, *, watermark: str = WATERMARK) -> DataFrame:
 def start_minute_query(minutes: DataFrame, store: Store, checkpoint: str, run_tag: str, *,
                        output_mode: str = "append", available_now: bool = False,
                        processing_time: str = "10 seconds"):
+    prefix = stream_tag(run_tag, checkpoint)
+
     def each(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
         store.minute.append(
             batch_df.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz")),
-            tag=f"{run_tag}-{batch_id}")
+            tag=f"{prefix}-{batch_id}")
 
     writer = (minutes.writeStream.outputMode(output_mode).foreachBatch(each)
               .option("checkpointLocation", checkpoint))

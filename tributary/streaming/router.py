@@ -10,6 +10,8 @@ Silver by order id, DLQ by source position).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,16 @@ CATALOG_BROADCAST_ROWS = 1_000_000
 ALERT_ZONE = "Asia/Ho_Chi_Minh"  # wall-clock zone of the alert text
 
 
+def stream_tag(run_tag: str, checkpoint: str) -> str:
+    """Increment tag prefix of a streaming query.
+
+    Batch ids restart at 0 under a new checkpoint, so the checkpoint location
+    is part of the tag: a retried batch (same checkpoint) rewrites its own
+    increment, a replay under a new checkpoint never overwrites older ones.
+    """
+    return f"{run_tag}-{hashlib.sha1(checkpoint.encode()).hexdigest()[:10]}"
+
+
 def _now():
     return F.current_timestamp().cast("timestamp_ntz")
 
@@ -83,8 +95,10 @@ def start_router(payloads: DataFrame, store: Store, checkpoint: str, run_tag: st
         if broadcast_catalog:
             catalog = catalog.persist()
 
+    prefix = stream_tag(run_tag, checkpoint)
+
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        route_batch(batch_df, store, f"{run_tag}-{batch_id}", catalog=catalog,
+        route_batch(batch_df, store, f"{prefix}-{batch_id}", catalog=catalog,
                     broadcast_catalog=broadcast_catalog)
 
     writer = payloads.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

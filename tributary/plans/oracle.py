@@ -193,7 +193,7 @@ SELECT * FROM ({DAILY.format(src='clean')}) WHERE report_date IS NOT NULL"""
     q["gold_swap_empty_guard"] = daily_pub
     q["constraint_violations"] = f"""WITH {VIEW_B},
 s AS (SELECT order_id, customer_id, product_id, amount, order_date FROM b)
-SELECT 'silver_candidates' AS table_name, rule, column_name, n_violations FROM (
+SELECT 'silver_candidates' AS table_name, rule, column_name, CAST(n_violations AS BIGINT) AS n_violations FROM (
   SELECT 'not_null' AS rule, 'order_id' AS column_name, count(*) FILTER (WHERE order_id IS NULL) AS n_violations FROM s
   UNION ALL SELECT 'not_null', 'customer_id', count(*) FILTER (WHERE customer_id IS NULL) FROM s
   UNION ALL SELECT 'not_null', 'product_id', count(*) FILTER (WHERE product_id IS NULL) FROM s

@@ -143,3 +143,15 @@ def test_append_all_dlq_copies_are_recovered_once(spark):
     rep = recover_dlq(spark, store, "rec", mode="recompute").first()
     assert (rep["silver_rows"], rep["dlq_marked"]) == (1, 2)     # one refund, both copies closed
     assert store.minute_state().first()["total_revenue"] == Decimal("-4.00")   # 3 - 7, not 3 - 14
+
+
+def test_chain_creates_catalog_once(spark):
+    from tributary.plans.batch import run_chain
+    sales = _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+                 ["O1,5,C1,10.00,2024-01-01 10:00:00"])
+    cat1 = _csv(spark, "product_id,product_name,category", ["5,Lamp,Home"])
+    cat2 = _csv(spark, "product_id,product_name,category", ["5,Other,Home"])
+    store = Store(spark, scratch_path(spark, "chain"))
+    run_chain(spark, store, sales, "r1", catalog_csv=cat1)
+    run_chain(spark, store, sales, "r2", catalog_csv=cat2)
+    assert [r["product_name"] for r in store.catalog.read().collect()] == ["Lamp"]

@@ -17,7 +17,7 @@ from tributary.operators.merge import bounded, first_per_key, insert_if_absent
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
 from tributary.schemas import EVENT_COLUMNS, SILVER_COLUMNS
-from tributary.sources.readers import read_landing_csv
+from tributary.sources.readers import read_catalog_csv, read_landing_csv
 
 
 # Largest run (rows) whose keys are broadcast for the membership tests.
@@ -157,7 +157,10 @@ def _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows,
         "gold_rows long, null_date_groups long")
 
 
-def run_chain(spark: SparkSession, store: Store, csv_path: str, run_id: str) -> DataFrame:
-    """Landing -> Bronze -> batch medallion, strictly in that order."""
+def run_chain(spark: SparkSession, store: Store, csv_path: str, run_id: str, *,
+              catalog_csv: str | None = None) -> DataFrame:
+    """Catalog (created once) -> landing -> Bronze -> batch medallion, in that order."""
+    if catalog_csv:
+        store.catalog.create_once(read_catalog_csv(spark, catalog_csv))
     ingest_landing(spark, store, csv_path, load_id=run_id)
     return run_batch(spark, store, run_id)

@@ -45,18 +45,80 @@ def _write_counted(df: DataFrame, path: str) -> int:
 
 
 class CommitLog:
-    """Append-only log of commit records (one folder per commit)."""
+    """Append-only log of commit records.
+
+    Layout (all written by Spark jobs, never modified):
+    ``<path>/h=<hour>/<ms>-<uuid>/`` one folder per commit, bucketed by the
+    epoch hour it was written in; ``<path>_checkpoints/<ms>-<uuid>/`` periodic
+    checkpoints holding every still-live record (increments folded into a
+    base and replaced snapshot versions are pruned) and the last *settled*
+    hour they include.  A reader takes the newest checkpoint and only the
+    hour folders after its settled hour, so a read costs O(live tables +
+    recent commits), not O(history).  An hour is settled once it ended more
+    than ``SETTLE_MS`` ago (no commit write takes that long).
+    """
+
+    HOUR_MS = 3_600_000
+    SETTLE_MS = 3_600_000
+    CHECKPOINT_AFTER = 200   # recent commit records that trigger a checkpoint
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.ckpt_path = f"{self.path}_checkpoints"
 
-    def records(self, table: str) -> list:
+    def _read(self, path: str) -> DataFrame | None:
         try:
-            df = (self.spark.read.schema(COMMIT_SCHEMA)
-                  .option("recursiveFileLookup", "true").parquet(self.path))
+            return (self.spark.read.schema(COMMIT_SCHEMA)
+                    .option("recursiveFileLookup", "true").parquet(path))
         except AnalysisException:
-            return []
-        rows = df.filter(F.col("table_name") == table).collect()
+            return None
+
+    def _latest_checkpoint(self) -> tuple[list, int, set]:
+        """(live records, settled hour, recent commit folders absorbed)."""
+        try:
+            files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                     .option("recursiveFileLookup", "true").load(self.ckpt_path)
+                     .select("path").collect())
+        except AnalysisException:
+            return [], -1, set()
+        if not files:
+            return [], -1, set()
+        folder = max(r["path"] for r in files).rsplit("/", 1)[0]
+        rows = self.spark.read.schema(CHECKPOINT_SCHEMA).parquet(folder).collect()
+        settled = rows[0]["settled_hour"] if rows else -1
+        absorbed = {r["absorbed"] for r in rows if r["absorbed"] is not None}
+        live = [tuple(r[c] for c in COMMIT_COLUMNS) for r in rows if r["table_name"] is not None]
+        return live, settled, absorbed
+
+    def _recent(self, settled: int, absorbed: set) -> list[tuple]:
+        """(record, commit folder) of commits after the settled hour, minus
+        the folders the checkpoint already absorbed."""
+        now_hour = int(time.time() * 1000) // self.HOUR_MS
+        paths = [self.path] if settled < 0 else \
+            [f"{self.path}/h={h}" for h in range(settled + 1, now_hour + 2)]
+        out = []
+        for path in paths:
+            df = self._read(path)
+            if df is None:
+                continue
+            rows = df.select(*COMMIT_COLUMNS, F.col("_metadata.file_path").alias("_file")).collect()
+            for r in rows:
+                folder = r["_file"].rsplit("/", 1)[0]
+                if folder not in absorbed:
+                    out.append((tuple(r[c] for c in COMMIT_COLUMNS), folder))
+        return out
+
+    def all_records(self, *, auto_checkpoint: bool = True) -> list:
+        """Every live record of every table (checkpoint + recent commits)."""
+        live, settled, absorbed = self._latest_checkpoint()
+        recent = self._recent(settled, absorbed)
+        rows = live + [r for r, _ in recent]
+        if auto_checkpoint and len(recent) > self.CHECKPOINT_AFTER:
+            self._write_checkpoint(rows, absorbed | {f for _, f in recent})
+        return rows
+
+    def records(self, table: str) -> list:
+        rows = [dict(zip(COMMIT_COLUMNS, r)) for r in self.all_records() if r[0] == table]
         return sorted(rows, key=lambda r: r["seq"])
 
     def commit(self, records: list[tuple]) -> None:
@@ -67,7 +129,59 @@ class CommitLog:
         # Each commit gets its own folder: concurrent writers (e.g. the router
         # and the gold query) never share an output path or its temp files.
         rec.coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.path}/{ms:013d}-{uuid.uuid4().hex}")
+            f"{self.path}/h={ms // self.HOUR_MS}/{ms:013d}-{uuid.uuid4().hex}")
+
+    def checkpoint(self) -> None:
+        """Write the live records as a new checkpoint (safe to run any time)."""
+        live, settled, absorbed = self._latest_checkpoint()
+        recent = self._recent(settled, absorbed)
+        self._write_checkpoint(live + [r for r, _ in recent], absorbed | {f for _, f in recent})
+
+    def _write_checkpoint(self, rows: list, absorbed: set) -> None:
+        now = int(time.time() * 1000)
+        settled = (now - self.SETTLE_MS) // self.HOUR_MS - 1
+        # Folders of settled hours are covered by the hour bound; keep only
+        # the names of absorbed folders in hours readers still scan.
+        keep = {f for f in absorbed if _folder_hour(f) > settled}
+        width = len(COMMIT_COLUMNS)
+        data = [(*r, settled, None) for r in _prune(rows)]
+        data += [(None,) * width + (settled, f) for f in sorted(keep)]
+        data = data or [(None,) * width + (settled, None)]
+        (self.spark.createDataFrame(data, CHECKPOINT_SCHEMA).coalesce(1)
+         .write.mode("errorifexists").parquet(f"{self.ckpt_path}/{now:013d}-{uuid.uuid4().hex}"))
+
+
+def _folder_hour(folder: str) -> int:
+    part = folder.rstrip("/").rsplit("/", 2)[-2]      # ".../h=<hour>/<commit folder>"
+    return int(part.split("=", 1)[1]) if part.startswith("h=") else -1
+
+
+COMMIT_COLUMNS = ["table_name", "seq", "kind", "tag", "path", "n_rows", "committed_ms"]
+CHECKPOINT_SCHEMA = COMMIT_SCHEMA + ", settled_hour long, absorbed string"
+
+
+def _prune(rows: list) -> list:
+    """Drop records no reader needs: increments and bases folded into a newer
+    base, and snapshot versions older than the newest (per table)."""
+    newest_base: dict = {}
+    newest_snapshot: dict = {}
+    for r in rows:
+        t, seq, kind = r[0], r[1], r[2]
+        if kind == "base":
+            newest_base[t] = max(newest_base.get(t, -1), seq)
+        elif kind == "snapshot":
+            newest_snapshot[t] = max(newest_snapshot.get(t, -1), seq)
+    keep = []
+    for r in rows:
+        t, seq, kind = r[0], r[1], r[2]
+        if kind == "snapshot" and seq < newest_snapshot[t]:
+            continue
+        if kind in ("increment", "base") and seq < newest_base.get(t, -1):
+            continue
+        if kind == "increment" and seq == newest_base.get(t, -1):
+            continue
+        keep.append(r)
+    return keep
 
 
 class Transaction:
@@ -306,4 +420,6 @@ class KeyedTable(_Table):
         path = f"{self.root}/base/v={seq}"
         n_rows = _write_counted(state.withColumn("_seq", F.lit(seq).cast("long")), path)
         self._commit((self.name, seq, "base", f"base-{seq}", path, n_rows), None)
+        # The folded increments are now prunable from the log.
+        self.log.checkpoint()
         return n_rows

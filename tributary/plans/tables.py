@@ -62,9 +62,12 @@ class CommitLog:
     SETTLE_MS = 3_600_000
     CHECKPOINT_AFTER = 200   # recent commit records that trigger a checkpoint
 
+    CACHE_SECONDS = 5.0      # other processes' commits become visible within this
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self.ckpt_path = f"{self.path}_checkpoints"
+        self._cache: tuple[float, list] | None = None
 
     def _read(self, path: str) -> DataFrame | None:
         try:
@@ -109,7 +112,17 @@ class CommitLog:
         return out
 
     def all_records(self, *, auto_checkpoint: bool = True) -> list:
-        """Every live record of every table (checkpoint + recent commits)."""
+        """Every live record of every table (checkpoint + recent commits).
+
+        Cached for ``CACHE_SECONDS``; this instance's own commits invalidate it.
+        """
+        if self._cache is not None and time.monotonic() - self._cache[0] < self.CACHE_SECONDS:
+            return self._cache[1]
+        rows = self._load(auto_checkpoint)
+        self._cache = (time.monotonic(), rows)
+        return rows
+
+    def _load(self, auto_checkpoint: bool) -> list:
         live, settled, absorbed = self._latest_checkpoint()
         recent = self._recent(settled, absorbed)
         rows = live + [r for r, _ in recent]
@@ -124,6 +137,7 @@ class CommitLog:
     def commit(self, records: list[tuple]) -> None:
         if not records:
             return
+        self._cache = None
         ms = int(time.time() * 1000)
         rec = self.spark.createDataFrame([(*r, ms) for r in records], COMMIT_SCHEMA)
         # Each commit gets its own folder: concurrent writers (e.g. the router
@@ -138,6 +152,7 @@ class CommitLog:
         self._write_checkpoint(live + [r for r, _ in recent], absorbed | {f for _, f in recent})
 
     def _write_checkpoint(self, rows: list, absorbed: set) -> None:
+        self._cache = None
         now = int(time.time() * 1000)
         settled = (now - self.SETTLE_MS) // self.HOUR_MS - 1
         # Folders of settled hours are covered by the hour bound; keep only

@@ -57,21 +57,28 @@ def alert_digest(high: DataFrame, group_cols: Sequence[str] = (), *,
     keyed = high.withColumn("line", text.alert_line())
     label = (F.concat_ws(" ", *[F.col(c).cast("string") for c in group_cols])
              if group_cols else F.lit("batch"))
-    # A whole micro-batch is one group under a constant key (no cross join).
-    by = list(group_cols) or ["_batch"]
-    if not group_cols:
-        keyed = keyed.withColumn("_batch", F.lit(0))
-        high = high.withColumn("_batch", F.lit(0))
-    w = Window.partitionBy(*by).orderBy(*_digest_order())
-    top = keyed.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
-    lines = top.groupBy(*by).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("rn", "line"))), lambda s: s["line"]),
-            "\n").alias("lines"),
-        F.count(F.lit(1)).alias("n_listed"),
-    )
-    counts = high.groupBy(*by).agg(F.count(F.lit(1)).alias("n_orders"))
-    j = counts.join(lines, by, "left")
+    if group_cols:
+        w = Window.partitionBy(*group_cols).orderBy(*_digest_order())
+        top = keyed.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
+        lines = top.groupBy(*group_cols).agg(
+            F.collect_list(F.struct("rn", "line")).alias("items"))
+        counts = high.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_orders"))
+        j = counts.join(lines, list(group_cols), "left")
+    else:
+        # Whole micro-batch: a distributed top-k (TakeOrderedAndProject) and
+        # the row count meet in one aggregation over their union -- no join.
+        top = (keyed.orderBy(*_digest_order()).limit(limit)
+               .withColumn("rn", F.row_number().over(Window.orderBy(*_digest_order()))))
+        item_type = "struct<rn:int,line:string>"
+        parts = (top.select(F.struct("rn", "line").alias("items"), F.lit(None).cast("int").alias("one"))
+                 .unionByName(high.select(F.lit(None).cast(item_type).alias("items"),
+                                          F.lit(1).alias("one"))))
+        j = (parts.agg(F.count("one").alias("n_orders"), F.collect_list("items").alias("items"))
+             .filter(F.col("n_orders") > 0))
+    j = j.select(
+        *group_cols, "n_orders",
+        F.array_join(F.transform(F.array_sort("items"), lambda s: s["line"]), "\n").alias("lines"),
+        F.size("items").cast("long").alias("n_listed"))
     n_more = F.col("n_orders") - F.col("n_listed")
     message = F.concat_ws(
         "\n",

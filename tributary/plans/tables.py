@@ -369,10 +369,13 @@ class KeyedTable(_Table):
         return self.spark.read.parquet(*paths), top
 
     def keys(self) -> DataFrame | None:
-        """Every committed key, possibly repeated (no merge): enough for
-        membership tests such as anti-joins, without the merge shuffle."""
+        """Every committed key once, without merging row versions: enough for
+        membership tests such as anti-joins.  ``distinct`` runs with partial
+        aggregation, so a key with very many versions collapses map-side and
+        cannot skew the join that follows (AQE cannot split a skewed build side
+        of an anti-join)."""
         raw = self.versions()
-        return None if raw is None else raw.select(*self.key)
+        return None if raw is None else raw.select(*self.key).distinct()
 
     def read(self) -> DataFrame:
         """Current state: one row per key.

@@ -155,3 +155,18 @@ def test_chain_creates_catalog_once(spark):
     run_chain(spark, store, sales, "r1", catalog_csv=cat1)
     run_chain(spark, store, sales, "r2", catalog_csv=cat2)
     assert [r["product_name"] for r in store.catalog.read().collect()] == ["Lamp"]
+
+
+def test_jobs_raise_instead_of_swallowing(spark):
+    # F8: a scheduler must see failures, so bad input or settings raise.
+    store = Store(spark, scratch_path(spark, "raise"))
+    with pytest.raises(ValueError):
+        recover_dlq(spark, store, "r", mode="bogus")
+    path = _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+                ["O1,5,C1,1.00,2024-01-01 10:00:00"])
+    ingest_landing(spark, store, path, "l1")
+    with pytest.raises(ValueError):
+        run_batch(spark, store, "r1", dlq_mode="bogus")
+    bad_header = _csv(spark, "id,product_id,customer_id,amount,timestamp", ["O1,5,C1,1.00,x"])
+    with pytest.raises(Exception):
+        ingest_landing(spark, store, bad_header, "l2")

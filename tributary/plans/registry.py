@@ -21,7 +21,7 @@ from tributary.operators.quality import route_quality
 from tributary.plans import oracle as O
 from tributary.plans.tables import SnapshotTable
 from tributary.schemas import SILVER_COLUMNS, TOTAL_SQL, VARCHAR_LIMITS
-from tributary.session import scratch_path
+from tributary.session import scratch_path, session_key
 from tributary.sources.fixtures import (
     DIRTY_KINDS, VIEW_B_ORDER, bronze_view_a, catalog_from_part, sales_view_a, sales_view_b,
 )
@@ -363,7 +363,7 @@ def run_batch_jobs(spark: SparkSession, d: str):
     from tributary.plans.store import Store
     from tributary.sources.fixtures import write_landing_csv
 
-    key = (id(spark.sparkContext), d)
+    key = (session_key(spark), d)
     if key in _batch_runs:
         return _batch_runs[key]
     root = scratch_path(spark, "batch")

@@ -68,6 +68,7 @@ class CommitLog:
         self.spark, self.path = spark, path.rstrip("/")
         self.ckpt_path = f"{self.path}_checkpoints"
         self._cache: tuple[float, list] | None = None
+        self._has_checkpoint = False
 
     def _read(self, path: str) -> DataFrame | None:
         try:
@@ -76,39 +77,44 @@ class CommitLog:
         except AnalysisException:
             return None
 
-    def _latest_checkpoint(self) -> tuple[list, int, set]:
-        """(live records, settled hour, recent commit folders absorbed)."""
+    def _latest_checkpoint(self) -> tuple[list, int, set, bool]:
+        """(live records, settled hour, recent commit folders absorbed, found)."""
         try:
             files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                      .option("recursiveFileLookup", "true").load(self.ckpt_path)
                      .select("path").collect())
         except AnalysisException:
-            return [], -1, set()
+            return [], -1, set(), False
         if not files:
-            return [], -1, set()
+            return [], -1, set(), False
         folder = max(r["path"] for r in files).rsplit("/", 1)[0]
         rows = self.spark.read.schema(CHECKPOINT_SCHEMA).parquet(folder).collect()
         settled = rows[0]["settled_hour"] if rows else -1
         absorbed = {r["absorbed"] for r in rows if r["absorbed"] is not None}
         live = [tuple(r[c] for c in COMMIT_COLUMNS) for r in rows if r["table_name"] is not None]
-        return live, settled, absorbed
+        self._has_checkpoint = True
+        return live, settled, absorbed, True
 
     def _recent(self, settled: int, absorbed: set) -> list[tuple]:
         """(record, commit folder) of commits after the settled hour, minus
         the folders the checkpoint already absorbed."""
         now_hour = int(time.time() * 1000) // self.HOUR_MS
-        paths = [self.path] if settled < 0 else \
-            [f"{self.path}/h={h}" for h in range(settled + 1, now_hour + 2)]
+        if settled < 0:
+            path = self.path
+        else:
+            # One glob over the unsettled hours (+1 for writer clock skew);
+            # hours without commits are simply not matched.
+            hours = ",".join(str(h) for h in range(settled + 1, now_hour + 2))
+            path = f"{self.path}/h={{{hours}}}"
+        df = self._read(path)
+        if df is None:
+            return []
         out = []
-        for path in paths:
-            df = self._read(path)
-            if df is None:
-                continue
-            rows = df.select(*COMMIT_COLUMNS, F.col("_metadata.file_path").alias("_file")).collect()
-            for r in rows:
-                folder = r["_file"].rsplit("/", 1)[0]
-                if folder not in absorbed:
-                    out.append((tuple(r[c] for c in COMMIT_COLUMNS), folder))
+        rows = df.select(*COMMIT_COLUMNS, F.col("_metadata.file_path").alias("_file")).collect()
+        for r in rows:
+            folder = r["_file"].rsplit("/", 1)[0]
+            if folder not in absorbed:
+                out.append((tuple(r[c] for c in COMMIT_COLUMNS), folder))
         return out
 
     def all_records(self, *, auto_checkpoint: bool = True) -> list:
@@ -123,7 +129,7 @@ class CommitLog:
         return rows
 
     def _load(self, auto_checkpoint: bool) -> list:
-        live, settled, absorbed = self._latest_checkpoint()
+        live, settled, absorbed, _ = self._latest_checkpoint()
         recent = self._recent(settled, absorbed)
         rows = live + [r for r, _ in recent]
         if auto_checkpoint and len(recent) > self.CHECKPOINT_AFTER:
@@ -138,6 +144,11 @@ class CommitLog:
         if not records:
             return
         self._cache = None
+        if not self._has_checkpoint:
+            # An empty first checkpoint, so readers never look for a missing folder.
+            if not self._latest_checkpoint()[3]:
+                self._write_checkpoint([], set(), settled=-1)
+            self._has_checkpoint = True
         ms = int(time.time() * 1000)
         rec = self.spark.createDataFrame([(*r, ms) for r in records], COMMIT_SCHEMA)
         # Each commit gets its own folder: concurrent writers (e.g. the router
@@ -147,14 +158,15 @@ class CommitLog:
 
     def checkpoint(self) -> None:
         """Write the live records as a new checkpoint (safe to run any time)."""
-        live, settled, absorbed = self._latest_checkpoint()
+        live, settled, absorbed, _ = self._latest_checkpoint()
         recent = self._recent(settled, absorbed)
         self._write_checkpoint(live + [r for r, _ in recent], absorbed | {f for _, f in recent})
 
-    def _write_checkpoint(self, rows: list, absorbed: set) -> None:
+    def _write_checkpoint(self, rows: list, absorbed: set, settled: int | None = None) -> None:
         self._cache = None
         now = int(time.time() * 1000)
-        settled = (now - self.SETTLE_MS) // self.HOUR_MS - 1
+        if settled is None:
+            settled = (now - self.SETTLE_MS) // self.HOUR_MS - 1
         # Folders of settled hours are covered by the hour bound; keep only
         # the names of absorbed folders in hours readers still scan.
         keep = {f for f in absorbed if _folder_hour(f) > settled}

@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def get_spark(app: str = "tributary", master: str | None = None,
@@ -43,24 +43,44 @@ def get_spark(app: str = "tributary", master: str | None = None,
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memoization)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        return str(id(spark))
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for tables and stream state.
 
-    Order: ``spark.checkpoint.dir`` from the session conf, then the
-    SparkContext checkpoint dir, else (tests only) a fresh temp folder that is
-    also installed as the checkpoint dir.
+    Order: ``spark.checkpoint.dir`` from the session, then the SparkContext
+    checkpoint dir, else (tests only) a fresh temp folder that is also
+    installed as the checkpoint dir.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        conf_dir = None
     if conf_dir:
         return conf_dir.rstrip("/")
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir.rstrip("/")
-    key = id(spark.sparkContext)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no context to ask or to set
+        sc = None
+    if sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+        if conf_dir:
+            return conf_dir.rstrip("/")
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir().rstrip("/")
+    key = session_key(spark)
     if key not in _LOCAL_ROOTS:
         root = tempfile.mkdtemp(prefix="tributary-")
-        spark.sparkContext.setCheckpointDir(root)
-        _LOCAL_ROOTS[key] = spark.sparkContext.getCheckpointDir().rstrip("/")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
+        _LOCAL_ROOTS[key] = root.rstrip("/")
     return _LOCAL_ROOTS[key]
 
 

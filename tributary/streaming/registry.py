@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tributary.plans import oracle as O
 from tributary.plans.store import Store
 from tributary.schemas import MINUTE_COLUMNS, SILVER_COLUMNS
-from tributary.session import scratch_path
+from tributary.session import scratch_path, session_key
 from tributary.sources.readers import read_table
 from tributary.streaming.gold import clean_stream, minute_stream, start_minute_query
 from tributary.streaming.router import start_router
@@ -29,7 +29,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_router(spark: SparkSession, sf_dir: str, *, replays: int = 1) -> Store:
     """Route the whole ``events`` table through the speed layer once per
     replay (each replay = a new checkpoint, i.e. a re-read from the start)."""
-    key = (id(spark.sparkContext), sf_dir, replays)
+    key = (session_key(spark), sf_dir, replays)
     if key in _router_runs:
         return Store(spark, _router_runs[key])
     root = scratch_path(spark, "router")

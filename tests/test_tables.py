@@ -139,3 +139,15 @@ def test_commit_log_checkpoint_bounds_reads(spark):
     assert [r["kind"] for r in recs] == ["base"]
     t.append(spark.createDataFrame([("a", 99, 99)], schema), "late")
     assert ("a", 99, 99) in [tuple(r) for r in t.read().collect()]
+
+
+def test_keyed_append_checks_limits_before_commit(spark):
+    from tributary.operators.checks import ConstraintViolation
+    store = Store(spark, scratch_path(spark, "limits"))
+    row = ("x" * 300, "C", "1", Decimal("1.00"), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))
+    from tributary.plans.store import SILVER_SCHEMA
+    with pytest.raises(ConstraintViolation):
+        store.silver.append(spark.createDataFrame([row], SILVER_SCHEMA), "too-long")
+    assert store.silver.versions() is None           # nothing became visible
+    ok = ("O1",) + row[1:]
+    assert store.silver.append(spark.createDataFrame([ok], SILVER_SCHEMA), "ok") == 1

@@ -46,16 +46,18 @@ class Store:
                                  name="bronze", log=log)
         # Silver: last write wins on values, the first insert keeps its stamp.
         self.silver = KeyedTable(s, f"{r}/silver", SILVER_KEY, SILVER_TABLE_COLUMNS,
-                                 policies={"processed_at": "min"}, name="silver", log=log)
+                                 policies={"processed_at": "min"}, name="silver", log=log,
+                                 not_null=NOT_NULL["silver"], varchar=VARCHAR_LIMITS["silver"])
         self.minute = KeyedTable(s, f"{r}/gold_minute", MINUTE_KEY, MINUTE_TABLE_COLUMNS,
-                                 policies={"created_at": "min"}, name="gold_minute", log=log)
+                                 policies={"created_at": "min"}, name="gold_minute", log=log,
+                                 not_null=NOT_NULL["minute"], varchar=VARCHAR_LIMITS["minute"])
         # DLQ: a record never changes once written, except its status, which
         # only moves forward ('processed' < 'unprocessed', so min wins).
         self.dlq = KeyedTable(
             s, f"{r}/dlq", ["source", "id"], DLQ_TABLE_COLUMNS,
             policies={**{c: "first" for c in DLQ_TABLE_COLUMNS if c not in ("source", "id")},
                       "status": "min", "created_at": "min"},
-            name="dlq", log=log)
+            name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"])
         self.daily = SnapshotTable(s, f"{r}/gold_daily", key=DAILY_KEY,
                                    not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"],
                                    name="gold_daily", log=log)

@@ -30,18 +30,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.checks import assert_valid
+from tributary.operators.checks import ConstraintViolation, assert_valid
 
 COMMIT_SCHEMA = ("table_name string, seq long, kind string, tag string, path string, "
                  "n_rows long, committed_ms long")
 
 
-def _write_counted(df: DataFrame, path: str) -> int:
-    """Overwrite ``path`` with ``df`` and return the row count, measured by an
-    observation during the write (no second pass over the data)."""
+def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
+                   varchar: Mapping[str, int] | None = None, table: str = "") -> int:
+    """Overwrite ``path`` with ``df`` and return the row count.
+
+    The count and the NOT NULL / length violations are observed during the
+    write itself (no second pass).  On a violation the written files are left
+    uncommitted (invisible) and :class:`ConstraintViolation` is raised.
+    """
+    metrics = [F.count(F.lit(1)).alias("n_rows")]
+    labels = []
+    for c in not_null:
+        metrics.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"v{len(labels)}"))
+        labels.append(f"not_null({c})")
+    for c, n in (varchar or {}).items():
+        metrics.append(F.count(F.when(F.length(c) > n, 1)).alias(f"v{len(labels)}"))
+        labels.append(f"max_length_{n}({c})")
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get["n_rows"])
+    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    got = obs.get
+    bad = [f"{label}={got[f'v{i}']}" for i, label in enumerate(labels) if got[f"v{i}"]]
+    if bad:
+        raise ConstraintViolation(f"{table}: {'; '.join(bad)} (increment {path} not committed)")
+    return int(got["n_rows"])
 
 
 class CommitLog:
@@ -316,8 +333,10 @@ class KeyedTable(_Table):
 
     def __init__(self, spark: SparkSession, root: str, key: Sequence[str],
                  columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
-                 name: str | None = None, log: CommitLog | None = None):
+                 name: str | None = None, log: CommitLog | None = None,
+                 not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None):
         super().__init__(spark, root, name, log)
+        self.not_null, self.varchar = list(not_null), dict(varchar or {})
         self.key = list(key)
         self.columns = list(columns)
         self.policies = {c: "latest" for c in self.columns if c not in self.key}
@@ -337,7 +356,8 @@ class KeyedTable(_Table):
         seq = prior[0]["seq"] if prior else self._next_seq(recs, tx)
         path = f"{self.root}/increments/tag={tag}"
         n_rows = _write_counted(
-            df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path)
+            df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
+            not_null=self.not_null, varchar=self.varchar, table=self.name)
         if not prior:
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows

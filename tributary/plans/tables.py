@@ -37,7 +37,8 @@ COMMIT_SCHEMA = ("table_name string, seq long, kind string, tag string, path str
 
 
 def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
-                   varchar: Mapping[str, int] | None = None, table: str = "") -> int:
+                   varchar: Mapping[str, int] | None = None, table: str = "",
+                   partition_by: Sequence[str] = ()) -> int:
     """Overwrite ``path`` with ``df`` and return the row count.
 
     The count and the NOT NULL / length violations are observed during the
@@ -53,7 +54,10 @@ def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
         metrics.append(F.count(F.when(F.length(c) > n, 1)).alias(f"v{len(labels)}"))
         labels.append(f"max_length_{n}({c})")
     obs = Observation()
-    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    writer = df.observe(obs, *metrics).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     got = obs.get
     bad = [f"{label}={got[f'v{i}']}" for i, label in enumerate(labels) if got[f"v{i}"]]
     if bad:
@@ -334,9 +338,13 @@ class KeyedTable(_Table):
     def __init__(self, spark: SparkSession, root: str, key: Sequence[str],
                  columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
                  name: str | None = None, log: CommitLog | None = None,
-                 not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None):
+                 not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None,
+                 partition_by: Sequence[str] = ()):
         super().__init__(spark, root, name, log)
         self.not_null, self.varchar = list(not_null), dict(varchar or {})
+        # Physical partitioning of every increment (e.g. the DLQ by status), so
+        # filters on these columns prune files when scanning versions.
+        self.partition_by = list(partition_by)
         self.key = list(key)
         self.columns = list(columns)
         self.policies = {c: "latest" for c in self.columns if c not in self.key}
@@ -354,10 +362,13 @@ class KeyedTable(_Table):
         recs = self.records()
         prior = [r for r in recs if r["tag"] == tag]
         seq = prior[0]["seq"] if prior else self._next_seq(recs, tx)
-        path = f"{self.root}/increments/tag={tag}"
+        # Plain folder names (not key=value): several increments are read
+        # together and only their own partition folders may look like k=v.
+        path = f"{self.root}/increments/{tag}"
         n_rows = _write_counted(
             df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
-            not_null=self.not_null, varchar=self.varchar, table=self.name)
+            not_null=self.not_null, varchar=self.varchar, table=self.name,
+            partition_by=self.partition_by)
         if not prior:
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
@@ -373,12 +384,32 @@ class KeyedTable(_Table):
                 paths.append(r["path"])
         return list(dict.fromkeys(paths))
 
+    def _load(self, paths: list[str]) -> DataFrame | None:
+        if not self.partition_by:
+            return self.spark.read.parquet(*paths).select(*self.columns, "_seq")
+        # Partition discovery needs one base path per scan, so partitioned
+        # increments are scanned one by one (each prunes its own partition
+        # folders) and unioned; compaction bounds how many there are.  An
+        # increment without rows has no files and is skipped.
+        frames = []
+        for path in paths:
+            try:
+                frames.append(self.spark.read.parquet(path).select(*self.columns, "_seq"))
+            except AnalysisException:
+                continue
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
     def versions(self) -> DataFrame | None:
         """All committed row versions (with ``_seq``), unmerged."""
         paths = self._paths()
         if not paths:
             return None
-        return self.spark.read.parquet(*paths)
+        return self._load(paths)
 
     def max_seq(self) -> int:
         return max((r["seq"] for r in self.records()), default=0)
@@ -398,7 +429,7 @@ class KeyedTable(_Table):
                                        if r["kind"] == "increment" and r["seq"] > seq))
         if not paths:
             return None, top
-        return self.spark.read.parquet(*paths), top
+        return self._load(paths), top
 
     def keys(self) -> DataFrame | None:
         """Every committed key once, without merging row versions: enough for
@@ -465,10 +496,14 @@ class KeyedTable(_Table):
     def compact(self) -> int:
         """Fold all committed increments into one base version."""
         recs = self.records()
-        state = self.merge(self.spark.read.parquet(*self._paths(recs)))
+        raw = self._load(self._paths(recs)) if self._paths(recs) else None
+        if raw is None:
+            return 0
+        state = self.merge(raw)
         seq = max((r["seq"] for r in recs), default=0)
-        path = f"{self.root}/base/v={seq}"
-        n_rows = _write_counted(state.withColumn("_seq", F.lit(seq).cast("long")), path)
+        path = f"{self.root}/base/{seq:012d}"
+        n_rows = _write_counted(state.withColumn("_seq", F.lit(seq).cast("long")), path,
+                                partition_by=self.partition_by)
         self._commit((self.name, seq, "base", f"base-{seq}", path, n_rows), None)
         # The folded increments are now prunable from the log.
         self.log.checkpoint()

@@ -151,3 +151,24 @@ def test_keyed_append_checks_limits_before_commit(spark):
     assert store.silver.versions() is None           # nothing became visible
     ok = ("O1",) + row[1:]
     assert store.silver.append(spark.createDataFrame([ok], SILVER_SCHEMA), "ok") == 1
+
+
+def test_partitioned_keyed_table_and_status_pushdown(spark):
+    t = KeyedTable(spark, scratch_path(spark, "part"), ["k"], ["k", "status", "v"],
+                   policies={"status": "min"}, partition_by=["status"])
+    schema = "k string, status string, v int"
+    t.append(spark.createDataFrame([("a", "unprocessed", 1), ("b", "unprocessed", 2)], schema), "i1")
+    t.append(spark.createDataFrame([("a", "processed", 1)], schema), "i2")
+    t.append(spark.createDataFrame([], schema), "empty")
+    got = {r["k"]: r["status"] for r in t.read().collect()}
+    assert got == {"a": "processed", "b": "unprocessed"}
+    plan = t.versions().filter("status = 'unprocessed'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    # Unpartitioned DLQ: the status filter is pushed to the Parquet scan.
+    store = Store(spark, scratch_path(spark, "dlqpush"))
+    row = [("s", 1, "O1", "C", "1", Decimal("-1.00"), None, "Invalid Amount", "Batch", "unprocessed",
+            dt.datetime(2024, 1, 1))]
+    from tributary.plans.store import DLQ_SCHEMA
+    store.dlq.append(spark.createDataFrame(row, DLQ_SCHEMA), "b1")
+    plan = store.dlq.versions().filter("status = 'unprocessed'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,unprocessed)" in plan

@@ -57,8 +57,11 @@ class Store:
             s, f"{r}/dlq", ["source", "id"], DLQ_TABLE_COLUMNS,
             policies={**{c: "first" for c in DLQ_TABLE_COLUMNS if c not in ("source", "id")},
                       "status": "min", "created_at": "min"},
-            name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"],
-            partition_by=["status"])
+            name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"])
+        # Every DLQ increment holds one status only (routing writes 'unprocessed',
+        # recovery 'processed'), so a pushed-down status filter skips whole
+        # increments by Parquet min/max statistics -- no physical partitioning,
+        # which would need one scan per increment.
         self.daily = SnapshotTable(s, f"{r}/gold_daily", key=DAILY_KEY,
                                    not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"],
                                    name="gold_daily", log=log)

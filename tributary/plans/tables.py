@@ -342,8 +342,9 @@ class KeyedTable(_Table):
                  partition_by: Sequence[str] = ()):
         super().__init__(spark, root, name, log)
         self.not_null, self.varchar = list(not_null), dict(varchar or {})
-        # Physical partitioning of every increment (e.g. the DLQ by status), so
-        # filters on these columns prune files when scanning versions.
+        # Optional physical partitioning of every increment.  Partition discovery
+        # needs one scan per increment then, so use it for tables with few
+        # increments between compactions.
         self.partition_by = list(partition_by)
         self.key = list(key)
         self.columns = list(columns)

@@ -22,6 +22,7 @@ become visible together.  Readers only ever see committed data.
 
 from __future__ import annotations
 
+import random
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -352,6 +353,13 @@ class KeyedTable(_Table):
         self.policies.update(policies or {})
 
     # -- writing --------------------------------------------------------------------------
+    def _next_seq(self, recs: list, tx: Transaction | None) -> int:
+        """Commit-ordered and unique across concurrent writers: the commit
+        time in microsecond-sized steps (ms * 1000 + random), but always above
+        every sequence already seen."""
+        floor = super()._next_seq(recs, tx)
+        return max(floor, int(time.time() * 1000) * 1000 + random.randrange(1000))
+
     def append(self, df: DataFrame, tag: str, tx: Transaction | None = None) -> int:
         """Write an increment under ``tag`` (idempotent per tag) and commit it
         (now, or with ``tx``).

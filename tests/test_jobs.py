@@ -170,3 +170,29 @@ def test_jobs_raise_instead_of_swallowing(spark):
     bad_header = _csv(spark, "id,product_id,customer_id,amount,timestamp", ["O1,5,C1,1.00,x"])
     with pytest.raises(Exception):
         ingest_landing(spark, store, bad_header, "l2")
+
+
+def test_cli_runs_the_scheduled_jobs(spark, tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+    repo = Path(__file__).resolve().parents[1]
+    csv = _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+               ["O1,5,C1,10.00,2024-01-01 10:00:00", "O2,5,C1,-2.00,2024-01-01 10:00:30"])
+    root = str(tmp_path / "store")
+
+    def cli(*args):
+        out = subprocess.run([sys.executable, "-m", "tributary.cli", *args, "--root", root],
+                             cwd=repo, capture_output=True, text=True, timeout=600)
+        assert out.returncode == 0, out.stderr[-2000:]
+        return out.stdout
+
+    assert cli("ingest", "--csv", csv, "--load-id", "l1").strip().endswith("2")
+    assert "silver_new_rows" in cli("batch", "--run-id", "r1")
+    assert "dlq_marked" in cli("recover", "--run-id", "x1")
+    bad = subprocess.run([sys.executable, "-m", "tributary.cli", "recover", "--run-id", "x2",
+                          "--mode", "bogus", "--root", root], cwd=repo, capture_output=True,
+                         text=True, timeout=600)
+    assert bad.returncode != 0
+    store = Store(spark, root)
+    assert store.silver_state().count() == 2          # O1 clean + O2 recovered refund

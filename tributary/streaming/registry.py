@@ -113,7 +113,29 @@ def q_stream_late_drop(spark, d):
     return store.minute_state().select(*MINUTE_COLUMNS)
 
 
+def q_stream_alert_digest(spark, d):
+    """High-value sales (view B) through the router with the part catalog:
+    the digest the router committed for the micro-batch."""
+    from tributary.functions.payload import pack
+    from tributary.sources.fixtures import catalog_from_part, sales_view_b
+
+    root = scratch_path(spark, "alerts")
+    b = sales_view_b(read_table(spark, d, "lineitem"), read_table(spark, d, "orders"))
+    payloads = b.select(
+        F.lit("sales").alias("source"), F.monotonically_increasing_id().alias("bronze_id"),
+        pack(["order_id", "customer_id", "product_id", "amount", "order_date"]).alias("payload"))
+    payloads.write.json(f"{root}/inbox")
+    store = Store(spark, f"{root}/tables")
+    stream = spark.readStream.schema("source string, bronze_id long, payload string") \
+        .json(f"{root}/inbox")
+    start_router(stream, store, f"{root}/checkpoint", "alerts",
+                 catalog=catalog_from_part(read_table(spark, d, "part")),
+                 available_now=True).awaitTermination()
+    return store.alerts.read().select("n_orders", "n_listed", "n_more", "lines", "message")
+
+
 STREAM_QUERIES = {
+    "stream_alert_digest": q_stream_alert_digest,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_dlq": q_stream_dlq,
@@ -162,4 +184,18 @@ kept AS (SELECT ph.* FROM ph JOIN prev USING (phase)
             OR date_trunc('minute', ph.order_date) + INTERVAL 1 MINUTE > prev.prev_max - INTERVAL 5 MINUTE),
 m AS ({O.MINUTE.format(src='kept')})
 SELECT * FROM m WHERE window_end <= (SELECT max(order_date) FROM ph) - INTERVAL 5 MINUTE"""
+    q["stream_alert_digest"] = f"""WITH {O.VIEW_B}, {O.CATALOG},
+hv AS (SELECT b.order_id, b.amount, {O.DIGEST_LINE.replace('product_name', 'cat.product_name')} AS line
+       FROM b LEFT JOIN cat ON cat.product_id = b.product_id WHERE b.amount > 1000),
+ranked AS (SELECT *, row_number() OVER (ORDER BY amount DESC NULLS LAST, order_id NULLS FIRST,
+             line NULLS FIRST) AS rn FROM hv),
+agg AS (SELECT count(*) AS n_orders, count(*) FILTER (WHERE rn <= 15) AS n_listed,
+          string_agg(line, chr(10) ORDER BY rn) FILTER (WHERE rn <= 15) AS lines FROM ranked)
+SELECT n_orders, n_listed, n_orders - n_listed AS n_more, lines,
+  concat_ws(chr(10), '[SYSTEM ALERT - HIGH VALUE TRANSACTIONS]', '----------------------------------------',
+    'Batch: batch', 'Orders: ' || CAST(n_orders AS VARCHAR), '----------------------------------------',
+    lines, CASE WHEN n_orders - n_listed > 0 THEN '... and ' || CAST(n_orders - n_listed AS VARCHAR)
+      || ' more high-value orders in this batch.' END,
+    '----------------------------------------') AS message
+FROM agg"""
     return q

@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tributary.plans.batch import ingest_landing, run_batch
 from tributary.plans.recovery import recover_dlq

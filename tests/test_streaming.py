@@ -1,10 +1,6 @@
-import datetime as dt
 import json
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
-from tributary.functions.payload import pack
 from tributary.plans.store import Store
 from tributary.session import scratch_path
 from tributary.streaming.gold import clean_stream, minute_stream, start_minute_query

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tributary.llm import language_id, license_scan, line_dedup, quality_rules
-from tributary.llm import sequence_packing, simhash_dedup, source_mixing, warc
+from tributary.llm import language_id, license_scan, line_dedup, lm_scoring, quality_rules
+from tributary.llm import sequence_packing, simhash_dedup, source_mixing, vector_search, warc
 
 QUERIES = {f.__name__: f for f in (
     warc.op1_warc, source_mixing.op2_source_mixing, sequence_packing.op3_sequence_packing,
-    language_id.op5_language_id, quality_rules.op6_quality_rules, simhash_dedup.op8_simhash_dedup,
+    vector_search.op4_vector_search, language_id.op5_language_id, quality_rules.op6_quality_rules,
+    lm_scoring.op7_lm_scoring, simhash_dedup.op8_simhash_dedup,
     line_dedup.op9_line_dedup, license_scan.op10_license_scan,
 )}
 

@@ -1,8 +1,7 @@
 """Column expressions of the quality rules (all JVM-side, codegen'd).
 
-The bad-row predicate is null-safe: every nullable comparison is guarded by an
-``isNull`` test, so it is never NULL and ``clean``/``error`` partition the
-input exactly.
+One ordered rule list gives both the routing and the label: a row with a label is an
+error, a row without one is clean, so the two partition the input exactly.
 """
 
 from __future__ import annotations
@@ -33,41 +32,31 @@ def normalized_product(col: str | Column = "product_id") -> Column:
     return F.trim(F.col(col) if isinstance(col, str) else col)
 
 
-def is_bad(order_id: str = "order_id", customer_id: str = "customer_id",
-           product_id: str = "product_id", amount: str = "amount") -> Column:
-    """OR of the seven row tests; ``product_id`` must already be trimmed."""
-    c, a, o, p = F.col(customer_id), F.col(amount), F.col(order_id), F.col(product_id)
-    return (
-        c.isNull()
-        | a.isNull() | (a <= 0)
-        | o.isNull() | (o == "")
-        | p.isNull() | (p == "")
-    )
-
-
-def error_reason(policy: str = "code") -> Column:
-    """First matching rule names the row's error.
+def quality_rules(policy: str = "code") -> list[tuple[str, Column]]:
+    """Ordered (error label, failing test) pairs over a parsed row with a trimmed product key.
 
-    ``code``: the behaviour of the original job (NULL amount / NULL order id
-    fall through to the schema-mismatch label).
+    ``code``: the behaviour of the original job (a NULL amount or order id has no label of
+    its own and falls through to the schema-mismatch label, which comes last).
     ``documented``: the labels its documentation promises for those two cases.
     """
-    c, a, o, p = F.col("customer_id"), F.col("amount"), F.col("order_id"), F.col("product_id")
+    absent = {c: F.col(c).isNull() for c in ("order_id", "customer_id", "product_id", "amount")}
+    not_positive = F.col("amount") <= 0
+    empty = {c: F.col(c) == "" for c in ("order_id", "product_id")}
+    without_product = absent["product_id"] | empty["product_id"]
     if policy == "code":
-        amount_bad = a <= 0
-        order_bad = o == ""
-    elif policy == "documented":
-        amount_bad = a.isNull() | (a <= 0)
-        order_bad = o.isNull() | (o == "")
-    else:
-        raise ValueError(f"unknown reason policy {policy!r}")
-    return (
-        F.when(c.isNull(), F.lit(MISSING_CUSTOMER))
-        .when(amount_bad, F.lit(INVALID_AMOUNT))
-        .when(order_bad, F.lit(MISSING_ORDER))
-        .when(p.isNull() | (p == ""), F.lit(MISSING_PRODUCT))
-        .otherwise(F.lit(SCHEMA_MISMATCH))
-    )
+        return [(MISSING_CUSTOMER, absent["customer_id"]), (INVALID_AMOUNT, not_positive),
+                (MISSING_ORDER, empty["order_id"]), (MISSING_PRODUCT, without_product),
+                (SCHEMA_MISMATCH, absent["amount"] | absent["order_id"])]
+    if policy == "documented":
+        return [(MISSING_CUSTOMER, absent["customer_id"]), (INVALID_AMOUNT, absent["amount"] | not_positive),
+                (MISSING_ORDER, absent["order_id"] | empty["order_id"]), (MISSING_PRODUCT, without_product)]
+    raise ValueError(f"unknown reason policy {policy!r}")
+
+
+def error_reason(policy: str = "code") -> Column:
+    """The label of the first rule a row fails; NULL for a clean row.  A test that is NULL
+    does not fail its row (the NULL itself is a rule of its own)."""
+    return F.coalesce(*(F.when(failed, F.lit(label)) for label, failed in quality_rules(policy)))
 
 
 def money(col: str | Column) -> Column:

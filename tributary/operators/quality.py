@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import (
-    INVALID_DATE, error_reason, event_time, is_bad, money, normalized_product,
+    INVALID_DATE, error_reason, event_time, money, normalized_product,
 )
 
 
@@ -29,13 +29,13 @@ def route_quality(parsed: DataFrame, source_type: str, *, reason_policy: str = "
     dtype = parsed.schema[date_col].dataType
     normalized = (parsed.withColumn("product_id", normalized_product("product_id"))
                   .withColumn(date_col, event_time(date_col, dtype)))
-    reason = F.when(is_bad(), error_reason(reason_policy))
+    reason = error_reason(reason_policy)
     t = F.col(date_col)
     if reject_null_date:
-        reason = reason.when(t.isNull(), F.lit(INVALID_DATE))
+        reason = F.coalesce(reason, F.when(t.isNull(), F.lit(INVALID_DATE)))
     if max_future:
         now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
-        reason = reason.when(t > now + F.expr(f"INTERVAL {max_future}"), F.lit(INVALID_DATE))
+        reason = F.coalesce(reason, F.when(t > now + F.expr(f"INTERVAL {max_future}"), F.lit(INVALID_DATE)))
     return (
         normalized
         .withColumn("error_reason", reason)

@@ -195,3 +195,30 @@ def test_cli_runs_the_scheduled_jobs(spark, tmp_path):
     assert bad.returncode != 0
     store = Store(spark, root)
     assert store.silver_state().count() == 2          # O1 clean + O2 recovered refund
+
+
+def test_review_queue_and_marks_use_source_and_id(spark):
+    from tributary.functions.quality import INVALID_AMOUNT, MISSING_CUSTOMER
+    from tributary.operators.dlq import recoverable_rows, review_queue
+    from tributary.operators.merge import mark_processed
+    dlq = spark.createDataFrame(
+        [("north", 4, "x1", "p", INVALID_AMOUNT, "unprocessed"), ("south", 4, "x2", "p", MISSING_CUSTOMER, "unprocessed"),
+         ("south", 5, "x3", None, INVALID_AMOUNT, "unprocessed"), ("south", 6, "x4", "p", None, "processed")],
+        "source string, id long, order_id string, product_id string, error_reason string, status string")
+    assert {(r["source"], r["id"]) for r in review_queue(dlq).collect()} == {("south", 4), ("south", 5)}
+    marked = mark_processed(dlq, recoverable_rows(dlq)).collect()
+    assert {(r["source"], r["id"]) for r in marked if r["status"] == "processed"} == {("north", 4), ("south", 6)}
+
+
+def test_an_empty_retry_takes_nothing_back_and_a_corrected_one_counts(spark):
+    from tributary.plans.tables import KeyedTable
+    from tributary.session import scratch_path
+    t = KeyedTable(spark, scratch_path(spark, "retry"), ["k"], ["k", "v"])
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v long")
+    t.append(rows(("a", 1), ("b", 2)), tag="run-1")
+    seen = t.max_seq()
+    assert t.append(rows(), tag="run-1") == 0
+    assert {tuple(r) for r in t.read().select("k", "v").collect()} == {("a", 1), ("b", 2)}
+    t.append(rows(("a", 10)), tag="run-1")
+    assert {tuple(r) for r in t.read().select("k", "v").collect()} == {("a", 10), ("b", 2)}
+    assert t.versions_since(seen)[0].count() == 1

@@ -31,22 +31,23 @@ def dlq_rows(errors: DataFrame, *, id_col: str = "bronze_id", created_at: Column
     ).select(*cols)
 
 
+def _replayable(reasons: tuple[str, ...], require_product: bool) -> Column:
+    usable = F.trim("product_id") != "" if require_product else F.lit(True)
+    return recoverable(reasons) & usable
+
+
 def recoverable_rows(dlq: DataFrame, reasons: tuple[str, ...] = (INVALID_AMOUNT,), *,
                      require_product: bool = True) -> DataFrame:
     """Rows a replay may fix.  ``require_product`` keeps rows without a usable
     product key in the review queue (minute gold needs the key NOT NULL)."""
-    pred = recoverable(reasons)
-    if require_product:
-        p = F.col("product_id")
-        pred = pred & p.isNotNull() & (F.trim(p) != "")
-    return dlq.filter(pred)
+    return dlq.filter(_replayable(reasons, require_product))
 
 
 def review_queue(dlq: DataFrame, reasons: tuple[str, ...] = (INVALID_AMOUNT,), *,
                  require_product: bool = True) -> DataFrame:
-    """Unprocessed rows that need a person: the complement of the recoverable set."""
-    rec = recoverable_rows(dlq, reasons, require_product=require_product).select("id")
-    return dlq.filter(F.col("status") == STATUS_UNPROCESSED).join(rec, "id", "left_anti")
+    """Unprocessed rows that need a person: the recoverable test negated, row by row."""
+    return dlq.filter((F.col("status") == STATUS_UNPROCESSED)
+                      & ~F.coalesce(_replayable(reasons, require_product), F.lit(False)))
 
 
 def review_report(queue: DataFrame) -> DataFrame:

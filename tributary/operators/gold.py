@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import money
-from tributary.schemas import TOTAL_SQL
+from tributary.schemas import MONEY_SQL, TOTAL_SQL
 
 MINUTE = "1 minute"
 
@@ -39,11 +39,13 @@ def daily_revenue(clean: DataFrame, *, time_col: str = "order_date") -> DataFram
 
 
 def publishable_daily(daily: DataFrame) -> DataFrame:
-    """Rows the daily table accepts: NOT NULL date/product/total."""
+    """Rows the daily table accepts: NOT NULL date and product.  A total past the money type
+    fails the publish (the old version stays live); it is never left out."""
+    total = F.coalesce("total_revenue", F.raise_error(F.concat(
+        F.lit("daily total out of range: "), F.col("report_date").cast("string"), F.lit(" "), F.col("product_id"))).cast(MONEY_SQL))
     return daily.filter(
         F.col("report_date").isNotNull() & F.col("product_id").isNotNull()
-        & F.col("total_revenue").isNotNull()
-    )
+    ).withColumn("total_revenue", total)
 
 
 def reconcile(minute: DataFrame, daily: DataFrame) -> DataFrame:

@@ -119,17 +119,19 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, key: Sequence[str],
     return first.join(existing_keys, list(key), "left_anti")
 
 
-def mark_processed(dlq: DataFrame, ids: DataFrame, *, id_col: str = "id",
+def mark_processed(dlq: DataFrame, ids: DataFrame, *, key: Sequence[str] | None = None,
                    broadcast_ids: bool = False) -> DataFrame:
-    """``UPDATE dlq SET status='processed' WHERE id IN ids`` as a new state.
+    """``UPDATE dlq SET status='processed' WHERE key IN ids`` as a new state.
 
-    Exactly the ids given are touched; an empty id set changes nothing.
+    The key is (source, id) where the queue has a source (ids repeat across sources), else
+    id.  Exactly the keys given are touched; an empty set changes nothing.
     """
-    hit = ids.select(id_col).distinct().withColumn("_hit", F.lit(True))
+    key = list(key) if key else [c for c in ("source", "id") if c in dlq.columns]
+    hit = ids.select(*key).distinct().withColumn("_hit", F.lit(True))
     if broadcast_ids:
         hit = F.broadcast(hit)
     return (
-        dlq.join(hit, id_col, "left")
+        dlq.join(hit, key, "left")
         .withColumn("status", F.when(F.col("_hit"), F.lit(STATUS_PROCESSED)).otherwise(F.col("status")))
         .select(*dlq.columns)
     )

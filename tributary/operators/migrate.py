@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import money
+from tributary.schemas import MONEY_SQL
 
 
 def migrate_money(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Same rows, the given columns cast to DECIMAL(12,2) (NULL when out of range)."""
-    return df.select(*[money(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+    """Same rows, the given columns cast to DECIMAL(12,2); a value out of range fails the
+    migration (as an ``ALTER`` would), it is never blanked."""
+    def cast(c: str) -> Column:
+        beyond = F.raise_error(F.concat(F.lit(f"{c} out of range: "), F.col(c).cast("string"))).cast(MONEY_SQL)
+        return F.when(F.col(c).isNotNull(), F.coalesce(money(c), beyond)).alias(c)
+    return df.select(*[cast(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def migration_report(before: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

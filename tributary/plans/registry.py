@@ -259,7 +259,7 @@ def q_dlq_append(spark, d):
 
 def q_dlq_lifecycle(spark, d):
     q = dlq_a(spark, d)
-    ids = dlq.recoverable_rows(q).select("id")
+    ids = dlq.recoverable_rows(q)
     return merge.mark_processed(q, ids).select("id", "error_reason", "status")
 
 

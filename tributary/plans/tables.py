@@ -3,7 +3,7 @@
 No table-format jar (Delta/Iceberg/Hudi) is assumed.  Two shapes:
 
 * :class:`SnapshotTable` -- full-replace table (daily gold, catalog).  Each
-  publish writes an immutable ``data/v=<n>`` folder; it becomes visible only
+  publish writes an immutable ``data/v<n>-<attempt>`` folder; it becomes visible only
   when its commit record is written afterwards, so readers never see a
   half-written table and a failed publish leaves the old version in place
   (the atomic swap).
@@ -307,7 +307,7 @@ class SnapshotTable(_Table):
         constraint check raises before the commit: nothing changes.
         """
         seq = self._next_seq(self.records(), tx)
-        path = f"{self.root}/data/v={seq}"
+        path = f"{self.root}/data/v{seq}-{uuid.uuid4().hex[:8]}"
         n_rows = _write_counted(df, path)
         if n_rows == 0 and not allow_empty:
             return None
@@ -321,7 +321,7 @@ class SnapshotTable(_Table):
     def stage(self, df: DataFrame, tag: str) -> tuple:
         """Write a new version without committing; returns its commit record."""
         seq = self._next_seq(self.records(), None)
-        path = f"{self.root}/data/v={seq}"
+        path = f"{self.root}/data/v{seq}-{uuid.uuid4().hex[:8]}"
         n_rows = _write_counted(df, path)
         return (self.name, seq, "snapshot", tag, path, n_rows)
 
@@ -361,24 +361,25 @@ class KeyedTable(_Table):
         return max(floor, int(time.time() * 1000) * 1000 + random.randrange(1000))
 
     def append(self, df: DataFrame, tag: str, tx: Transaction | None = None) -> int:
-        """Write an increment under ``tag`` (idempotent per tag) and commit it
-        (now, or with ``tx``).
+        """Write an increment and commit it (now, or with ``tx``).
 
-        A retry of the same tag overwrites the same folder and reuses its
-        commit sequence, so replays converge instead of duplicating.
+        Every attempt has a folder and a number of its own: a committed folder is never
+        written again.  A retry with the same rows converges when keys are merged on read,
+        a corrected re-load supersedes its keys and is seen by incremental readers, and a
+        retry that finds nothing left to do (no rows) takes nothing back.
         Returns the number of rows written.
         """
         recs = self.records()
         prior = [r for r in recs if r["tag"] == tag]
-        seq = prior[0]["seq"] if prior else self._next_seq(recs, tx)
+        seq = self._next_seq(recs, tx)
         # Plain folder names (not key=value): several increments are read
         # together and only their own partition folders may look like k=v.
-        path = f"{self.root}/increments/{tag}"
+        path = f"{self.root}/increments/{tag}-{uuid.uuid4().hex[:8]}"
         n_rows = _write_counted(
             df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
             not_null=self.not_null, varchar=self.varchar, table=self.name,
             partition_by=self.partition_by)
-        if not prior:
+        if n_rows or not prior:
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
 

@@ -3,7 +3,7 @@
 Library code never invents machine-local folders: anything a job writes
 (tables, landing files, stream checkpoints) lives under the folder the cluster
 names in ``spark.checkpoint.dir``.  Only when that is unset (local tests) do we
-create one ourselves.
+create one ourselves (local masters only; on a cluster an unset root is an error).
 """
 
 from __future__ import annotations
@@ -75,6 +75,8 @@ def work_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir():
             return sc.getCheckpointDir().rstrip("/")
     key = session_key(spark)
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if key not in _LOCAL_ROOTS:
         root = tempfile.mkdtemp(prefix="tributary-")
         if sc is not None:

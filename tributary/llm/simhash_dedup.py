@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import fresh, row_key, stored, table
@@ -157,6 +157,8 @@ def allot(sample: np.ndarray, n: int, parts: list[list[int]], max_bits: int) ->
 def plan_parts(fps: DataFrame, max_bits: int = MAX_BITS) -> list[tuple[list[int], int]]:
     """(bits, threshold) of the cheapest partition; unprobed parts are left out."""
     n, both = _bit_sums(fps)
+    if n < 2:
+        return [(list(range(64)), 0)]
     rows = fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     choices = []
@@ -180,6 +182,12 @@ def _flips(bits: list[int], t: int) -> list[int]:
     return out
 
 
+def _entries(part: int, own: Column, flips: Column) -> Column:
+    """A stored entry (no bit flipped) and the probes of one part."""
+    return F.transform(flips, lambda m, i: F.struct(
+        F.lit(part).cast("byte").alias("part"), own.bitwiseXOR(m).alias("value"), (i > 0).alias("probe")))
+
+
 def _split(bits: list[int], max_bits: int) -> list[list[int]]:
     return [x.tolist() for x in np.array_split(np.array(bits), max_bits + 1)]
 
@@ -266,10 +274,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         own = F.col("fp").bitwiseAND(mask)
         free_of[k] = [b for b in range(64) if b not in bits] if t == 0 else list(range(64))
         sub[k] = [_signed(_mask(b)) for b in _split(free_of[k], max_bits)]
-        entries.append(F.struct(F.lit(k).cast("byte").alias("part"), own.alias("value"), F.lit(False).alias("probe")))
-        entries += [F.struct(F.lit(k).cast("byte").alias("part"), own.bitwiseXOR(F.lit(_signed(m))).alias("value"),
-                             F.lit(True).alias("probe")) for m in _flips(bits, t)]
-    rows = fps.select("fp", F.explode(F.array(*entries)).alias("e")).select("e.part", "e.value", "fp", "e.probe")
+        flips = F.array(*(F.lit(_signed(m)) for m in [0, *_flips(bits, t)]))
+        entries.append(_entries(k, own, flips))
+    rows = fps.select("fp", F.explode(F.concat(*entries)).alias("e")).select("e.part", "e.value", "fp", "e.probe")
     counts = rows.groupBy("part", "value").agg(F.count("*").alias("n"), F.min("probe").alias("only_probes"))
     met = rows.join(counts.filter("n > 1 and not only_probes").drop("only_probes"), ["part", "value"])
     # a crowded value: by pigeonhole over the bits left, one of their subsets agrees wholly

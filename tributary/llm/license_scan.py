@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import let, row_key, table
+from tributary.llm.common import let, row_key, stored, table
 from tributary.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
@@ -84,7 +84,7 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     held = F.lit(False)
     for k in range(STEP):
         held = held | F.col(f"s{k}").isin(known)
-    near = found.filter(hit | held)
+    near = stored(spark, found.filter(hit | held), "license-windows")
     retrieved = (near.select("key", F.posexplode(F.array(*(_band(k) for k in range(BANDS)))).alias("k", "h"))
                  .join(F.broadcast(of_band), ["k", "h"]).select("key", "name").distinct())
     places = near.select("key", "doc_id", F.posexplode(F.array(*(f"s{k}" for k in range(STEP)))).alias("k", "s"), "at").select(

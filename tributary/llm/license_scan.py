@@ -3,10 +3,11 @@ DataFrame functions only.
 
 Texts and templates are lower-cased runs of letters and digits.  Overlapping windows of
 ``WIDTH`` words start every ``STEP`` words and hold four 5-word shingles, as do the pieces
-of a template; each is hashed by ``BANDS`` MinHashes of one row each.  A window that holds
-a shingle of a template shares it with a piece at a Jaccard similarity of 1/7 at least and
-1/4 for a template of one shingle: it is missed with a probability of 0.75 ^ 64 < 1e-7 for
-that, and a longer template still less, as any of its pieces retrieves it.
+of a template; each is hashed by ``HASHES`` functions, of which the least and the greatest
+value over the shingles are a band each.  A window that holds the shingle of a one-shingle
+template shares it at a Jaccard similarity of 1/4 and is missed by both ends of a function
+with probability 1/2, by all with 0.5 ^ 24 < 1e-7.  A longer template has several shingles
+in such windows, and any of its pieces retrieves it.
 
 Verified: for every retrieved (document, template), the share of the template's distinct
 shingles that lie within one of the overlapping text windows of twice the template's length
@@ -30,7 +31,7 @@ from tributary.llm.license_texts import TEMPLATES
 SHINGLE = 5
 STEP = 4
 WIDTH = STEP + SHINGLE - 1
-BANDS = 64
+HASHES = 24
 CONTAINMENT = 0.8
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -51,9 +52,14 @@ def _windows(text: Column) -> Column:
     return let(license_words(text), cut)
 
 
-def _band(k: int) -> Column:
-    """The k-th MinHash of a window's shingles."""
-    return F.least(*(F.xxhash64(f"s{j}", F.lit(k)) for j in range(STEP)))
+def _bands() -> list[Column]:
+    """The MinHash and the MaxHash of a window's shingles by each function."""
+    out = []
+    for k in range(HASHES):
+        own = (k * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63
+        values = [F.xxhash64(F.col(f"s{j}").bitwiseXOR(F.lit(own))) for j in range(STEP)]
+        out += [F.least(*values), F.greatest(*values)]
+    return out
 
 
 def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -68,7 +74,7 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     sizes = of.collect()
     if short := [r["name"] for r in sizes if r["shingles"] is None]:
         raise ValueError(f"templates of under {SHINGLE} words: {short}")
-    bands = [r for r in pieces.select("name", F.posexplode(F.array(*(_band(k) for k in range(BANDS)))).alias("k", "h")).distinct().collect()]
+    bands = [r for r in pieces.select("name", F.posexplode(F.array(*_bands())).alias("k", "h")).distinct().collect()]
     known = sorted({r["s"] for r in shingles.select("s").distinct().collect()})
     of_band = spark.createDataFrame([(r["k"], r["h"], r["name"]) for r in bands], "k int, h long, name string")
     of_shingle = spark.createDataFrame([(r["name"], r["s"]) for r in shingles.collect()], "name string, s long")
@@ -76,16 +82,15 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
 
     found = (docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"),
                          F.explode(_windows(F.col(text))).alias("w")).select("key", "doc_id", "w.*"))
-    per_band = [sorted({r["h"] for r in bands if r["k"] == k}) for k in range(BANDS)]
     hit = F.lit(False)
-    for k in range(BANDS):
-        hit = hit | _band(k).isin(per_band[k])
+    for k, band in enumerate(_bands()):
+        hit = hit | band.isin(sorted({r["h"] for r in bands if r["k"] == k}))
     # windows with a template's shingle are the ones to verify with; bands retrieve the templates
-    held = F.lit(False)
-    for k in range(STEP):
-        held = held | F.col(f"s{k}").isin(known)
+    # ``exists`` also keeps this filter out of whole-stage code, where all bands would be one
+    # method too long for the JVM to compile; as it is, each band gets its own
+    held = F.exists(F.array(*(f"s{k}" for k in range(STEP))), lambda s: s.isin(known))
     near = stored(spark, found.filter(hit | held), "license-windows")
-    retrieved = (near.select("key", F.posexplode(F.array(*(_band(k) for k in range(BANDS)))).alias("k", "h"))
+    retrieved = (near.select("key", F.posexplode(F.array(*_bands())).alias("k", "h"))
                  .join(F.broadcast(of_band), ["k", "h"]).select("key", "name").distinct())
     places = near.select("key", "doc_id", F.posexplode(F.array(*(f"s{k}" for k in range(STEP)))).alias("k", "s"), "at").select(
         "key", "doc_id", "s", (F.col("at") + F.col("k")).alias("at"))

@@ -22,6 +22,8 @@ under five words are an error.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,46 +54,51 @@ def _windows(text: Column) -> Column:
     return let(license_words(text), cut)
 
 
-def _bands() -> list[Column]:
-    """The MinHash and the MaxHash of a window's shingles by each function."""
+def _bands() -> list[str]:
+    """The MinHash and the MaxHash of a window's shingles by each function, in SQL."""
     out = []
     for k in range(HASHES):
         own = (k * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63
-        values = [F.xxhash64(F.col(f"s{j}").bitwiseXOR(F.lit(own))) for j in range(STEP)]
-        out += [F.least(*values), F.greatest(*values)]
+        values = ", ".join(f"xxhash64(s{j} ^ ({own}L))" for j in range(STEP))
+        out += [f"least({values})", f"greatest({values})"]
     return out
 
 
+def _hashed(windows: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and a row (k, h) for each band of each window."""
+    return windows.select(*columns, F.expr(f"posexplode(array({', '.join(_bands())}))").alias("k", "h"))
+
+
+def _within(value: str, of: set[int]) -> str:
+    return f"{value} IN ({', '.join(f'{x}L' for x in sorted(of))})" if of else "false"
+
+
 def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, template, containment, first_word), one row per document and template found:
     the best window's containment, and the first word of a shingle in it (the first, on ties)."""
     spark = docs.sparkSession
-    pieces = templates.select("name", F.explode(_windows(F.col("text"))).alias("w")).select("name", "w.*")
-    shingles = pieces.select("name", F.explode(F.array(*(f"s{k}" for k in range(STEP)))).alias("s")).distinct()
-    of = (shingles.withColumn("n", F.lit(1)).groupBy("name").agg(F.count("*").alias("shingles"))
-          .join(templates.select("name", F.size(license_words(F.col("text"))).alias("words")), "name", "right"))
-    # bounded by the table of templates
-    sizes = of.collect()
-    if short := [r["name"] for r in sizes if r["shingles"] is None]:
+    # all of this is bounded by the table of templates
+    texts = templates.select("name", F.size(license_words(F.col("text"))).alias("words"), _windows(F.col("text")).alias("w")).collect()
+    if short := [r["name"] for r in texts if r["words"] < SHINGLE]:
         raise ValueError(f"templates of under {SHINGLE} words: {short}")
-    bands = [r for r in pieces.select("name", F.posexplode(F.array(*_bands())).alias("k", "h")).distinct().collect()]
-    known = sorted({r["s"] for r in shingles.select("s").distinct().collect()})
-    of_band = spark.createDataFrame([(r["k"], r["h"], r["name"]) for r in bands], "k int, h long, name string")
-    of_shingle = spark.createDataFrame([(r["name"], r["s"]) for r in shingles.collect()], "name string, s long")
-    of_name = spark.createDataFrame([(r["name"], r["shingles"], r["words"]) for r in sizes], "name string, shingles long, words long")
+    pieces = spark.createDataFrame([(r["name"], *w) for r in texts for w in r["w"]],
+                                   "name string, at int, " + ", ".join(f"s{k} long" for k in range(STEP)))
+    bands = _hashed(pieces, "name").distinct().collect()
+    shingles = {(r["name"], s) for r in texts for w in r["w"] for s in w[1:]}
+    held_by = Counter(name for name, _ in shingles)
+    of_band = spark.createDataFrame(bands, "name string, k int, h long")
+    of_shingle = spark.createDataFrame(sorted(shingles), "name string, s long")
+    of_name = spark.createDataFrame([(r["name"], held_by[r["name"]], r["words"]) for r in texts], "name string, shingles long, words long")
 
     found = (docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"),
                          F.explode(_windows(F.col(text))).alias("w")).select("key", "doc_id", "w.*"))
-    hit = F.lit(False)
-    for k, band in enumerate(_bands()):
-        hit = hit | band.isin(sorted({r["h"] for r in bands if r["k"] == k}))
+    hit = " OR ".join(_within(band, {r["h"] for r in bands if r["k"] == k}) for k, band in enumerate(_bands()))
     # windows with a template's shingle are the ones to verify with; bands retrieve the templates
     # ``exists`` also keeps this filter out of whole-stage code, where all bands would be one
     # method too long for the JVM to compile; as it is, each band gets its own
-    held = F.exists(F.array(*(f"s{k}" for k in range(STEP))), lambda s: s.isin(known))
-    near = stored(spark, found.filter(hit | held), "license-windows")
-    retrieved = (near.select("key", F.posexplode(F.array(*_bands())).alias("k", "h"))
-                 .join(F.broadcast(of_band), ["k", "h"]).select("key", "name").distinct())
+    held = f"exists(array({', '.join(f's{k}' for k in range(STEP))}), s -> {_within('s', {s for _, s in shingles})})"
+    near = stored(spark, found.filter(f"{hit} OR {held}"), "license-windows")
+    retrieved = _hashed(near, "key").join(F.broadcast(of_band), ["k", "h"]).select("key", "name").distinct()
     places = near.select("key", "doc_id", F.posexplode(F.array(*(f"s{k}" for k in range(STEP)))).alias("k", "s"), "at").select(
         "key", "doc_id", "s", (F.col("at") + F.col("k")).alias("at"))
     matched = (places.join(F.broadcast(of_shingle), "s").join(F.broadcast(of_name), "name")

@@ -107,19 +107,19 @@ def test_incremental_daily_equals_full_recompute(spark):
             ("O3", "C", "2", Decimal("7.00"), d3, STAMP), ("O4", "C", "2", Decimal("1.00"), None, STAMP)]
     store.silver.append(spark.createDataFrame(rows, SILVER_SCHEMA), "s1")
     refresh_daily(spark, store, "v1")
-    seq = store.silver.max_seq()
+    seen = store.silver.live()
     # O1 moves from day 1 to day 3 with a new amount; O5 is new on day 2.
     store.silver.append(spark.createDataFrame(
         [("O1", "C", "2", Decimal("3.00"), d3, STAMP), ("O5", "C", "1", Decimal("2.00"), d2, STAMP)],
         SILVER_SCHEMA), "s2")
-    refresh_daily(spark, store, "v2", since_seq=seq)
+    refresh_daily(spark, store, "v2", seen=seen)
     got = sorted(tuple(r) for r in store.daily.read().collect())
     full = sorted(tuple(r) for r in publishable_daily(daily_revenue(store.silver.read())).collect())
     assert got == full
     assert (dt.date(2024, 1, 1), "1", Decimal("10.00")) not in got
     # Nothing new: the published version stays.
     v = store.daily.version()
-    assert refresh_daily(spark, store, "v3", since_seq=store.silver.max_seq()) == v
+    assert refresh_daily(spark, store, "v3", seen=store.silver.live()) == v
 
 
 def test_landing_reingest_same_load_is_idempotent(spark):
@@ -216,9 +216,69 @@ def test_an_empty_retry_takes_nothing_back_and_a_corrected_one_counts(spark):
     t = KeyedTable(spark, scratch_path(spark, "retry"), ["k"], ["k", "v"])
     rows = lambda *r: spark.createDataFrame(list(r), "k string, v long")
     t.append(rows(("a", 1), ("b", 2)), tag="run-1")
-    seen = t.max_seq()
+    seen = t.live()
     assert t.append(rows(), tag="run-1") == 0
     assert {tuple(r) for r in t.read().select("k", "v").collect()} == {("a", 1), ("b", 2)}
     t.append(rows(("a", 10)), tag="run-1")
     assert {tuple(r) for r in t.read().select("k", "v").collect()} == {("a", 10), ("b", 2)}
     assert t.versions_since(seen)[0].count() == 1
+
+
+def _kv_table(spark, name):
+    from tributary.plans.tables import KeyedTable
+    from tributary.session import scratch_path
+    return KeyedTable(spark, scratch_path(spark, name), ["k"], ["k", "v"])
+
+
+def _kv(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, v long")
+
+
+def test_a_commit_left_open_over_a_compaction_is_kept(spark):
+    from tributary.plans.tables import Transaction
+    t = _kv_table(spark, "open")
+    t.append(_kv(spark, ("a", 1)), tag="one")
+    with Transaction(t.log) as slow:
+        t.append(_kv(spark, ("slow", 7), ("a", 2), ("b", 2)), tag="slow", tx=slow)   # lower number
+        t.append(_kv(spark, ("b", 3)), tag="two")
+        seen = t.live()
+        assert t.compact() == 2
+    state = {("a", 2), ("b", 3), ("slow", 7)}
+    assert {tuple(r) for r in t.read().collect()} == state
+    new, now = t.versions_since(seen)
+    assert {r["k"] for r in new.collect()} == {"a", "b", "slow"}     # the late commit alone, no base
+    t.compact()
+    assert len(t.live()) == 1 and {tuple(r) for r in t.read().collect()} == state
+    assert t.versions_since(now)[0] is None
+    assert t.compact() == 0
+
+
+def test_two_compactions_at_once_hold_each_row(spark):
+    t = _kv_table(spark, "twice")
+    t.append(_kv(spark, ("a", 1)), tag="one")
+    t.append(_kv(spark, ("a", 2)), tag="two")
+    live = t.live
+    before = live()
+    t.compact()
+    t.live = lambda: before          # the second compaction listed before the first committed
+    t.compact()
+    t.live = live
+    assert [tuple(r) for r in t.read().collect()] == [("a", 2)]
+
+
+def test_late_bronze_commit_reaches_silver_and_daily_gold(spark):
+    csv = lambda key, day: _csv(spark, "order_id,product_id,customer_id,amount,timestamp",
+                                [f"{key},5,C1,10.00,2024-01-{day} 10:00:00"])
+    store = Store(spark, scratch_path(spark, "late"))
+    ingest_landing(spark, store, csv("FIRST", "01"), "l0")
+    run_batch(spark, store, "r0")
+    with store.transaction() as slow:
+        append = store.bronze.append
+        store.bronze.append = lambda df, tag: append(df, tag, tx=slow)
+        ingest_landing(spark, store, csv("SLOW", "02"), "l1")
+        store.bronze.append = append
+        ingest_landing(spark, store, csv("FAST", "03"), "l2")
+        assert run_batch(spark, store, "r1").first()["silver_new_rows"] == 1
+    assert run_batch(spark, store, "r2").first()["silver_new_rows"] == 1
+    assert {r["order_id"] for r in store.silver_state().collect()} == {"FIRST", "SLOW", "FAST"}
+    assert store.daily.read().count() == 3

@@ -70,8 +70,8 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
     table as it is; an empty aggregate does not replace the published gold.
     """
     stamp = stamp if stamp is not None else _now()
-    since = _last_bronze_seq(store) if incremental else 0
-    raw, top = store.bronze.versions_since(since)
+    state = _batch_state(store) if incremental else None
+    raw, bronze_seen = store.bronze.versions_since(state["bronze_seen"] if state else [])
     if raw is None:
         return _report(spark, 0, 0, 0, None, 0, 0)
     bronze = store.bronze.merge(raw)
@@ -121,15 +121,16 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
         null_rows = store.silver.read_touching(F.col("order_date").isNull())
         dropped = null_rows.filter(F.col("order_date").isNull()).select("product_id").distinct() \
             .agg(F.count(F.lit(1)).alias("n")).first()
-        state = _batch_state(store)
-        silver_seq = state["last_silver_seq"] if incremental and state else None
-        silver_top = store.silver.max_seq()
+        # What daily gold has taken in: listed before it reads, so that a commit in
+        # between is taken in again by the next run, never passed over.
+        silver_seen = store.silver.live()
         # The daily publish and the job's progress marker commit together.
         with store.transaction() as tx:
-            version = refresh_daily(spark, store, f"batch-{run_id}", since_seq=silver_seq, tx=tx)
+            version = refresh_daily(spark, store, f"batch-{run_id}",
+                                    seen=state["silver_seen"] if state else None, tx=tx)
             store.batch_state.publish(
-                spark.createDataFrame([(top, silver_top, run_id)],
-                                      "last_bronze_seq long, last_silver_seq long, run_id string"),
+                spark.createDataFrame([(bronze_seen, silver_seen, run_id)],
+                                      "bronze_seen array<string>, silver_seen array<string>, run_id string"),
                 tag=f"batch-{run_id}", tx=tx)
         gold_rows = store.daily.read(version).count() if version else 0
         return _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows,
@@ -144,11 +145,6 @@ def _batch_state(store: Store):
     return store.batch_state.read().first()
 
 
-def _last_bronze_seq(store: Store) -> int:
-    state = _batch_state(store)
-    return state["last_bronze_seq"] if state else 0
-
-
 def _report(spark, bronze_rows, new_rows, dlq_rows_written, version, gold_rows, null_date_groups):
     return spark.createDataFrame(
         [(int(bronze_rows), int(new_rows), int(dlq_rows_written), version, int(gold_rows),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,12 @@ from tributary.plans.tables import Transaction
 MAX_TOUCHED_DAYS = 100_000
 
 
-def touched_days(store: Store, since_seq: int) -> list[dt.date] | None:
+def touched_days(store: Store, seen: Iterable[str]) -> list[dt.date] | None:
     """Days whose daily totals may change because of Silver increments
-    committed after ``since_seq``: the days of the new versions *and* of the
+    committed outside ``seen``: the days of the new versions *and* of the
     versions they supersede (a key can move between days).  None means
     "too many to list" (the caller recomputes everything)."""
-    incs, _ = store.silver.versions_since(since_seq)
+    incs, _ = store.silver.versions_since(seen)
     if incs is None:
         return []
     changed = incs.select("order_id").distinct()
@@ -32,17 +33,17 @@ def touched_days(store: Store, since_seq: int) -> list[dt.date] | None:
     return sorted(r["d"] for r in days.collect())
 
 
-def refresh_daily(spark: SparkSession, store: Store, tag: str, *, since_seq: int | None = None,
+def refresh_daily(spark: SparkSession, store: Store, tag: str, *, seen: Iterable[str] | None = None,
                   tx: Transaction | None = None) -> int | None:
     """Publish a new daily gold version; returns it (None when nothing to publish).
 
-    ``since_seq`` None, or no published daily yet: recompute from all of
+    ``seen`` (paths of Silver taken in before) None, or no published daily yet: recompute from all of
     Silver.  Otherwise recompute only the touched days from the keys that
     have a version on those days, and carry the other days over from the
     published version.
     """
     previous = store.daily.version()
-    days = None if since_seq is None or previous is None else touched_days(store, since_seq)
+    days = None if seen is None or previous is None else touched_days(store, seen)
     if days is None:
         return store.daily.publish(publishable_daily(daily_revenue(store.silver.read())), tag=tag,
                                    tx=tx)

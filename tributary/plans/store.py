@@ -67,7 +67,7 @@ class Store:
                                    name="gold_daily", log=log)
         self.catalog = SnapshotTable(s, f"{r}/catalog", key=["product_id"], name="catalog", log=log)
         self.alerts = KeyedTable(s, f"{r}/alerts", ["batch"], ALERT_COLUMNS, name="alerts", log=log)
-        # Progress of the batch job: last Bronze / Silver commits it processed.
+        # Progress of the batch job: the Bronze / Silver commits it has taken in.
         self.batch_state = SnapshotTable(s, f"{r}/batch_state", name="batch_state", log=log)
 
     def transaction(self) -> Transaction:

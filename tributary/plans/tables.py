@@ -8,11 +8,11 @@ No table-format jar (Delta/Iceberg/Hudi) is assumed.  Two shapes:
   half-written table and a failed publish leaves the old version in place
   (the atomic swap).
 * :class:`KeyedTable` -- keyed table fed by increments (Silver, minute gold,
-  DLQ, Bronze).  Writers write an increment under a stable tag (overwriting
-  that tag on retry, so a re-run batch cannot add copies) and then commit it.
-  Readers merge the committed increments per key with per-column policies:
-  ``latest`` (last commit wins), ``first``, ``min``, ``max``.  ``compact``
-  folds everything into one base version.
+  DLQ, Bronze).  Writers write an increment, in a folder of its own each
+  attempt, and then commit it.  Readers merge the committed increments per
+  key with per-column policies: ``latest`` (highest number wins), ``first``,
+  ``min``, ``max``.  ``compact`` folds what is committed into a base whose
+  record names the folded folders; anything not named stays live.
 
 Commit records live in a small parquet :class:`CommitLog`, which a whole
 :class:`~tributary.plans.store.Store` can share: a :class:`Transaction`
@@ -22,10 +22,11 @@ become visible together.  Readers only ever see committed data.
 
 from __future__ import annotations
 
+import json
 import random
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -209,28 +210,20 @@ COMMIT_COLUMNS = ["table_name", "seq", "kind", "tag", "path", "n_rows", "committ
 CHECKPOINT_SCHEMA = COMMIT_SCHEMA + ", settled_hour long, absorbed string"
 
 
+def _folded(rows: list) -> set:
+    """(table, path) of every increment and base that some base record names as folded."""
+    return {(r[0], path) for r in rows if r[2] == "base" for path in json.loads(r[3])}
+
+
 def _prune(rows: list) -> list:
-    """Drop records no reader needs: increments and bases folded into a newer
-    base, and snapshot versions older than the newest (per table)."""
-    newest_base: dict = {}
-    newest_snapshot: dict = {}
-    for r in rows:
-        t, seq, kind = r[0], r[1], r[2]
-        if kind == "base":
-            newest_base[t] = max(newest_base.get(t, -1), seq)
-        elif kind == "snapshot":
-            newest_snapshot[t] = max(newest_snapshot.get(t, -1), seq)
-    keep = []
+    """Drop records no reader needs: increments and bases named as folded by
+    a base, and snapshot versions older than the newest (per table)."""
+    folded, newest = _folded(rows), {}
     for r in rows:
-        t, seq, kind = r[0], r[1], r[2]
-        if kind == "snapshot" and seq < newest_snapshot[t]:
-            continue
-        if kind in ("increment", "base") and seq < newest_base.get(t, -1):
-            continue
-        if kind == "increment" and seq == newest_base.get(t, -1):
-            continue
-        keep.append(r)
-    return keep
+        if r[2] == "snapshot":
+            newest[r[0]] = max(newest.get(r[0], -1), r[1])
+    return [r for r in rows
+            if ((r[0], r[4]) not in folded if r[2] != "snapshot" else r[1] >= newest[r[0]])]
 
 
 class Transaction:
@@ -384,15 +377,15 @@ class KeyedTable(_Table):
         return n_rows
 
     # -- reading --------------------------------------------------------------------------
-    def _paths(self, recs: list | None = None) -> list[str]:
-        recs = self.records() if recs is None else recs
-        base = [r for r in recs if r["kind"] == "base"]
-        start = base[-1]["seq"] if base else 0
-        paths = [base[-1]["path"]] if base else []
-        for r in recs:
-            if r["kind"] == "increment" and r["seq"] > start:
-                paths.append(r["path"])
-        return list(dict.fromkeys(paths))
+    def live(self) -> list[str]:
+        """Paths of the committed increments and bases that no base has folded.
+
+        A base names what it folded, so an increment that commits late, under
+        a lower number than a base's, stays live until a compaction names it.
+        """
+        recs = self.records()
+        gone = {path for r in recs if r["kind"] == "base" for path in json.loads(r["tag"])}
+        return list(dict.fromkeys(r["path"] for r in recs if r["path"] not in gone))
 
     def _load(self, paths: list[str]) -> DataFrame | None:
         if not self.partition_by:
@@ -416,30 +409,23 @@ class KeyedTable(_Table):
 
     def versions(self) -> DataFrame | None:
         """All committed row versions (with ``_seq``), unmerged."""
-        paths = self._paths()
-        if not paths:
-            return None
-        return self._load(paths)
-
-    def max_seq(self) -> int:
-        return max((r["seq"] for r in self.records()), default=0)
-
-    def versions_since(self, seq: int) -> tuple[DataFrame | None, int]:
-        """Row versions committed after ``seq`` and the newest seq seen.
-
-        If a compaction folded newer rows into the base, the base is returned
-        too (a full pass; consumers must be idempotent, ours are)."""
-        recs = self.records()
-        top = max((r["seq"] for r in recs), default=0)
-        base = [r for r in recs if r["kind"] == "base"]
-        if base and base[-1]["seq"] > seq:
-            paths = self._paths(recs)
-        else:
-            paths = list(dict.fromkeys(r["path"] for r in recs
-                                       if r["kind"] == "increment" and r["seq"] > seq))
-        if not paths:
-            return None, top
-        return self._load(paths), top
+        paths = self.live()
+        return self._load(paths) if paths else None
+
+    def versions_since(self, seen: Iterable[str]) -> tuple[DataFrame | None, list[str]]:
+        """Row versions committed outside ``seen`` (paths an earlier call
+        returned), and all live paths now: what the next call passes as ``seen``.
+
+        A set, not a highest number: a slow writer that commits under a lower
+        number than others is read by the next call.  A base is new only if it
+        folds something unseen; then it is returned whole (a full pass;
+        consumers must be idempotent, ours are)."""
+        seen, recs, live = set(seen), self.records(), self.live()
+        for r in recs:  # in the order of numbers, so a base comes after the bases it folds
+            if r["kind"] == "base" and (folds := json.loads(r["tag"])) and seen.issuperset(folds):
+                seen.add(r["path"])
+        new = [path for path in live if path not in seen]
+        return (self._load(new) if new else None), live
 
     def keys(self) -> DataFrame | None:
         """Every committed key once, without merging row versions: enough for
@@ -484,7 +470,8 @@ class KeyedTable(_Table):
             return self.spark.createDataFrame([], schema)
         return self.merge(raw)
 
-    def merge(self, raw: DataFrame) -> DataFrame:
+    def merge(self, raw: DataFrame, *, with_seq: bool = False) -> DataFrame:
+        """One row per key; ``with_seq`` keeps the number of the version that won."""
         latest = [c for c, p in self.policies.items() if p == "latest"]
         first = [c for c, p in self.policies.items() if p == "first"]
         aggs, outs = [], []
@@ -501,20 +488,32 @@ class KeyedTable(_Table):
             elif p == "max":
                 aggs.append(F.max(c).alias(c))
                 outs.append(F.col(c))
-        return raw.groupBy(*self.key).agg(*aggs).select(*self.key, *outs).select(*self.columns)
+        seq = []
+        if with_seq:
+            if latest or first:
+                seq = [F.col("_latest._seq" if latest else "_first._seq").alias("_seq")]
+            else:
+                aggs.append(F.max("_seq").alias("_seq"))
+                seq = [F.col("_seq")]
+        return raw.groupBy(*self.key).agg(*aggs).select(*self.key, *outs, *seq).select(
+            *self.columns, *(["_seq"] if with_seq else []))
 
     def compact(self) -> int:
-        """Fold all committed increments into one base version."""
-        recs = self.records()
-        raw = self._load(self._paths(recs)) if self._paths(recs) else None
-        if raw is None:
+        """Fold all live increments and bases into one base, which names them.
+
+        Rows keep the number of the version that won, so an increment that
+        commits later under a lower number still merges as its number says,
+        and two compactions at once only hold the same rows twice.  (A table
+        with both ``latest`` and ``first`` columns keeps the latest's number.)
+        """
+        recs, folds = self.records(), self.live()
+        if not folds or (len(folds) == 1 and recs[-1]["kind"] == "base"):
             return 0
-        state = self.merge(raw)
-        seq = max((r["seq"] for r in recs), default=0)
-        path = f"{self.root}/base/{seq:012d}"
-        n_rows = _write_counted(state.withColumn("_seq", F.lit(seq).cast("long")), path,
-                                partition_by=self.partition_by)
-        self._commit((self.name, seq, "base", f"base-{seq}", path, n_rows), None)
+        state = self.merge(self._load(folds), with_seq=True)
+        seq = max(r["seq"] for r in recs)
+        path = f"{self.root}/base/{seq:012d}-{uuid.uuid4().hex[:8]}"
+        n_rows = _write_counted(state, path, partition_by=self.partition_by)
+        self._commit((self.name, seq, "base", json.dumps(folds), path, n_rows), None)
         # The folded increments are now prunable from the log.
         self.log.checkpoint()
         return n_rows

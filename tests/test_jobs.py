@@ -251,6 +251,8 @@ def test_a_commit_left_open_over_a_compaction_is_kept(spark):
     assert len(t.live()) == 1 and {tuple(r) for r in t.read().collect()} == state
     assert t.versions_since(now)[0] is None
     assert t.compact() == 0
+    plan = t.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan        # a lone base is only scanned
 
 
 def test_two_compactions_at_once_hold_each_row(spark):

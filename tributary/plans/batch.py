@@ -1,7 +1,8 @@
 """Batch layer jobs: landing ingest (X1), medallion batch (X2), report (X5), chain (X6).
 
 Every job raises on failure (a scheduler must see it) and can be re-run with
-the same ``run_id``: each write goes to a folder derived from the run id.
+the same ``run_id``: each attempt writes to a folder of its own, and a re-run
+finds the keys that the first one committed.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def ingest_landing(spark: SparkSession, store: Store, csv_path: str, load_id: st
     """Landing CSV -> Bronze rows tagged ``landing:<load_id>``; returns rows written.
 
     Row ids are assigned once per load and fixed by the write; re-running the
-    same ``load_id`` overwrites the same increment.
+    same ``load_id`` commits the same keys again, merged on read.
     """
     payloads = landing_payloads(read_landing_csv(spark, csv_path))
     rows = payloads.select(
@@ -60,8 +61,8 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
               dlq_mode: str = "dedup") -> DataFrame:
     """Bronze -> Silver (insert-if-absent) + DLQ -> daily gold (atomic publish).
 
-    ``incremental`` reads only Bronze increments committed after the last
-    successful run (the original re-read all of Bronze every run; pass
+    ``incremental`` reads only Bronze increments that no successful run has
+    taken in (the original re-read all of Bronze every run; pass
     ``incremental=False`` for that).  Existing Silver/DLQ keys are checked
     against the raw committed keys, so no merge shuffle is needed for the
     membership test.  ``dlq_mode="append_all"`` reproduces the original's

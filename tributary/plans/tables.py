@@ -443,10 +443,10 @@ class KeyedTable(_Table):
         is fixed when this is called, so the result is a stable snapshot even
         while writers keep committing.
         """
-        raw = self.versions()
-        if raw is None:
+        recs, live = self.records(), self.live()
+        if not live:
             raise FileNotFoundError(f"table {self.root} has no committed data")
-        return self.merge(raw)
+        return self._state(recs, live)
 
     def read_touching(self, row_filter) -> DataFrame | None:
         """Current rows of every key that has *some* committed version
@@ -465,9 +465,14 @@ class KeyedTable(_Table):
         return self.merge(raw.join(keys, self.key, "left_semi"))
 
     def read_or_empty(self, schema: str) -> DataFrame:
-        raw = self.versions()
-        if raw is None:
-            return self.spark.createDataFrame([], schema)
+        recs, live = self.records(), self.live()
+        return self._state(recs, live) if live else self.spark.createDataFrame([], schema)
+
+    def _state(self, recs: list, live: list[str]) -> DataFrame:
+        """The merged rows of ``live``; a base alone holds one row per key and is only scanned."""
+        raw = self._load(live)
+        if any(r["kind"] == "base" and [r["path"]] == live for r in recs):
+            return raw.select(*self.columns)
         return self.merge(raw)
 
     def merge(self, raw: DataFrame, *, with_seq: bool = False) -> DataFrame:

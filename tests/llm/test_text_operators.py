@@ -157,3 +157,49 @@ def test_attention_is_causal_and_scores_each_id_once():
             step.append(lm_scoring.gradients(model, x, y)[0])
         model.w[k] = w
         assert abs((step[0] - step[1]) / 2e-2 - g[k][at]) < 1e-3
+
+
+def test_language_model_learns_word_order_from_every_text(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{a}{b}" for a in ("red", "blue", "green", "old", "new") for b in ("house", "tree", "road", "bird")]
+    after = dict(zip(vocabulary, rng.permutation(vocabulary).tolist()))
+
+    def chain(n):
+        text = [str(rng.choice(vocabulary))]
+        while len(text) < n:
+            text.append(after[text[-1]] if rng.random() < 0.9 else str(rng.choice(vocabulary)))
+        return text
+    rows = [(i, " ".join(chain(60))) for i in range(40)]
+    ordered = chain(200)
+    rows += [(100, " ".join(ordered)), (101, " ".join(rng.permutation(ordered).tolist()))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_scoring.score(df, F.col("doc_id") < 100).collect()}
+    assert got[100]["base_score"] == pytest.approx(got[101]["base_score"])
+    assert got[100]["score"] > 0.8 * got[101]["score"] and got[100]["score"] > got[100]["base_score"]
+
+    # all ids of all texts are counted, and every text is in exactly one round of training
+    texts = lm_scoring.split_texts(df)
+    n = texts.agg(F.sum(F.size("ids"))).first()[0]
+    assert lm_scoring.count_pairs(texts).agg(F.sum("c")).first()[0] == n
+    assert texts.filter(F.col("round").between(0, lm_scoring.ROUNDS - 1)).count() == len(rows)
+    # one text is enough to train on
+    rank = np.arange(lm_scoring.VOCABULARY)
+    model = lm_scoring.Model(np.ones_like(rank), rank, rank % lm_scoring.CLASSES)
+    assert len(set(model.bucket[1000:1100])) == 100 and model.bucket[30_000] != model.bucket[30_001]
+    start = model.w["q"].copy()
+    for k in range(lm_scoring.ROUNDS):
+        lm_scoring.train_round(texts.limit(1), model, k)
+    assert not np.allclose(start, model.w["q"])
+
+
+def test_probabilities_of_ids_sum_to_one():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rank = np.arange(lm_scoring.VOCABULARY)
+    counts = rng.integers(0, 9, len(rank))
+    model = lm_scoring.Model(counts, rank, rng.integers(0, lm_scoring.CLASSES, len(rank)))
+    model.set_pairs(np.repeat([5, 9, lm_scoring.VOCABULARY], 40), rng.choice(rank, 120, replace=False), rng.integers(1, 9, 120))
+    for before in (5, 9, lm_scoring.START, 70):
+        p = np.exp(model.within_class(np.full(len(rank), before), rank))
+        assert np.allclose(np.bincount(model.cls, p), 1)

@@ -65,6 +65,22 @@ def test_mix_meets_targets_and_splits_quotas(spark, docs, empty):
     assert source_mixing.mix(empty).count() == 0
 
 
+def test_mix_goes_on_after_a_block_with_a_giant_document(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for source in range(12):
+        sizes = rng.integers(3, 8, 1200).tolist()
+        sizes[0] = sum(sizes) // 4
+        rows += [(source * 10_000 + i, f"s{source:02}", "w " * n) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = source_mixing.plan(docs, weights=(1.0,), factor=0.5).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    assert len(plan) == len(rows)
+    for _, of in plan.groupby("source"):
+        drawn = of["draws"].map(len) > 0
+        miss = of["target"].iloc[0] - (of["size"] * of["draws"].map(len)).sum()
+        assert 0 <= miss < of["size"][~drawn].min()
+
+
 def test_quotas_are_split_exactly(spark):
     quotas = spark.createDataFrame([(0, 40), (1, 0), (2, 7), (3, 100)], "k int, blocks long")
     cells = source_mixing.split_quotas(quotas, 10, 3).collect()

@@ -7,9 +7,11 @@ excess goes to the others by weight until none is above.
 
 Blocks: a source with n documents is dealt by hash into about sqrt(n) blocks of about
 sqrt(n) documents (fewer and larger ones while these would hold under ``BLOCK_DOCS``).  A target's whole multiples of the source draw every block; the rest
-draws blocks in a permuted order until the next would exceed it, and of that last block
-single documents, in hash order, that still fit.  So a source's words miss its target by
-less than its smallest document left out, and no document is drawn more than ``CAP`` times.
+draws blocks in a permuted order, without the documents longer than it, until the next would
+exceed it, and of that block single documents, in hash order, that still fit.  While need is
+left, the later blocks are drawn in the same way for it, without the documents that are longer
+than what is left.  So a source's words miss its target by less than its smallest document left
+out, over all blocks, and no document is drawn more than ``CAP`` times.
 
 Tree: the exact numbers of blocks to draw per source are split between the left and right
 half of the output shards by multivariate-hypergeometric draws, and so on down to single
@@ -151,6 +153,39 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return cells.select("k", "shard", (upto - F.col("count")).alias("first"), "count")
 
 
+def _draw_rest(dealt: DataFrame, blocks: DataFrame, needs: DataFrame, n_sources: int, n_blocks: int, seed: int) -> DataFrame:
+    """(k, block, limit, keys): the blocks drawn for the rest of the sources' targets, of each
+    the documents of at most ``limit`` words and, where ``keys`` is there, only those.
+    ``needs`` has (k, need, after): the rest, and the place after which blocks are free."""
+    spark = dealt.sparkSession
+    upto = F.sum("block_words").over(Window.partitionBy("k").orderBy("place"))
+    drawn = None
+    while True:
+        # the blocks that are free, without the documents that no longer fit
+        free = blocks.select("k", "block", "place").join(_small(needs, n_sources), "k").filter("need > 0 and place > after")
+        fit = dealt.select("k", "block", "row_key", "size", "all").join(_small(free, n_blocks), ["k", "block"]).filter(
+            F.col("all") <= F.col("need"))
+        taken = fit.groupBy("k", "block", "place", "need").agg(F.sum("size").alias("block_words")).withColumn("upto", upto)
+        before = F.col("upto") - F.col("block_words")
+        taken = stored(spark, taken.select("k", "block", "place", "need", "upto", (F.col("need") - before).alias("left"))
+                       .filter("left > 0"), "mix-taken")
+        # of the block that exceeds the need: the documents that still fit, in hash order
+        last = _small(taken.filter("upto > need").select("k", "block", "left"), n_sources)
+        some = (fit.join(last, ["k", "block"]).groupBy("k", "block", "left", "row_key")
+                .agg(F.sum("size").alias("size")).groupBy("k", "block", "left")
+                .agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("row_key", F.lit(seed + 2)).alias("h"), "size", "row_key"))).alias("ds")))
+        fits = F.aggregate("ds", F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("keys")),
+                           lambda a, x: F.when(x["size"] <= a["left"], F.struct(
+                               (a["left"] - x["size"]).alias("left"), F.array_append(a["keys"], x["row_key"]).alias("keys"))).otherwise(a))
+        some = some.select("k", "block", fits.alias("f")).select("k", "block", "f.keys", F.col("f.left").alias("rest"))
+        now = stored(spark, taken.join(_small(some, n_sources), ["k", "block"], "left").select(
+            "k", "block", "place", F.col("need").alias("limit"), "keys", "rest"), "mix-drawn")
+        drawn = now if drawn is None else drawn.unionByName(now)
+        needs = now.filter("keys is not null").select("k", F.col("rest").alias("need"), F.col("place").alias("after"))
+        if needs.filter("need >= 1").isEmpty():  # nothing exceeded, or no need is left
+            return drawn.select("k", "block", "limit", "keys")
+
+
 def plan(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, **targets) -> DataFrame:
     """(row_key, doc_id, size, source_size, target, draws), one row per row of ``docs``:
     draws is an array of the (epoch, shard) in which the document goes to the mix."""
@@ -165,45 +200,36 @@ def plan(docs: DataFrame, seed: int = SEED, shard_words: int = SHARD_WORDS, **ta
         F.ceil(F.sqrt("n")), F.floor(F.col("n") / BLOCK_DOCS))).cast("long")), n_sources)
     dealt = sizes.join(of.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").withColumn(
         "block", F.pmod(F.xxhash64("row_key", F.lit(seed)), "n_blocks")).drop("of")
+    # rows equal in id and text fit together or not at all
+    again = dealt.groupBy("k", "row_key").agg(F.count("*").alias("copies"), F.sum("size").alias("all")).filter("copies > 1").drop("copies")
+    dealt = stored(spark, dealt.join(again, ["k", "row_key"], "left").withColumn("all", F.coalesce("all", "size")), "mix-dealt")
     # blocks in permuted order, and which are drawn how often
     order = Window.partitionBy("k").orderBy(F.xxhash64("block", F.lit(seed + 1)), "block")
-    blocks = (dealt.groupBy("k", "block").agg(F.sum("size").alias("block_words"), F.first("words").alias("words"),
-                                              F.first("target").alias("target"))
-              .withColumn("place", F.row_number().over(order) - 1)
-              .withColumn("upto", F.sum("block_words").over(order))
-              .withColumn("n", F.count("*").over(Window.partitionBy("k"))))
     whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("long")
-    rest = F.col("target") - F.col("whole") * F.col("words")
-    before = F.col("upto") - F.col("block_words")
-    drawn = blocks.withColumn("whole", whole).withColumn("rest", rest).select(
-        "k", "block", "place", "n", "whole",
-        F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), F.lit(1))
-        .when((F.col("rest") > 0) & (before < F.col("rest")), F.lit(2)).otherwise(0).alias("part"),
-        (F.col("rest") - before).alias("need")).filter("whole > 0 or part > 0")
-    drawn = stored(spark, drawn, "mix-blocks")
-    n_blocks = drawn.count()
-    # of the block that exceeds the target: the documents that still fit, in hash order
-    last = _small(drawn.filter("part = 2").select("k", "block", "need"), n_sources)
-    some = (dealt.join(last, ["k", "block"]).groupBy("k", "block", "need", "row_key")
-            .agg(F.sum("size").alias("size")).groupBy("k", "block", "need")
-            .agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("row_key", F.lit(seed + 2)).alias("h"), "size", "row_key"))).alias("ds")))
-    fits = F.aggregate("ds", F.struct(F.col("need").alias("need"), F.array().cast("array<bigint>").alias("keys")),
-                       lambda a, x: F.when(x["size"] <= a["need"], F.struct(
-                           (a["need"] - x["size"]).alias("need"), F.array_append(a["keys"], x["row_key"]).alias("keys"))).otherwise(a))
-    some = some.select("k", "block", fits["keys"].alias("keys"))
+    blocks = stored(spark, dealt.groupBy("k", "block").agg(F.first("words").alias("words"), F.first("target").alias("target"))
+                    .withColumn("place", F.row_number().over(order) - 1)
+                    .withColumn("n", F.count("*").over(Window.partitionBy("k")))
+                    .withColumn("whole", whole), "mix-blocks")
+    n_blocks = blocks.count()
+    needs = blocks.groupBy("k").agg(F.first(F.col("target") - F.col("whole") * F.col("words")).alias("need")).select(
+        "k", "need", F.lit(-1).alias("after"))
+    partly = _draw_rest(dealt, blocks, needs, n_sources, n_blocks, seed)
     # block sequence: epoch by epoch, in permuted order; the tree deals it to the shards
-    epochs = F.when(F.col("whole") + F.signum("part") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") + F.when(F.col("part") > 0, 1).otherwise(0) - 1))
-    sequence = drawn.select("k", "block", "part", "whole", "n", "place", F.explode(epochs).alias("epoch")).select(
+    fully = blocks.filter("whole > 0").select(
+        "k", "block", "n", "place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("epoch")).select(
         "k", "block", "epoch", (F.col("epoch") * F.col("n") + F.col("place")).alias("at"),
-        ((F.col("epoch") == F.col("whole")) & (F.col("part") == 2)).alias("partly"))
+        F.lit(None).cast("double").alias("limit"), F.lit(None).cast("array<bigint>").alias("keys"))
+    nth = F.row_number().over(Window.partitionBy("k").orderBy("place")) - 1
+    sequence = fully.unionByName(partly.join(blocks.select("k", "block", "whole", "n", "place"), ["k", "block"]).select(
+        "k", "block", F.col("whole").alias("epoch"), (F.col("whole") * F.col("n") + nth).alias("at"), "limit", "keys"))
     quotas = by_source.select("k").join(sequence.groupBy("k").agg(F.count("*").alias("blocks")), "k", "left").select(
         "k", F.coalesce("blocks", F.lit(0)).cast("long").alias("blocks"))
     stretches = split_quotas(quotas, shards, seed).select(
         "k", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("at"))
-    draws = (sequence.join(stretches, ["k", "at"]).join(some, ["k", "block"], "left")
-             .select("k", "block", "epoch", "shard", "partly", F.when(F.col("partly"), F.coalesce("keys", F.array().cast("array<bigint>"))).alias("keys"))
-             .groupBy("k", "block").agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "keys"))).alias("draws")))
-    mine = F.filter("draws", lambda d: d["keys"].isNull() | F.array_contains(d["keys"], F.col("row_key")))
+    draws = (sequence.join(stretches, ["k", "at"])
+             .groupBy("k", "block").agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "limit", "keys"))).alias("draws")))
+    mine = F.filter("draws", lambda d: (d["limit"].isNull() | (F.col("all") <= d["limit"]))
+                    & (d["keys"].isNull() | F.array_contains(d["keys"], F.col("row_key"))))
     return dealt.join(_small(draws, n_blocks), ["k", "block"], "left").select(
         "row_key", "doc_id", "size", F.col("words").alias("source_size"), "target",
         F.coalesce(F.transform(mine, lambda d: F.struct(d["epoch"].alias("epoch"), d["shard"].alias("shard"))),

@@ -83,6 +83,16 @@ def test_line_dedup_edge_cases(docs, empty):
     assert line_dedup.delete_repeats(empty).count() == 0
 
 
+def test_passages_inside_lines_are_deleted(spark):
+    passage = " ".join(f"Here sentence {n} says that the number {n} is only told once in this text." for n in ("one", "two", "three", "four"))
+    rows = [(1, f"A line that is first. {passage} It ends so."), (2, f"Other words begin here. {passage} Other words end here.\nA last line."),
+            (3, passage.replace("three is", "nine is")), (4, "One two three. Said! Four five six."), (5, "One two three. Said! Seven."), (6, None)]
+    docs = spark.createDataFrame([(i, t, "s", 0) for i, t in rows], "doc_id long, text string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated_documents(docs).collect()}
+    assert got == {**dict(rows), 2: "Other words begin here. Other words end here.\nA last line.",
+                   3: "Here sentence three says that the number nine is only told once in this text. " + passage.split(". ")[3]}
+
+
 def test_licenses(spark, docs, empty):
     templates = license_scan.templates_table(spark)
     got = license_scan.scan(docs, templates).collect()

@@ -9,6 +9,10 @@ third of all documents costs one row per occurrence).  The windows anchored on t
 on the right together extend a match both ways to the ends of the shared stretch: a line
 goes exactly if it lies in a stretch of ``MIN_WORDS`` words or more that occurred earlier.
 
+Passages inside lines: ``deduplicated_documents`` then takes sentences for lines, with stretches
+of ``PASSAGE_WORDS`` words, so that a repeat goes that begins or ends inside a line or differs in
+one sentence of it.  ``op9_line_dedup`` deletes whole lines alone.
+
 Order: by doc_id (null last), then position.  Lines are compared without white space at
 their ends; lines without a word are skipped, and go only inside a deleted stretch.  Null
 texts stay null.  Rows equal in doc_id and text count as one document and stay alike.
@@ -23,30 +27,41 @@ from tributary.llm.common import BLANKS, SPLIT, fresh, let, row_key, stored, tab
 
 #: Shortest repeated stretch, in words, that is deleted.
 MIN_WORDS = 8
+#: The same in sentences inside lines: a repeat of 50 words holds so many in whole sentences,
+#: if the ones cut at its ends have no more than the rest.
+PASSAGE_WORDS = 25
+#: After a sentence's end and the white space (kept with it), and after a line.
+SENTENCES = "(?<=[.!?\u2026\u0964\u061f\u06d4][ \t])|(?<=[.!?\u2026][\"')\u201d\u00bb][ \t])|(?<=\n)"
 LAST = 2**63 - 1
+FEW = 8
 
 
-def _lines(text: Column) -> Column:
+def _lines(text: Column, cut: str) -> Column:
     """Lines with a word: number in the text, hash, words."""
     def line(raw: Column, no: Column) -> Column:
         return let(F.btrim(raw, F.lit(BLANKS)), lambda t: F.struct(
             no.alias("no"), F.xxhash64(t).alias("h"),
             F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(F.split(t, SPLIT))).alias("n")))
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), line), lambda x: x["n"] > 0)
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), cut), line), lambda x: x["n"] > 0)
 
 
 def _window(lines: Column, side: int, start: Column, min_words: int) -> Column:
     """The shortest stretch of at least ``min_words`` words from ``start`` to one side."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(LAST).alias("low"), F.lit(0).cast("long").alias("all"),
                     F.lit(0).alias("k"), F.lit(-1).alias("to_no"))
-    if side > 0:
-        reach = F.slice(lines, start + 1, min_words)
-    else:
-        first = F.greatest(start + 2 - min_words, F.lit(1))
-        reach = F.reverse(F.slice(lines, first, start + 2 - first))
-    window = F.aggregate(reach, zero, lambda a, x: F.when(a["n"] >= min_words, a).otherwise(F.struct(
-        (a["n"] + x["n"]).alias("n"), F.least(a["low"], x["h"]).alias("low"),
-        F.xxhash64(a["all"], x["h"]).alias("all"), (a["k"] + 1).alias("k"), x["no"].alias("to_no"))))
+
+    def stretch(most: int) -> Column:
+        if side > 0:
+            reach = F.slice(lines, start + 1, most)
+        else:
+            first = F.greatest(start + 2 - most, F.lit(1))
+            reach = F.reverse(F.slice(lines, first, start + 2 - first))
+        return F.aggregate(reach, zero, lambda a, x: F.when(a["n"] >= min_words, a).otherwise(F.struct(
+            (a["n"] + x["n"]).alias("n"), F.least(a["low"], x["h"]).alias("low"),
+            F.xxhash64(a["all"], x["h"]).alias("all"), (a["k"] + 1).alias("k"), x["no"].alias("to_no"))))
+    # most windows are short; the full reach is walked only where these lines do not fill one
+    window = stretch(min_words) if min_words <= FEW else let(
+        stretch(FEW), lambda v: F.when(v["n"] >= min_words, v).otherwise(stretch(min_words)))
     own = F.get(lines, start)["no"]
     return let(window, lambda v: F.struct(
         F.when(v["n"] >= min_words, v["low"]).alias("low"), v["all"].alias("all"),
@@ -55,7 +70,7 @@ def _window(lines: Column, side: int, start: Column, min_words: int) -> Column:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", cut: str = "\n") -> DataFrame:
     """(row_key, lines): the numbers of the lines to delete, one row per affected document."""
     spark = docs.sparkSession
     key = row_key(F.col(doc_id), F.col(text))
@@ -69,7 +84,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "do
 
     found = stored(spark, docs.select(
         key.alias("row_key"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("d"),
-        F.explode(let(_lines(F.col(text)), windows)).alias("w"),
+        F.explode(let(_lines(F.col(text), cut), windows)).alias("w"),
     ).select("row_key", "d", "w.low", "w.all", "w.side", "w.from_no", "w.to_no"), "line-windows")
     at = F.struct("d", "row_key", "from_no")
     first = (found.groupBy("low", "all", "side").agg(F.min(at).alias("first"), F.max(at).alias("last"))
@@ -80,16 +95,17 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "do
 
 
 def delete_repeats(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+                   text: str = "text", cut: str = "\n", glue: str = "\n") -> DataFrame:
     """All columns of ``docs`` with later repeated runs deleted from the text, and a struct
-    ``line_dedup``: n_lines (0 for null), n_removed."""
+    ``line_dedup``: n_lines (0 for null), n_removed.  Lines are what ``cut`` splits the text
+    into, ``glue`` stands between them."""
     key, out = fresh(docs, "row_key", "line_dedup")
-    runs = repeated_runs(docs, min_words, doc_id, text).select(
+    runs = repeated_runs(docs, min_words, doc_id, text, cut).select(
         F.col("row_key").alias(key), F.col("lines").alias(out))
     joined = docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).join(runs, key, "left")
-    ls = F.split(F.col(text), "\n")
+    ls = F.split(F.col(text), cut)
     kept = let(ls, lambda x: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(out)), lambda i: F.get(x, i)), "\n"))
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(out)), lambda i: F.get(x, i)), glue))
     return joined.select(
         *(F.when(F.col(out).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text else F.col(c)
           for c in docs.columns),
@@ -97,13 +113,17 @@ def delete_repeats(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "d
                  F.coalesce(F.size(out), F.lit(0)).cast("long").alias("n_removed")).alias(out))
 
 
+def _left(done: DataFrame, columns: list[str], flag: str) -> DataFrame:
+    """A document of which no word is left was a copy of earlier ones throughout, and goes."""
+    return (done.filter((F.col(flag)["n_removed"] == 0) | (F.length(F.btrim("text", F.lit(BLANKS))) > 0))
+            .withColumn("n_chars", F.length("text").cast("long")).select(*columns))
+
+
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without their later repeated runs.  A document of which no word is left was
-    a copy of earlier ones throughout, and goes."""
-    done = delete_repeats(docs)
+    """``docs`` without their later repeated runs of lines, and of sentences inside lines."""
     out, = fresh(docs, "line_dedup")
-    return (done.filter((F.col(out)["n_removed"] == 0) | (F.length(F.btrim("text", F.lit(BLANKS))) > 0))
-            .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns))
+    lines = _left(delete_repeats(docs), docs.columns, out)
+    return _left(delete_repeats(lines, PASSAGE_WORDS, cut=SENTENCES, glue=""), docs.columns, out)
 
 
 def op9_line_dedup(spark, sf_dir):

@@ -5,14 +5,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from pyspark.sql.types import (  # noqa: E402
-    DecimalType, DoubleType, StringType, StructField, StructType,
-)
-
+from sales_inputs import DECIMAL_EVENTS, DOUBLE_EVENTS  # noqa: E402
 from tributary.session import get_spark  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,20 +17,6 @@ def spark():
     session.stop()
 
 
-def event_schema(amount_type):
-    return StructType([
-        StructField("order_id", StringType(), True),
-        StructField("customer_id", StringType(), True),
-        StructField("product_id", StringType(), True),
-        StructField("amount", amount_type, True),
-        StructField("order_date", StringType(), True),
-    ])
-
-
-DOUBLE_EVENTS = event_schema(DoubleType())
-DECIMAL_EVENTS = event_schema(DecimalType(12, 2))
-
-
 @pytest.fixture(params=["double", "decimal"])
 def make_events(request, spark):
     from decimal import Decimal

@@ -4,7 +4,7 @@ import subprocess
 import sys
 from pathlib import Path
 
-from conftest import SF_SMALL
+from sales_inputs import SF_SMALL
 
 ROOT = Path(__file__).resolve().parents[1]
 

@@ -71,7 +71,7 @@ def test_money_type_on_both_sides(make_events):
 
 
 def test_double_rounding_happens_after_the_check(spark):
-    from conftest import DOUBLE_EVENTS
+    from sales_inputs import DOUBLE_EVENTS
     df = spark.createDataFrame([("ord-1", "buyer-1", "sku-1", 0.004, "2021-03-04 00:00:00")], DOUBLE_EVENTS)
     clean, error = split_quality(df, "Batch")
     assert error.count() == 0 and clean.first()["amount"] == Decimal("0.00")
@@ -98,7 +98,7 @@ amount = st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 0.004, 1.5, 1e13, floa
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(text, text, text, amount), min_size=1, max_size=30))
 def test_split_is_a_partition(spark, rows):
-    from conftest import DOUBLE_EVENTS
+    from sales_inputs import DOUBLE_EVENTS
     data = [(o, c, p, a, "2024-01-01 00:00:00") for o, c, p, a in rows]
     df = spark.createDataFrame(data, DOUBLE_EVENTS).withColumn("rid", F.monotonically_increasing_id())
     clean, error = split_quality(df, "Batch")

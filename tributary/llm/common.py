@@ -12,6 +12,8 @@ from tributary.session import scratch_path
 #: Words are runs of anything but ASCII white space.
 BLANKS = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
+#: Spark's own default limit on the buckets of a table.
+MAX_BUCKETS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,17 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(spark: SparkSession, df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, with the rows of each value of ``key`` in one bucket: later groupings
+    and joins by ``key`` need no shuffle of these rows.  Each task writes its own rows, so
+    nothing moves; rows of one key should come from one task."""
+    path = scratch_path(spark, name)
+    buckets = min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions()))
+    saved = "_".join(path.rsplit("/", 1)[1].split("-"))
+    df.write.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(saved)
+    return spark.table(saved)
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """Identifies a row by id and text; rows equal in both are the same document."""
     return F.xxhash64(doc_id, text, F.length(text))

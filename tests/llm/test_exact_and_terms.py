@@ -100,10 +100,11 @@ def divergence_by_hand(data, min_docs, prior, scale, top):
     return sorted(map(repr, out))
 
 
-def test_divergence_by_hand(spark, monkeypatch):
+@pytest.mark.parametrize("flush, held", [(4, 1000), (1000, 9), (1000, 60)])
+def test_divergence_by_hand(spark, monkeypatch, flush, held):
     """Terms beyond ASCII and longer than every level, null and blank groups, a group without terms, ties."""
-    monkeypatch.setattr(source_divergence, "FLUSH", 20)
-    monkeypatch.setattr(source_divergence, "LOOK", 100)
+    monkeypatch.setattr(source_divergence, "FLUSH", flush)
+    monkeypatch.setattr(source_divergence, "HELD", held)
     monkeypatch.setattr(source_divergence, "CELLS", 16)
     monkeypatch.setattr(source_divergence, "STRIPE", 2)
     rng = random.Random(3)

@@ -5,15 +5,15 @@ iceberg prefix refinement over their UTF-8 bytes: level by level, documents are
 term prefix; a prefix that occurs in fewer documents than that is discarded with everything
 it begins, so the next, longer level counts only extensions of prefixes that remain, and the
 last pass counts complete terms.  A document's prefixes are counted once in its own task and
-combined there (a task's table of counts is given on when it reaches ``FLUSH`` entries), so a
-hot term, source or language costs one row a task.  The prefixes that remain go back to the
+combined there (what a task holds is given on at ``FLUSH`` terms or ``HELD`` counts), so a hot
+term, source or language costs one row a task.  The prefixes that remain go back to the
 tasks as a bit filter of fixed size (``SLOTS`` bits: 2 MB whatever the input); one that
 passes the filter by chance is discarded by its own count, so the result is exact.
 
 Every (lang, source) group then has for each kept term the smoothed share
 p = 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR * V)), in exact decimals.  Sources are
-compared over all kept terms in blocks of terms (at most ``CELLS`` term-source cells, and
-``STRIPE`` sources against all others, in one task); their sums are added up by pair.
+compared over all kept terms in blocks of terms (at most ``MOST_CELLS`` term-source cells, and
+``STRIPE`` sources against all others, in one group); their sums are added up by pair.
 
 Null text, lang and source count as ''.  A group without kept terms, or a language without
 any, has its pairs (value 0 if there are no kept terms) and no term rows.  Rows that repeat
@@ -23,7 +23,7 @@ an empty result; extra columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -39,82 +39,95 @@ PRIOR = 5
 SCALE = 1_000_000_000
 TOP = 50
 #: Prefix lengths in bytes, each counted in a pass of its own.
-LEVELS = (3, 6, 12)
+LEVELS = (4, 8, 12)
 SLOTS = 1 << 24
-FLUSH = 200_000
-#: Bytes of text between two looks at the size of a task's table.
-LOOK = 1 << 20
-CELLS = 1 << 20
+#: Terms that a task numbers, and counts that it holds, before they are given on.
+FLUSH = 500_000
+HELD = 1 << 21
+#: Term-source cells of a block: at least so many, else as many terms as sources (a block's
+#: sums by pair are then fewer than its cells), at most so many.
+CELLS, MOST_CELLS = 1 << 16, 1 << 24
 STRIPE = 512
 
 #: Bytes of terms: letters and everything beyond ASCII, with A-Z lowered; others end a term.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def terms(text: str | None) -> list[bytes]:
-    """The terms of a text, repeats included, as UTF-8."""
-    return (text or "").encode().translate(_TERM_BYTES).split()
+def terms(text: bytes | None) -> list[bytes]:
+    """The terms of a UTF-8 text, repeats included."""
+    return (text or b"").translate(_TERM_BYTES).split()
 
 
 # -- prefix refinement -------------------------------------------------------------------------
-class Alive:
-    """Which prefixes of a level may remain, by the bit filter over all of them."""
+class Numbers(dict):
+    """Terms of a language to the numbers of their prefixes, as a task meets them; -1 for a term
+    whose shorter prefix was discarded."""
 
-    def __init__(self, length: int, bits: bytes):
-        self.length, self.bits = length, bits
-        self.known: dict[tuple[int, bytes], bool] = {}
+    def __init__(self, lang: str, level: int | None, parents: tuple[int, bytes] | None):
+        self.level, self.parents = level, parents
+        self.seed = crc32(lang.encode() + b"\0")
+        self.prefixes: dict[bytes, int] = {}
+        self.size = 0
 
-    def of(self, lang: int, prefixes: set[bytes]) -> set[bytes]:
-        out = set()
-        for p in prefixes:
-            hit = self.known.get((lang, p))
-            if hit is None:
-                if len(self.known) >= FLUSH:
-                    self.known.clear()
-                slot = crc32(p, lang) % SLOTS
-                hit = self.known[lang, p] = bool(self.bits[slot >> 3] >> (slot & 7) & 1)
-            if hit:
-                out.add(p)
-        return out
+    def __missing__(self, term: bytes) -> int:
+        number = -1
+        if self.parents is None or self._remains(term[:self.parents[0]]):
+            number = self.prefixes.setdefault(term[:self.level], len(self.prefixes))
+        self[term] = number
+        self.size += 1 + len(term) // 64
+        return number
 
+    def _remains(self, prefix: bytes) -> bool:
+        slot = crc32(prefix, self.seed) % SLOTS
+        return bool(self.parents[1][slot >> 3] >> (slot & 7) & 1)
 
-def _lang_seed(lang: str) -> int:
-    return crc32(lang.encode() + b"\0")
 
+def _folded(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(number, docs, n) with each number once."""
+    number, docs, n = (np.concatenate(c) for c in zip(*parts))
+    out, back = np.unique(number, return_inverse=True)
+    return out, np.bincount(back, docs).astype(np.int64), np.bincount(back, n).astype(np.int64)
 
-def _alive_terms(found: set[bytes], lang: int, alive: Alive | None) -> set[bytes]:
-    if alive is None:
-        return found
-    left = alive.of(lang, {t[:alive.length] for t in found})
-    return {t for t in found if t[:alive.length] in left}
 
-
-def _level_counts(docs: DataFrame, level: int, parents) -> DataFrame:
-    """(lang, prefix, docs): documents of a language with a term that begins so, in parts."""
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("docs", pa.int64())])
+def _counts(docs: DataFrame, level: int | None, parents, by_source: bool) -> DataFrame:
+    """(lang, source, prefix, docs, n), in parts: documents with a term that begins so, and the
+    uses of such terms; whole terms if ``level`` is None, '' for source unless ``by_source``."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("prefix", pa.binary()), ("docs", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alive = Alive(*parents.value) if parents else None
-        counts: dict[str, Counter] = defaultdict(Counter)
-
-        def given() -> pa.RecordBatch:
-            rows = [(lang, p, n) for lang, c in counts.items() for p, n in c.items()]
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-        unseen = 0
+        before = parents.value if parents else None
+        numbers: dict[str, Numbers] = {}
+        parts: dict[tuple[str, str], list] = defaultdict(list)
+        held = 0
+
+        def given() -> Iterator[pa.RecordBatch]:
+            prefixes = {lang: pa.array(known.prefixes, pa.binary()) for lang, known in numbers.items()}
+            for (lang, source), found in parts.items():
+                number, in_docs, n = _folded(found)
+                same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(number), np.int8))) for x in (lang, source)]
+                yield pa.RecordBatch.from_arrays([*same, prefixes[lang].take(pa.array(number)), pa.array(in_docs), pa.array(n)], schema=schema)
+            numbers.clear()
+            parts.clear()
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                text = text.as_py()
-                found = _alive_terms(set(terms(text)), _lang_seed(lang), alive)
-                counts[lang].update({t[:level] for t in found})
-                unseen += len(text)
-                if unseen >= LOOK:
-                    unseen = 0
-                    if sum(map(len, counts.values())) >= FLUSH:
-                        yield given()
-        if any(counts.values()):
-            yield given()
-    return docs.select("lang", "text").mapInArrow(run, "lang string, prefix binary, docs long")
+            for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if lang not in numbers:
+                    numbers[lang] = Numbers(lang, level, before)
+                ids = np.fromiter(map(numbers[lang].__getitem__, terms(text.as_py())), np.int64)
+                number, n = np.unique(ids[ids >= 0], return_counts=True)
+                parts[lang, source].append((number, np.ones(len(number), np.int64), n))
+                held += len(number) + 1
+                if held >= HELD:
+                    parts.update({group: [_folded(found)] for group, found in parts.items()})
+                    held = sum(len(found[0][0]) + 1 for found in parts.values())
+                    if held >= HELD // 2:
+                        yield from given()
+                        held = 0
+                if sum(known.size for known in numbers.values()) >= FLUSH:
+                    yield from given()
+                    held = 0
+        yield from given()
+    source = F.col("source") if by_source else F.lit("").alias("source")
+    return docs.select("lang", source, F.col("text").cast("binary")).mapInArrow(run, "lang string, source string, prefix binary, docs long, n long")
 
 
 def _remaining(counts: DataFrame, min_docs: int) -> bytes:
@@ -128,53 +141,22 @@ def _remaining(counts: DataFrame, min_docs: int) -> bytes:
     return bits.tobytes()
 
 
-def _term_counts(docs: DataFrame, parents) -> DataFrame:
-    """(lang, source, term, docs, n) of the complete terms that may be kept, in parts."""
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alive = Alive(*parents.value)
-        seen: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
-
-        def given() -> pa.RecordBatch:
-            rows = [(*group, t.decode(), n, uses[t]) for group, (in_docs, uses) in seen.items() for t, n in in_docs.items()]
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-        unseen = 0
-        for b in batches:
-            for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                text = text.as_py()
-                found = Counter(terms(text))
-                left = _alive_terms(set(found), _lang_seed(lang), alive)
-                in_docs, uses = seen[lang, source]
-                in_docs.update(left)
-                for t in left:
-                    uses[t] += found[t]
-                unseen += len(text)
-                if unseen >= LOOK:
-                    unseen = 0
-                    if sum(len(c) for c, _ in seen.values()) >= FLUSH:
-                        yield given()
-        if any(c for c, _ in seen.values()):
-            yield given()
-    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, docs long, n long")
-
-
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, term, n, lang_n, first): uses of each kept term in each source that has
     it and in its language; ``first`` marks one row of each (lang, term)."""
     spark = docs.sparkSession
     parents = None
     for level in LEVELS:
-        bits = _remaining(_level_counts(docs, level, parents), min_docs)
+        bits = _remaining(_counts(docs, level, parents, False), min_docs)
         parents = spark.sparkContext.broadcast((level, bits))
-    by_term = Window.partitionBy("lang", "term")
+    by_term = Window.partitionBy("lang", "prefix")
     # One shuffle by (lang, term) serves the sums by source and those of the language.
-    counts = (_term_counts(docs, parents).repartition("lang", "term").groupBy("lang", "source", "term")
+    counts = (_counts(docs, None, parents, True).repartition("lang", "prefix").groupBy("lang", "source", "prefix")
               .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
     kept = (counts.withColumn("lang_docs", F.sum("docs").over(by_term)).withColumn("lang_n", F.sum("n").over(by_term))
             .withColumn("first", F.row_number().over(by_term.orderBy("source")) == 1)
-            .filter(F.col("lang_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n", "first"))
+            .filter(F.col("lang_docs") >= min_docs)
+            .select("lang", "source", F.col("prefix").cast("string").alias("term"), "n", "lang_n", "first"))
     return stored(spark, kept, "divergence-terms")
 
 
@@ -233,7 +215,8 @@ def divergence(docs: DataFrame, *, min_docs: int = MIN_DOCS, prior: int = PRIOR,
             .filter("value > 0").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
             .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top))
 
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("sources") / CELLS)).cast("long")
+    cells_each = F.least(F.lit(MOST_CELLS), F.greatest(F.lit(CELLS), F.col("sources") * F.col("sources")))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("v") * F.col("sources") / cells_each)).cast("long")
     stripes = F.ceil(F.col("sources") / STRIPE).cast("long")
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1)).alias("stripe")
     # A row without a term declares a source, and its share of terms that it does not use.

@@ -39,7 +39,7 @@ PRIOR = 5
 SCALE = 1_000_000_000
 TOP = 50
 #: Prefix lengths in bytes, each counted in a pass of its own.
-LEVELS = (4, 8, 12)
+LEVELS = (6, 12)
 SLOTS = 1 << 24
 #: Terms that a task numbers, and counts that it holds, before they are given on.
 FLUSH = 500_000
@@ -82,11 +82,31 @@ class Numbers(dict):
         return bool(self.parents[1][slot >> 3] >> (slot & 7) & 1)
 
 
-def _folded(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """(number, docs, n) with each number once."""
-    number, docs, n = (np.concatenate(c) for c in zip(*parts))
-    out, back = np.unique(number, return_inverse=True)
-    return out, np.bincount(back, docs).astype(np.int64), np.bincount(back, n).astype(np.int64)
+class Tally:
+    """Documents and uses of each number in one group of a task's documents."""
+
+    def __init__(self):
+        self.firsts: list[np.ndarray] = []
+        self.all: list[np.ndarray] = []
+        self.sums: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, ids: np.ndarray, place: np.ndarray) -> None:
+        """One document's numbers; ``place`` is scratch space, as long as the numbers go."""
+        at = np.arange(len(ids))
+        place[ids] = at
+        self.firsts.append(ids[place[ids] == at])
+        self.all.append(ids)
+
+    def folded(self) -> tuple[np.ndarray, ...]:
+        """(number, docs, n) with each number once; what was added is summed up."""
+        docs, n = (np.bincount(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in (self.firsts, self.all))
+        number = np.flatnonzero(n)
+        parts = [*self.sums, (number, docs[number], n[number])]
+        number, docs, n = (np.concatenate(c) for c in zip(*parts))
+        out, back = np.unique(number, return_inverse=True)
+        self.firsts, self.all = [], []
+        self.sums = [(out, np.bincount(back, docs).astype(np.int64), np.bincount(back, n).astype(np.int64))]
+        return self.sums[0]
 
 
 def _counts(docs: DataFrame, level: int | None, parents, by_source: bool) -> DataFrame:
@@ -97,28 +117,30 @@ def _counts(docs: DataFrame, level: int | None, parents, by_source: bool) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = parents.value if parents else None
         numbers: dict[str, Numbers] = {}
-        parts: dict[tuple[str, str], list] = defaultdict(list)
-        held = 0
+        tallies: dict[tuple[str, str], Tally] = defaultdict(Tally)
+        place, held = np.zeros(1 << 16, np.int64), 0
 
         def given() -> Iterator[pa.RecordBatch]:
             prefixes = {lang: pa.array(known.prefixes, pa.binary()) for lang, known in numbers.items()}
-            for (lang, source), found in parts.items():
-                number, in_docs, n = _folded(found)
+            for (lang, source), tally in tallies.items():
+                number, in_docs, n = tally.folded()
                 same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(number), np.int8))) for x in (lang, source)]
                 yield pa.RecordBatch.from_arrays([*same, prefixes[lang].take(pa.array(number)), pa.array(in_docs), pa.array(n)], schema=schema)
             numbers.clear()
-            parts.clear()
+            tallies.clear()
         for b in batches:
             for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if lang not in numbers:
-                    numbers[lang] = Numbers(lang, level, before)
-                ids = np.fromiter(map(numbers[lang].__getitem__, terms(text.as_py())), np.int64)
-                number, n = np.unique(ids[ids >= 0], return_counts=True)
-                parts[lang, source].append((number, np.ones(len(number), np.int64), n))
-                held += len(number) + 1
+                known = numbers.get(lang)
+                if known is None:
+                    known = numbers[lang] = Numbers(lang, level, before)
+                ids = np.fromiter(map(known.__getitem__, terms(text.as_py())), np.int64)
+                ids = ids[ids >= 0]
+                if len(known.prefixes) > len(place):
+                    place = np.zeros(2 * len(known.prefixes), np.int64)
+                tallies[lang, source].add(ids, place)
+                held += len(ids) + 1
                 if held >= HELD:
-                    parts.update({group: [_folded(found)] for group, found in parts.items()})
-                    held = sum(len(found[0][0]) + 1 for found in parts.values())
+                    held = sum(len(tally.folded()[0]) + 1 for tally in tallies.values())
                     if held >= HELD // 2:
                         yield from given()
                         held = 0

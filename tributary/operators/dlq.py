@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import INVALID_AMOUNT, STATUS_UNPROCESSED, recoverable
-from tributary.operators.gold import minute_revenue
+from tributary.operators.gold import minute_revenue, minute_start
 from tributary.operators.merge import latest_per_key
-from tributary.schemas import DLQ_COLUMNS, SILVER_COLUMNS
+from tributary.schemas import DLQ_COLUMNS, MONEY_SQL, SILVER_COLUMNS
 
 
 def dlq_rows(errors: DataFrame, *, id_col: str = "bronze_id", created_at: Column | None = None
@@ -73,16 +73,19 @@ def recovered_minute(recovered: DataFrame) -> DataFrame:
     return minute_revenue(recovered)
 
 
-def affected_minutes(recovered: DataFrame) -> DataFrame:
-    """(window_start, product_id) keys a recovery touches."""
-    return recovered.filter(F.col("order_date").isNotNull()).select(
-        F.date_trunc("minute", "order_date").cast("timestamp_ntz").alias("window_start"),
-        "product_id").distinct()
-
-
 def recompute_minutes(silver: DataFrame, keys: DataFrame) -> DataFrame:
-    """Minute gold for the given keys recomputed from Silver (``recompute`` mode)."""
-    tagged = silver.withColumn(
-        "window_start", F.date_trunc("minute", "order_date").cast("timestamp_ntz"))
+    """Minute gold for the given keys recomputed from Silver (``recompute`` mode).
+
+    Keys whose window holds no sales any more come back as an empty interval,
+    ``window_end = window_start``, with total 0: a retraction (see :func:`live_minutes`)."""
+    tagged = silver.withColumn("window_start", minute_start(F.col("order_date")))
     hit = tagged.join(keys, ["window_start", "product_id"], "left_semi").drop("window_start")
-    return minute_revenue(hit)
+    fresh = minute_revenue(hit)
+    gone = keys.join(fresh.select("window_start", "product_id"), ["window_start", "product_id"], "left_anti")
+    return fresh.unionByName(gone.select("window_start", F.col("window_start").alias("window_end"), "product_id",
+                                         F.lit(0).cast(MONEY_SQL).alias("total_revenue")))
+
+
+def live_minutes(minutes: DataFrame) -> DataFrame:
+    """Minute gold without retracted windows."""
+    return minutes.filter(F.col("window_end") > F.col("window_start"))

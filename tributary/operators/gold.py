@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import money
@@ -11,21 +11,29 @@ from tributary.schemas import MONEY_SQL, TOTAL_SQL
 MINUTE = "1 minute"
 
 
-def minute_revenue(clean: DataFrame, *, time_col: str = "order_date") -> DataFrame:
+def minute_start(time: Column) -> Column:
+    """The start of the minute window that a wall-clock time lies in."""
+    return F.date_trunc("minute", time).cast("timestamp_ntz")
+
+
+def minute_revenue(clean: DataFrame, *, time_col: str = "order_date", counted: bool = False) -> DataFrame:
     """Tumbling 1-minute x product revenue, windows ``[start, end)``.
 
     Rows with a NULL event time fall out (as ``window()`` does).  Partial
     aggregation happens map-side, so a hot (minute, product) costs one row
-    per input partition in the shuffle.
+    per input partition in the shuffle.  ``counted`` adds ``n_orders``, which
+    incremental upkeep needs to know when a window has become empty.
     """
+    count = [F.count(F.lit(1)).alias("n_orders")] if counted else []
     return (
         clean.groupBy(F.window(F.col(time_col), MINUTE).alias("window"), F.col("product_id"))
-        .agg(F.sum("amount").alias("total_revenue"))
+        .agg(F.sum("amount").alias("total_revenue"), *count)
         .select(
             F.col("window.start").cast("timestamp_ntz").alias("window_start"),
             F.col("window.end").cast("timestamp_ntz").alias("window_end"),
             F.col("product_id"),
             money("total_revenue").alias("total_revenue"),
+            *(["n_orders"] if counted else []),
         )
     )
 

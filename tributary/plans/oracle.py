@@ -10,6 +10,8 @@ from __future__ import annotations
 OLD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
 RUN_STAMP = "TIMESTAMP '2030-01-01 00:00:00'"
 CUTOFF_TARGET = "TIMESTAMP '1998-07-01 00:00:00'"
+#: Refunds of the moved-sale query take over the order of the event so many ids later.
+MOVED_BY = 12
 CUTOFF_CHANGES = "TIMESTAMP '1998-01-01 00:00:00'"
 
 # View A, typed: one dirty kind per residue of event_id % 50.
@@ -276,6 +278,21 @@ hit AS (SELECT s.* FROM silver1 s WHERE EXISTS (SELECT 1 FROM keys k
           WHERE k.window_start = date_trunc('minute', s.order_date) AND k.product_id = s.product_id)),
 mc AS ({MINUTE.format(src='hit')})
 {_minute_upsert_sql('mt', 'mc')}"""
+    # From scratch: Silver with the replaced sales exchanged, summed anew.
+    q["recovery_minute_moved"] = f"""WITH {RECOVERY},
+moved AS (
+  SELECT order_id, product_id, amount, order_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY created_at DESC NULLS LAST, id DESC NULLS LAST) AS rn
+    FROM (SELECT id, created_at, 'E' || CAST(id + {MOVED_BY} AS VARCHAR) AS order_id, product_id, amount, order_date FROM rec_rows))
+  WHERE rn = 1),
+after AS (
+  SELECT product_id, amount, order_date FROM silver0 s WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.order_id = s.order_id)
+  UNION ALL SELECT product_id, amount, order_date FROM moved)
+SELECT m.*, n.n_orders, CASE WHEN EXISTS (SELECT 1 FROM minute0 o WHERE o.window_start = m.window_start AND o.product_id = m.product_id)
+    THEN {OLD_STAMP} ELSE {RUN_STAMP} END AS created_at
+FROM ({MINUTE.format(src='after')}) m
+JOIN (SELECT CAST(date_trunc('minute', order_date) AS TIMESTAMP) AS window_start, product_id, count(*) AS n_orders
+      FROM after WHERE order_date IS NOT NULL GROUP BY 1, 2) n USING (window_start, product_id)"""
     q["refund_daily"] = f"""WITH {RECOVERY}
 SELECT * FROM ({DAILY.format(src='silver1')}) WHERE report_date IS NOT NULL"""
     q["lambda_reconcile"] = f"""WITH {RECOVERY},

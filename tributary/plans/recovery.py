@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.quality import INVALID_AMOUNT, STATUS_PROCESSED, recoverable
+from tributary.operators.deltas import change_feed, touched_minutes
 from tributary.operators.dlq import (
-    affected_minutes, recompute_minutes, recoverable_rows, recovered_events, recovered_minute,
+    recompute_minutes, recoverable_rows, recovered_events, recovered_minute,
 )
-from tributary.plans.store import Store
+from tributary.operators.gold import minute_start
+from tributary.plans.store import SILVER_SCHEMA, Store
 
 
 def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "recompute",
@@ -26,7 +28,9 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
 
     ``mode='replace'`` upserts minute sums of the recovered rows only (the
     window total is replaced, as the original job did); ``'recompute'``
-    recomputes every touched (minute, product) from Silver.
+    recomputes every touched (minute, product) from Silver: those the recovered
+    rows fall in and those that the rows they replace leave, so a refund that
+    moves a sale to another minute leaves nothing behind.
     """
     if mode not in ("replace", "recompute"):
         raise ValueError(f"unknown refresh mode {mode!r}")
@@ -40,16 +44,18 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
     if rows.isEmpty():
         return _report(spark, 0, 0, 0)
     recovered = recovered_events(rows)
+    # The rows to be replaced, as committed now (the files read are fixed here).
+    feed = change_feed(store.silver.read_or_empty(SILVER_SCHEMA, only=recovered.select("order_id")),
+                       recovered, ["order_id"], ["order_date"])
     silver_rows = store.silver.append(recovered.withColumn("processed_at", stamp),
                                       tag=f"recovery-{run_id}")
     if mode == "replace":
         minutes = recovered_minute(recovered)
     else:
-        keys = affected_minutes(recovered)
+        keys = touched_minutes(feed)
 
         def in_affected(raw):
-            tagged = raw.withColumn(
-                "window_start", F.date_trunc("minute", "order_date").cast("timestamp_ntz"))
+            tagged = raw.withColumn("window_start", minute_start(F.col("order_date")))
             return tagged.join(keys, ["window_start", "product_id"], "left_semi")
 
         # Only orders that ever had a version in a touched (minute, product)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tributary.functions.payload import parse_columns
 from tributary.functions.quality import SOURCE_BATCH
 from tributary.functions.text import UNKNOWN_PRODUCT
-from tributary.operators import alerts, checks, dlq, gold, merge, migrate
+from tributary.operators import alerts, checks, deltas, dlq, gold, merge, migrate
 from tributary.operators.quality import route_quality
 from tributary.plans import oracle as O
 from tributary.plans.tables import SnapshotTable
@@ -281,11 +281,27 @@ def q_recovery_minute_replace(spark, d):
                         audit_col="created_at", stamp=RUN_STAMP())
 
 
+def recovered_minutes(silver: DataFrame, refunds: DataFrame) -> DataFrame:
+    """Minute gold after the refunds are replayed into Silver, by signed deltas."""
+    feed = deltas.change_feed(silver, refunds, ["order_id"], ["order_date"])
+    before = gold.minute_revenue(silver, counted=True).withColumn("created_at", OLD_STAMP())
+    return deltas.apply_minute_deltas(before, deltas.minute_deltas(feed), stamp=RUN_STAMP())
+
+
 def q_recovery_minute_recompute(spark, d):
-    keys = dlq.affected_minutes(recovered_a(spark, d))
-    fresh = dlq.recompute_minutes(silver_after_recovery(spark, d), keys)
-    return merge.upsert(minute_a(spark, d), fresh, ["window_start", "product_id"], ["window_end"],
-                        audit_col="created_at", stamp=RUN_STAMP())
+    routed = routed_a(spark, d).select("bronze_id", *SILVER_COLUMNS, "error_reason", "source_type")
+    clean = routed.filter(F.col("error_reason").isNull())
+    queue = dlq.dlq_rows(routed.filter(F.col("error_reason").isNotNull()), created_at=OLD_STAMP())
+    refunds = dlq.recovered_events(dlq.recoverable_rows(queue))
+    return recovered_minutes(clean.select(*SILVER_COLUMNS), refunds).drop("n_orders")
+
+
+def q_recovery_minute_moved(spark, d):
+    """Refunds that hit a sale already in Silver: each takes over the order ``MOVED_BY`` events
+    later, with its own time and product, so that sale leaves its minute."""
+    rows = dlq.recoverable_rows(dlq_a(spark, d)).withColumn(
+        "order_id", F.concat(F.lit("E"), (F.col("id") + O.MOVED_BY).cast("string")))
+    return recovered_minutes(clean_a(spark, d).select(*SILVER_COLUMNS), dlq.recovered_events(rows))
 
 
 def q_refund_daily(spark, d):
@@ -344,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recovery_silver": q_recovery_silver,
     "recovery_minute_replace": q_recovery_minute_replace,
     "recovery_minute_recompute": q_recovery_minute_recompute,
+    "recovery_minute_moved": q_recovery_minute_moved,
     "refund_daily": q_refund_daily,
     "lambda_reconcile": q_lambda_reconcile,
     "run_report": q_run_report,

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from tributary.operators.dlq import live_minutes
 from tributary.plans.tables import CommitLog, KeyedTable, SnapshotTable, Transaction
 from tributary.schemas import (
     DAILY_KEY, DLQ_COLUMNS, MINUTE_COLUMNS, MINUTE_KEY, NOT_NULL, SILVER_COLUMNS, SILVER_KEY,
@@ -81,7 +82,7 @@ class Store:
         return self.dlq.read_or_empty(DLQ_SCHEMA)
 
     def minute_state(self):
-        return self.minute.read_or_empty(MINUTE_SCHEMA)
+        return live_minutes(self.minute.read_or_empty(MINUTE_SCHEMA))
 
     def bronze_state(self):
         return self.bronze.read_or_empty(BRONZE_SCHEMA)

@@ -464,9 +464,14 @@ class KeyedTable(_Table):
         keys = hit.select(*self.key).distinct()
         return self.merge(raw.join(keys, self.key, "left_semi"))
 
-    def read_or_empty(self, schema: str) -> DataFrame:
+    def read_or_empty(self, schema: str, only: DataFrame | None = None) -> DataFrame:
+        """Current state, or no rows of ``schema``; with ``only``, of these keys (the rest is not merged)."""
         recs, live = self.records(), self.live()
-        return self._state(recs, live) if live else self.spark.createDataFrame([], schema)
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        if only is not None:
+            return self.merge(self._load(live).join(only, self.key, "left_semi"))
+        return self._state(recs, live)
 
     def _state(self, recs: list, live: list[str]) -> DataFrame:
         """The merged rows of ``live``; a base alone holds one row per key and is only scanned."""

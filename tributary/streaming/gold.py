@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.payload import parse_columns
-from tributary.functions.quality import SOURCE_STREAMING, money
+from tributary.functions.quality import SOURCE_STREAMING
+from tributary.operators.gold import minute_revenue
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
 from tributary.streaming.router import stream_tag
 
 WATERMARK = "5 minutes"
-MINUTE = "1 minute"
 
 
 def clean_stream(payloads: DataFrame) -> DataFrame:
@@ -34,17 +34,7 @@ def minute_stream(clean: DataFrame, *, watermark: str = WATERMARK) -> DataFrame:
     bounds are cast back, so the output wall clock equals the input's.
     """
     ev = clean.withColumn("event_ts", F.col("order_date").cast("timestamp"))
-    return (
-        ev.withWatermark("event_ts", watermark)
-        .groupBy(F.window("event_ts", MINUTE).alias("window"), "product_id")
-        .agg(F.sum("amount").alias("total_revenue"))
-        .select(
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-            "product_id",
-            money("total_revenue").alias("total_revenue"),
-        )
-    )
+    return minute_revenue(ev.withWatermark("event_ts", watermark), time_col="event_ts")
 
 
 def start_minute_query(minutes: DataFrame, store: Store, checkpoint: str, run_tag: str, *,

@@ -314,6 +314,7 @@ SELECT (SELECT count(*) FROM r) AS bronze_rows,
   (SELECT CAST(sum(total_revenue) AS DECIMAL(38,2)) FROM d WHERE report_date IS NULL) AS null_date_revenue"""
     q.update(batch_job_sql())
     q["silver_merge_on_read"] = q["recovery_silver"]
+    q["silver_upsert_bucketed"], q["minute_upsert_bucketed"] = q["silver_upsert"], q["minute_upsert"]
     q["silver_upsert_keeps_audit"] = f"""WITH {B_TARGET},
 chg AS (
   SELECT order_id, amount FROM (

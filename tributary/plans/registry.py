@@ -476,3 +476,32 @@ def q_silver_upsert_keeps_audit(spark, d):
 
 
 QUERIES["silver_upsert_keeps_audit"] = q_silver_upsert_keeps_audit
+
+
+def _bucketed(spark, name, schema, key, buckets=32):
+    from tributary.plans.bucketed import BucketedTable
+    path = scratch_path(spark, name)
+    return BucketedTable(spark, path.rsplit("/", 1)[1].replace("-", "_"), path, schema, key, buckets)
+
+
+def q_silver_upsert_bucketed(spark, d):
+    """``silver_upsert`` on a bucketed table: the changes move, the table does not."""
+    from tributary.plans.store import SILVER_SCHEMA
+    table = _bucketed(spark, "silver", SILVER_SCHEMA, ["order_id"])
+    table.load(b_target(spark, d).withColumn("processed_at", OLD_STAMP()))
+    table.upsert(b_changes(spark, d), VIEW_B_ORDER, audit_col="processed_at", stamp=RUN_STAMP())
+    return table.read()
+
+
+def q_minute_upsert_bucketed(spark, d):
+    """``minute_upsert`` on a bucketed table with a key of two columns."""
+    from tributary.plans.store import MINUTE_SCHEMA
+    b = view_b(spark, d)
+    table = _bucketed(spark, "minute", MINUTE_SCHEMA, ["window_start", "product_id"])
+    table.load(gold.minute_revenue(b.filter(F.col("order_date") < CUTOFF_TARGET())).withColumn("created_at", OLD_STAMP()))
+    table.upsert(gold.minute_revenue(b.filter(F.col("order_date") >= CUTOFF_CHANGES())), ["window_end"],
+                 audit_col="created_at", stamp=RUN_STAMP())
+    return table.read()
+
+
+QUERIES.update({"silver_upsert_bucketed": q_silver_upsert_bucketed, "minute_upsert_bucketed": q_minute_upsert_bucketed})

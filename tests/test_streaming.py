@@ -115,3 +115,17 @@ def test_new_checkpoint_same_run_tag_does_not_overwrite(spark):
         stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(inbox)
         start_router(stream, store, f"{root}/ck{i}", "same", available_now=True).awaitTermination()
     assert sorted(r["order_id"] for r in store.silver_state().collect()) == ["O0", "O100"]
+
+
+def test_open_windows_are_read_from_the_state(spark):
+    """Emitted minutes and those in state are all minutes; the state holds no emitted one."""
+    from tributary.streaming.state import open_minutes
+    root = scratch_path(spark, "open")
+    inbox, store = f"{root}/in", Store(spark, f"{root}/tables")
+    _write(spark, inbox, [("2024-01-01 10:00:10", "p1", 100), ("2024-01-01 10:00:40", "p1", 1)], 0)
+    _write(spark, inbox, [("2024-01-01 10:20:00", "p1", 7), ("2024-01-01 10:19:00", "p2", 9)], 10)
+    stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(inbox)
+    start_minute_query(minute_stream(clean_stream(stream)), store, f"{root}/ck", "open", available_now=True).awaitTermination()
+    held = {(r["window_start"].strftime("%H:%M"), r["product_id"]): r["total_revenue"] for r in open_minutes(spark, f"{root}/ck").collect()}
+    assert _minutes(store) == {("10:00", "p1"): Decimal("101.00")}
+    assert held == {("10:20", "p1"): Decimal("7.00"), ("10:19", "p2"): Decimal("9.00")}

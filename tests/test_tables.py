@@ -169,11 +169,53 @@ def test_partitioned_keyed_table_and_status_pushdown(spark):
     assert got == {"a": "processed", "b": "unprocessed"}
     plan = t.versions().filter("status = 'unprocessed'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(status" in plan
-    # Unpartitioned DLQ: the status filter is pushed to the Parquet scan.
+    # The queue is partitioned by status: the filter prunes folders before any file is opened.
     store = Store(spark, scratch_path(spark, "dlqpush"))
     row = [("s", 1, "O1", "C", "1", Decimal("-1.00"), None, "Invalid Amount", "Batch", "unprocessed",
             dt.datetime(2024, 1, 1))]
     from tributary.plans.store import DLQ_SCHEMA
     store.dlq.append(spark.createDataFrame(row, DLQ_SCHEMA), "b1")
     plan = store.dlq.versions().filter("status = 'unprocessed'")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(status,unprocessed)" in plan
+    assert "PartitionFilters: [isnotnull(status" in plan
+
+
+def test_queue_lookups_prune_partitions_and_files(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from tributary.plans.store import DLQ_SCHEMA, Store
+    from tributary.session import scratch_path
+    store = Store(spark, scratch_path(spark, "lookup"))
+    stamp = dt.datetime(2024, 1, 1)
+    assert store.dlq_lookup("unprocessed").count() == 0
+
+    def rows(ids, status, reason="Invalid Amount"):
+        return spark.createDataFrame([("s", i, f"O{i}", "C", "1", Decimal(-1), stamp, reason, "Batch", status, stamp) for i in ids], DLQ_SCHEMA)
+    store.dlq.append(rows(range(0, 200, 2), "unprocessed"), "a")
+    store.dlq.append(rows([], "unprocessed"), "none")
+    store.dlq.append(rows([1], "unprocessed", "Missing Order ID"), "b")
+    store.dlq.append(rows([4, 8], "processed"), "c")
+
+    def scans(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.split("\n") if "FileScan" in line]
+    for compacted in (False, True):
+        if compacted:
+            store.dlq.compact()
+        assert store.dlq_lookup("unprocessed").count() == 99
+        assert sorted(r["id"] for r in store.dlq_lookup("processed").collect()) == [4, 8]
+        assert store.dlq_lookup("unprocessed", reason="Missing Order ID").count() == 1
+        assert store.dlq_lookup("unprocessed", order_id="O4").count() == 0
+        looked = store.dlq_lookup("unprocessed", reason="Invalid Amount")
+        assert all("status" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in scans(looked))
+        assert any("EqualTo(error_reason,Invalid Amount)" in line for line in scans(looked))
+    # Within the range of the file's order ids, but not in it: the Bloom filter skips the file.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lone = store.dlq.versions().filter("status = 'unprocessed' and order_id = 'O101'")
+        qe = lone._jdf.queryExecution()
+        assert qe.toRdd().count() == 0
+        leaf = qe.executedPlan().collectLeaves().head()
+        assert leaf.metrics().apply("numOutputRows").value() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

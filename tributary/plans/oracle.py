@@ -260,6 +260,9 @@ FROM agg"""
     q["dlq_lifecycle"] = f"""WITH {RECOVERY}
 SELECT id, error_reason, CASE WHEN id IN (SELECT id FROM rec_rows) THEN 'processed' ELSE status END AS status
 FROM dlq"""
+    q["dlq_lookup"] = f"""WITH {RECOVERY},
+now AS (SELECT dlq.* REPLACE (CASE WHEN id IN (SELECT id FROM rec_rows) THEN 'processed' ELSE status END AS status) FROM dlq)
+SELECT *, 'increments' AS phase FROM now UNION ALL SELECT *, 'compacted' FROM now"""
     q["dlq_recoverable"] = f"WITH {RECOVERY} SELECT * FROM rec_rows"
     q["dlq_review_queue"] = f"""WITH {RECOVERY}
 SELECT error_reason, source_type, count(*) AS n_rows, min(created_at) AS oldest_created_at

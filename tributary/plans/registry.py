@@ -505,3 +505,29 @@ def q_minute_upsert_bucketed(spark, d):
 
 
 QUERIES.update({"silver_upsert_bucketed": q_silver_upsert_bucketed, "minute_upsert_bucketed": q_minute_upsert_bucketed})
+
+
+def q_dlq_lookup(spark, d):
+    """The queue by status and reason, after a recovery marked its records, and again after
+    compaction: every (status, reason) there is, each looked up by itself."""
+    from tributary.functions import quality as Q
+    from tributary.plans.store import Store
+    store = Store(spark, scratch_path(spark, "lookup"))
+    queue = dlq_a(spark, d).withColumn("source", F.lit("events"))
+    store.dlq.append(queue, tag="load")
+    store.dlq.append(dlq.recoverable_rows(queue).withColumn("status", F.lit(Q.STATUS_PROCESSED)), tag="recovery")
+    reasons = (Q.MISSING_CUSTOMER, Q.INVALID_AMOUNT, Q.MISSING_ORDER, Q.MISSING_PRODUCT, Q.SCHEMA_MISMATCH)
+
+    def looked_up(phase: str) -> DataFrame:
+        parts = [store.dlq_lookup(status, reason=reason).withColumn("phase", F.lit(phase))
+                 for status in (Q.STATUS_UNPROCESSED, Q.STATUS_PROCESSED) for reason in reasons]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+    before = looked_up("increments")
+    store.dlq.compact()
+    return before.unionByName(looked_up("compacted")).drop("source")
+
+
+QUERIES["dlq_lookup"] = q_dlq_lookup

@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from tributary.functions.quality import STATUS_PROCESSED
 from tributary.operators.dlq import live_minutes
 from tributary.plans.tables import CommitLog, KeyedTable, SnapshotTable, Transaction
 from tributary.schemas import (
@@ -13,6 +15,8 @@ from tributary.schemas import (
     VARCHAR_LIMITS,
 )
 
+#: Orders that the Bloom filter of a queue file is sized for.
+DLQ_ORDERS_A_FILE = 1_000_000
 BRONZE_COLUMNS = ["source", "bronze_id", "payload", "ingested_at"]
 SILVER_TABLE_COLUMNS = [*SILVER_COLUMNS, "processed_at"]
 MINUTE_TABLE_COLUMNS = [*MINUTE_COLUMNS, "created_at"]
@@ -58,11 +62,8 @@ class Store:
             s, f"{r}/dlq", ["source", "id"], DLQ_TABLE_COLUMNS,
             policies={**{c: "first" for c in DLQ_TABLE_COLUMNS if c not in ("source", "id")},
                       "status": "min", "created_at": "min"},
-            name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"])
-        # Every DLQ increment holds one status only (routing writes 'unprocessed',
-        # recovery 'processed'), so a pushed-down status filter skips whole
-        # increments by Parquet min/max statistics -- no physical partitioning,
-        # which would need one scan per increment.
+            name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"],
+            partition_by=["status"], bloom={"error_reason": 64, "order_id": DLQ_ORDERS_A_FILE})
         self.daily = SnapshotTable(s, f"{r}/gold_daily", key=DAILY_KEY,
                                    not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"],
                                    name="gold_daily", log=log)
@@ -75,6 +76,27 @@ class Store:
         """``with store.transaction() as tx: table.append(df, tag, tx=tx)``"""
         return Transaction(self.log)
 
+    def dlq_lookup(self, status: str, *, reason: str | None = None, order_id: str | None = None):
+        """Queue records whose status now is ``status``, by reason or order (K16).
+
+        Only the partition of that status is read for them, and Bloom filters skip its files
+        without the reason or order.  Unprocessed records are those that no later version
+        closed: of the other partition only the keys are read.  A compacted queue is one scan.
+        """
+        raw = self.dlq.versions()
+        if raw is None:
+            return self.dlq_state()
+        hit = raw.filter(F.col("status") == status)
+        for name, value in (("error_reason", reason), ("order_id", order_id)):
+            if value is not None:
+                hit = hit.filter(F.col(name) == value)
+        if self.dlq.is_one_base():
+            return hit.select(*DLQ_TABLE_COLUMNS)
+        if status != STATUS_PROCESSED:
+            closed = raw.filter(F.col("status") == STATUS_PROCESSED).select(*self.dlq.key).distinct()
+            hit = hit.join(closed, self.dlq.key, "left_anti")
+        return self.dlq.merge(hit)
+
     def silver_state(self):
         return self.silver.read_or_empty(SILVER_SCHEMA)
 

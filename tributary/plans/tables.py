@@ -40,7 +40,7 @@ COMMIT_SCHEMA = ("table_name string, seq long, kind string, tag string, path str
 
 def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
                    varchar: Mapping[str, int] | None = None, table: str = "",
-                   partition_by: Sequence[str] = ()) -> int:
+                   partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None) -> int:
     """Overwrite ``path`` with ``df`` and return the row count.
 
     The count and the NOT NULL / length violations are observed during the
@@ -59,6 +59,9 @@ def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
     writer = df.observe(obs, *metrics).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    for c, distinct in (bloom or {}).items():
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct)))
     writer.parquet(path)
     got = obs.get
     bad = [f"{label}={got[f'v{i}']}" for i, label in enumerate(labels) if got[f"v{i}"]]
@@ -333,13 +336,14 @@ class KeyedTable(_Table):
                  columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
                  name: str | None = None, log: CommitLog | None = None,
                  not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None,
-                 partition_by: Sequence[str] = ()):
+                 partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None):
         super().__init__(spark, root, name, log)
         self.not_null, self.varchar = list(not_null), dict(varchar or {})
-        # Optional physical partitioning of every increment.  Partition discovery
-        # needs one scan per increment then, so use it for tables with few
-        # increments between compactions.
+        # Partition columns: increments and bases are then partitions of one folder, too
+        # (``part=<name>/<column>=<value>``), so all are one scan that prunes both.
         self.partition_by = list(partition_by)
+        # Columns with a Bloom filter in each file: about how many values a file holds.
+        self.bloom = dict(bloom or {})
         self.key = list(key)
         self.columns = list(columns)
         self.policies = {c: "latest" for c in self.columns if c not in self.key}
@@ -367,15 +371,18 @@ class KeyedTable(_Table):
         seq = self._next_seq(recs, tx)
         # Plain folder names (not key=value): several increments are read
         # together and only their own partition folders may look like k=v.
-        path = f"{self.root}/increments/{tag}-{uuid.uuid4().hex[:8]}"
+        path = self._path("increments", f"{tag}-{uuid.uuid4().hex[:8]}")
         n_rows = _write_counted(
             df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
             not_null=self.not_null, varchar=self.varchar, table=self.name,
-            partition_by=self.partition_by)
+            partition_by=self.partition_by, bloom=self.bloom)
         if n_rows or not prior:
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
 
+    def _path(self, kind: str, name: str) -> str:
+        return f"{self.root}/data/part={name}" if self.partition_by else f"{self.root}/{kind}/{name}"
+
     # -- reading --------------------------------------------------------------------------
     def live(self) -> list[str]:
         """Paths of the committed increments and bases that no base has folded.
@@ -385,27 +392,20 @@ class KeyedTable(_Table):
         """
         recs = self.records()
         gone = {path for r in recs if r["kind"] == "base" for path in json.loads(r["tag"])}
-        return list(dict.fromkeys(r["path"] for r in recs if r["path"] not in gone))
+        # Without rows a partitioned increment has no folder.
+        return list(dict.fromkeys(r["path"] for r in recs if r["path"] not in gone
+                                  and (r["n_rows"] or not self.partition_by)))
+
+    def is_one_base(self) -> bool:
+        """Whether the table is one base: then each key has one row version."""
+        live = self.live()
+        return any(r["kind"] == "base" and [r["path"]] == live for r in self.records())
 
     def _load(self, paths: list[str]) -> DataFrame | None:
-        if not self.partition_by:
-            return self.spark.read.parquet(*paths).select(*self.columns, "_seq")
-        # Partition discovery needs one base path per scan, so partitioned
-        # increments are scanned one by one (each prunes its own partition
-        # folders) and unioned; compaction bounds how many there are.  An
-        # increment without rows has no files and is skipped.
-        frames = []
-        for path in paths:
-            try:
-                frames.append(self.spark.read.parquet(path).select(*self.columns, "_seq"))
-            except AnalysisException:
-                continue
-        if not frames:
-            return None
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        reader = self.spark.read
+        if self.partition_by:
+            reader = reader.option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).select(*self.columns, "_seq")
 
     def versions(self) -> DataFrame | None:
         """All committed row versions (with ``_seq``), unmerged."""
@@ -521,8 +521,8 @@ class KeyedTable(_Table):
             return 0
         state = self.merge(self._load(folds), with_seq=True)
         seq = max(r["seq"] for r in recs)
-        path = f"{self.root}/base/{seq:012d}-{uuid.uuid4().hex[:8]}"
-        n_rows = _write_counted(state, path, partition_by=self.partition_by)
+        path = self._path("base", f"{seq:012d}-{uuid.uuid4().hex[:8]}")
+        n_rows = _write_counted(state, path, partition_by=self.partition_by, bloom=self.bloom)
         self._commit((self.name, seq, "base", json.dumps(folds), path, n_rows), None)
         # The folded increments are now prunable from the log.
         self.log.checkpoint()

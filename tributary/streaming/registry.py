@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.gold import daily_revenue, publishable_daily, reconcile
 from tributary.plans import oracle as O
 from tributary.plans.store import Store
 from tributary.schemas import MINUTE_COLUMNS, SILVER_COLUMNS
@@ -13,7 +14,8 @@ from tributary.session import scratch_path, session_key
 from tributary.sources.readers import read_table
 from tributary.streaming.gold import clean_stream, minute_stream, start_minute_query
 from tributary.streaming.router import start_router
-from tributary.streaming.sources import events_payload_stream
+from tributary.streaming.sources import events_payload_stream, events_payloads
+from tributary.streaming.state import open_minutes
 
 LATE_KIND = 12      # residue of event_id % 50 whose rows arrive one phase late
 PHASES = 3
@@ -91,26 +93,42 @@ def arrival_phase(events: DataFrame, lo: int, hi: int) -> F.Column:
     return F.least(F.lit(PHASES), base + late)
 
 
-def q_stream_late_drop(spark, d):
-    """Events arrive in three runs; a share of rows arrives one run late.
-
-    Late rows whose window ended before the previous run's watermark are
-    dropped from minute gold (append mode), the rest are counted.
-    """
+def run_late(spark: SparkSession, d: str) -> tuple[Store, str]:
+    """Minute gold (append mode) of events that arrive in three runs, a share of them one run
+    late; returns its store and the query's checkpoint."""
     events = read_table(spark, d, "events")
     bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     root = scratch_path(spark, "late")
-    inbox = f"{root}/inbox"
+    inbox, checkpoint = f"{root}/inbox", f"{root}/checkpoint"
     store = Store(spark, f"{root}/tables")
     phased = events.withColumn("_phase", arrival_phase(events, bounds["lo"], bounds["hi"]))
     for p in range(1, PHASES + 1):
         phased.filter(F.col("_phase") == p).drop("_phase").write.mode("append").parquet(inbox)
         stream = events_payload_stream(spark, inbox, events.schema)
         minutes = minute_stream(clean_stream(stream))
-        q = start_minute_query(minutes, store, f"{root}/checkpoint", "late", output_mode="append",
+        q = start_minute_query(minutes, store, checkpoint, "late", output_mode="append",
                                available_now=True)
         q.awaitTermination()
-    return store.minute_state().select(*MINUTE_COLUMNS)
+    return store, checkpoint
+
+
+def q_stream_late_drop(spark, d):
+    """Events arrive in three runs; a share of rows arrives one run late.
+
+    Late rows whose window ended before the previous run's watermark are
+    dropped from minute gold (append mode), the rest are counted.
+    """
+    return run_late(spark, d)[0].minute_state().select(*MINUTE_COLUMNS)
+
+
+def q_lambda_reconcile_open(spark, d):
+    """Speed against batch view before the watermark has closed every window: emitted minutes
+    and those still in state, against daily gold of all clean rows.  What differs is the
+    revenue of rows that came too late."""
+    store, checkpoint = run_late(spark, d)
+    speed = store.minute_state().select(*MINUTE_COLUMNS).unionByName(open_minutes(spark, checkpoint))
+    batch = publishable_daily(daily_revenue(clean_stream(events_payloads(read_table(spark, d, "events")))))
+    return reconcile(speed, batch)
 
 
 def q_stream_alert_digest(spark, d):
@@ -143,6 +161,7 @@ STREAM_QUERIES = {
     "stream_minute_append": q_stream_minute_append,
     "stream_minute_update": q_stream_minute_update,
     "stream_late_drop": q_stream_late_drop,
+    "lambda_reconcile_open": q_lambda_reconcile_open,
 }
 
 
@@ -172,7 +191,7 @@ FROM r WHERE error_reason IS NOT NULL"""
     q["stream_minute_update"] = f"WITH {clean_s} {O.MINUTE.format(src='clean')}"
     q["stream_minute_append"] = f"""WITH {clean_s}, m AS ({O.MINUTE.format(src='clean')})
 SELECT * FROM m WHERE window_end <= (SELECT max(order_date) FROM clean) - INTERVAL 5 MINUTE"""
-    q["stream_late_drop"] = f"""WITH {clean_s},
+    kept = f"""{clean_s},
 ids AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
 ph AS (SELECT c.*, LEAST({PHASES}, 1 + (3 * (c.bronze_id - ids.lo)) // (ids.hi - ids.lo + 1)
           + CASE WHEN c.bronze_id % 50 = {LATE_KIND} THEN 1 ELSE 0 END) AS phase
@@ -181,7 +200,16 @@ prev AS (SELECT p.phase, (SELECT max(order_date) FROM ph q WHERE q.phase < p.pha
          FROM (SELECT DISTINCT phase FROM ph) p),
 kept AS (SELECT ph.* FROM ph JOIN prev USING (phase)
          WHERE prev.prev_max IS NULL
-            OR date_trunc('minute', ph.order_date) + INTERVAL 1 MINUTE > prev.prev_max - INTERVAL 5 MINUTE),
+            OR date_trunc('minute', ph.order_date) + INTERVAL 1 MINUTE > prev.prev_max - INTERVAL 5 MINUTE)"""
+    q["lambda_reconcile_open"] = f"""WITH {kept},
+speed AS (SELECT CAST(order_date AS DATE) AS report_date, product_id, CAST(sum(amount) AS DECIMAL(38,2)) AS speed_revenue
+          FROM kept WHERE order_date IS NOT NULL GROUP BY 1, 2),
+batch AS (SELECT report_date, product_id, CAST(total_revenue AS DECIMAL(38,2)) AS batch_revenue
+          FROM ({O.DAILY.format(src='clean')}) WHERE report_date IS NOT NULL)
+SELECT b.report_date, b.product_id, s.speed_revenue, b.batch_revenue,
+  CAST(b.batch_revenue - COALESCE(s.speed_revenue, 0) AS DECIMAL(38,2)) AS delta
+FROM batch b LEFT JOIN speed s ON s.report_date = b.report_date AND s.product_id = b.product_id"""
+    q["stream_late_drop"] = f"""WITH {kept},
 m AS ({O.MINUTE.format(src='kept')})
 SELECT * FROM m WHERE window_end <= (SELECT max(order_date) FROM ph) - INTERVAL 5 MINUTE"""
     q["stream_alert_digest"] = f"""WITH {O.VIEW_B}, {O.CATALOG},

@@ -24,5 +24,9 @@ def events_payload_stream(spark: SparkSession, path: str, schema, *, glob: str |
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    events = reader.parquet(path)
+    return events_payloads(reader.parquet(path), source)
+
+
+def events_payloads(events: DataFrame, source: str = "events") -> DataFrame:
+    """``events`` rows, streamed or not, as Bronze payloads (view A)."""
     return bronze_view_a(events).select(F.lit(source).alias("source"), "bronze_id", "payload")

@@ -241,9 +241,9 @@ hv AS (SELECT b.order_id, b.customer_id, b.product_id, b.amount, b.order_date, c
        FROM b LEFT JOIN cat ON cat.product_id = b.product_id WHERE b.amount > 1000)"""
     q["high_value_orders"] = f"{hv} SELECT * FROM hv"
     q["alert_digest"] = f"""{hv},
-lined AS (SELECT CAST(order_date AS DATE) AS report_date, amount, order_id, {DIGEST_LINE} AS line FROM hv),
+lined AS (SELECT CAST(order_date AS DATE) AS report_date, amount, order_id, product_id, {DIGEST_LINE} AS line FROM hv),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY report_date
-             ORDER BY amount DESC NULLS LAST, order_id NULLS FIRST, line NULLS FIRST) AS rn FROM lined),
+             ORDER BY amount DESC NULLS LAST, order_id NULLS FIRST, product_id NULLS FIRST, line NULLS FIRST) AS rn FROM lined),
 agg AS (
   SELECT report_date, count(*) AS n_orders, count(*) FILTER (WHERE rn <= 15) AS n_listed,
     string_agg(line, chr(10) ORDER BY rn) FILTER (WHERE rn <= 15) AS lines

@@ -249,8 +249,8 @@ def q_high_value_orders(spark, d):
 
 
 def q_alert_digest(spark, d):
-    hv = _high_value_b(spark, d).withColumn("report_date", F.to_date("order_date"))
-    return alerts.alert_digest(hv, ["report_date"])
+    hv = alerts.high_value(view_b(spark, d).select(*SILVER_COLUMNS)).withColumn("report_date", F.to_date("order_date"))
+    return alerts.alert_digest(hv, ["report_date"], catalog=catalog(spark, d))
 
 
 def q_dlq_append(spark, d):

@@ -148,8 +148,8 @@ def q_stream_alert_digest(spark, d):
         .json(f"{root}/inbox")
     start_router(stream, store, f"{root}/checkpoint", "alerts",
                  catalog=catalog_from_part(read_table(spark, d, "part")),
-                 available_now=True).awaitTermination()
-    return store.alerts.read().select("n_orders", "n_listed", "n_more", "lines", "message")
+                 available_now=True, alert_time=F.expr(O.RUN_STAMP)).awaitTermination()
+    return store.alerts.read().select("n_orders", "n_listed", "n_more", "lines", "message", "local_time")
 
 
 STREAM_QUERIES = {
@@ -213,17 +213,17 @@ FROM batch b LEFT JOIN speed s ON s.report_date = b.report_date AND s.product_id
 m AS ({O.MINUTE.format(src='kept')})
 SELECT * FROM m WHERE window_end <= (SELECT max(order_date) FROM ph) - INTERVAL 5 MINUTE"""
     q["stream_alert_digest"] = f"""WITH {O.VIEW_B}, {O.CATALOG},
-hv AS (SELECT b.order_id, b.amount, {O.DIGEST_LINE.replace('product_name', 'cat.product_name')} AS line
+hv AS (SELECT b.order_id, b.product_id, b.amount, {O.DIGEST_LINE.replace('product_name', 'cat.product_name')} AS line
        FROM b LEFT JOIN cat ON cat.product_id = b.product_id WHERE b.amount > 1000),
 ranked AS (SELECT *, row_number() OVER (ORDER BY amount DESC NULLS LAST, order_id NULLS FIRST,
-             line NULLS FIRST) AS rn FROM hv),
+             product_id NULLS FIRST, line NULLS FIRST) AS rn FROM hv),
 agg AS (SELECT count(*) AS n_orders, count(*) FILTER (WHERE rn <= 15) AS n_listed,
           string_agg(line, chr(10) ORDER BY rn) FILTER (WHERE rn <= 15) AS lines FROM ranked)
 SELECT n_orders, n_listed, n_orders - n_listed AS n_more, lines,
   concat_ws(chr(10), '[SYSTEM ALERT - HIGH VALUE TRANSACTIONS]', '----------------------------------------',
-    'Batch: batch', 'Orders: ' || CAST(n_orders AS VARCHAR), '----------------------------------------',
+    'Batch: 0', 'Time: 2030-01-01 07:00:00', 'Orders: ' || CAST(n_orders AS VARCHAR), '----------------------------------------',
     lines, CASE WHEN n_orders - n_listed > 0 THEN '... and ' || CAST(n_orders - n_listed AS VARCHAR)
       || ' more high-value orders in this batch.' END,
-    '----------------------------------------') AS message
+    '----------------------------------------') AS message, '2030-01-01 07:00:00' AS local_time
 FROM agg"""
     return q

@@ -2,9 +2,8 @@
 each micro-batch to Bronze, Silver, DLQ and the alert digest.
 
 The micro-batch is read from the source once and persisted; every sink write
-goes to an increment tagged ``<run_tag>-<batch_id>``, so a retried batch
-overwrites its own increment instead of adding copies.  A replay under a new
-run tag converges because the tables are keyed (Bronze by source position,
+goes to an increment tagged ``<run_tag>-<batch_id>``.  A retried batch commits the same
+rows again, and a replay under a new run tag does too; both converge because the tables are keyed (Bronze by source position,
 Silver by order id, DLQ by source position).
 """
 
@@ -12,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.payload import parse_columns
@@ -33,8 +32,8 @@ def stream_tag(run_tag: str, checkpoint: str) -> str:
     """Increment tag prefix of a streaming query.
 
     Batch ids restart at 0 under a new checkpoint, so the checkpoint location
-    is part of the tag: a retried batch (same checkpoint) rewrites its own
-    increment, a replay under a new checkpoint never overwrites older ones.
+    is part of the tag: a retried batch (same checkpoint) has its own tag again,
+    a replay under a new checkpoint has others.
     """
     return f"{run_tag}-{hashlib.sha1(checkpoint.encode()).hexdigest()[:10]}"
 
@@ -45,8 +44,11 @@ def _now():
 
 def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame | None = None,
                 broadcast_catalog: bool = False, threshold: float = alerts.HIGH_VALUE_THRESHOLD,
-                alert_zone: str = ALERT_ZONE) -> None:
-    """Write one micro-batch of ``(source, bronze_id, payload)`` rows."""
+                alert_zone: str = ALERT_ZONE, batch_id: int | None = None, alert_time: Column | None = None) -> None:
+    """Write one micro-batch of ``(source, bronze_id, payload)`` rows.
+
+    The digest names ``batch_id`` (else the tag) and the time (``alert_time``, else now) in
+    ``alert_zone``."""
     if batch.isEmpty():
         return
     b = batch.persist()
@@ -69,12 +71,12 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
                                  tag=tag, tx=tx)
                 if catalog is not None:
                     high = alerts.high_value(clean, threshold)
+                    local = local_time_text(alert_time if alert_time is not None else F.current_timestamp(), alert_zone)
                     digest = alerts.alert_digest(
-                        alerts.enrich(high, catalog, broadcast_catalog=broadcast_catalog,
-                                      catalog_is_unique=True))
+                        high, catalog=catalog, broadcast_catalog=broadcast_catalog, catalog_is_unique=True,
+                        batch=F.lit(tag if batch_id is None else batch_id), at=local)
                     store.alerts.append(
-                        digest.withColumn("batch", F.lit(tag))
-                        .withColumn("local_time", local_time_text(F.current_timestamp(), alert_zone)),
+                        digest.withColumn("batch", F.lit(tag)).withColumn("local_time", local),
                         tag=tag, tx=tx)
         finally:
             routed.unpersist()
@@ -84,7 +86,8 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
 
 def start_router(payloads: DataFrame, store: Store, checkpoint: str, run_tag: str, *,
                  catalog: DataFrame | None = None, available_now: bool = False,
-                 processing_time: str = "10 seconds", query_name: str | None = None):
+                 processing_time: str = "10 seconds", query_name: str | None = None,
+                 alert_time: Column | None = None):
     """Start the router query over a stream of ``(source, bronze_id, payload)``."""
     broadcast_catalog = False
     if catalog is not None:
@@ -99,7 +102,7 @@ def start_router(payloads: DataFrame, store: Store, checkpoint: str, run_tag: st
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
         route_batch(batch_df, store, f"{prefix}-{batch_id}", catalog=catalog,
-                    broadcast_catalog=broadcast_catalog)
+                    broadcast_catalog=broadcast_catalog, batch_id=batch_id, alert_time=alert_time)
 
     writer = payloads.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:

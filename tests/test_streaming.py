@@ -129,3 +129,60 @@ def test_open_windows_are_read_from_the_state(spark):
     held = {(r["window_start"].strftime("%H:%M"), r["product_id"]): r["total_revenue"] for r in open_minutes(spark, f"{root}/ck").collect()}
     assert _minutes(store) == {("10:00", "p1"): Decimal("101.00")}
     assert held == {("10:20", "p1"): Decimal("7.00"), ("10:19", "p2"): Decimal("9.00")}
+
+
+def _messages(spark, path, rows):
+    spark.createDataFrame(rows, "source string, bronze_id long, value binary").write.mode("append").parquet(path)
+
+
+def test_every_message_source_fits_the_router(spark):
+    """Kafka's own row schema and message files give the same contract, with checked decoding."""
+    from tributary.sources.readers import VALUE_SCHEMA, file_value_stream, kafka_values, payload_stream
+    root = scratch_path(spark, "contract")
+    sale = json.dumps({"order_id": "K1", "customer_id": "C", "product_id": "p", "amount": 5, "order_date": "2024-01-01 10:00:00"}).encode()
+    kafka = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+    spark.createDataFrame([(None, sale, "sales", 3, 7, None, 0), (None, None, "sales", 3, 8, None, 0),
+                           (None, sale[:-1] + b"\xc3", "sales", 4, 7, None, 0)], kafka).write.parquet(f"{root}/k")
+    values = kafka_values(spark.readStream.schema(kafka).parquet(f"{root}/k"))
+    _messages(spark, f"{root}/f", [("sales:3", 7, sale)])
+    assert values.schema.simpleString() == file_value_stream(spark, f"{root}/f").schema.simpleString() == "struct<source:string,bronze_id:bigint,value:binary>"
+    assert VALUE_SCHEMA == "source string, bronze_id long, value binary"
+    store = Store(spark, f"{root}/tables")
+    for i, stream in enumerate((values, file_value_stream(spark, f"{root}/f"))):  # the file holds a replay of one message
+        start_router(payload_stream(stream), store, f"{root}/ck{i}", f"r{i}", available_now=True).awaitTermination()
+    got = {(r["source"], r["bronze_id"]): r["payload"] for r in store.bronze_state().collect()}
+    assert got == {("sales:3", 7): sale.decode(), ("sales:3", 8): "", ("sales:4", 7): sale[:-1].decode() + "�"}
+    assert [r["order_id"] for r in store.silver_state().collect()] == ["K1"]
+    assert store.dlq_state().count() == 2
+
+
+def test_cli_runs_the_speed_layer(spark):
+    from tributary.cli import main
+    root = scratch_path(spark, "cli-stream")
+    sale = {"order_id": "S1", "customer_id": "C", "product_id": "p", "amount": 5000, "order_date": "2024-01-01 10:00:00"}
+    _messages(spark, f"{root}/in", [("m", 1, json.dumps(sale).encode()),
+                                    ("m", 2, json.dumps({**sale, "order_id": "S2", "order_date": "2024-01-01 11:00:00"}).encode())])
+    spark.createDataFrame([("product_id,product_name,category",), ("p,Lamp,Home",)], "value string").coalesce(1).write.text(f"{root}/cat")
+    for _ in range(2):   # a second run finds nothing new
+        main(["stream", "--root", f"{root}/tables", "--messages", f"{root}/in", "--catalog", f"{root}/cat", "--once"])
+    store = Store(spark, f"{root}/tables")
+    assert sorted(r["order_id"] for r in store.silver_state().collect()) == ["S1", "S2"]
+    assert _minutes(store) == {("10:00", "p"): Decimal("5000.00")}
+    alert = store.alerts.read().first()
+    assert alert["n_orders"] == 2 and "Batch: 0\nTime: " in alert["message"] and "Lamp" in alert["message"]
+
+
+def test_a_failing_query_ends_the_run_with_its_error(spark):
+    import pytest
+    from tributary.streaming.runner import run_to_the_end
+    root = scratch_path(spark, "failing")
+    _write(spark, f"{root}/in", [("2024-01-01 10:00:10", "p1", 1)], 0)
+    stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(f"{root}/in")
+
+    def bad(batch, batch_id):
+        raise RuntimeError("sink is down")
+    fails = stream.writeStream.foreachBatch(bad).option("checkpointLocation", f"{root}/a").start()
+    goes_on = stream.writeStream.foreachBatch(lambda b, i: None).option("checkpointLocation", f"{root}/b").start()
+    with pytest.raises(Exception, match="sink is down"):
+        run_to_the_end([fails, goes_on])
+    assert not goes_on.isActive

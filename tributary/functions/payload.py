@@ -24,9 +24,11 @@ def parse(payload: str | Column = "payload") -> Column:
 
 
 def decode_value(value: str | Column = "value") -> Column:
-    """Kafka ``value`` bytes to payload text."""
+    """Message bytes to payload text, checked: bytes that are no UTF-8 become U+FFFD (as does
+    any reader's decoding), so Bronze holds valid text; a null value is the empty payload.
+    Neither parses to a sale, or only with the damage visible, so such rows reach the DLQ."""
     c = F.col(value) if isinstance(value, str) else value
-    return c.cast("string")
+    return F.coalesce(F.make_valid_utf8(c.cast("string")), F.lit(""))
 
 
 def parse_columns(df, keep: list[str], payload: str = "payload"):

@@ -15,15 +15,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kafka_payload_stream(spark: SparkSession, servers: str, topic: str,
-                         starting_offsets: str = "earliest",
-                         max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Kafka source -> ``payload`` text plus its source position.
-
-    ``(topic, partition, offset)`` is kept so that Bronze can deduplicate a
-    replay from a new checkpoint.  Needs the spark-sql-kafka package on the
-    classpath (not bundled here).
-    """
+# -- message streams: every source gives (source, bronze_id, value BINARY) ------------------
+def kafka_values(messages: DataFrame) -> DataFrame:
+    """Kafka rows in the contract of all message sources.
+
+    The topic and partition are the source, the offset is the Bronze id: a replay from a new
+    checkpoint has the same ids, and Bronze keeps one row of each."""
+    return messages.select(F.concat_ws(":", "topic", F.col("partition").cast("string")).alias("source"),
+                           F.col("offset").cast("long").alias("bronze_id"), F.col("value").cast("binary").alias("value"))
+
+
+def kafka_value_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
+                       max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Messages of a Kafka topic.  Needs the spark-sql-kafka package on the classpath (not
+    bundled here)."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -33,19 +38,16 @@ def kafka_payload_stream(spark: SparkSession, servers: str, topic: str,
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    raw = reader.load()
-    return raw.select(
-        decode_value("value").alias("payload"),
-        F.concat_ws(":", "topic", F.col("partition").cast("string")).alias("source"),
-        F.col("offset").alias("position"),
-    )
+    return kafka_values(reader.load())
 
 
-def file_payload_stream(spark: SparkSession, path: str, schema, *,
-                        fmt: str = "json", max_files_per_trigger: int | None = None,
-                        glob: str | None = None) -> DataFrame:
-    """File-based stand-in for the Kafka source (used in tests and bounded runs)."""
-    reader = spark.readStream.format(fmt).schema(schema)
+VALUE_SCHEMA = "source string, bronze_id long, value binary"
+
+
+def file_value_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None,
+                      glob: str | None = None) -> DataFrame:
+    """Messages in Parquet files of ``VALUE_SCHEMA``: the same contract without a broker."""
+    reader = spark.readStream.format("parquet").schema(VALUE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if glob:
@@ -53,6 +55,11 @@ def file_payload_stream(spark: SparkSession, path: str, schema, *,
     return reader.load(path)
 
 
+def payload_stream(values: DataFrame) -> DataFrame:
+    """Messages as the router and minute gold take them: (source, bronze_id, payload)."""
+    return values.select("source", "bronze_id", decode_value("value").alias("payload"))
+
+
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
     """Landing CSV with an explicit schema whose header must match by name.
 

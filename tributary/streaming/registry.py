@@ -152,7 +152,25 @@ def q_stream_alert_digest(spark, d):
     return store.alerts.read().select("n_orders", "n_listed", "n_more", "lines", "message", "local_time")
 
 
+def q_stream_decode(spark, d):
+    """Messages as bytes, some of them broken or null, through the router to Bronze."""
+    from tributary.sources.readers import file_value_stream, payload_stream
+    root = scratch_path(spark, "decode")
+    kind = F.pmod("bronze_id", F.lit(50))
+    data = F.encode("payload", "utf-8")
+    value = (F.when(kind == 13, F.concat(data, F.lit(b"\xc3"))).when(kind == 14, F.lit(None).cast("binary"))
+             .when(kind == 15, F.concat(F.lit(b"\xff"), data)).otherwise(data))
+    events_payloads(read_table(spark, d, "events")).select("source", "bronze_id", value.alias("value")).write.parquet(f"{root}/inbox")
+    store = Store(spark, f"{root}/tables")
+    start_router(payload_stream(file_value_stream(spark, f"{root}/inbox")), store, f"{root}/checkpoint", "decode",
+                 available_now=True).awaitTermination()
+    bronze = store.bronze_state().select("source", "bronze_id", "payload")
+    queued = store.dlq_state().select("source", F.col("id").alias("bronze_id"), "error_reason")
+    return bronze.join(queued, ["source", "bronze_id"], "left")
+
+
 STREAM_QUERIES = {
+    "stream_decode": q_stream_decode,
     "stream_alert_digest": q_stream_alert_digest,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
@@ -181,6 +199,13 @@ j AS (SELECT bronze_id, kind, '{{' || concat_ws(',',
   ) || '}}' AS full_json FROM a)
 SELECT 'events' AS source, bronze_id,
   CASE WHEN kind = 8 THEN substring(full_json, 1, 20) ELSE full_json END AS payload FROM j"""
+    # A lone first byte of a character, a null, and a byte that no text has.
+    q["stream_decode"] = f"""WITH {routed_s},
+b AS ({q["stream_bronze"].replace("WITH", "WITH RECURSIVE", 1)})
+SELECT b.source, b.bronze_id,
+  CASE b.bronze_id % 50 WHEN 13 THEN b.payload || chr(65533) WHEN 14 THEN '' WHEN 15 THEN chr(65533) || b.payload ELSE b.payload END AS payload,
+  CASE WHEN b.bronze_id % 50 IN (14, 15) THEN 'Missing Customer ID' ELSE r.error_reason END AS error_reason
+FROM b JOIN r USING (bronze_id)"""
     silver = f"WITH {clean_s} SELECT order_id, customer_id, product_id, amount, order_date FROM clean"
     q["stream_silver"] = silver
     q["stream_replay_idempotent"] = silver

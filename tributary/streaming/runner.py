@@ -28,3 +28,15 @@ def start_speed_layer(spark: SparkSession, payloads: DataFrame, store: Store, ch
 def run_until_failure(spark: SparkSession) -> None:
     """Block until any active query stops; a failure surfaces as an exception."""
     spark.streams.awaitAnyTermination()
+
+
+def run_to_the_end(queries) -> None:
+    """Wait for queries that end by themselves (``available_now``).  If one fails the others
+    are stopped and its error is raised."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()

@@ -1,3 +1,4 @@
+import pytest
 from collections import Counter
 from decimal import Decimal
 
@@ -129,3 +130,21 @@ def test_null_payload_goes_to_dlq_not_lost(spark):
                            ["bronze_id"])
     clean, error = split_quality(parsed, "Streaming")
     assert clean.count() == 0 and reasons(error) == [MISSING_CUSTOMER]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_event_times_with_a_zone_are_instants(spark, zone):
+    import datetime as dt
+
+    from tributary.functions.quality import event_time
+    cases = {"2024-01-01T10:00:00+07:00": dt.datetime(2024, 1, 1, 3), "2024-01-01 10:00:00.25Z": dt.datetime(2024, 1, 1, 10, 0, 0, 250000),
+             "2024-01-01T10:00Z": dt.datetime(2024, 1, 1, 10), "2024-06-01 10:00:00 Europe/Paris": dt.datetime(2024, 6, 1, 8),
+             "2024-1-1 1:0:0-02:00": dt.datetime(2024, 1, 1, 3), "1969-12-31T23:59:59.5+00:00": dt.datetime(1969, 12, 31, 23, 59, 59, 500000),
+             "2024-01-01 10:00:00": dt.datetime(2024, 1, 1, 10), "2024-01-01": dt.datetime(2024, 1, 1), "2024-01-01T10:00:00.123456": dt.datetime(2024, 1, 1, 10, 0, 0, 123456),
+             "not a date, surely": None, "not a date": None, "": None, None: None}
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", event_time("t").alias("e")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {r["t"]: r["e"] for r in rows} == cases

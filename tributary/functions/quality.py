@@ -65,17 +65,24 @@ def money(col: str | Column) -> Column:
     return c.try_cast(MONEY_SQL)
 
 
+#: Fixed value: what a time's text holds from its hour on if it names a zone or an offset.
+ZONE_MARK = "[A-Za-z+-]"
+
+
 def event_time(col: str | Column, dtype=None) -> Column:
     """Event time as ``timestamp_ntz``; unparseable text becomes NULL.
 
-    Text is parsed like a CAST (zone-free ISO forms), so the result does not
-    depend on the session time zone.  Zoned timestamps keep their wall clock
-    in the session zone.
+    Text without a zone is parsed as the wall clock it shows, text with one (``+07:00``, ``Z``,
+    a region) as the UTC wall clock of that instant, so neither depends on the session time
+    zone.  Zoned timestamp columns keep their wall clock in the session zone.
     """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, (TimestampNTZType, TimestampType)):
         return c.cast("timestamp_ntz")
-    return c.cast("string").try_cast("timestamp_ntz")
+    shown = c.cast("string")
+    since = F.unix_micros(shown.try_cast("timestamp"))
+    instant = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(since / F.expr("1000000BD")).cast("decimal(18,6)"))
+    return F.when(F.substring(shown, 12, 64).rlike(ZONE_MARK), instant).otherwise(shown.try_cast("timestamp_ntz"))
 
 
 def recoverable(reasons: tuple[str, ...] = (INVALID_AMOUNT,)) -> Column:

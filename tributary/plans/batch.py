@@ -38,8 +38,9 @@ def landing_payloads(landing: DataFrame) -> DataFrame:
 def ingest_landing(spark: SparkSession, store: Store, csv_path: str, load_id: str) -> int:
     """Landing CSV -> Bronze rows tagged ``landing:<load_id>``; returns rows written.
 
-    Row ids are assigned once per load and fixed by the write; re-running the
-    same ``load_id`` commits the same keys again, merged on read.
+    Row ids are positions in the load, fixed by the write.  Re-running the same ``load_id``
+    commits the same keys again, merged on read: a corrected file with the rows in their
+    places supersedes them, whether Bronze is read by increment, in full or compacted.
     """
     payloads = landing_payloads(read_landing_csv(spark, csv_path))
     rows = payloads.select(

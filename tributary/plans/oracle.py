@@ -25,7 +25,8 @@ a AS (
       WHEN 10 THEN NULL ELSE json_extract_string(props, '$.k') END AS product_id,
     CAST(CASE event_id % 50 WHEN 1 THEN -99.99 WHEN 3 THEN NULL WHEN 9 THEN 0 WHEN 10 THEN -5
       ELSE CAST(value AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS amount,
-    CASE event_id % 50 WHEN 7 THEN 'not a date' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS order_date
+    CASE event_id % 50 WHEN 7 THEN 'not a date' WHEN 16 THEN CAST(ts AS VARCHAR) || '+07:00'
+      ELSE CAST(ts AS VARCHAR) END AS order_date
   FROM events)"""
 
 # Payload path: a truncated payload (kind 8) parses to all NULL fields.
@@ -49,7 +50,8 @@ def routed(src: str = "p", policy: str = "code", source_type: str = "Batch") ->
     return f""",
 r AS (
   SELECT bronze_id, kind, order_id, customer_id, product_id, amount,
-    TRY_CAST(order_date AS TIMESTAMP) AS order_date,
+    CASE WHEN order_date LIKE '%+07:00' THEN CAST(left(order_date, -6) AS TIMESTAMP) - INTERVAL 7 HOUR
+      ELSE TRY_CAST(order_date AS TIMESTAMP) END AS order_date,
     CASE WHEN customer_id IS NULL OR amount IS NULL OR amount <= 0 OR order_id IS NULL
               OR order_id = '' OR product_id IS NULL OR product_id = ''
       THEN CASE WHEN customer_id IS NULL THEN 'Missing Customer ID'
@@ -153,7 +155,7 @@ SELECT CASE kind WHEN 0 THEN 'customer NULL' WHEN 1 THEN 'amount -99.99' WHEN 2
   WHEN 3 THEN 'amount NULL' WHEN 4 THEN 'order NULL' WHEN 5 THEN 'product blank'
   WHEN 6 THEN 'product padded' WHEN 7 THEN 'date unparseable' WHEN 8 THEN 'payload truncated'
   WHEN 9 THEN 'amount zero' WHEN 10 THEN 'amount -5, product NULL' WHEN 11 THEN 'customer empty'
-  ELSE 'none' END AS dirty_kind,
+  WHEN 16 THEN 'date with offset' ELSE 'none' END AS dirty_kind,
   COALESCE(error_reason, 'clean') AS route, count(*) AS n_rows
 FROM r GROUP BY 1, 2"""
     q["quality_clean"] = f"WITH {CLEAN_A} SELECT * FROM clean"
@@ -352,6 +354,12 @@ def batch_job_sql() -> dict[str, str]:
     q["batch_job_rerun_report"] = f"WITH {BATCH_JOB} " + report.format(
         silver="CAST(0 AS BIGINT)", dlq="CAST(0 AS BIGINT)")
     q["batch_job_daily"] = f"WITH {BATCH_JOB} SELECT * FROM d WHERE report_date IS NOT NULL"
+    q["reload_corrected"] = f"""WITH {BATCH_JOB},
+fixed AS (SELECT l.order_id, customer_id, trim(product_id) AS product_id, CAST(value AS DECIMAL(12,2)) AS amount,
+            CAST(l.order_date AS TIMESTAMP) AS order_date
+          FROM l JOIN events ON event_id = bronze_id WHERE kind = 3),
+modes AS (SELECT unnest(['incremental', 'full', 'compacted']) AS mode)
+SELECT s.*, mode FROM (SELECT * FROM clean UNION ALL SELECT * FROM fixed) s, modes"""
     q["recovery_job_silver"] = f"""WITH {BATCH_JOB}
 SELECT * FROM clean
 UNION ALL SELECT order_id, customer_id, product_id, amount, order_date FROM rec_rows"""

@@ -531,3 +531,38 @@ def q_dlq_lookup(spark, d):
 
 
 QUERIES["dlq_lookup"] = q_dlq_lookup
+
+
+#: The ways of taking in a corrected load: only what is new, all of Bronze again, or what is
+#: new after a compaction folded both loads.
+RELOAD_MODES = ("incremental", "full", "compacted")
+
+
+def q_reload_corrected(spark, d):
+    """A landing load with missing amounts, taken in, then loaded again under the same id with
+    the amounts: Silver in each mode."""
+    from tributary.plans.batch import ingest_landing, run_batch
+    from tributary.plans.store import Store
+    from tributary.sources.fixtures import write_landing_csv
+    root = scratch_path(spark, "reload")
+    events = read_table(spark, d, "events")
+    # The same event stands for both files; the first lacks the amounts of one kind.
+    view = sales_view_a(events).join(events.select(F.col("event_id").alias("bronze_id"), "value"), "bronze_id").coalesce(1)
+    amount = F.when(F.col("kind") == 3, F.col("value").try_cast("decimal(12,2)")).otherwise(F.col("amount"))
+    write_landing_csv(view.sortWithinPartitions("bronze_id"), f"{root}/first")
+    write_landing_csv(view.withColumn("amount", amount).sortWithinPartitions("bronze_id"), f"{root}/second")
+    out = None
+    for mode in RELOAD_MODES:
+        store = Store(spark, f"{root}/{mode}")
+        ingest_landing(spark, store, f"{root}/first", "l1")
+        run_batch(spark, store, "r1")
+        ingest_landing(spark, store, f"{root}/second", "l1")
+        if mode == "compacted":
+            store.bronze.compact()
+        run_batch(spark, store, "r2", incremental=mode != "full")
+        silver = store.silver_state().drop("processed_at").withColumn("mode", F.lit(mode))
+        out = silver if out is None else out.unionByName(silver)
+    return out
+
+
+QUERIES["reload_corrected"] = q_reload_corrected

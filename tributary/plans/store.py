@@ -45,9 +45,10 @@ class Store:
         # several tables visible together.
         self.log = CommitLog(s, f"{r}/commits")
         log = self.log
-        # Bronze: a replay of the same source position keeps the first copy.
+        # Bronze: a replay of a source position is the same message again; a corrected load of
+        # the same id supersedes the first (in every way of reading Bronze).
         self.bronze = KeyedTable(s, f"{r}/bronze", ["source", "bronze_id"], BRONZE_COLUMNS,
-                                 policies={"payload": "first", "ingested_at": "min"},
+                                 policies={"ingested_at": "min"},
                                  name="bronze", log=log)
         # Silver: last write wins on values, the first insert keeps its stamp.
         self.silver = KeyedTable(s, f"{r}/silver", SILVER_KEY, SILVER_TABLE_COLUMNS,

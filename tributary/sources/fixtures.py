@@ -29,6 +29,7 @@ DIRTY_KINDS = {
     9: "amount zero",
     10: "amount -5, product NULL",
     11: "customer empty",
+    16: "date with offset",
 }
 DIRTY_MODULUS = 50
 
@@ -55,9 +56,10 @@ def sales_view_a(events: DataFrame) -> DataFrame:
               .when(m == 10, F.lit(-5).cast(MONEY_SQL))
               .otherwise(F.col("value").try_cast(MONEY_SQL)))
     # Zone-free text: a timestamp_ntz cast to string is its wall clock
-    # ('yyyy-MM-dd HH:mm:ss[.ffffff]'); keep whole seconds.
-    order_date = (F.when(m == 7, F.lit("not a date"))
-                  .otherwise(F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 19)))
+    # ('yyyy-MM-dd HH:mm:ss[.ffffff]').
+    shown = F.col("ts").cast("timestamp_ntz").cast("string")
+    order_date = (F.when(m == 7, F.lit("not a date")).when(m == 16, F.concat(shown, F.lit("+07:00")))
+                  .otherwise(shown))
     return events.select(
         F.col("event_id").alias("bronze_id"),
         order_id.alias("order_id"),

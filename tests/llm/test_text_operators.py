@@ -40,24 +40,25 @@ def test_line_rules(spark, line, fails):
 
 
 def brute_lines(rows, least=8):
-    """Deletes every line inside a stretch of ``least`` words that occurred earlier."""
-    seen, out = set(), {}
+    """Deletes every line inside a shortest stretch of ``least`` words that occurred earlier, but
+    none inside the first occurrence of one."""
+    first, found, out = {}, [], {}
     for i, text in rows:
         lines = [(n, x.strip(" \t\r\x0b\x0c")) for n, x in enumerate(text.split("\n")) if split(x)]
-        gone, own = set(), []
+        size = [len(split(x)) for _, x in lines]
         for a in range(len(lines)):
             for b in range(a, len(lines)):
-                key = tuple(x for _, x in lines[a:b + 1])
-                n = sum(len(split(x)) for x in key)
-                if n >= least:
-                    own.append((a, b, key))
-                if n >= 3 * least:
-                    break
-        for a, b, key in own:
-            if key in seen:
-                gone |= set(range(lines[a][0], lines[b][0] + 1))
-            seen.add(key)
-        out[i] = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+                n = sum(size[a:b + 1])
+                if n >= least and (n - size[a] < least or n - size[b] < least):
+                    key = tuple(x for _, x in lines[a:b + 1])
+                    first.setdefault(key, (i, a))
+                    found.append((i, a, key, set(range(lines[a][0], lines[b][0] + 1))))
+    times = Counter(key for _, _, key, _ in found)
+    for i, text in rows:
+        own = [f for f in found if f[0] == i and times[f[2]] > 1]
+        later = set().union(*(f[3] for f in own if first[f[2]] != f[:2]))
+        stay = set().union(*(f[3] for f in own if first[f[2]] == f[:2]))
+        out[i] = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in later - stay)
     return out
 
 
@@ -71,6 +72,44 @@ def test_line_dedup_against_brute_force(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == brute_lines(rows)
 
 
+def test_line_dedup_of_random_lines_against_brute_force(spark):
+    import random
+    draw = random.Random(5)
+    pool = [" ".join(f"w{draw.randrange(40)}" for _ in range(draw.choice((1, 2, 3, 4, 6, 9, 13)))) for _ in range(25)]
+    rows = [(i, "\n".join(draw.choice(pool) if draw.random() < 0.9 else "" for _ in range(draw.randrange(1, 25)))) for i in range(120)]
+    got = line_dedup.delete_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == brute_lines(rows)
+
+
+def test_one_copy_of_a_run_of_equal_lines_stays(spark):
+    rows = [(1, "\n".join(["one two three four"] * 5)), (2, "one two three four"), (3, "one two three four\none two three four")]
+    got = line_dedup.delete_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "one two three four\none two three four", 2: "one two three four", 3: ""}
+
+
+def test_only_window_minima_are_stored(spark):
+    """One fingerprint for each selected minimum, every window's least hash among them."""
+    rows = [(i, "\n".join(f"{i}x{j} word" for j in range(200))) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = line_dedup._winnowed(line_dedup._lines(docs, "doc_id", "text", "\n"), 16).cache()
+    picks = {tuple(r) for r in marks.filter("pick").select("d", "low_at").collect()}
+    assert len(picks) == marks.filter("pick").count() < 0.4 * marks.count()
+    by = {}
+    for r in marks.orderBy("d", "c").collect():
+        by.setdefault(r["d"], []).append(r)
+    for d, ls in by.items():
+        for i in range(len(ls) - 7):
+            assert (d, min((x["h"], -x["c"]) for x in ls[i:i + 8])[1] * -1) in picks
+
+
+def test_a_deleted_sentence_leaves_its_line_break(spark):
+    passage = " ".join(f"Here sentence {n} says that the number {n} is only told once in this text." for n in ("one", "two", "three"))
+    rows = [(1, passage), (2, f"Mine stays. {passage}\nThe next line.\n\n{passage}\nLast line.")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated_documents(docs).collect()}
+    assert got == {1: passage, 2: "Mine stays. \nThe next line.\n\nLast line."}
+
+
 def test_line_dedup_edge_cases(docs, empty):
     out = line_dedup.delete_repeats(docs)
     rows = {(r["doc_id"], r["source"]): r for r in out.collect()}

@@ -4,14 +4,15 @@ A document's ids end with ``END``.  It is cut into full windows and a remainder;
 rounded up to units of ``UNIT`` tokens.  All combinations of at most ``DEPTH`` lengths that
 fill a window are enumerated, and their repeat counts solved against the histogram of
 lengths by non-negative least squares, then rounded down to what is there.  The residual
-histogram is packed greedily, longest first; what still leaves gaps is laid end to end and
-cut at the window's edge.  The histogram and the plan are bounded by the number of lengths,
+histogram is packed greedily, longest first; what would still leave gaps, or fill a window with
+more than ``MOST`` pieces, is laid end to end by its true length and cut at the window's edge.  The histogram and the plan are bounded by the number of lengths,
 whatever the data: the plan gives each length ranges of ranks, and every piece finds its
 sequence by its rank among pieces of its length (counted per task, then summed, so one
 frequent length is no hot group).
 
 Null or empty texts are the single id ``END``.  Repeated rows are packed each by itself.
-An empty table gives no pieces.  Padding is under one unit per piece, and one window.
+An empty table gives no pieces.  Padding: a sequence by plan is padded by less than a unit for
+each of its at most ``MOST`` pieces and ``SLACK`` units, a laid one not at all, but for the last.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.llm.common import table
-from tributary.llm.tokens import Encoder
+from tributary.llm.tokens import worker_encoder
 from tributary.session import scratch_path
 
 WINDOW = 2048
@@ -35,6 +36,8 @@ DEPTH = 3
 END = 1
 #: A greedy sequence may leave so many units open.
 SLACK = 2
+#: Pieces of a greedy sequence at most: each may waste the rest of a unit.
+MOST = 6
 
 
 # -- plan on the histogram -----------------------------------------------------------------
@@ -84,8 +87,8 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def plan_windows(histogram: dict[int, int], full: int = WINDOW // UNIT, depth: int = DEPTH):
-    """(per length its ranges of ranks (from, to, sequence, slot), per length the place of its
-    first cut-and-laid piece (rank, units), number of patterned sequences)."""
+    """(per length its ranges of ranks (from, to, sequence, slot), per length the rank of its
+    first piece that is laid, number of sequences by plan)."""
     left = np.zeros(full + 1, np.int64)
     for k, v in histogram.items():
         left[k] = v
@@ -114,7 +117,6 @@ def plan_windows(histogram: dict[int, int], full: int = WINDOW // UNIT, depth: i
         for j in np.argsort(-x, kind="stable"):
             if (n := min(int(x[j] + 1e-6), fits(combos[j]))) > 0:
                 place(combos[j], n)
-    laid = np.zeros(full + 1, np.int64)
     while left.any():
         top = int(np.flatnonzero(left).max())
         pattern, space, avail = [top], full - top, left.copy()
@@ -124,26 +126,23 @@ def plan_windows(histogram: dict[int, int], full: int = WINDOW // UNIT, depth: i
             pattern.append(k)
             avail[k] -= 1
             space -= k
-        if space <= SLACK:
+        if space <= SLACK and len(pattern) <= MOST:
             place(tuple(pattern), fits(tuple(pattern)))
         else:
-            laid[top], left[top] = left[top], 0
-    starts, at = {}, 0
-    for k in sorted(histogram, reverse=True):
-        starts[k] = (int(used[k]), at)
-        at += int(laid[k]) * k
-    return ranges, starts, sequences
+            left[top] = 0
+    return ranges, {k: int(used[k]) for k in histogram}, sequences
 
 
 # -- pieces ----------------------------------------------------------------------------------
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
            unit: int = UNIT, tokenizer: str | None = None) -> DataFrame:
-    """(task, units, place, doc_id, start, length, doc_tokens, ids): ids little-endian
-    unsigned 32-bit; place counts the pieces of equal units within a task."""
+    """(task, units, place, tokens, doc_id, start, length, doc_tokens, ids): ids little-endian
+    unsigned 32-bit; place and tokens count the pieces of equal units before in the task, and
+    their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         task = TaskContext.get().partitionId()
-        counts: dict[int, int] = {}
+        counts: dict[int, tuple[int, int]] = {}
         out: list[tuple] = []
         size = 0
 
@@ -155,18 +154,19 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
                     units = -(-len(piece) // unit)
-                    place = counts[units] = counts.get(units, -1) + 1
-                    out.append((task, units, place, i, start, len(piece), len(ids), piece.tobytes()))
+                    place, tokens = counts.get(units, (0, 0))
+                    counts[units] = place + 1, tokens + len(piece)
+                    out.append((task, units, place, tokens, i, start, len(piece), len(ids), piece.tobytes()))
                     size += len(piece)
                     if size > 1 << 21:
                         yield batch()
                         out, size = [], 0
         if out:
             yield batch()
-    names = ["task", "units", "place", "doc_id", "start", "length", "doc_tokens", "ids"]
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["task", "units", "place", "tokens", "doc_id", "start", "length", "doc_tokens", "ids"]
+    types = [pa.int32(), pa.int32(), *[pa.int64()] * 6, pa.binary()]
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(
-        run, "task int, units int, place long, doc_id long, start long, length long, doc_tokens long, ids binary")
+        run, "task int, units int, place long, tokens long, doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
@@ -177,30 +177,34 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     cut = pieces(docs, doc_id, text, tokenizer=tokenizer)
     cut.write.option("compression", "zstd").parquet(path)
     cut = spark.read.schema(cut.schema).parquet(path)
-    per_task = cut.groupBy("units", "task").agg(F.count("*").alias("n"))
-    before = per_task.select("units", "task", (F.sum("n").over(
-        Window.partitionBy("units").orderBy("task")) - F.col("n")).alias("before"))
-    histogram = {u: n for u, n in per_task.groupBy("units").agg(F.sum("n")).collect()}
-    ranges, starts, sequences = plan_windows(histogram)
-    full = WINDOW // UNIT
-    # at most a few ranges per length and pattern: bounded by the lengths, not by the data
-    found = spark.createDataFrame(
-        [(u, [r for r in ranges[u]], *starts[u]) for u in histogram],
-        "units int, ranges array<struct<lo:long,hi:long,seq:long,slot:long>>, laid_rank long, laid_units long")
-    ranked = cut.join(before, ["units", "task"]).join(F.broadcast(found), "units").withColumn(
-        "rank", F.col("place") + F.col("before"))
+    per_task = cut.groupBy("units", "task").agg(F.count("*").alias("n"), F.sum("length").alias("t"))
+    tasks = Window.partitionBy("units").orderBy("task")
+    before = per_task.select("units", "task", *((F.sum(c).over(tasks) - F.col(c)).alias(f"{c}_before") for c in "nt"))
+    totals = {r["units"]: r for r in per_task.groupBy("units").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect()}
+    ranges, planned, sequences = plan_windows({u: r["n"] for u, r in totals.items()})
+    ranked = cut.join(before, ["units", "task"]).withColumn("rank", F.col("place") + F.col("n_before")).withColumn(
+        "tokens", F.col("tokens") + F.col("t_before"))
+    # a few ranges per length and pattern: bounded by the lengths, not by the data
+    found = spark.createDataFrame([(u, ranges[u], planned[u]) for u in totals],
+                                  "units int, ranges array<struct<lo:long,hi:long,seq:long,slot:long>>, laid_rank long")
+    ranked = ranked.join(F.broadcast(found), "units")
+    in_plan = {u: t for u, t in ranked.filter("rank < laid_rank").groupBy("units").agg(F.sum("length")).collect()}
+    starts, at = [], 0
+    for u in sorted(totals, reverse=True):  # laid pieces of a length follow those of the next longer one
+        starts.append((u, at - in_plan.get(u, 0)))
+        at += totals[u]["t"] - in_plan.get(u, 0)
+    ranked = ranked.join(F.broadcast(spark.createDataFrame(starts, "units int, laid_at long")), "units")
     mine = F.get(F.filter("ranges", lambda r: (r["lo"] <= F.col("rank")) & (F.col("rank") < r["hi"])), 0)
-    at = F.col("laid_units") + (F.col("rank") - F.col("laid_rank")) * F.col("units")
-    room = full - at % full
-    line = F.lit(sequences) + F.floor(at / full).cast("long")
+    at = F.col("laid_at") + F.col("tokens")
+    room = WINDOW - at % WINDOW
+    line = F.lit(sequences) + F.floor(at / WINDOW).cast("long")
 
     def part(skip, length, seq, slot):
         return F.struct(skip.cast("long").alias("skip"), length.cast("long").alias("length"),
                         seq.cast("long").alias("sequence_id"), slot.cast("long").alias("slot"))
     whole = F.array(part(F.lit(0), F.col("length"), mine["seq"] + F.col("rank") - mine["lo"], mine["slot"]))
-    laid = F.when(room >= F.col("units"), F.array(part(F.lit(0), F.col("length"), line, at % full))).otherwise(F.array(
-        part(F.lit(0), room * UNIT, line, at % full),
-        part(room * UNIT, F.col("length") - room * UNIT, line + 1, F.lit(0))))
+    laid = F.when(room >= F.col("length"), F.array(part(F.lit(0), F.col("length"), line, at % WINDOW))).otherwise(F.array(
+        part(F.lit(0), room, line, at % WINDOW), part(room, F.col("length") - room, line + 1, F.lit(0))))
     placed = ranked.select("doc_id", "start", "doc_tokens", "ids",
                            F.explode(F.when(F.col("rank") < F.col("laid_rank"), whole).otherwise(laid)).alias("p"))
     placed = placed.select(

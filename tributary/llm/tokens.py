@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -56,3 +57,9 @@ class Encoder:
             return np.array(self.plain.encode_ordinary(text), np.uint32)
         first, *rest = text.split(" ")
         return np.fromiter(chain(self.plain.encode_ordinary(first), chain.from_iterable(map(self.chunk, rest))), np.uint32)
+
+
+@cache
+def worker_encoder(json_path: str | None = None) -> Encoder:
+    """One encoder, with what it remembers, per worker process and file."""
+    return Encoder(json_path)

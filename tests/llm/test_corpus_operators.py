@@ -134,7 +134,10 @@ def test_short_texts_are_packed_without_much_padding(spark):
     alike = [(i, "one two three four five six seven eight " * 8) for i in range(2000)]
     for rows in (few, some, alike):
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-        assert check_packed(sequence_packing.packed_documents(df).collect(), rows) < 0.05
+        got = sequence_packing.packed_documents(df).collect()
+        check_packed(got, rows)
+        # under 5 % of padding, besides that of the last sequence
+        assert 2048 * (max(r["sequence_id"] for r in got)) * 0.95 <= sum(r["length"] for r in got)
 
 
 def test_window_plan_places_every_rank_once():

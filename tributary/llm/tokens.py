@@ -4,25 +4,17 @@ from __future__ import annotations
 
 import base64
 import os
-import re
 from functools import cache
-from itertools import chain
 
 import numpy as np
 
-#: A space next to other white space: such texts are not cut at their spaces.
-_WIDE = re.compile(r" \s|\s ")
 _END = "<|endoftext|>"
-#: Chunks remembered per worker.
-CACHE = 300_000
 
 
 class Encoder:
     """Ids as ``tokenizers`` gives them for the JSON file, without special tokens added.
 
-    The same merges are run by tiktoken.  A single space between two other characters always
-    starts a new pre-token, so the ids of a text are those of its space-led chunks in a row,
-    and each distinct chunk is encoded once while it is remembered."""
+    The same merges are run by tiktoken, which is faster; ids are equal."""
 
     def __init__(self, json_path: str | None = None, ranks_path: str | None = None):
         import public_tokenizers
@@ -33,16 +25,6 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.full = None
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a space and ``chunk``."""
-        got = self.seen.get(chunk)
-        if got is None:
-            if len(self.seen) >= CACHE:
-                self.seen.clear()
-            got = self.seen[chunk] = tuple(self.plain.encode_ordinary(" " + chunk))
-        return got
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -53,13 +35,10 @@ class Encoder:
                 from tokenizers import Tokenizer
                 self.full = Tokenizer.from_file(self.json_path)
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
-        if _WIDE.search(text):
-            return np.array(self.plain.encode_ordinary(text), np.uint32)
-        first, *rest = text.split(" ")
-        return np.fromiter(chain(self.plain.encode_ordinary(first), chain.from_iterable(map(self.chunk, rest))), np.uint32)
+        return np.array(self.plain.encode_ordinary(text), np.uint32)
 
 
 @cache
 def worker_encoder(json_path: str | None = None) -> Encoder:
-    """One encoder, with what it remembers, per worker process and file."""
+    """One encoder per worker process and file."""
     return Encoder(json_path)

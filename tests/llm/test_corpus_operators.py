@@ -157,11 +157,12 @@ def test_search_against_brute_force(spark):
     x = rng.standard_normal((3000, 16)) * rng.uniform(0.5, 2, (3000, 1))
     x[100:1100] = x[100]  # a third of all rows are one vector
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    rows += [(9000, None), (9020, [0.0] * 16), (9040, [float("nan")] * 16), (9060, [None] * 16), (9080, [1.0]), (None, [1.0] * 16), (20, x[20].tolist())]
+    rows += [(9000, None), (9020, [0.0] * 16), (9040, [float("nan")] * 16), (9060, [None] * 16), (9080, [1.0]), (9081, [2.0]), (None, [1.0] * 16), (20, x[20].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {}
     for r in vector_search.search(df, F.col("vec_id") % 20 == 0).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert got.pop(9080) == [(1, 9081, 2.0)]  # among those of its length
     assert set(got) == set(range(0, 3000, 20))
     hits = 0
     for q, found in got.items():
@@ -175,6 +176,31 @@ def test_search_against_brute_force(spark):
     assert hits >= 0.9 * 20 * len(got)
     assert len(vector_search.search(df.filter("vec_id < 3"), F.col("vec_id") == 0).collect()) == 2
     assert vector_search.search(df.limit(0), F.lit(True)).count() == 0
+    clashing = df.withColumns({c: F.lit("x") for c in ("row", "key", "part", "parts", "slice", "vec", "Score", "rank")})
+    assert vector_search.search(clashing, F.col("vec_id") % 20 == 0).count() == sum(map(len, got.values())) + 1
+
+
+def test_search_probes_few_parts_and_finds_most(spark):
+    """On the given vectors (nearly isotropic): under half of the parts are probed, rows that
+    leave the group step stay in proportion to the queries, recall is over 0.9."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    n = df.count()
+    assert vector_search.PROBES < vector_search.LEAST_PARTS / 2
+    rows = df.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"), (F.col("vec_id") % 20 == 0).alias("is_query"))
+    routed = vector_search.route(rows, n)
+    assert routed.filter("size(parts) != 2 or parts[0] = parts[1]").count() == 0
+    found = vector_search._found(rows, 64, n, 20, vector_search.PROBES)
+    queries = df.filter("vec_id % 20 = 0").count()
+    assert found.count() <= queries * 20 * vector_search.LEAST_PARTS / vector_search.SLICE
+    local = df.toPandas()
+    x = np.stack(local.embedding.values).astype(float)
+    got = vector_search.search(df, F.col("vec_id") % 20 == 0).toPandas().groupby("query_id").vec_id.apply(set)
+    hits = 0
+    for i in np.flatnonzero(local.vec_id.values % 20 == 0):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hits += len(got[local.vec_id[i]] & set(local.vec_id.values[np.argsort(-s)[:20]]))
+    assert hits >= 0.9 * 20 * queries
 
 
 def brute_components(fps, bits):

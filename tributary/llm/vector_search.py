@@ -3,17 +3,21 @@
 Fitting, on a sample of at most ``SAMPLE`` vectors (least hashes of the id): the sample's
 exact neighbour graph is cut into balanced parts by recursive bisection, and a small neural
 classifier learns from each vector the share of its neighbours in every part.  Every vector
-of the table is then stored in its most probable part, and a query is routed to its most
-probable parts until they hold ``MASS`` of the probability (``LEAST_PROBES`` at least), where
-it is ranked by the exact inner product in double precision.
-
-Parts are cut into blocks of bounded size on either side, so a part with a third of all
-vectors is many tasks; every block gives back at most k candidates per query.
-
-Vectors that are null, zero, hold null or non-finite components, or are not of the most
-common length (the longer on ties) take no part, nor do null ids.  A query's own rows are
-those with its id; a query repeated with the same vector counts once; candidates repeated
-are candidates each.  Ties go to the smaller id.  Few or no vectors give fewer or no rows.
+of the table is then stored in its ``STORED`` most probable parts, and a query is routed to
+its ``PROBES`` most probable parts, however many vectors there are (to more only where those
+hold too few candidates), and ranked there by the exact inner product in double precision.
+The number of probes bounds the cost; the recall it gives depends on the data.
+
+Parts next to each other in the bisection form slices of ``SLICE`` parts.  A task holds a
+slice and merges what a query finds in all of the slice's parts, so that at most k rows a
+query and slice leave it.  Slices are cut into blocks of bounded size on either side, so one
+with a third of all vectors is many tasks.
+
+Vectors that are null, zero, or hold null or non-finite components take no part, nor do null
+ids.  An inner product needs equal lengths: vectors are searched among those of their length
+(over ``MAX_LENGTHS`` different lengths are an error).  A query's own rows are those with its
+id; a query repeated with the same vector counts once; candidates repeated are candidates
+each.  Ties go to the smaller id.  Few or no vectors give fewer or no rows.
 """
 
 from __future__ import annotations
@@ -30,16 +34,22 @@ from tributary.llm.common import stored, table
 
 K = 20
 SAMPLE = 4096
-GRAPH_K = 16
-#: Vectors per part aimed at, and the most parts (a sample must fill them).
-PART_ROWS = 1000
+GRAPH_K = 48
+#: Tables of fewer vectors are one part; larger ones have ``LEAST_PARTS`` or, so that a part
+#: has about ``PART_ROWS`` vectors, up to ``MAX_PARTS`` (a sample must fill them).
+SMALL = 1024
+LEAST_PARTS = 64
 MAX_PARTS = 128
-MASS = 0.98
-LEAST_PROBES = 3
+PART_ROWS = 1000
+PROBES = 28
+STORED = 2
+SLICE = 8
 HIDDEN = 128
 EPOCHS = 60
-BLOCK = 4096
-QUERY_BLOCK = 1024
+#: Components of the candidates and of the queries in one task.
+BLOCK_VALUES = 1 << 22
+QUERY_BLOCK_VALUES = 1 << 18
+MAX_LENGTHS = 16
 
 
 def usable(vector: Column) -> Column:
@@ -142,9 +152,9 @@ class Router:
 
 def fit(vectors: DataFrame, n: int) -> Router | None:
     """The router, or None when one part is enough.  ``vectors``: vec_id, vec."""
-    parts = min(MAX_PARTS, 1 << max(0, round(math.log2(max(1, n / PART_ROWS)))))
-    if parts == 1:
+    if n < SMALL:
         return None
+    parts = min(MAX_PARTS, max(LEAST_PARTS, 1 << max(0, round(math.log2(n / PART_ROWS)))))
     rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec").collect()
     x = np.array([r[0] for r in rows], np.float32)
     k = min(GRAPH_K, len(x) - 1)
@@ -162,80 +172,135 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
-def _route(router: Router | None, mass: float, least: int):
+def _route(router: Router | None):
+    """The parts of each vector, most probable first: all of a query's, ``STORED`` of others."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _matrix(b.column(1))
+            x = _matrix(b.column(2))
             p = router.probabilities(x) if router else np.ones((len(x), 1))
-            order = np.argsort(-p, axis=1, kind="stable")
-            many = np.maximum((np.cumsum(np.take_along_axis(p, order, 1), axis=1) < mass).sum(axis=1) + 1, least)
-            probes = [o[:m].tolist() if q else None for o, m, q in zip(order, many, b.column(2).to_pylist())]
+            order = np.argsort(-p, axis=1, kind="stable").astype(np.int32)
+            asked = [o.tolist() if q else None for o, q in zip(order, b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(order[:, 0], pa.int32()), pa.array(probes, pa.list_(pa.int32()))],
-                names=["vec_id", "vec", "part", "probes"])
+                [b.column(0), b.column(1), b.column(2), pa.array(order[:, :STORED].tolist(), pa.list_(pa.int32())),
+                 pa.array(asked, pa.list_(pa.int32()))], names=["vec_id", "row", "vec", "parts", "asked"])
+    return run
+
+
+def _probes(held: dict[int, int], probes: int, enough: int):
+    """The first ``probes`` parts of each query, or more until they hold ``enough`` vectors."""
+    def run(batches):
+        for b in batches:
+            first = []
+            for order in b.column(3).to_pylist():
+                in_them = np.cumsum([held.get(p, 0) for p in order])
+                first.append(order[:max(probes, int(np.searchsorted(in_them, enough)) + 1)])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(first, pa.list_(pa.int32()))],
+                                             names=["vec_id", "vec", "key", "parts"])
     return run
 
 
 def _rank(k: int):
+    """What the queries of a group find in it: in each part the candidates stored there meet
+    the queries routed there; a candidate of several parts is one column."""
+    def members(parts: pa.ChunkedArray, rows: np.ndarray) -> dict[int, np.ndarray]:
+        parts = parts.combine_chunks().take(pa.array(rows))
+        row = np.repeat(np.arange(len(rows)), parts.value_lengths().to_numpy())
+        part = parts.flatten().to_numpy()
+        order = np.argsort(part, kind="stable")
+        values, at = np.unique(part[order], return_index=True)
+        return dict(zip(values.tolist(), np.split(row[order], at[1:])))
+
     def run(t: pa.Table) -> pa.Table:
         is_query = t.column("is_query").to_numpy()
-        ids, x, key = t.column("vec_id").to_numpy(), _matrix(t.column("vec")), t.column("key").to_numpy()
+        ids, x, key, row = (t.column("vec_id").to_numpy(), _matrix(t.column("vec")), t.column("key").to_numpy(),
+                            t.column("row").to_numpy())
+        low = t.column("slice")[0].as_py() * SLICE
         cand, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
-        cand = cand[np.argsort(ids[cand], kind="stable")]
-        rows = []
-        c, c_ids = np.ascontiguousarray(x[cand]), ids[cand]
-        for at in range(0, len(queries), 256):
-            q = queries[at:at + 256]
-            s = x[q] @ c.T
+        cand = cand[np.lexsort((row[cand], ids[cand]))]
+        c, c_ids, c_rows = x[cand], ids[cand], row[cand]
+        stored_in, asked_in = members(t.column("parts"), cand), members(t.column("parts"), queries)
+        shared = [p for p in range(low, low + SLICE) if p in stored_in and p in asked_in]
+        rows, step = [], max(1, min(256, (1 << 23) // max(1, len(cand))))
+        for at in range(0, len(queries), step):
+            q = queries[at:at + step]
+            s = np.full((len(q), len(cand)), -np.inf)
+            for p in shared:
+                here = asked_in[p]
+                here = here[(here >= at) & (here < at + step)] - at
+                if len(here):
+                    s[np.ix_(here, stored_in[p])] = x[q[here]] @ c[stored_in[p]].T
             s[ids[q][:, None] == c_ids[None, :]] = -np.inf
-            if s.shape[1] > k:
-                kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-            else:
-                kth = np.full(len(q), -np.inf)
-            for i, row in enumerate(q):
-                near = np.flatnonzero((s[i] >= kth[i] - 1e-9 * max(1.0, abs(kth[i]))) & (s[i] > -np.inf))
-                score = (c[near] * x[row]).sum(axis=1)  # summed alike for equal vectors: ties stay ties
+            kth = -np.partition(-s, k - 1, axis=1)[:, k - 1] if s.shape[1] > k else np.full(len(q), -np.inf)
+            for i, asked in enumerate(q):
+                slack = 1e-9 * max(1.0, abs(kth[i])) if np.isfinite(kth[i]) else 0.0
+                near = np.flatnonzero((s[i] >= kth[i] - slack) & (s[i] > -np.inf))
+                score = (c[near] * x[asked]).sum(axis=1)  # summed alike for equal vectors: ties stay ties
                 top = np.argsort(-score, kind="stable")[:k]
-                rows.append((np.full(len(top), ids[row]), np.full(len(top), key[row]), c_ids[near[top]], score[top]))
-        cols = [np.concatenate(z) if rows else np.array([], np.int64) for z in zip(*rows)] if rows else [[], [], [], []]
-        return pa.table([pa.array(z, ty) for z, ty in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
-                        names=["query_id", "key", "vec_id", "score"])
+                rows.append((np.full(len(top), ids[asked]), np.full(len(top), key[asked]), c_ids[near[top]],
+                             c_rows[near[top]], score[top]))
+        types = [pa.int64()] * 4 + [pa.float64()]
+        cols = [np.concatenate(z) for z in zip(*rows)] if rows else [[]] * 5
+        return pa.table([pa.array(z, ty) for z, ty in zip(cols, types)],
+                        names=["query_id", "key", "vec_id", "row", "score"])
     return run
 
 
+def route(rows: DataFrame, n: int) -> DataFrame:
+    """(vec_id, row, vec, parts, asked), written: where each vector is stored and, of the
+    queries, all parts in their order.  ``rows``: vec_id, vec, is_query."""
+    # ``row`` names a row from here on: it is written with it
+    named = rows.select("vec_id", F.monotonically_increasing_id().alias("row"), "vec", "is_query")
+    return stored(rows.sparkSession, named.mapInArrow(
+        _route(fit(rows, n)), "vec_id long, row long, vec array<double>, parts array<int>, asked array<int>"), "routed-vectors")
+
+
+def _found(rows: DataFrame, d: int, n: int, k: int, probes: int) -> DataFrame:
+    """(query_id, key, vec_id, row, score) of the vectors of one length."""
+    routed = route(rows, n)
+    held = {r["part"]: r["count"] for r in routed.select(F.explode("parts").alias("part")).groupBy("part").count().collect()}
+    asked = (routed.filter("asked is not null").withColumn("key", F.xxhash64("vec")).dropDuplicates(["vec_id", "key"])
+             .select("vec_id", "vec", "key", "asked")
+             .mapInArrow(_probes(held, probes, STORED * (k + 1)), "vec_id long, vec array<double>, key long, parts array<int>"))
+    slices = F.explode(F.array_distinct(F.transform("parts", lambda p: F.floor(p / SLICE).cast("int")))).alias("slice")
+    stored_in = routed.select("vec_id", "row", "vec", "parts", slices)
+    asked_in = asked.select("vec_id", "vec", "key", "parts", slices)
+    # one row per slice on either side: bounded by MAX_PARTS / SLICE
+    blocks = (stored_in.groupBy("slice").agg(F.ceil(F.count("*") * d / BLOCK_VALUES).cast("int").alias("c"))
+              .join(asked_in.groupBy("slice").agg(F.ceil(F.count("*") * d / QUERY_BLOCK_VALUES).cast("int").alias("q")), "slice"))
+    both = ["vec_id", "row", "vec", "key", "is_query", "parts", "slice", "cb", "qb"]
+    stored_in = stored_in.join(F.broadcast(blocks), "slice").select(
+        "vec_id", "row", "vec", F.lit(0).cast("long").alias("key"), F.lit(False).alias("is_query"), "parts", "slice",
+        F.pmod(F.xxhash64("row"), "c").cast("int").alias("cb"),
+        F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb")).select(*both)
+    asked_in = asked_in.join(F.broadcast(blocks), "slice").select(
+        "vec_id", F.lit(0).cast("long").alias("row"), "vec", "key", F.lit(True).alias("is_query"), "parts", "slice",
+        F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("cb"),
+        F.pmod(F.xxhash64("vec_id", "key"), "q").cast("int").alias("qb")).select(*both)
+    return stored_in.unionByName(asked_in).groupBy("slice", "cb", "qb").applyInArrow(
+        _rank(k), "query_id long, key long, vec_id long, row long, score double")
+
+
 def search(table_: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id", vector: str = "embedding",
-           mass: float = MASS, least_probes: int = LEAST_PROBES) -> DataFrame:
+           probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query."""
-    spark = table_.sparkSession
     rows = table_.filter(F.col(vec_id).isNotNull() & usable(F.col(vector))).select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vec"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    lengths = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    d, n = (lengths["d"], lengths["count"]) if lengths else (0, 0)
-    rows = rows.filter(F.size("vec") == d)
-    router = fit(rows, n)
-    routed = stored(spark, rows.mapInArrow(
-        _route(router, mass, least_probes), "vec_id long, vec array<double>, part int, probes array<int>"), "routed-vectors")
-    asked = routed.filter("probes is not null").withColumn("key", F.xxhash64("vec")).dropDuplicates(["vec_id", "key"])
-    asked = asked.select("vec_id", "vec", "key", F.explode("probes").alias("part"))
-    # one row per part on either side: bounded by MAX_PARTS
-    blocks = (routed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("c"))
-              .join(asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("q")), "part"))
-    both = ["vec_id", "vec", "key", "is_query", "part", "cb", "qb"]
-    stored_in = routed.join(F.broadcast(blocks), "part").select(
-        "vec_id", "vec", F.lit(0).cast("long").alias("key"), F.lit(False).alias("is_query"), "part",
-        F.pmod(F.xxhash64("vec_id"), "c").cast("int").alias("cb"),
-        F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb")).select(*both)
-    asked_in = asked.join(F.broadcast(blocks), "part").select(
-        "vec_id", "vec", "key", F.lit(True).alias("is_query"), "part",
-        F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("cb"),
-        F.pmod(F.xxhash64("vec_id", "key"), "q").cast("int").alias("qb")).select(*both)
-    found = stored_in.unionByName(asked_in).groupBy("part", "cb", "qb").applyInArrow(
-        _rank(k), "query_id long, key long, vec_id long, score double")
-    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    lengths = rows.groupBy(F.size("vec").alias("d")).count().orderBy("d").limit(MAX_LENGTHS + 1).collect()
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"vectors of over {MAX_LENGTHS} lengths")
+    parts = [_found(rows.filter(F.size("vec") == r["d"]), r["d"], r["count"], k, probes) for r in lengths]
+    if not parts:
+        return table_.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    # a candidate stored in two slices may be found in both; one shuffle serves both steps
+    once = found.repartition("query_id", "key").dropDuplicates(["query_id", "key", "vec_id", "row"])
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id", "row")
+    return (once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -15,17 +15,21 @@ from tributary.session import scratch_path
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/1", "<p>é</p>"), (2, "http://a/2", "<p>é</p>"), (9, None, "<p>é</p>"), (3, "http://a/ 3\r\nX: y", None),
             (4, "http://a/4", ""), (5, "http://a/5", "x" * 300_000), (6, "u", "Content-Length: 3\r\n\r\nWARC/1.1"),
-            (7, "u", "same"), (7, "u", "same"), (None, "u", "lone")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+            (7, "u", "same"), (7, "u", "same"), (7, "u", "same"), (None, "u", "lone"), (8, None, "two"), (8, "", "two"), (8, None, "two"),
+            (None, "u", "noid"), (None, None, "noid"), (None, "u", "noid")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns(
+        {c: F.lit("x") for c in ("sha1", "size", "n", "top", "holder", "Offset", "file")})
     index = warc.write(pages, scratch_path(spark, "warc"))
     got = warc.read(index).collect()
     digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     assert sorted((r["page_id"] or 0, r["payload_bytes"], r["payload_digest"]) for r in got) == sorted(
         (i or 0, len((t or "").encode()), digest(t)) for i, _, t in rows)
-    assert {r["page_id"]: r["refers_to"] for r in got if r["record_type"] == "revisit"} == {1: 9, 2: 9, 3: 4, 7: 7}
-    html = {i: (t or "").encode() for i, _, t in rows}
-    assert all(bytes(r["payload"]) == html[r["page_id"]] for r in got if r["record_type"] == "response")
-    assert sum(r["record_type"] == "response" for r in got) == 6
+    assert {r["page_id"]: r["refers_to"] for r in got if r["record_type"] == "revisit"} == {
+        1: 9, 2: 9, 3: 4, 7: 7, 8: 8, None: None}
+    texts = {((i, u), (t or "").encode()) for i, u, t in rows}
+    assert all(((r["page_id"], r["url"]), bytes(r["payload"])) in texts for r in got if r["record_type"] == "response")
+    assert sum(r["record_type"] == "response" for r in got) == 8 == len({t or "" for _, _, t in rows})
+    assert [r["url"] for r in got if r["page_id"] == 8 and r["record_type"] == "response"] == [""]
     some = warc.read(index.filter("page_id in (5, 6)"))
     assert {r["page_id"] for r in some.collect()} == {5, 6}
     assert warc.read(warc.write(pages.limit(0), scratch_path(spark, "warc"))).count() == 0

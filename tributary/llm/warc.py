@@ -13,8 +13,8 @@ into records, each verified against its digest.
 
 Null html is an empty payload.  A null URL has no target header; control characters in URLs
 are percent-encoded in the header (the index keeps the URL as it is).  Null page_ids are
-smallest; of repeated rows (equal page_id and payload) one is the response and the others
-revisit it.  Extra columns are ignored; an empty table gives an empty index.
+smallest, as are null URLs; of rows equal in page_id and payload the greatest URL is the
+response, of rows equal in it too one is, and the others revisit it.  Extra columns are ignored; an empty table gives an empty index.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import table
+from tributary.llm.common import stored, table
 from tributary.session import scratch_path
 
 #: Equal payloads below so many bytes are not deduplicated.
@@ -39,6 +39,8 @@ MIN_REVISIT_BYTES = 0
 GAP = 64 << 10
 READ = 8 << 20
 LEVEL = 1
+#: Equal rows laid out again by one task.
+REPEATS = 100_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = ("file string, offset long, length long, page_id long, url string, payload_bytes long, "
@@ -88,35 +90,44 @@ def parse(raw: bytes) -> dict:
 
 
 def roles(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, url, html, sha1, holder): holder is null where the page keeps its payload,
-    else a struct with the page_id of the one that does."""
+    """(page_id, url, html, sha1, size, holder): holder is null where the page keeps its payload,
+    else a struct with the page_id of the one that does.
+
+    Of equal payloads the greatest (page_id, URL) keeps it, nulls being least; of rows equal in
+    id, URL and payload one does.  Such rows are alike, so all are folded to one with a count
+    (in part before the shuffle) and laid out again, the others without their payload."""
+    spark = pages.sparkSession
     html = F.coalesce(F.col("html"), F.lit(""))
     facts = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.sha1(html).alias("sha1"),
                          F.octet_length(html).cast("long").alias("size"))
-    rank = F.struct(F.coalesce("page_id", F.lit(-2**63)).alias("p"), F.coalesce("url", F.lit("")).alias("u"))
+    rank = F.struct(F.col("page_id").isNotNull().alias("has_id"), F.coalesce("page_id", F.lit(0)).alias("p"),
+                    F.col("url").isNotNull().alias("has_url"), F.coalesce("url", F.lit("")).alias("u"))
     # only payloads that occur twice meet their copies; one row per digest on this side
-    shared = (facts.filter(F.col("size") >= min_bytes).groupBy("sha1")
-              .agg(F.max(rank).alias("top"), F.max("page_id").alias("holder"), F.count("*").alias("copies"))
-              .filter("copies > 1").select("sha1", "top", "holder"))
+    alike = facts.filter(F.col("size") >= min_bytes).groupBy("sha1", "page_id", "url").agg(F.count("*").alias("n"))
+    shared = stored(spark, alike.groupBy("sha1").agg(
+        F.max(F.struct(rank.alias("top"), "n")).alias("best"), F.max("page_id").alias("keeper"), F.sum("n").alias("copies"))
+        .filter("copies > 1").select("sha1", "best.top", F.col("best.n").alias("n"), "keeper"), "warc-shared")
     joined = facts.join(shared.hint("shuffle_hash"), "sha1", "left")
-    return joined.select("page_id", "url", "html", "sha1", "size", F.when(
-        F.col("top").isNotNull() & (rank < F.col("top")), F.struct(F.col("holder").alias("id"))).alias("holder"),
-        (F.col("top").isNotNull() & (rank == F.col("top"))).alias("is_top"))
+    keeper = F.struct(F.col("keeper").alias("id"))
+    out = ["page_id", "url", "html", "sha1", "size"]
+    is_top = F.col("top").isNotNull() & (rank == F.col("top"))
+    marked = joined.select(*out, F.when(F.col("top").isNotNull() & ~is_top, keeper).alias("holder"), is_top.alias("is_top"), "n")
+    if not shared.filter("n > 1").limit(1).count():
+        return marked.select(*out, "holder")
+    several = F.col("is_top") & (F.col("n") > 1)
+    folded = marked.filter(several).groupBy("page_id", "url", "sha1", "size", "n").agg(F.first("html").alias("html"))
+    others = (folded.select("page_id", "url", "sha1", "size", "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - 1, F.lit(REPEATS))).alias("at"))
+              .repartition("sha1", "page_id", "url", "at")  # a large group is many tasks
+              .withColumn("k", F.explode(F.sequence("at", F.least(F.col("at") + REPEATS, F.col("n")) - 1)))
+              .select("page_id", "url", F.lit("").alias("html"), "sha1", "size", F.struct(F.col("page_id").alias("id")).alias("holder")))
+    none = F.lit(None).cast("struct<id: bigint>").alias("holder")
+    return marked.filter(~several).select(*out, "holder").unionByName(folded.select(*out, none)).unionByName(others)
 
 
 def write(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Writes the archives and their index (``<folder>/index``); returns the index."""
     spark = pages.sparkSession
     marked = roles(pages, min_bytes)
-    # rows equal in id, URL and payload: all but one of them revisit it
-    tie = F.struct("page_id", "url", "sha1")
-    twins = (marked.filter("is_top").groupBy(tie.alias("t")).agg(F.count("*").alias("n")).filter("n > 1"))
-    repeated = bool(twins.limit(1).count())
-    if repeated:
-        from pyspark.sql.window import Window
-        place = F.row_number().over(Window.partitionBy("page_id", "url", "sha1").orderBy(F.lit(0)))
-        tops = marked.filter("is_top").withColumn("holder", F.when(place > 1, F.struct(F.col("page_id").alias("id"))))
-        marked = marked.filter("not is_top").unionByName(tops)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, offset, rows = None, None, 0, []
@@ -209,8 +220,8 @@ _B32 = " || ".join("substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((" + _GROUP.for
                    for g in range(8) for s in (15, 10, 5, 0))
 SQL = f"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
-g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top, row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST) AS k FROM p)
 SELECT page_id, payload_bytes, {_B32} AS payload_digest,
-       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to FROM g
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k = 1 THEN NULL ELSE top END AS refers_to FROM g
 """

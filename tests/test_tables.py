@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import ConstraintViolation, violations
-from tributary.plans.store import Store
+from tributary.plans.store import SILVER_SCHEMA, Store
 from tributary.plans.tables import KeyedTable, SnapshotTable
 from tributary.session import scratch_path
 
@@ -73,6 +73,31 @@ def test_violations_counts(spark):
                    ("unique_key", "k"): 1}
 
 
+def test_violations_in_one_scan_with_examples(spark):
+    rows = [("a", 1.0, "x"), ("b", 9_999_999_999.99, "x"), ("b", 1e10, "x"), ("c", float("nan"), "x"), (None, None, "y" * 9), ("c", -1e10, "x")]
+    df = spark.createDataFrame(rows, "key string, v0 double, b0 string")  # names of the counters
+    rules = dict(key=["key"], not_null=["v0"], varchar={"b0": 8}, money=["v0"])
+    got = violations(df, "t", examples=True, **rules)
+    assert {(r["rule"], r["column_name"]): (r["n_violations"], r["example"]) for r in got.collect()} == {
+        ("not_null", "v0"): (1, "{}"), ("max_length_8", "b0"): (1, "{}"), ("money_range", "v0"): (3, '{"key":"b"}'),
+        ("unique_key", "key"): (2, '{"key":"b"}')}
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    plan = violations(spark.read.parquet(path), "t", **rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert {r["n_violations"] for r in violations(df.limit(0), "t", examples=True, **rules).collect()} == {0}
+
+
+def test_keyed_write_checks_the_money_range_before_the_cast(spark):
+    store = Store(spark, scratch_path(spark, "range"))
+    row = spark.createDataFrame([("o", "c", "p", 12.345, None, None)], SILVER_SCHEMA.replace("decimal(12,2)", "double"))
+    store.silver.append(row, "good")
+    assert store.silver.read().first()["amount"] == Decimal("12.35")
+    with pytest.raises(ConstraintViolation, match=r"money_range\(amount\)=1"):
+        store.silver.append(row.withColumn("amount", F.lit(1e10)), "bad")
+    assert store.silver.read().count() == 1 and dict(store.silver.read().dtypes)["amount"] == "decimal(12,2)"
+
+
 def test_money_migration_is_all_or_nothing(spark):
     from tributary.plans.migration import migrate_tables
     a = SnapshotTable(spark, scratch_path(spark, "ma"))

@@ -195,19 +195,21 @@ mc AS ({MINUTE.format(src=f"(SELECT * FROM b WHERE order_date >= {CUTOFF_CHANGES
 SELECT * FROM ({DAILY.format(src='clean')}) WHERE report_date IS NOT NULL"""
     q["gold_swap"] = daily_pub
     q["gold_swap_empty_guard"] = daily_pub
+    beyond = "amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(12,2)) IS NULL"
+    rules = [*(("not_null", c, f"{c} IS NULL") for c in ("order_id", "customer_id", "product_id", "amount", "order_date")),
+             *(("max_length_255", c, f"length({c}) > 255") for c in ("order_id", "customer_id", "product_id")),
+             ("money_range", "amount", beyond)]
+
+    def example(test: str) -> str:
+        return f"""min(CASE WHEN {test} THEN '{{"order_id":"' || order_id || '"}}' END) AS example"""
+    counted = " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, '{c}' AS column_name, count(*) FILTER (WHERE {test}) AS n_violations, {example(test)} FROM s"
+        for rule, c, test in rules)
     q["constraint_violations"] = f"""WITH {VIEW_B},
-s AS (SELECT order_id, customer_id, product_id, amount, order_date FROM b)
-SELECT 'silver_candidates' AS table_name, rule, column_name, CAST(n_violations AS BIGINT) AS n_violations FROM (
-  SELECT 'not_null' AS rule, 'order_id' AS column_name, count(*) FILTER (WHERE order_id IS NULL) AS n_violations FROM s
-  UNION ALL SELECT 'not_null', 'customer_id', count(*) FILTER (WHERE customer_id IS NULL) FROM s
-  UNION ALL SELECT 'not_null', 'product_id', count(*) FILTER (WHERE product_id IS NULL) FROM s
-  UNION ALL SELECT 'not_null', 'amount', count(*) FILTER (WHERE amount IS NULL) FROM s
-  UNION ALL SELECT 'not_null', 'order_date', count(*) FILTER (WHERE order_date IS NULL) FROM s
-  UNION ALL SELECT 'max_length_255', 'order_id', count(*) FILTER (WHERE length(order_id) > 255) FROM s
-  UNION ALL SELECT 'max_length_255', 'customer_id', count(*) FILTER (WHERE length(customer_id) > 255) FROM s
-  UNION ALL SELECT 'max_length_255', 'product_id', count(*) FILTER (WHERE length(product_id) > 255) FROM s
-  UNION ALL SELECT 'money_range', 'amount', count(*) FILTER (WHERE false) FROM s
-  UNION ALL SELECT 'unique_key', 'order_id', COALESCE(sum(n - 1), 0)
+s AS (SELECT order_id, customer_id, product_id, CAST(amount AS DOUBLE) * l_quantity * 2500 AS amount, order_date FROM b)
+SELECT 'silver_candidates' AS table_name, rule, column_name, CAST(n_violations AS BIGINT) AS n_violations, example FROM (
+  {counted}
+  UNION ALL SELECT 'unique_key', 'order_id', COALESCE(sum(n - 1), 0), {example("n > 1")}
     FROM (SELECT order_id, count(*) AS n FROM s GROUP BY order_id)
 )"""
     q["type_migration"] = """

@@ -11,8 +11,8 @@ from tributary.functions.quality import STATUS_PROCESSED
 from tributary.operators.dlq import live_minutes
 from tributary.plans.tables import CommitLog, KeyedTable, SnapshotTable, Transaction
 from tributary.schemas import (
-    DAILY_KEY, DLQ_COLUMNS, MINUTE_COLUMNS, MINUTE_KEY, NOT_NULL, SILVER_COLUMNS, SILVER_KEY,
-    VARCHAR_LIMITS,
+    DAILY_KEY, DLQ_COLUMNS, MINUTE_COLUMNS, MINUTE_KEY, MONEY_COLUMNS, NOT_NULL, SILVER_COLUMNS,
+    SILVER_KEY, VARCHAR_LIMITS,
 )
 
 #: Orders that the Bloom filter of a queue file is sized for.
@@ -53,10 +53,12 @@ class Store:
         # Silver: last write wins on values, the first insert keeps its stamp.
         self.silver = KeyedTable(s, f"{r}/silver", SILVER_KEY, SILVER_TABLE_COLUMNS,
                                  policies={"processed_at": "min"}, name="silver", log=log,
-                                 not_null=NOT_NULL["silver"], varchar=VARCHAR_LIMITS["silver"])
+                                 not_null=NOT_NULL["silver"], varchar=VARCHAR_LIMITS["silver"],
+                                 money=MONEY_COLUMNS["silver"])
         self.minute = KeyedTable(s, f"{r}/gold_minute", MINUTE_KEY, MINUTE_TABLE_COLUMNS,
                                  policies={"created_at": "min"}, name="gold_minute", log=log,
-                                 not_null=NOT_NULL["minute"], varchar=VARCHAR_LIMITS["minute"])
+                                 not_null=NOT_NULL["minute"], varchar=VARCHAR_LIMITS["minute"],
+                                 money=MONEY_COLUMNS["minute"])
         # DLQ: a record never changes once written, except its status, which
         # only moves forward ('processed' < 'unprocessed', so min wins).
         self.dlq = KeyedTable(
@@ -64,6 +66,7 @@ class Store:
             policies={**{c: "first" for c in DLQ_TABLE_COLUMNS if c not in ("source", "id")},
                       "status": "min", "created_at": "min"},
             name="dlq", log=log, not_null=NOT_NULL["dlq"], varchar=VARCHAR_LIMITS["dlq"],
+            money=MONEY_COLUMNS["dlq"],
             partition_by=["status"], bloom={"error_reason": 64, "order_id": DLQ_ORDERS_A_FILE})
         self.daily = SnapshotTable(s, f"{r}/gold_daily", key=DAILY_KEY,
                                    not_null=NOT_NULL["daily"], varchar=VARCHAR_LIMITS["daily"],

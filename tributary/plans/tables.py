@@ -32,31 +32,30 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.checks import ConstraintViolation, assert_valid
+from tributary.operators.checks import ConstraintViolation, assert_valid, row_rules
+from tributary.schemas import MONEY_SQL
 
 COMMIT_SCHEMA = ("table_name string, seq long, kind string, tag string, path string, "
                  "n_rows long, committed_ms long")
 
 
 def _write_counted(df: DataFrame, path: str, *, not_null: Sequence[str] = (),
-                   varchar: Mapping[str, int] | None = None, table: str = "",
+                   varchar: Mapping[str, int] | None = None, money: Sequence[str] = (), table: str = "",
                    partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None) -> int:
     """Overwrite ``path`` with ``df`` and return the row count.
 
-    The count and the NOT NULL / length violations are observed during the
-    write itself (no second pass).  On a violation the written files are left
+    The count and the NOT NULL / length / money range violations are observed during the
+    The count and the NOT NULL / length / money range violations are observed during the
+    write itself (no second pass), the range before the cast to DECIMAL(12,2). a violation the written files are left
     uncommitted (invisible) and :class:`ConstraintViolation` is raised.
     """
-    metrics = [F.count(F.lit(1)).alias("n_rows")]
-    labels = []
-    for c in not_null:
-        metrics.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"v{len(labels)}"))
-        labels.append(f"not_null({c})")
-    for c, n in (varchar or {}).items():
-        metrics.append(F.count(F.when(F.length(c) > n, 1)).alias(f"v{len(labels)}"))
-        labels.append(f"max_length_{n}({c})")
+    rules = row_rules(not_null, varchar, money)
+    labels = [f"{rule}({c})" for rule, c, _ in rules]
+    metrics = [F.count(F.lit(1)).alias("n_rows"),
+               *[F.count(F.when(broken, 1)).alias(f"v{i}") for i, (_, _, broken) in enumerate(rules)]]
     obs = Observation()
-    writer = df.observe(obs, *metrics).write.mode("overwrite")
+    checked = df.observe(obs, *metrics).withColumns({c: F.col(c).try_cast(MONEY_SQL) for c in money})
+    writer = checked.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     for c, distinct in (bloom or {}).items():
@@ -336,9 +335,10 @@ class KeyedTable(_Table):
                  columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
                  name: str | None = None, log: CommitLog | None = None,
                  not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None,
-                 partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None):
+                 money: Sequence[str] = (), partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None):
         super().__init__(spark, root, name, log)
         self.not_null, self.varchar = list(not_null), dict(varchar or {})
+        self.money = list(money)  # checked before the cast to DECIMAL(12,2)
         # Partition columns: increments and bases are then partitions of one folder, too
         # (``part=<name>/<column>=<value>``), so all are one scan that prunes both.
         self.partition_by = list(partition_by)
@@ -374,12 +374,16 @@ class KeyedTable(_Table):
         path = self._path("increments", f"{tag}-{uuid.uuid4().hex[:8]}")
         n_rows = _write_counted(
             df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
-            not_null=self.not_null, varchar=self.varchar, table=self.name,
+            not_null=self.not_null, varchar=self.varchar, money=self._wider(df), table=self.name,
             partition_by=self.partition_by, bloom=self.bloom)
         if n_rows or not prior:
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
 
+    def _wider(self, df: DataFrame) -> list[str]:
+        """Money columns of ``df`` whose type holds values that DECIMAL(12,2) does not."""
+        return [c for c in self.money if dict(df.dtypes)[c] != MONEY_SQL]
+
     def _path(self, kind: str, name: str) -> str:
         return f"{self.root}/data/part={name}" if self.partition_by else f"{self.root}/{kind}/{name}"
 

@@ -61,4 +61,5 @@ NOT_NULL = {
     "daily": ["report_date", "product_id", "total_revenue"],
     "dlq": ["id"],
 }
+MONEY_COLUMNS = {"silver": ["amount"], "minute": ["total_revenue"], "daily": ["total_revenue"], "dlq": ["amount"]}
 KEYS = {"silver": SILVER_KEY, "minute": MINUTE_KEY, "daily": DAILY_KEY, "dlq": ["id"]}

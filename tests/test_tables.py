@@ -116,6 +116,46 @@ def test_money_migration_is_all_or_nothing(spark):
     assert sorted(r["total_revenue"] for r in b.read().collect()) == [Decimal("3.00"), Decimal("7.78")]
 
 
+def test_old_and_new_money_files_are_one_table_and_migrate_together(spark):
+    from tributary.plans.migration import MoneyTables
+    rules = {"a": {"money": ["amount"], "key": ["k"], "not_null": ["k"]}, "b": {"money": ["net", "tax"]}}
+    t = MoneyTables(spark, scratch_path(spark, "money"), rules)
+    old_a = spark.createDataFrame([(1, 1.006), (2, None)], "k int, amount double")
+    old_b = spark.createDataFrame([("x", 7.777, 3.0), ("y", 1.0, 1e13)], "s string, net double, tax double")
+    t.append({"a": old_a, "b": old_b})
+    t.append({"a": spark.createDataFrame([(3, Decimal("5.00"))], "k int, amount decimal(12,2)")})
+    with pytest.raises(TypeError, match="double"):
+        t.append({"b": spark.createDataFrame([("z", 1.0, Decimal("1.00"))], "s string, net double, tax decimal(12,2)")})
+
+    def held(name):
+        return sorted(map(tuple, t.read(name).collect()), key=str)
+    as_one = [(1, Decimal("1.01")), (2, None), (3, Decimal("5.00"))]
+    assert held("a") == as_one and dict(t.read("a").dtypes)["amount"] == "decimal(12,2)"
+    before = t._folders()
+    with pytest.raises(ConstraintViolation, match="b.tax=1"):  # one bad value: all stay as they were
+        t.migrate()
+    assert t._folders() == before and held("a") == as_one
+    with pytest.raises(Exception, match="out of range"):
+        held("b")
+    t = MoneyTables(spark, scratch_path(spark, "money"), rules)
+    t.append({"a": old_a, "b": old_b.filter("tax < 1e9")})
+    t.append({"a": spark.createDataFrame([(2, Decimal("5.00"))], "k int, amount decimal(12,2)")})
+    before = t._folders()
+    with pytest.raises(ConstraintViolation, match="unique_key"):  # a broken rule: likewise
+        t.migrate()
+    assert t._folders() == before
+    t = MoneyTables(spark, scratch_path(spark, "money"), rules)
+    t.append({"a": old_a, "b": old_b.filter("tax < 1e9")})
+    kept = spark.createDataFrame([(3, Decimal("5.00"))], "k int, amount decimal(12,2)")
+    t.append({"a": kept})
+    new_files = {path for _, path, is_old in t._folders() if not is_old}
+    assert {(r["table_name"], r["column_name"]): (r["n_rows"], r["n_rounded"], r["n_nulled"]) for r in t.migrate().collect()} == {
+        ("a", "amount"): (2, 1, 0), ("b", "net"): (1, 1, 0), ("b", "tax"): (1, 0, 0)}
+    assert held("a") == as_one and held("b") == [("x", Decimal("7.78"), Decimal("3.00"))]
+    assert not any(is_old for _, _, is_old in t._folders()) and new_files < {path for _, path, _ in t._folders()}
+    assert t.migrate().count() == 0  # nothing old is left
+
+
 def test_catalog_csv_key_is_trimmed(spark):
     from tributary.sources.readers import read_catalog_csv
     path = scratch_path(spark, "catalog")

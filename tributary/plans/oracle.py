@@ -230,6 +230,19 @@ SELECT 'lineitem', 'l_quantity', count(*),
                    AND CAST(TRY_CAST(l_quantity AS DECIMAL(12,2)) AS DOUBLE) <> l_quantity),
   count(*) FILTER (WHERE l_quantity IS NOT NULL AND TRY_CAST(l_quantity AS DECIMAL(12,2)) IS NULL)
 FROM lineitem"""
+    new = "TRY_CAST(v AS DECIMAL(12,2))"
+    sources = {
+        ("silver", "amount"): "SELECT l_extendedprice / 7 AS v, l_orderkey % 3 = 0 AS newer FROM lineitem",
+        ("dlq", "amount"): "SELECT value / 7 AS v, event_id % 3 = 0 AS newer FROM events",
+        ("gold_minute", "total_revenue"): """SELECT CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / 7 AS v,
+            minute(date_trunc('minute', ts)) % 3 = 0 AS newer FROM events GROUP BY date_trunc('minute', ts)"""}
+    for table in ("gold_daily", "gold_daily_staging"):
+        sources[table, "total_revenue"] = """SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 7 AS v,
+            day(CAST(l_shipdate AS DATE)) % 3 = 0 AS newer FROM lineitem GROUP BY CAST(l_shipdate AS DATE)"""
+    q["type_migration_executed"] = " UNION ALL ".join(f"""
+SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) FILTER (WHERE NOT newer) AS n_migrated,
+  count(*) FILTER (WHERE NOT newer AND CAST({new} AS DOUBLE) <> v) AS n_rounded, 'decimal(12,2)' AS data_type,
+  count(*) FILTER (WHERE newer IS NOT NULL) AS n_held, CAST(sum({new}) FILTER (WHERE newer IS NOT NULL) AS DECIMAL(38,2)) AS total FROM ({source})""" for (table, column), source in sources.items())
     q["catalog_create_once"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category FROM part"""
     q["enrich_left"] = f"""WITH {CLEAN_A}, {CATALOG}

@@ -19,6 +19,7 @@ from tributary.functions.text import UNKNOWN_PRODUCT
 from tributary.operators import alerts, checks, deltas, dlq, gold, merge, migrate
 from tributary.operators.quality import route_quality
 from tributary.plans import oracle as O
+from tributary.plans.migration import MoneyTables
 from tributary.plans.tables import SnapshotTable
 from tributary.schemas import SILVER_COLUMNS, TOTAL_SQL, VARCHAR_LIMITS
 from tributary.session import scratch_path, session_key
@@ -220,6 +221,36 @@ def q_type_migration(spark, d):
     return ev.unionByName(li)
 
 
+def q_type_migration_executed(spark, d):
+    """Five tables, each with old DOUBLE files and newer DECIMAL ones, migrated together; what
+    they hold then, with the report of the old rows.  Old money has digits beyond the cent."""
+    seventh = lambda c: (F.col(c).cast("double") / 7)
+    events, lines = read_table(spark, d, "events"), read_table(spark, d, "lineitem")
+    silver = lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id"),
+                          seventh("l_extendedprice").alias("amount"), (F.col("l_orderkey") % 3 == 0).alias("newer"))
+    queue = events.select(F.col("event_id").alias("id"), seventh("value").alias("amount"), (F.col("event_id") % 3 == 0).alias("newer"))
+    cents = F.sum(F.col("value").cast("decimal(18,2)"))  # exact, so the total does not depend on its order
+    minute = (events.groupBy(F.date_trunc("minute", "ts").alias("window_start")).agg(cents.alias("total"))
+              .select("window_start", seventh("total").alias("total_revenue"), (F.minute("window_start") % 3 == 0).alias("newer")))
+    daily = (lines.groupBy(F.to_date("l_shipdate").alias("report_date")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"))
+             .select("report_date", seventh("total").alias("total_revenue"), (F.dayofmonth("report_date") % 3 == 0).alias("newer")))
+    tables = {"silver": (silver, "order_id", "amount"), "dlq": (queue, "id", "amount"),
+              "gold_minute": (minute, "window_start", "total_revenue"), "gold_daily": (daily, "report_date", "total_revenue"),
+              "gold_daily_staging": (daily, "report_date", "total_revenue")}
+    store = MoneyTables(spark, scratch_path(spark, "money-tables"),
+                        {name: {"money": [money], "not_null": [key]} for name, (_, key, money) in tables.items()})
+    store.append({name: rows.filter("not newer").drop("newer") for name, (rows, _, _) in tables.items()})
+    store.append({name: migrate.migrate_money(rows.filter("newer").drop("newer"), [money]) for name, (rows, _, money) in tables.items()})
+    report = store.migrate()
+    held = None
+    for name, (_, _, money) in tables.items():
+        now = store.read(name)
+        one = now.agg(F.count("*").alias("n_held"), F.sum(money).cast(TOTAL_SQL).alias("total")).select(
+            F.lit(name).alias("table_name"), F.lit(dict(now.dtypes)[money]).alias("data_type"), "n_held", "total")
+        held = one if held is None else held.unionByName(one)
+    return report.select("table_name", "column_name", F.col("n_rows").alias("n_migrated"), "n_rounded").join(held, "table_name")
+
+
 def q_catalog_create_once(spark, d):
     table = SnapshotTable(spark, scratch_path(spark, "catalog"), key=["product_id"])
     cat = catalog(spark, d)
@@ -350,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_swap_empty_guard": q_gold_swap_empty_guard,
     "constraint_violations": q_constraint_violations,
     "type_migration": q_type_migration,
+    "type_migration_executed": q_type_migration_executed,
     "catalog_create_once": q_catalog_create_once,
     "enrich_left": q_enrich_left,
     "unknown_products": q_unknown_products,

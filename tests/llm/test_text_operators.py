@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.llm.license_texts import TEMPLATES
 from tributary.llm import language_id, license_scan, line_dedup, lm_scoring, quality_rules
 
 
@@ -132,6 +133,25 @@ def test_passages_inside_lines_are_deleted(spark):
                    3: "Here sentence three says that the number nine is only told once in this text. " + passage.split(". ")[3]}
 
 
+def test_license_scan_finds_a_text_with_insertions_at_every_offset(spark):
+    """60 words put into the middle of a template, the document starting it at any word."""
+    template = " ".join(TEMPLATES["mit"].split()).split(" ")
+    half, other = len(template) // 2, [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(other[:i * 11] + template[:half] + other[300:360] + template[half:] + other[:50])) for i in range(27)]
+    rows += [(100, " ".join(template[:half]))]  # half of it is no match
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_scan.templates_table(spark)).collect()
+    assert sorted((r["doc_id"], r["template"], r["first_word"]) for r in got) == [(i, "mit", i * 11) for i in range(27)]
+
+
+def test_license_bands_decide(spark, monkeypatch):
+    """Without hash functions that a window and a template share, nothing is compared."""
+    docs = spark.createDataFrame([(1, TEMPLATES["mit"])], "doc_id long, text string")
+    templates = license_scan.templates_table(spark)
+    assert [r["containment"] for r in license_scan.scan(docs, templates).collect()] == [1.0]
+    monkeypatch.setattr(license_scan, "_functions", lambda: F.explode(F.array((F.rand() * 2**62).cast("long"))))
+    assert license_scan.scan(docs, templates).count() == 0
+
+
 def test_licenses(spark, docs, empty):
     templates = license_scan.templates_table(spark)
     got = license_scan.scan(docs, templates).collect()

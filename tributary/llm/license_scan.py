@@ -2,32 +2,32 @@
 DataFrame functions only.
 
 Texts and templates are lower-cased runs of letters and digits.  Overlapping windows of
-``WIDTH`` words start every ``STEP`` words and hold four 5-word shingles, as do the pieces
-of a template; each is hashed by ``HASHES`` functions, of which the least and the greatest
-value over the shingles are a band each.  A window that holds the shingle of a one-shingle
-template shares it at a Jaccard similarity of 1/4 and is missed by both ends of a function
-with probability 1/2, by all with 0.5 ^ 24 < 1e-7.  A longer template has several shingles
-in such windows, and any of its pieces retrieves it.
-
-Verified: for every retrieved (document, template), the share of the template's distinct
-shingles that lie within one of the overlapping text windows of twice the template's length
-(any stretch as long as the template is within one).  At ``CONTAINMENT`` or more it is a
-match.  The windows' own shingles are joined, so the text is read once and never shuffled.
+``WIDTH`` words start every ``STEP`` words and hold four 5-word shingles; each is hashed by
+``HASHES`` functions, of which the least and the greatest value over the shingles are a band
+each.  A template is laid out as its single shingles, whose hash by a function is both of its
+bands.  A window that holds a shingle of a template has it as the least or the greatest of
+its four by a function with probability 1/2, so it misses the template with 0.5 ^ 24 < 1e-7.
+The bands decide: only windows that share one with a template are compared with it.
+
+Verified: the share of the template's distinct shingles that lie, in retrieved windows, within
+one of the overlapping text windows of three template lengths, a window starting every template
+length.  So any stretch of twice the template's length is within one, wherever the document
+has it.  At ``CONTAINMENT`` or more it is a match.  The text is read once and never shuffled;
+what the bands retrieve is.
 
 Null and empty texts, and texts under five words, match nothing.  Rows equal in doc_id and
-text give one row per template.  Repeated license texts in a document cost one row per
-shingle.  Templates are a table (name, text) whose size bounds what is broadcast; those
-under five words are an error.
+text give one row per template; rows are named by 128 bits of hash.  Repeated license texts
+in a document cost one row per shingle.  Templates are a table (name, text), its bands a
+broadcast one of at most ``MAX_BANDS`` rows (more are an error); templates under five words
+are an error, too.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import let, row_key, stored, table
+from tributary.llm.common import let, table
 from tributary.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
@@ -35,6 +35,10 @@ STEP = 4
 WIDTH = STEP + SHINGLE - 1
 HASHES = 24
 CONTAINMENT = 0.8
+#: Text windows are this many template lengths.
+LENGTHS = 3
+#: Bands of all templates: some 170,000 words of them, 100 MB where they are looked up.
+MAX_BANDS = 4_000_000
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -54,65 +58,47 @@ def _windows(text: Column) -> Column:
     return let(license_words(text), cut)
 
 
-def _bands() -> list[str]:
-    """The MinHash and the MaxHash of a window's shingles by each function, in SQL."""
-    out = []
-    for k in range(HASHES):
-        own = (k * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63
-        values = ", ".join(f"xxhash64(s{j} ^ ({own}L))" for j in range(STEP))
-        out += [f"least({values})", f"greatest({values})"]
-    return out
-
-
-def _hashed(windows: DataFrame, *columns: str) -> DataFrame:
-    """``columns``, and a row (k, h) for each band of each window."""
-    return windows.select(*columns, F.expr(f"posexplode(array({', '.join(_bands())}))").alias("k", "h"))
-
-
-def _within(value: str, of: set[int]) -> str:
-    return f"{value} IN ({', '.join(f'{x}L' for x in sorted(of))})" if of else "false"
+def _functions() -> Column:
+    """One row per hash function: the number it mixes into what it hashes."""
+    return F.explode(F.array(*[F.lit((k * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63) for k in range(HASHES)]))
 
 
 def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, template, containment, first_word), one row per document and template found:
     the best window's containment, and the first word of a shingle in it (the first, on ties)."""
     spark = docs.sparkSession
+    four = [f"s{k}" for k in range(STEP)]
     # all of this is bounded by the table of templates
     texts = templates.select("name", F.size(license_words(F.col("text"))).alias("words"), _windows(F.col("text")).alias("w")).collect()
     if short := [r["name"] for r in texts if r["words"] < SHINGLE]:
         raise ValueError(f"templates of under {SHINGLE} words: {short}")
-    pieces = spark.createDataFrame([(r["name"], *w) for r in texts for w in r["w"]],
-                                   "name string, at int, " + ", ".join(f"s{k} long" for k in range(STEP)))
-    bands = _hashed(pieces, "name").distinct().collect()
-    shingles = {(r["name"], s) for r in texts for w in r["w"] for s in w[1:]}
-    held_by = Counter(name for name, _ in shingles)
-    of_band = spark.createDataFrame(bands, "name string, k int, h long")
-    of_shingle = spark.createDataFrame(sorted(shingles), "name string, s long")
-    of_name = spark.createDataFrame([(r["name"], held_by[r["name"]], r["words"]) for r in texts], "name string, shingles long, words long")
-
-    found = (docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"),
-                         F.explode(_windows(F.col(text))).alias("w")).select("key", "doc_id", "w.*"))
-    hit = " OR ".join(_within(band, {r["h"] for r in bands if r["k"] == k}) for k, band in enumerate(_bands()))
-    # windows with a template's shingle are the ones to verify with; bands retrieve the templates
-    # ``exists`` also keeps this filter out of whole-stage code, where all bands would be one
-    # method too long for the JVM to compile; as it is, each band gets its own
-    held = f"exists(array({', '.join(f's{k}' for k in range(STEP))}), s -> {_within('s', {s for _, s in shingles})})"
-    near = stored(spark, found.filter(f"{hit} OR {held}"), "license-windows")
-    retrieved = _hashed(near, "key").join(F.broadcast(of_band), ["k", "h"]).select("key", "name").distinct()
-    places = near.select("key", "doc_id", F.posexplode(F.array(*(f"s{k}" for k in range(STEP)))).alias("k", "s"), "at").select(
-        "key", "doc_id", "s", (F.col("at") + F.col("k")).alias("at"))
-    matched = (places.join(F.broadcast(of_shingle), "s").join(F.broadcast(of_name), "name")
+    held_by = {r["name"]: {s for w in r["w"] for s in w[1:]} for r in texts}
+    if (bands := HASHES * sum(map(len, held_by.values()))) > MAX_BANDS:
+        raise ValueError(f"{bands} bands of templates, at most {MAX_BANDS} are broadcast")
+    of_shingle = spark.createDataFrame([(r["name"], s, len(held_by[r["name"]]), r["words"]) for r in texts for s in sorted(held_by[r["name"]])],
+                                       "name string, s long, shingles long, words long")
+    of_band = of_shingle.select("name", "s", _functions().alias("f")).select("name", F.xxhash64(F.col("s").bitwiseXOR(F.col("f"))).alias("band"))
+
+    found = docs.select(F.xxhash64(F.col(text), F.col(doc_id)).alias("k1"), F.xxhash64(F.lit(1), F.col(text), F.col(doc_id)).alias("k2"),
+                        F.col(doc_id).alias("doc_id"), F.explode(_windows(F.col(text))).alias("w")).select("k1", "k2", "doc_id", "w.*")
+    hashed = found.select("*", _functions().alias("f")).select(
+        "k1", "k2", "doc_id", "at", *four, F.array(*[F.xxhash64(F.col(s).bitwiseXOR(F.col("f"))) for s in four]).alias("h"))
+    retrieved = (hashed.select("k1", "k2", "doc_id", "at", *four, F.explode(F.array(F.array_min("h"), F.array_max("h"))).alias("band"))
+                 .join(F.broadcast(of_band), "band").drop("band"))
+    places = retrieved.select("k1", "k2", "doc_id", "name", "at", F.posexplode(F.array(*four)).alias("k", "s")).select(
+        "k1", "k2", "doc_id", "name", "s", (F.col("at") + F.col("k")).alias("at"))
+    row = ["k1", "k2", "doc_id", "name", "shingles"]
+    matched = (places.join(F.broadcast(of_shingle), ["name", "s"])
                .withColumn("last", F.floor(F.col("at") / F.col("words")))
-               # the windows [c * words, c * words + 2 * words) that hold the whole shingle
-               .withColumn("c", F.explode(F.array(F.col("last") - 1, F.col("last"))))
-               .filter((F.col("c") >= 0) & (F.col("at") + SHINGLE <= (F.col("c") + 2) * F.col("words"))))
-    shares = matched.groupBy("key", "doc_id", "name", "c", "shingles", "s").agg(F.min("at").alias("at")).groupBy(
-        "key", "doc_id", "name", "c", "shingles").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    best = shares.filter(F.col("n") >= CONTAINMENT * F.col("shingles")).groupBy("key", "doc_id", "name").agg(
+               # the windows [c * words, (c + LENGTHS) * words) that hold the whole shingle
+               .withColumn("c", F.explode(F.array(*[F.col("last") - x for x in range(LENGTHS)])))
+               .filter((F.col("c") >= 0) & (F.col("at") + SHINGLE <= (F.col("c") + LENGTHS) * F.col("words"))))
+    shares = matched.groupBy(*row, "c", "s").agg(F.min("at").alias("at")).groupBy(*row, "c").agg(
+        F.count("*").alias("n"), F.min("at").alias("at"))
+    best = shares.filter(F.col("n") >= CONTAINMENT * F.col("shingles")).groupBy("k1", "k2", "doc_id", "name").agg(
         F.max(F.struct((F.col("n") / F.col("shingles")).alias("containment"), (-F.col("at")).alias("back"))).alias("b"))
-    return best.join(retrieved, ["key", "name"], "left_semi").select(
-        "doc_id", F.col("name").alias("template"), F.col("b.containment").alias("containment"),
-        (-F.col("b.back")).cast("long").alias("first_word"))
+    return best.select("doc_id", F.col("name").alias("template"), F.col("b.containment").alias("containment"),
+                       (-F.col("b.back")).cast("long").alias("first_word"))
 
 
 def templates_table(spark) -> DataFrame:
@@ -132,9 +118,9 @@ tn AS (SELECT name, count(*) AS shingles FROM ts GROUP BY name),
 d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
 ds AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s FROM p),
-m AS (SELECT DISTINCT doc_id, pos, s, name, words, unnest([pos // words - 1, pos // words]) AS c FROM ds JOIN ts USING (s)),
+m AS (SELECT DISTINCT doc_id, pos, s, name, words, unnest([pos // words - 2, pos // words - 1, pos // words]) AS c FROM ds JOIN ts USING (s)),
 sh AS (SELECT doc_id, name, c, count(DISTINCT s) AS n, min(pos) AS pos FROM m
-       WHERE c >= 0 AND pos + 5 <= (c + 2) * words GROUP BY doc_id, name, c),
+       WHERE c >= 0 AND pos + 5 <= (c + 3) * words GROUP BY doc_id, name, c),
 r AS (SELECT doc_id, name, n / shingles AS containment, pos,
              row_number() OVER (PARTITION BY doc_id, name ORDER BY n DESC, pos) AS k
       FROM sh JOIN tn USING (name) WHERE n >= 0.8 * shingles)

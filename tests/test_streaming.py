@@ -186,3 +186,38 @@ def test_a_failing_query_ends_the_run_with_its_error(spark):
     with pytest.raises(Exception, match="sink is down"):
         run_to_the_end([fails, goes_on])
     assert not goes_on.isActive
+
+
+def test_a_failing_query_ends_the_application_and_is_reported(spark):
+    """Two queries under a running trigger, the second fails on its second file."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from tributary.streaming.progress import Progress, supervise
+    root, progress = scratch_path(spark, "supervised"), Progress(keep=3)
+    inbox, store = f"{root}/in", Store(spark, f"{root}/tables")
+    _write(spark, inbox, [("2024-01-01 10:00:10", "p1", 1), ("2024-01-01 10:00:20", "p1", 2)], 0)
+    stream = spark.readStream.schema(PAYLOAD_SCHEMA).json(inbox)
+
+    def fails_later(batch, batch_id):
+        if batch_id:
+            raise ValueError("sink is gone")
+        batch.write.mode("append").parquet(f"{root}/out")
+    spark.streams.addListener(progress)
+    try:
+        good = start_minute_query(minute_stream(clean_stream(stream)), store, f"{root}/ck", "good",
+                                  processing_time="200 milliseconds", query_name="good")
+        bad = (stream.writeStream.foreachBatch(fails_later).option("checkpointLocation", f"{root}/ck2")
+               .trigger(processingTime="200 milliseconds").queryName("bad").start())
+        for query in (good, bad):
+            query.processAllAvailable()
+            assert progress.seen(query) == 2
+        _write(spark, inbox, [("2024-01-01 10:01:10", "p1", 3)], 10)
+        with pytest.raises(StreamingQueryException, match="sink is gone"):
+            supervise([good, bad], poll=0.1)
+        assert not good.isActive and not bad.isActive
+        with progress._changed:
+            assert progress._changed.wait_for(lambda: "bad" in progress.failures, 30)
+        assert "sink is gone" in progress.failures["bad"] and "good" not in progress.failures
+        assert len(progress.batches) <= 3 and progress.rows["bad"] == 2
+    finally:
+        spark.streams.removeListener(progress)

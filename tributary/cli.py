@@ -22,7 +22,8 @@ from tributary.plans.recovery import recover_dlq
 from tributary.plans.store import Store
 from tributary.session import get_spark
 from tributary.sources.readers import file_value_stream, kafka_value_stream, payload_stream, read_catalog_csv
-from tributary.streaming.runner import run_to_the_end, run_until_failure, start_speed_layer
+from tributary.streaming.progress import supervise
+from tributary.streaming.runner import run_to_the_end, start_speed_layer
 
 TABLES = {"silver": "silver", "gold_minute": "minute", "dlq": "dlq", "bronze": "bronze", "alerts": "alerts"}
 
@@ -38,7 +39,7 @@ def stream(spark, store: Store, args) -> None:
     if args.once:
         run_to_the_end(queries)
     else:
-        run_until_failure(spark)
+        supervise(queries)
 
 
 def main(argv=None) -> None:

@@ -357,8 +357,8 @@ class KeyedTable(_Table):
         floor = super()._next_seq(recs, tx)
         return max(floor, int(time.time() * 1000) * 1000 + random.randrange(1000))
 
-    def append(self, df: DataFrame, tag: str, tx: Transaction | None = None) -> int:
-        """Write an increment and commit it (now, or with ``tx``).
+    def append(self, df: DataFrame, tag: str, tx: Transaction | None = None, skip_empty: bool = False) -> int:
+        """Write an increment and commit it (now, or with ``tx``); with ``skip_empty`` only if it has rows.
 
         Every attempt has a folder and a number of its own: a committed folder is never
         written again.  A retry with the same rows converges when keys are merged on read,
@@ -376,7 +376,7 @@ class KeyedTable(_Table):
             df.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long")), path,
             not_null=self.not_null, varchar=self.varchar, money=self._wider(df), table=self.name,
             partition_by=self.partition_by, bloom=self.bloom)
-        if n_rows or not prior:
+        if n_rows or not (prior or skip_empty):
             self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
         return n_rows
 

@@ -39,18 +39,19 @@ def minute_stream(clean: DataFrame, *, watermark: str = WATERMARK) -> DataFrame:
 
 def start_minute_query(minutes: DataFrame, store: Store, checkpoint: str, run_tag: str, *,
                        output_mode: str = "append", available_now: bool = False,
-                       processing_time: str = "10 seconds"):
+                       processing_time: str = "10 seconds", query_name: str | None = None):
     prefix = stream_tag(run_tag, checkpoint)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
+        # the batch runs once: a test for rows before it would run its state a second time
         store.minute.append(
             batch_df.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz")),
-            tag=f"{prefix}-{batch_id}")
+            tag=f"{prefix}-{batch_id}", skip_empty=True)
 
     writer = (minutes.writeStream.outputMode(output_mode).foreachBatch(each)
               .option("checkpointLocation", checkpoint))
+    if query_name:
+        writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()

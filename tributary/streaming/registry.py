@@ -13,7 +13,9 @@ from tributary.schemas import MINUTE_COLUMNS, SILVER_COLUMNS
 from tributary.session import scratch_path, session_key
 from tributary.sources.readers import read_table
 from tributary.streaming.gold import clean_stream, minute_stream, start_minute_query
+from tributary.streaming.progress import Progress
 from tributary.streaming.router import start_router
+from tributary.streaming.runner import start_speed_layer
 from tributary.streaming.sources import events_payload_stream, events_payloads
 from tributary.streaming.state import open_minutes
 
@@ -121,6 +123,38 @@ def q_stream_late_drop(spark, d):
     return run_late(spark, d)[0].minute_state().select(*MINUTE_COLUMNS)
 
 
+def q_stream_progress(spark, d):
+    """The speed layer under a running trigger, events arriving in three phases: the rows that
+    each query reports for the batches of a phase, by its listener."""
+    events = read_table(spark, d, "events")
+    bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    root = scratch_path(spark, "progress")
+    inbox, store, progress = f"{root}/inbox", Store(spark, f"{root}/tables"), Progress()
+    phased = events.withColumn("_phase", arrival_phase(events, bounds["lo"], bounds["hi"]))
+
+    def arrive(phase: int) -> None:
+        phased.filter(F.col("_phase") == phase).drop("_phase").write.mode("append").parquet(inbox)
+    spark.streams.addListener(progress)
+    queries, reported = [], []
+    try:
+        arrive(1)
+        queries = start_speed_layer(spark, events_payload_stream(spark, inbox, events.schema), store, f"{root}/checkpoint",
+                                    processing_time="1 second", names=("progress-router", "progress-gold"))
+        for phase in range(1, PHASES + 1):
+            if phase > 1:
+                arrive(phase)
+            for query in queries:
+                before = sum(n for _, name, n in reported if name == query.name)
+                query.processAllAvailable()
+                reported.append((phase, query.name, progress.seen(query) - before))
+    finally:
+        for query in queries:
+            query.stop()
+        spark.streams.removeListener(progress)
+    # a row per phase and query
+    return spark.createDataFrame(reported, "phase int, query string, n_rows long")
+
+
 def q_lambda_reconcile_open(spark, d):
     """Speed against batch view before the watermark has closed every window: emitted minutes
     and those still in state, against daily gold of all clean rows.  What differs is the
@@ -179,6 +213,7 @@ STREAM_QUERIES = {
     "stream_minute_append": q_stream_minute_append,
     "stream_minute_update": q_stream_minute_update,
     "stream_late_drop": q_stream_late_drop,
+    "stream_progress": q_stream_progress,
     "lambda_reconcile_open": q_lambda_reconcile_open,
 }
 
@@ -234,6 +269,11 @@ batch AS (SELECT report_date, product_id, CAST(total_revenue AS DECIMAL(38,2)) A
 SELECT b.report_date, b.product_id, s.speed_revenue, b.batch_revenue,
   CAST(b.batch_revenue - COALESCE(s.speed_revenue, 0) AS DECIMAL(38,2)) AS delta
 FROM batch b LEFT JOIN speed s ON s.report_date = b.report_date AND s.product_id = b.product_id"""
+    q["stream_progress"] = f"""
+SELECT CAST(least({PHASES}, 1 + (3 * (event_id - lo)) // (hi - lo + 1) + CASE WHEN event_id % 50 = {LATE_KIND} THEN 1 ELSE 0 END) AS INTEGER) AS phase,
+  query, count(*) AS n_rows
+FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events), (VALUES ('progress-router'), ('progress-gold')) AS v(query)
+GROUP BY ALL"""
     q["stream_late_drop"] = f"""WITH {kept},
 m AS ({O.MINUTE.format(src='kept')})
 SELECT * FROM m WHERE window_end <= (SELECT max(order_date) FROM ph) - INTERVAL 5 MINUTE"""

@@ -49,10 +49,10 @@ def route_batch(batch: DataFrame, store: Store, tag: str, *, catalog: DataFrame
 
     The digest names ``batch_id`` (else the tag) and the time (``alert_time``, else now) in
     ``alert_zone``."""
-    if batch.isEmpty():
-        return
     b = batch.persist()
     try:
+        if b.isEmpty():
+            return
         routed = route_quality(parse_columns(b, ["source", "bronze_id"]), SOURCE_STREAMING).persist()
         try:
             # All sinks of one micro-batch become visible together.

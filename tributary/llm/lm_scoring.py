@@ -2,9 +2,9 @@
 unigram base, both learned from the training fold of the corpus.
 
 Text: words (runs of other than ASCII white space, A-Z lower-cased), then one end.  Base:
-add-one unigram over words.  Words are counted by Spark; those that make up at least one in
-``FREQUENT`` of all words (so ``FREQUENT`` words at most) are broadcast with their counts, all
-other words of a document are joined with theirs, so no word is left out.
+add-one unigram over words.  Words are counted in the tasks and summed by Spark; the most
+frequent (``FREQUENT`` words at most) are broadcast with their counts, all other words of a
+document are joined with theirs, so no word is left out.
 
 Model: ids of " word" by a public byte-level BPE, then an end id.  Each training text is split
 into ids once; pairs of an id and the one before it, across word boundaries and from the start
@@ -13,8 +13,10 @@ of a text to its end, are counted over all training texts in a Spark aggregate.
 p(id) = p(class | context) * p(id | class, previous id).  The class logits are a transition
 table (previous id's bucket to class) plus one causal self-attention layer trained in numpy.
 Buckets are the ``RANKS`` most frequent ids one by one and the others by class.  p(id | class,
-previous id) counts the pairs that make up at least one in ``PAIRS`` (so ``PAIRS`` at most) and
-falls back to the frequency within the class.  Attention weights are trained once on every
+previous id) counts every pair, in two tables of fixed size: one from the previous id's bucket
+to slots (the ``EACH`` most frequent ids one by one, a class's others together), one from the
+previous id's class to the ids that share a slot.  Both fall back to the frequency within the
+class.  Attention weights are trained once on every
 training document: each of ``ROUNDS`` rounds takes its share of the documents in all tasks at
 once, and the tasks' weights are averaged by Spark between rounds.  Scoring: overlapping windows
 of ``WINDOW`` inputs, every second half scored, so that each id is scored once with at least
@@ -31,7 +33,8 @@ from __future__ import annotations
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +42,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stored, table, words
+from tributary.llm.common import stored, table
 from tributary.llm.language_id import held_out
 from tributary.llm.tokens import Encoder
 
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 VOCABULARY = 50_257
 END = VOCABULARY - 1
 CLASSES = 128
@@ -56,14 +59,18 @@ WINDOW = 16
 WIDTH = 16
 HALF = WINDOW // 2
 ROUNDS = 2
-PAIRS = 1 << 20
+#: Most frequent ids with a slot of their own; all slots.
+EACH = 1920
+SLOTS = EACH + CLASSES
 #: Weight of the frequency within the class against counted pairs.
 FALL_BACK = 5.0
 RATE = 3e-3
-#: Ids handled at once; windows in one batch; words remembered per worker.
+#: Ids handled at once; windows in one batch; words remembered per worker; words that a task
+#: counts before it gives them on.
 AT_ONCE = 1 << 18
 BATCH = 256
-REMEMBER = 300_000
+REMEMBER = 150_000
+FLUSH = 250_000
 
 
 # -- splitting words into ids ----------------------------------------------------------------
@@ -72,17 +79,12 @@ _encoder = cache(Encoder)
 
 
 class Words(dict):
-    """Word (bytes) -> number, with the ids of each word and a value of it in growing arrays."""
+    """Word (bytes) -> number, with the ids of each word in growing arrays."""
 
-    def __init__(self, value=None, tokenizer: str | None = None):
+    def __init__(self, tokenizer: str | None = None):
         super().__init__()
         self.encode = _encoder(tokenizer).plain.encode_ordinary
-        self.value = value or (lambda word: 0)
-        self._empty()
-
-    def _empty(self) -> None:
-        self.clear()
-        self.flat, self.start, self.size, self.values = array("q"), array("q"), array("q"), array("q")
+        self.flat, self.start, self.size = array("q"), array("q"), array("q")
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self.size)
@@ -90,39 +92,81 @@ class Words(dict):
         self.start.append(len(self.flat))
         self.size.append(len(ids))
         self.flat.extend(ids)
-        self.values.append(self.value(word))
         return n
 
-    def numbers(self, text: list[bytes]) -> np.ndarray:
+    def _forget(self) -> None:
+        """Drops the words met last; frequent ones are met early."""
+        left = REMEMBER // 2
+        for word in list(islice(reversed(self), len(self) - left)):
+            del self[word]
+        del self.flat[self.start[left]:]
+        del self.start[left:], self.size[left:]
+
+    def ids(self, text: list[bytes]) -> np.ndarray:
+        """The ids of all words of a text."""
+        if not text:
+            return np.array([], np.int64)
         if len(self) > REMEMBER:
-            self._empty()
-        return np.fromiter(map(self.__getitem__, text), np.int64, len(text))
+            self._forget()
+        numbers = np.fromiter(map(self.__getitem__, text), np.int64, len(text))
+        start, size, flat = (np.frombuffer(x, np.int64) for x in (self.start, self.size, self.flat))
+        size = size[numbers]
+        upto = np.cumsum(size)
+        return flat[np.arange(upto[-1]) + np.repeat(start[numbers] - upto + size, size)]
 
-    def of(self, name: str, numbers: np.ndarray) -> np.ndarray:
-        return np.frombuffer(getattr(self, name), np.int64)[numbers] if len(numbers) else np.array([], np.int64)
 
-    def ids(self, numbers: np.ndarray) -> np.ndarray:
-        size = self.of("size", numbers)
-        upto = np.cumsum(size)
-        return self.of("flat", np.arange(size.sum()) + np.repeat(self.of("start", numbers) - upto + size, size))
+@cache
+def worker_words() -> Words:
+    """One per worker process, so that later tasks know the words of earlier ones."""
+    return Words()
 
 
-def split(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
+def texts_of(column: pa.Array) -> Iterator[list[bytes]]:
+    """The words of each text of a column, A-Z lower-cased."""
+    for t in column.cast(pa.binary()):
+        yield (t.as_py() or b"").lower().split()
 
 
 # -- counts ----------------------------------------------------------------------------------
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) of lower-cased words; the end is not among them."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return (docs.select(F.explode(words(F.translate(F.col("text"), upper, lower))).alias("word"))
-            .groupBy("word").agg(F.count("*").alias("c")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+
+        def given() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(counts, pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())],
+                                             names=["word", "c"])
+            counts.clear()
+            return out
+        for b in batches:
+            for text in texts_of(b.column(0)):
+                counts.update(text)
+                if len(counts) >= FLUSH:
+                    yield given()
+        if counts:
+            yield given()
+    return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def frequent_words(counts: DataFrame) -> dict[bytes, int]:
+    """The most frequent words with their counts, ``FREQUENT`` at most: all words of the least
+    count that leaves no more."""
+    most, words = 0, 0
+    for r in counts.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.col("c").desc()).toLocalIterator():
+        words += r["words"]
+        if words > FREQUENT:
+            break
+        most = r["c"]
+    if not most:
+        return {}
+    top = counts.filter(F.col("c") >= most).toArrow()
+    return dict(zip(top.column("word").cast(pa.binary()).to_pylist(), top.column("c").to_pylist()))
 
 
 def split_texts(docs: DataFrame) -> DataFrame:
     """(round, ids) of each training text, written once for the counts and the training."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
+        known = worker_words()
 
         def finish(held: list, rounds: list) -> pa.RecordBatch:
             upto = np.concatenate([[0], np.cumsum([len(h) for h in held])])
@@ -130,8 +174,8 @@ def split_texts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), ids], names=["round", "ids"])
         for b in batches:
             held, rounds, n = [], [], 0
-            for r, t in zip(b.column(0).to_pylist(), b.column(1)):
-                held.append(np.append(known.ids(known.numbers(split(t.as_py()))), END).astype(np.int32))
+            for r, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+                held.append(np.append(known.ids(text), END).astype(np.int32))
                 rounds.append(r)
                 n += len(held[-1])
                 if n > AT_ONCE:
@@ -235,8 +279,11 @@ class Model:
         smooth = id_counts + 0.1
         self.within = np.log(smooth / np.bincount(self.cls, smooth, CLASSES)[self.cls])
         self.table = np.zeros((BUCKETS + 2, CLASSES), np.float32)
-        self.pairs, self.pair_logp = np.array([-1]), np.zeros(1)
-        self.backs, self.back_logp = np.array([-1]), np.zeros(1)
+        self.slot = np.where(rank < EACH, rank, EACH + cls)
+        self.near = self.far = None
+        # the class of each bucket, the start's last
+        self.group = np.full(BUCKETS + 2, CLASSES)
+        self.group[self.bucket] = cls
         rng = np.random.default_rng(11)
         draw = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
         self.w = {"e": (rng.standard_normal((BUCKETS + 2, WIDTH)) * 0.3).astype(np.float32), "p": draw(WINDOW, WIDTH) * 0.3,
@@ -256,32 +303,55 @@ class Model:
         self.table[:START + 1] = np.log(rows / rows.sum(axis=1, keepdims=True))
         self.table[PAD] = self.table[START]
 
+    def count_slots(self, total: np.ndarray, prev: np.ndarray, ids: np.ndarray, c: np.ndarray) -> None:
+        """For ``_sums``: (bucket of the id before, slot), the start's bucket last."""
+        np.add.at(total, np.append(self.bucket, START)[prev] * SLOTS + self.slot[ids], c)
+
+    def count_shared(self, total: np.ndarray, prev: np.ndarray, ids: np.ndarray, c: np.ndarray) -> None:
+        """For ``_sums``: (class of the id before, id) of ids that share a slot, the start's class last."""
+        i = self.slot[ids] >= EACH
+        np.add.at(total, np.append(self.cls, CLASSES)[prev[i]] * VOCABULARY + ids[i], c[i])
+
+    def set_within(self, slots: np.ndarray, shared: np.ndarray) -> None:
+        """p(id | class, previous id) of all pairs' sums: the slot by the bucket before (``near``),
+        then the id among those that share the slot by the class before (``far``)."""
+        among = np.empty(SLOTS, np.int64)
+        among[self.slot] = self.cls
+        among[EACH:] = np.arange(CLASSES)
+        mass = np.bincount(self.slot, np.exp(self.within), SLOTS)
+        self.near = _smoothed(slots.reshape(-1, SLOTS), mass, among)
+        rest = np.flatnonzero(self.slot >= EACH)
+        own = np.exp(self.within[rest]) / mass[self.slot[rest]]
+        self.far = np.zeros((CLASSES + 1, VOCABULARY), np.float32)
+        self.far[:, rest] = _smoothed(shared.reshape(-1, VOCABULARY)[:, rest], own, self.cls[rest])
+
     def set_pairs(self, prev: np.ndarray, ids: np.ndarray, c: np.ndarray) -> None:
-        """p(id | class, previous id's bucket) of the given pairs, and what is left for others."""
-        before = np.append(self.bucket, START)[prev]
-        pairs, at = np.unique(before * VOCABULARY + ids, return_inverse=True)
-        if not len(pairs):
-            return
-        seen = np.bincount(at, c)
-        ids = pairs % VOCABULARY
-        backs, at = np.unique(pairs // VOCABULARY * CLASSES + self.cls[ids], return_inverse=True)
-        among = np.bincount(at, seen) + FALL_BACK
-        self.pairs, self.pair_logp = pairs, np.log((seen + FALL_BACK * np.exp(self.within[ids])) / among[at])
-        self.backs, self.back_logp = backs, np.log(FALL_BACK / among)
+        """``set_within`` of the given pairs alone."""
+        slots, shared = np.zeros((BUCKETS + 1) * SLOTS, np.int64), np.zeros((CLASSES + 1) * VOCABULARY, np.int64)
+        self.count_slots(slots, prev, ids, c)
+        self.count_shared(shared, prev, ids, c)
+        self.set_within(slots, shared)
 
     def within_class(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural log p(id | class, bucket of the id before)."""
-        key = before * VOCABULARY + ids
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        found = self.pairs[at] == key
-        out = np.where(found, self.pair_logp[at], self.within[ids])
-        miss = np.flatnonzero(~found)
-        key = before[miss] * CLASSES + self.cls[ids[miss]]
-        at = np.minimum(np.searchsorted(self.backs, key), len(self.backs) - 1)
-        out[miss] += np.where(self.backs[at] == key, self.back_logp[at], 0.0)
+        """Natural log p(id | class, bucket of the id before); ``before`` may not be padding."""
+        if self.near is None:
+            return self.within[ids]
+        out = self.near.ravel()[before * SLOTS + self.slot[ids]]
+        shared = np.flatnonzero(self.slot[ids] >= EACH)
+        out[shared] += self.far.ravel()[self.group[before[shared]] * VOCABULARY + ids[shared]]
         return out
 
 
+def _smoothed(counts: np.ndarray, own: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Log shares within its class of each column, by rows; ``own`` are the shares to fall back to."""
+    out = np.empty(counts.shape, np.float32)
+    with np.errstate(divide="ignore"):  # an empty slot has no share
+        for row in range(len(counts)):
+            sums = np.bincount(cls, counts[row], CLASSES) + FALL_BACK
+            out[row] = np.log((counts[row] + FALL_BACK * own) / sums[cls])
+    return out
+
+
 # -- windows and the network ---------------------------------------------------------------
 def windows(ids: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Inputs (blocks, WINDOW) and targets (blocks, HALF; -1 beyond the end) of one text."""
@@ -305,56 +375,92 @@ def log_probabilities(model: Model, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     eq, ek, ev = w["e"] @ w["q"] * scale, w["e"] @ w["k"], w["e"] @ w["v"]
     pq, pk, pv = w["p"][HALF:] @ w["q"] * scale, w["p"] @ w["k"], w["p"] @ w["v"]
     res = w["e"] @ w["o"] + model.table
-    first = np.arange(BATCH * HALF) * CLASSES
+    first, ones = np.arange(BATCH * HALF) * CLASSES, np.ones(CLASSES, np.float32)
+    logits, base = (np.empty((BATCH * HALF, CLASSES), np.float32) for _ in range(2))
     for at in range(0, len(x), BATCH):
         xs, ys = x[at:at + BATCH], y[at:at + BATCH].ravel()
         here = xs[:, HALF:]
-        s = (eq[here] + pq) @ (ek[xs] + pk).transpose(0, 2, 1)
+        k, v = np.take(ek, xs, axis=0), np.take(ev, xs, axis=0)
+        k += pk
+        v += pv
+        s = (np.take(eq, here, axis=0) + pq) @ k.transpose(0, 2, 1)
         s += _CAUSAL
         if (pad := xs == PAD).any():
             s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None, :]
         np.exp(np.minimum(s, 60, out=s), out=s)
         s /= s.sum(axis=2, keepdims=True)
-        z = (s @ (ev[xs] + pv)).reshape(-1, WIDTH) @ w["o"]
-        z += res[here.ravel()]
+        here = here.ravel()
+        z = np.matmul((s @ v).reshape(-1, WIDTH), w["o"], out=logits[:len(ys)])
+        z += np.take(res, here, axis=0, out=base[:len(ys)], mode="clip")
         got = z.ravel()[first[:len(ys)] + model.cls[ys]]
-        log_sum = np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))
-        out[at:at + BATCH] = np.where(ys >= 0, got - log_sum + model.within_class(here.ravel(), ys), 0.0).reshape(-1, HALF)
+        log_sum = np.log(np.exp(z, out=z) @ ones)
+        ends = ys < 0
+        got -= log_sum
+        score = got + model.within_class(np.where(ends, START, here), ys)
+        score[ends] = 0
+        out[at:at + BATCH] = score.reshape(-1, HALF)
     return out
 
 
+@lru_cache(maxsize=4)
+def _space(rows: int) -> np.ndarray:
+    """Scratch space for the logits of a batch, and for what is added to them."""
+    return np.empty((2, rows, CLASSES), np.float32)
+
+
 def gradients(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean cross-entropy of the classes and its gradient."""
     w, scale = model.w, np.float32(1 / np.sqrt(WIDTH))
-    n = max(int((y >= 0).sum()), 1)
-    z = w["e"][x] + w["p"]
-    zq = z[:, HALF:]
-    q, k, v = zq @ w["q"], z @ w["k"], z @ w["v"]
-    s = q @ k.transpose(0, 2, 1) * scale + _CAUSAL + np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    s = np.exp(s - s.max(axis=2, keepdims=True))
-    a = s / s.sum(axis=2, keepdims=True)
-    eq = w["e"][x[:, HALF:]]
-    h = eq + a @ v
-    logit = h @ w["o"] + model.table[x[:, HALF:]]
-    p = np.exp(logit - logit.max(axis=2, keepdims=True))
-    p /= p.sum(axis=2, keepdims=True)
-    hot = model.cls[y][:, :, None]
-    loss = -float((np.log(np.take_along_axis(p, hot, 2)[:, :, 0]) * (y >= 0)).sum()) / n
-    np.put_along_axis(p, hot, np.take_along_axis(p, hot, 2) - 1, 2)
-    d = p * ((y >= 0)[:, :, None] / np.float32(n))
     flat = lambda t: t.reshape(-1, t.shape[-1])
-    g = {"o": flat(h).T @ flat(d)}
-    dh = d @ w["o"].T
-    da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * scale
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = flat(zq).T @ flat(dq), flat(z).T @ flat(dk), flat(z).T @ flat(dv)
-    dz = dk @ w["k"].T + dv @ w["v"].T
-    dz[:, HALF:] += dq @ w["q"].T
+    by_window = lambda t: t.reshape(len(x), -1, WIDTH)
+    real = (y >= 0).ravel()
+    n = max(int(real.sum()), 1)
+    here = x[:, HALF:]
+    z = np.take(w["e"], x, axis=0)
+    eq = z[:, HALF:].copy()
+    z += w["p"]
+    zq = flat(z[:, HALF:])
+    q, k, v = by_window(zq @ w["q"]), by_window(flat(z) @ w["k"]), by_window(flat(z) @ w["v"])
+    a = q @ k.transpose(0, 2, 1)
+    a *= scale
+    a += _CAUSAL
+    if (pad := x == PAD).any():
+        a += np.where(pad, np.float32(-1e9), np.float32(0))[:, None, :]
+    np.exp(np.minimum(a, 60, out=a), out=a)
+    a /= (a @ np.ones(WINDOW, np.float32))[:, :, None]
+    h = a @ v
+    h += eq
+    h = flat(h)
+    p, base = _space(len(h))
+    np.matmul(h, w["o"], out=p)
+    p += np.take(model.table, here.ravel(), axis=0, out=base, mode="clip")
+    hot = np.arange(len(p)) * CLASSES + model.cls[y.ravel()]
+    got = p.ravel()[hot]
+    np.exp(np.minimum(p, 80, out=p), out=p)
+    sums = p @ np.ones(CLASSES, np.float32)
+    loss = -float(((got - np.log(sums)) * real).sum()) / n
+    weight = real / np.float32(n)
+    p *= (weight / sums)[:, None]
+    p.ravel()[hot] -= weight
+    g = {"o": h.T @ p}
+    dh = by_window(p @ w["o"].T)
+    da, dv = dh @ v.transpose(0, 2, 1), flat(a.transpose(0, 2, 1) @ dh)
+    da *= a
+    da -= a * (da @ np.ones(WINDOW, np.float32))[:, :, None]
+    da *= scale
+    dq, dk = flat(da @ k), flat(da.transpose(0, 2, 1) @ q)
+    g["q"], g["k"], g["v"] = zq.T @ dq, flat(z).T @ dk, flat(z).T @ dv
+    dz = dk @ w["k"].T
+    dz += dv @ w["v"].T
+    dz = by_window(dz)
+    dz[:, HALF:] += by_window(dq @ w["q"].T)
     g["p"] = dz.sum(axis=0)
     dz[:, HALF:] += dh
-    cells = (x.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    g["e"] = np.bincount(cells, dz.ravel(), w["e"].size).reshape(w["e"].shape)
+    order = np.argsort(x.ravel())
+    ids = x.ravel()[order]
+    starts = np.flatnonzero(np.diff(ids, prepend=-1))
+    g["e"] = np.zeros_like(w["e"])
+    g["e"][ids[starts]] = np.add.reduceat(np.take(flat(dz), order, axis=0), starts, axis=0)
     return loss, g
 
 
@@ -367,7 +473,8 @@ def train_round(texts: DataFrame, model: Model, round_: int) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         model.w = {k: v.copy() for k, v in model.w.items()}
-        m, v, step, seen = {k: 0 for k in names}, {k: 0 for k in names}, 0, 0
+        m, v = ({k: np.zeros_like(model.w[k]) for k in names} for _ in range(2))
+        step = seen = 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
         blocks = 0
 
@@ -382,9 +489,16 @@ def train_round(texts: DataFrame, model: Model, round_: int) -> None:
                 seen += len(ids)
                 rate = RATE * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
                 for k in names:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                    model.w[k] = (model.w[k] - rate * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
+                    now = g[k].astype(np.float32, copy=False)
+                    m[k] *= np.float32(0.9)
+                    m[k] += np.float32(0.1) * now
+                    v[k] *= np.float32(0.999)
+                    v[k] += np.float32(0.001) * np.square(now, out=now)
+                    by = np.sqrt(v[k], out=now)
+                    by += np.float32(1e-8)
+                    change = np.divide(m[k], by, out=by)
+                    change *= np.float32(rate)
+                    model.w[k] -= change
         for b in batches:
             for t in b.column(0):
                 held.append(windows(t.values.to_numpy().astype(np.int64), model))
@@ -421,10 +535,9 @@ def train(docs: DataFrame) -> Model:
     neighbours = _sums(pairs, _count_neighbours(rank), VOCABULARY * 2 * (NEAR + 1))
     model = Model(ids, rank, classes(ids, neighbours))
     model.set_transitions(_sums(pairs, model.count_transitions(model.bucket, model.cls), (BUCKETS + 1) * CLASSES))
-    often = pairs.filter(F.col("c") * PAIRS >= int(ids.sum())).toArrow()
-    model.set_pairs(*(often.column(k).to_numpy().astype(np.int64) for k in ("prev", "next", "c")))
     for k in range(ROUNDS):
         train_round(texts, model, k)
+    model.set_within(_sums(pairs, model.count_slots, (BUCKETS + 1) * SLOTS), _sums(pairs, model.count_shared, (CLASSES + 1) * VOCABULARY))
     return model
 
 
@@ -439,12 +552,11 @@ def score(docs: DataFrame, training) -> DataFrame:
     texts = learned.count()
     n, v = total + texts, distinct + (texts > 0)
     model = spark.sparkContext.broadcast(train(learned))
-    top = counts.filter(F.col("c") * FREQUENT >= total).collect()
-    frequent = spark.sparkContext.broadcast({r["word"].encode(): r["c"] for r in top})
+    frequent = spark.sparkContext.broadcast(frequent_words(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, often = model.value, frequent.value
-        known = Words(lambda word: often.get(word, 0))
+        known = worker_words()
         task, row = TaskContext.get().partitionId(), 0
 
         def finish(held: list) -> Iterator[pa.RecordBatch]:
@@ -460,18 +572,16 @@ def score(docs: DataFrame, training) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
         held, blocks = [], 0
         for b in batches:
-            for i, t, learn in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                text = split(t.as_py())
-                numbers = known.numbers(text)
-                c = known.of("values", numbers)
+            for i, text, learn in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist()):
+                c = np.fromiter(map(often.get, text, repeat(0)), np.int64, len(text))
                 common = c > 0
                 base = np.log10((c[common] + 1) / (n + v + 1)).sum() + np.log10((texts + 1) / (n + v + 1))
                 rare = Counter(w for w, ok in zip(text, common.tolist()) if not ok) if not common.all() else {}
-                ids = np.append(known.ids(numbers), END)
+                ids = np.append(known.ids(text), END)
                 held.append((i, not learn, windows(ids, own), len(text) + 1, int(common.sum()) + (texts > 0), float(base),
                              [(w.decode("utf-8", "replace"), k) for w, k in rare.items()]))
                 blocks += len(held[-1][2][0])
-                if blocks > 16 * BATCH:
+                if blocks > 64 * BATCH:
                     yield from finish(held)
                     held, blocks = [], 0
         if held:

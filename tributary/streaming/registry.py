@@ -176,10 +176,10 @@ def q_stream_alert_digest(spark, d):
     payloads = b.select(
         F.lit("sales").alias("source"), F.monotonically_increasing_id().alias("bronze_id"),
         pack(["order_id", "customer_id", "product_id", "amount", "order_date"]).alias("payload"))
-    payloads.write.json(f"{root}/inbox")
+    payloads.write.parquet(f"{root}/inbox")
     store = Store(spark, f"{root}/tables")
     stream = spark.readStream.schema("source string, bronze_id long, payload string") \
-        .json(f"{root}/inbox")
+        .parquet(f"{root}/inbox")
     start_router(stream, store, f"{root}/checkpoint", "alerts",
                  catalog=catalog_from_part(read_table(spark, d, "part")),
                  available_now=True, alert_time=F.expr(O.RUN_STAMP)).awaitTermination()

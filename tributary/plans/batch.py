@@ -14,7 +14,7 @@ from tributary.functions.payload import pack, parse_columns
 from tributary.functions.quality import SOURCE_BATCH
 from tributary.operators.dlq import dlq_rows
 from tributary.plans.daily import refresh_daily
-from tributary.operators.merge import bounded, first_per_key, insert_if_absent
+from tributary.operators.merge import first_per_key, insert_if_absent
 from tributary.operators.quality import route_quality
 from tributary.plans.store import Store
 from tributary.schemas import EVENT_COLUMNS, SILVER_COLUMNS
@@ -49,7 +49,7 @@ def ingest_landing(spark: SparkSession, store: Store, csv_path: str, load_id: st
         "payload",
         _now().alias("ingested_at"),
     )
-    return store.bronze.append(rows, tag=f"landing-{load_id}")
+    return store.bronze.append(rows, tag=f"landing-{load_id}", unique=True)
 
 
 def parse_bronze(bronze: DataFrame) -> DataFrame:
@@ -73,10 +73,9 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
     """
     stamp = stamp if stamp is not None else _now()
     state = _batch_state(store) if incremental else None
-    raw, bronze_seen = store.bronze.versions_since(state["bronze_seen"] if state else [])
-    if raw is None:
+    bronze, bronze_seen = store.bronze.state_since(state["bronze_seen"] if state else [])
+    if bronze is None:
         return _report(spark, 0, 0, 0, None, 0, 0)
-    bronze = store.bronze.merge(raw)
     routed = route_quality(parse_bronze(bronze), SOURCE_BATCH).persist()
     try:
         counts = routed.agg(F.count(F.lit(1)).alias("bronze_rows")).first()
@@ -88,7 +87,7 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
 
         # A run's rows are usually few next to the tables: then their keys are
         # broadcast and the tables' keys filtered map-side (no table shuffle).
-        small = bounded(routed, BROADCAST_RUN_ROWS)
+        small = bronze_rows <= BROADCAST_RUN_ROWS
         silver_keys = store.silver.keys()
         candidates = clean.select(*SILVER_COLUMNS, "source", "bronze_id")
         if silver_keys is None:
@@ -114,8 +113,10 @@ def run_batch(spark: SparkSession, store: Store, run_id: str, *,
         with store.transaction() as tx:
             new_rows = store.silver.append(
                 new.select(*SILVER_COLUMNS).withColumn("processed_at", stamp),
-                tag=f"batch-{run_id}", tx=tx)
-            dlq_rows_written = store.dlq.append(fresh, tag=f"batch-{run_id}", tx=tx)
+                tag=f"batch-{run_id}", tx=tx, unique=True)
+            # One error per Bronze key at most.
+            dlq_rows_written = store.dlq.append(fresh, tag=f"batch-{run_id}", tx=tx,
+                                                unique=dlq_mode == "dedup")
 
         # NULL-date rows never reach the daily table; report how many
         # (NULL date, product) groups Silver holds.  Only keys that ever had a

@@ -40,33 +40,44 @@ def recover_dlq(spark: SparkSession, store: Store, run_id: str, *, mode: str = "
     touched = store.dlq.read_touching(recoverable(reasons))
     if touched is None:
         return _report(spark, 0, 0, 0)
-    rows = recoverable_rows(touched, reasons)
-    if rows.isEmpty():
-        return _report(spark, 0, 0, 0)
-    recovered = recovered_events(rows)
-    # The rows to be replaced, as committed now (the files read are fixed here).
-    feed = change_feed(store.silver.read_or_empty(SILVER_SCHEMA, only=recovered.select("order_id")),
-                       recovered, ["order_id"], ["order_date"])
-    silver_rows = store.silver.append(recovered.withColumn("processed_at", stamp),
-                                      tag=f"recovery-{run_id}")
-    if mode == "replace":
-        minutes = recovered_minute(recovered)
-    else:
-        keys = touched_minutes(feed)
+    # Replayed, compared and marked: read and merged once.
+    rows = recoverable_rows(touched, reasons).persist()
+    try:
+        if rows.isEmpty():
+            return _report(spark, 0, 0, 0)
+        recovered = recovered_events(rows)
+        # The rows to be replaced, as committed now (the files read are fixed here).
+        feed = change_feed(store.silver.read_or_empty(SILVER_SCHEMA, only=recovered.select("order_id")),
+                           recovered, ["order_id"], ["order_date"])
+        silver_rows = store.silver.append(recovered.withColumn("processed_at", stamp),
+                                          tag=f"recovery-{run_id}", unique=True)
+        return _refresh(spark, store, run_id, mode, stamp, rows, recovered, touched_minutes(feed).persist(), silver_rows)
+    finally:
+        rows.unpersist()
+
 
-        def in_affected(raw):
-            tagged = raw.withColumn("window_start", minute_start(F.col("order_date")))
-            return tagged.join(keys, ["window_start", "product_id"], "left_semi")
+def _refresh(spark: SparkSession, store: Store, run_id: str, mode: str, stamp: Column, rows: DataFrame,
+             recovered: DataFrame, keys: DataFrame, silver_rows: int) -> DataFrame:
+    """Minute gold and status of the recovered ``rows``; ``keys`` are the touched minutes (persisted)."""
+    try:
+        if mode == "replace":
+            minutes = recovered_minute(recovered)
+        else:
+            def in_affected(raw):
+                tagged = raw.withColumn("window_start", minute_start(F.col("order_date")))
+                return tagged.join(keys, ["window_start", "product_id"], "left_semi")
 
-        # Only orders that ever had a version in a touched (minute, product)
-        # are merged; the rest of Silver is not shuffled.
-        minutes = recompute_minutes(store.silver.read_touching(in_affected), keys)
-    # The gold refresh and the status change commit together.
-    with store.transaction() as tx:
-        minute_rows = store.minute.append(minutes.withColumn("created_at", stamp),
-                                          tag=f"recovery-{run_id}", tx=tx)
-        marked = store.dlq.append(rows.withColumn("status", F.lit(STATUS_PROCESSED)),
-                                  tag=f"recovery-{run_id}", tx=tx)
+            # Only orders that ever had a version in a touched (minute, product)
+            # are merged; the rest of Silver is not shuffled.
+            minutes = recompute_minutes(store.silver.read_touching(in_affected), keys)
+        # The gold refresh and the status change commit together.
+        with store.transaction() as tx:
+            minute_rows = store.minute.append(minutes.withColumn("created_at", stamp),
+                                              tag=f"recovery-{run_id}", tx=tx)
+            marked = store.dlq.append(rows.withColumn("status", F.lit(STATUS_PROCESSED)),
+                                      tag=f"recovery-{run_id}", tx=tx)
+    finally:
+        keys.unpersist()
     return _report(spark, silver_rows, minute_rows, marked)
 
 

@@ -249,6 +249,10 @@ class Transaction:
         self.pending = []
 
 
+#: Kind of an increment that holds each of its keys once.
+UNIQUE = "unique increment"
+
+
 class _Table:
     def __init__(self, spark: SparkSession, root: str, name: str | None, log: CommitLog | None):
         self.spark, self.root = spark, root.rstrip("/")
@@ -328,6 +332,12 @@ class SnapshotTable(_Table):
         return True
 
 
+def _whole_state(recs: list, paths: list[str]) -> bool:
+    """Whether all rows of ``paths`` are in one base or one unique increment."""
+    filled = [r for r in recs if r["path"] in paths and r["n_rows"]]
+    return len(filled) <= 1 and all(r["kind"] in ("base", UNIQUE) for r in filled)
+
+
 class KeyedTable(_Table):
     """Keyed table: committed increments merged per key on read."""
 
@@ -357,9 +367,13 @@ class KeyedTable(_Table):
         floor = super()._next_seq(recs, tx)
         return max(floor, int(time.time() * 1000) * 1000 + random.randrange(1000))
 
-    def append(self, df: DataFrame, tag: str, tx: Transaction | None = None, skip_empty: bool = False) -> int:
+    def append(self, df: DataFrame, tag: str, tx: Transaction | None = None, skip_empty: bool = False,
+               unique: bool = False) -> int:
         """Write an increment and commit it (now, or with ``tx``); with ``skip_empty`` only if it has rows.
 
+        ``unique`` is for rows whose keys cannot repeat (grouped by key, or ids drawn by the
+        write itself): read alone, such an increment is the merged state and is only scanned.
+
         Every attempt has a folder and a number of its own: a committed folder is never
         written again.  A retry with the same rows converges when keys are merged on read,
         a corrected re-load supersedes its keys and is seen by incremental readers, and a
@@ -377,7 +391,7 @@ class KeyedTable(_Table):
             not_null=self.not_null, varchar=self.varchar, money=self._wider(df), table=self.name,
             partition_by=self.partition_by, bloom=self.bloom)
         if n_rows or not (prior or skip_empty):
-            self._commit((self.name, seq, "increment", tag, path, n_rows), tx)
+            self._commit((self.name, seq, UNIQUE if unique else "increment", tag, path, n_rows), tx)
         return n_rows
 
     def _wider(self, df: DataFrame) -> list[str]:
@@ -431,14 +445,25 @@ class KeyedTable(_Table):
         new = [path for path in live if path not in seen]
         return (self._load(new) if new else None), live
 
+    def state_since(self, seen: Iterable[str]) -> tuple[DataFrame | None, list[str]]:
+        """Like ``versions_since``, with the row versions merged: one row per key."""
+        seen, recs = set(seen), self.records()
+        raw, live = self.versions_since(seen)
+        if raw is None:
+            return None, live
+        return (raw.select(*self.columns) if _whole_state(recs, [p for p in live if p not in seen]) else self.merge(raw)), live
+
     def keys(self) -> DataFrame | None:
         """Every committed key once, without merging row versions: enough for
         membership tests such as anti-joins.  ``distinct`` runs with partial
         aggregation, so a key with very many versions collapses map-side and
         cannot skew the join that follows (AQE cannot split a skewed build side
         of an anti-join)."""
-        raw = self.versions()
-        return None if raw is None else raw.select(*self.key).distinct()
+        recs, live = self.records(), self.live()
+        if not live:
+            return None
+        keys = self._load(live).select(*self.key)
+        return keys if _whole_state(recs, live) else keys.distinct()
 
     def read(self) -> DataFrame:
         """Current state: one row per key.
@@ -461,10 +486,13 @@ class KeyedTable(_Table):
         min/max when it is a range), so only the touched keys are shuffled
         for the merge instead of the whole table.
         """
-        raw = self.versions()
-        if raw is None:
+        recs, live = self.records(), self.live()
+        if not live:
             return None
+        raw = self._load(live)
         hit = row_filter(raw) if callable(row_filter) else raw.filter(row_filter)
+        if _whole_state(recs, live):
+            return hit.select(*self.columns)
         keys = hit.select(*self.key).distinct()
         return self.merge(raw.join(keys, self.key, "left_semi"))
 
@@ -474,13 +502,15 @@ class KeyedTable(_Table):
         if not live:
             return self.spark.createDataFrame([], schema)
         if only is not None:
-            return self.merge(self._load(live).join(only, self.key, "left_semi"))
+            raw = self._load(live).join(only, self.key, "left_semi")
+            return raw.select(*self.columns) if _whole_state(recs, live) else self.merge(raw)
         return self._state(recs, live)
 
     def _state(self, recs: list, live: list[str]) -> DataFrame:
-        """The merged rows of ``live``; a base alone holds one row per key and is only scanned."""
+        """The merged rows of ``live``; a base or a unique increment alone holds one row per key
+        and is only scanned."""
         raw = self._load(live)
-        if any(r["kind"] == "base" and [r["path"]] == live for r in recs):
+        if _whole_state(recs, live):
             return raw.select(*self.columns)
         return self.merge(raw)
 

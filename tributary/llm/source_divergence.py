@@ -175,8 +175,9 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # One shuffle by (lang, term) serves the sums by source and those of the language.
     counts = (_counts(docs, None, parents, True).repartition("lang", "prefix").groupBy("lang", "source", "prefix")
               .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
-    kept = (counts.withColumn("lang_docs", F.sum("docs").over(by_term)).withColumn("lang_n", F.sum("n").over(by_term))
-            .withColumn("first", F.row_number().over(by_term.orderBy("source")) == 1)
+    # The order within the terms first: their sums then need no sort of their own.
+    kept = (counts.withColumn("first", F.row_number().over(by_term.orderBy("source")) == 1)
+            .withColumn("lang_docs", F.sum("docs").over(by_term)).withColumn("lang_n", F.sum("n").over(by_term))
             .filter(F.col("lang_docs") >= min_docs)
             .select("lang", "source", F.col("prefix").cast("string").alias("term"), "n", "lang_n", "first"))
     return stored(spark, kept, "divergence-terms")

@@ -16,7 +16,7 @@ from tributary.operators.dlq import dlq_rows
 from tributary.plans.daily import refresh_daily
 from tributary.operators.merge import first_per_key, insert_if_absent
 from tributary.operators.quality import route_quality
-from tributary.plans.store import Store
+from tributary.plans.store import LANDING_TAG, Store
 from tributary.schemas import EVENT_COLUMNS, SILVER_COLUMNS
 from tributary.sources.readers import read_catalog_csv, read_landing_csv
 
@@ -49,7 +49,7 @@ def ingest_landing(spark: SparkSession, store: Store, csv_path: str, load_id: st
         "payload",
         _now().alias("ingested_at"),
     )
-    return store.bronze.append(rows, tag=f"landing-{load_id}", unique=True)
+    return store.bronze.append(rows, tag=f"{LANDING_TAG}{load_id}")
 
 
 def parse_bronze(bronze: DataFrame) -> DataFrame:

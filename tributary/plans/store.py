@@ -17,6 +17,8 @@ from tributary.schemas import (
 
 #: Orders that the Bloom filter of a queue file is sized for.
 DLQ_ORDERS_A_FILE = 1_000_000
+#: Tags of landing loads; their row ids are positions, drawn by the write itself.
+LANDING_TAG = "landing-"
 BRONZE_COLUMNS = ["source", "bronze_id", "payload", "ingested_at"]
 SILVER_TABLE_COLUMNS = [*SILVER_COLUMNS, "processed_at"]
 MINUTE_TABLE_COLUMNS = [*MINUTE_COLUMNS, "created_at"]
@@ -49,7 +51,7 @@ class Store:
         # the same id supersedes the first (in every way of reading Bronze).
         self.bronze = KeyedTable(s, f"{r}/bronze", ["source", "bronze_id"], BRONZE_COLUMNS,
                                  policies={"ingested_at": "min"},
-                                 name="bronze", log=log)
+                                 name="bronze", log=log, unique_tags=LANDING_TAG)
         # Silver: last write wins on values, the first insert keeps its stamp.
         self.silver = KeyedTable(s, f"{r}/silver", SILVER_KEY, SILVER_TABLE_COLUMNS,
                                  policies={"processed_at": "min"}, name="silver", log=log,

@@ -345,8 +345,11 @@ class KeyedTable(_Table):
                  columns: Sequence[str], *, policies: Mapping[str, str] | None = None,
                  name: str | None = None, log: CommitLog | None = None,
                  not_null: Sequence[str] = (), varchar: Mapping[str, int] | None = None,
-                 money: Sequence[str] = (), partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None):
+                 money: Sequence[str] = (), partition_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None,
+                 unique_tags: str | None = None):
         super().__init__(spark, root, name, log)
+        # What the tags of increments that are always ``unique`` (see append) begin with.
+        self.unique_tags = unique_tags
         self.not_null, self.varchar = list(not_null), dict(varchar or {})
         self.money = list(money)  # checked before the cast to DECIMAL(12,2)
         # Partition columns: increments and bases are then partitions of one folder, too
@@ -381,6 +384,7 @@ class KeyedTable(_Table):
         Returns the number of rows written.
         """
         recs = self.records()
+        unique = unique or self.unique_tags is not None and tag.startswith(self.unique_tags)
         prior = [r for r in recs if r["tag"] == tag]
         seq = self._next_seq(recs, tx)
         # Plain folder names (not key=value): several increments are read

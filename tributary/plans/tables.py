@@ -93,6 +93,7 @@ class CommitLog:
         self.spark, self.path = spark, path.rstrip("/")
         self.ckpt_path = f"{self.path}_checkpoints"
         self._cache: tuple[float, list] | None = None
+        self._commits = 0
         self._has_checkpoint = False
 
     def _read(self, path: str) -> DataFrame | None:
@@ -149,8 +150,10 @@ class CommitLog:
         """
         if self._cache is not None and time.monotonic() - self._cache[0] < self.CACHE_SECONDS:
             return self._cache[1]
+        before = self._commits
         rows = self._load(auto_checkpoint)
-        self._cache = (time.monotonic(), rows)
+        if before == self._commits:  # else another thread's commit may be missing from them
+            self._cache = (time.monotonic(), rows)
         return rows
 
     def _load(self, auto_checkpoint: bool) -> list:
@@ -180,6 +183,8 @@ class CommitLog:
         # and the gold query) never share an output path or its temp files.
         rec.coalesce(1).write.mode("errorifexists").parquet(
             f"{self.path}/h={ms // self.HOUR_MS}/{ms:013d}-{uuid.uuid4().hex}")
+        self._commits += 1
+        self._cache = None
 
     def checkpoint(self) -> None:
         """Write the live records as a new checkpoint (safe to run any time)."""

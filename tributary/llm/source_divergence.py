@@ -5,8 +5,8 @@ iceberg prefix refinement over their UTF-8 bytes: level by level, documents are
 term prefix; a prefix that occurs in fewer documents than that is discarded with everything
 it begins, so the next, longer level counts only extensions of prefixes that remain, and the
 last pass counts complete terms.  A document's prefixes are counted once in its own task and
-combined there (what a task holds is given on at ``FLUSH`` terms or ``HELD`` counts), so a hot
-term, source or language costs one row a task.  The prefixes that remain go back to the
+combined there (what a task holds is summed at ``HELD`` counts, and given on if more than
+``FLUSH`` are left), so a hot term, source or language costs a row or a few a task.  The prefixes that remain go back to the
 tasks as a bit filter of fixed size (``SLOTS`` bits: 2 MB whatever the input); one that
 passes the filter by chance is discarded by its own count, so the result is exact.
 
@@ -29,10 +29,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stored, table
+from tributary.llm.common import coded_words, slices, stored, table
 
 MIN_DOCS = 30
 PRIOR = 5
@@ -41,9 +42,11 @@ TOP = 50
 #: Prefix lengths in bytes, each counted in a pass of its own.
 LEVELS = (6, 12)
 SLOTS = 1 << 24
-#: Terms that a task numbers, and counts that it holds, before they are given on.
-FLUSH = 500_000
+#: Counts that a task holds before it sums them; so many sums are then given on.
 HELD = 1 << 21
+FLUSH = 500_000
+#: Bytes of texts of a language that are split at once.
+BYTES = 1 << 23
 #: Term-source cells of a block: at least so many, else as many terms as sources (a block's
 #: sums by pair are then fewer than its cells), at most so many.
 CELLS, MOST_CELLS = 1 << 16, 1 << 24
@@ -53,60 +56,55 @@ STRIPE = 512
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def terms(text: bytes | None) -> list[bytes]:
-    """The terms of a UTF-8 text, repeats included."""
-    return (text or b"").translate(_TERM_BYTES).split()
+def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``coded_words`` of the terms of texts without nulls, given as bytes."""
+    texts = pa.concat_arrays([texts])
+    _, offsets, data = texts.buffers()
+    start, end = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset)[[0, -1]]
+    lowered = bytes(data[start:end] if data else b"").translate(_TERM_BYTES)
+    offsets = pa.array(np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset) - start)
+    return coded_words(pa.Array.from_buffers(pa.string(), len(texts), [None, offsets.buffers()[1], pa.py_buffer(lowered)]))
 
 
 # -- prefix refinement -------------------------------------------------------------------------
-class Numbers(dict):
-    """Terms of a language to the numbers of their prefixes, as a task meets them; -1 for a term
-    whose shorter prefix was discarded."""
-
-    def __init__(self, lang: str, level: int | None, parents: tuple[int, bytes] | None):
-        self.level, self.parents = level, parents
-        self.seed = crc32(lang.encode() + b"\0")
-        self.prefixes: dict[bytes, int] = {}
-        self.size = 0
-
-    def __missing__(self, term: bytes) -> int:
-        number = -1
-        if self.parents is None or self._remains(term[:self.parents[0]]):
-            number = self.prefixes.setdefault(term[:self.level], len(self.prefixes))
-        self[term] = number
-        self.size += 1 + len(term) // 64
-        return number
-
-    def _remains(self, prefix: bytes) -> bool:
-        slot = crc32(prefix, self.seed) % SLOTS
-        return bool(self.parents[1][slot >> 3] >> (slot & 7) & 1)
-
-
-class Tally:
-    """Documents and uses of each number in one group of a task's documents."""
-
-    def __init__(self):
-        self.firsts: list[np.ndarray] = []
-        self.all: list[np.ndarray] = []
-        self.sums: list[tuple[np.ndarray, ...]] = []
-
-    def add(self, ids: np.ndarray, place: np.ndarray) -> None:
-        """One document's numbers; ``place`` is scratch space, as long as the numbers go."""
-        at = np.arange(len(ids))
-        place[ids] = at
-        self.firsts.append(ids[place[ids] == at])
-        self.all.append(ids)
-
-    def folded(self) -> tuple[np.ndarray, ...]:
-        """(number, docs, n) with each number once; what was added is summed up."""
-        docs, n = (np.bincount(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in (self.firsts, self.all))
-        number = np.flatnonzero(n)
-        parts = [*self.sums, (number, docs[number], n[number])]
-        number, docs, n = (np.concatenate(c) for c in zip(*parts))
-        out, back = np.unique(number, return_inverse=True)
-        self.firsts, self.all = [], []
-        self.sums = [(out, np.bincount(back, docs).astype(np.int64), np.bincount(back, n).astype(np.int64))]
-        return self.sums[0]
+def _numbers(lang: str, found: pa.Array, level: int | None, parents: tuple[int, bytes] | None) -> tuple[np.ndarray, pa.Array]:
+    """The numbers of terms' prefixes, -1 where the shorter prefix was discarded; the prefixes."""
+    found = found.cast(pa.binary())
+    remain = np.ones(len(found), bool)
+    if parents:
+        size, bits = parents
+        short = pc.binary_slice(found, 0, size).dictionary_encode()
+        seed = crc32(lang.encode() + b"\0")
+        slot = np.fromiter((crc32(x, seed) for x in short.dictionary.to_pylist()), np.int64, len(short.dictionary)) % SLOTS
+        remain = (np.frombuffer(bits, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)[short.indices.to_numpy()]
+    if level is None:
+        return np.where(remain, np.arange(len(found)), -1), found
+    coded = pc.binary_slice(found, 0, level).dictionary_encode()
+    return np.where(remain, coded.indices.to_numpy(), -1), coded.dictionary
+
+
+def _tally(ids: np.ndarray, place: np.ndarray, source: np.ndarray, sources: int, width: int) -> tuple[np.ndarray, ...]:
+    """(source, number, docs, n): documents and uses of each number below ``width``; ``ids`` are
+    those of the documents ``place`` in order, whose sources are numbered by ``source``."""
+    each = np.sort(place * width + ids)
+    each = each[np.flatnonzero(np.diff(each, prepend=-1))]
+    all_, once = source[place] * width + ids, source[each // max(width, 1)] * width + each % max(width, 1)
+    if sources * width <= 1 << 22:
+        n = np.bincount(all_, minlength=sources * width)
+        key = np.flatnonzero(n)
+        docs, n = np.bincount(once, minlength=sources * width)[key], n[key]
+    else:
+        key, n = np.unique(all_, return_counts=True)
+        docs = np.unique(once, return_counts=True)[1]
+    return key // max(width, 1), key % max(width, 1), docs, n
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    """(prefix, docs, n) with each prefix once."""
+    if len(parts) == 1:
+        return parts[0]
+    sums = pa.concat_tables(parts).group_by("prefix", use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+    return sums.select(["prefix", "docs_sum", "n_sum"]).rename_columns(["prefix", "docs", "n"])
 
 
 def _counts(docs: DataFrame, level: int | None, parents, by_source: bool) -> DataFrame:
@@ -116,37 +114,48 @@ def _counts(docs: DataFrame, level: int | None, parents, by_source: bool) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = parents.value if parents else None
-        numbers: dict[str, Numbers] = {}
-        tallies: dict[tuple[str, str], Tally] = defaultdict(Tally)
-        place, held = np.zeros(1 << 16, np.int64), 0
+        parts: dict[tuple[str, str], list[pa.Table]] = defaultdict(list)
+        held = 0
 
         def given() -> Iterator[pa.RecordBatch]:
-            prefixes = {lang: pa.array(known.prefixes, pa.binary()) for lang, known in numbers.items()}
-            for (lang, source), tally in tallies.items():
-                number, in_docs, n = tally.folded()
-                same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(number), np.int8))) for x in (lang, source)]
-                yield pa.RecordBatch.from_arrays([*same, prefixes[lang].take(pa.array(number)), pa.array(in_docs), pa.array(n)], schema=schema)
-            numbers.clear()
-            tallies.clear()
+            for key, tables in parts.items():
+                sums = _summed(tables)
+                same = [pa.repeat(pa.scalar(x, pa.string()), len(sums)) for x in key]
+                yield from pa.table([*same, *sums.columns], schema=schema).to_batches()
+            parts.clear()
+
+        def count(lang: str, sources: list[str], source: np.ndarray, texts: pa.Array) -> None:
+            """Of texts of one language, whose sources are numbered."""
+            nonlocal held
+            found, codes, upto = terms(texts)
+            number, prefixes = _numbers(lang, found, level, before)
+            ids, place = number[codes], np.repeat(np.arange(len(texts)), np.diff(upto))
+            ids, place = ids[ids >= 0], place[ids >= 0]
+            of, number, in_docs, n = _tally(ids, place, source, len(sources), len(prefixes))
+            rows = pa.table([prefixes.take(pa.array(number)), pa.array(in_docs, pa.int64()), pa.array(n, pa.int64())], names=["prefix", "docs", "n"])
+            ends = np.searchsorted(of, np.arange(len(sources) + 1))
+            for k, name in enumerate(sources):
+                if ends[k] < ends[k + 1]:
+                    parts[lang, name].append(rows[ends[k]:ends[k + 1]])
+            held += len(rows)
         for b in batches:
-            for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                known = numbers.get(lang)
-                if known is None:
-                    known = numbers[lang] = Numbers(lang, level, before)
-                ids = np.fromiter(map(known.__getitem__, terms(text.as_py())), np.int64)
-                ids = ids[ids >= 0]
-                if len(known.prefixes) > len(place):
-                    place = np.zeros(2 * len(known.prefixes), np.int64)
-                tallies[lang, source].add(ids, place)
-                held += len(ids) + 1
-                if held >= HELD:
-                    held = sum(len(tally.folded()[0]) + 1 for tally in tallies.values())
-                    if held >= HELD // 2:
-                        yield from given()
-                        held = 0
-                if sum(known.size for known in numbers.values()) >= FLUSH:
-                    yield from given()
-                    held = 0
+            lang, source = (b.column(k).dictionary_encode() for k in range(2))
+            of_lang, of_source = lang.indices.to_numpy(), source.indices.to_numpy()
+            order = np.argsort(of_lang, kind="stable")
+            bounds = np.searchsorted(of_lang[order], np.arange(len(lang.dictionary) + 1))
+            for k, name in enumerate(lang.dictionary.to_pylist()):
+                own = order[bounds[k]:bounds[k + 1]]
+                texts = b.column(2).take(pa.array(own))
+                for at in slices(texts, BYTES):
+                    used, numbered = np.unique(of_source[own[at]], return_inverse=True)
+                    count(name, source.dictionary.take(pa.array(used)).to_pylist(), numbered, texts[at])
+                    if held >= HELD:
+                        for key, tables in parts.items():
+                            parts[key] = [_summed(tables)]
+                        held = sum(len(x[0]) for x in parts.values())
+                        if held >= FLUSH:
+                            yield from given()
+                            held = 0
         yield from given()
     source = F.col("source") if by_source else F.lit("").alias("source")
     return docs.select("lang", source, F.col("text").cast("binary")).mapInArrow(run, "lang string, source string, prefix binary, docs long, n long")
